@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spark's one-argument trim removes only the space character; postings carry tabs, newlines and
-# no-break spaces, so the edges are matched with the Unicode white-space class instead.
-EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# Spark's one-argument trim removes only the space character; postings also carry tabs, newlines
+# and no-break spaces. The characters Unicode counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 HTML_TAG = r"<[^>]+>"
 # The warehouse's \s: no vertical tab and no Unicode spaces.
 INNER_WHITESPACE = r"[\t\n\f\r ]+"
 
 
 def utrim(column: Column) -> Column:
-    """Trim white space of every kind, not only blanks."""
-    return F.regexp_replace(column, EDGE_WHITESPACE, "")
+    """Trim white space of every kind, not only blanks; looks at the edges, not at the whole text."""
+    return F.btrim(column, F.lit(WHITESPACE))
 
 
 def blank_to_null(column: Column) -> Column:
@@ -44,13 +47,21 @@ def snippet(column: Column, length: int = 240) -> Column:
 
 
 def dedupe_ignoring_case(words: Column) -> Column:
-    """Trim, drop empties and keep the first spelling of every word, in order."""
-    trimmed = F.filter(F.transform(words, utrim), lambda w: w != "")
-    lowered = F.transform(trimmed, F.lower)
-    return F.filter(
-        F.transform(
-            trimmed,
-            lambda w, i: F.when(F.array_position(lowered, F.lower(w)) == i + 1, w),
-        ),
-        lambda w: w.isNotNull(),
-    )
+    """Trim, drop empties and keep the first spelling of every word, in order.
+
+    One fold over the array: the input is evaluated once however long it is.
+    """
+    empty = F.array().cast("array<string>")
+
+    def add(seen: Column, word: Column) -> Column:
+        spelling = utrim(word)
+        key = F.lower(spelling)
+        fresh = (spelling != "") & ~F.array_contains(seen["keys"], key)
+        grown = F.struct(
+            F.array_append(seen["keys"], key).alias("keys"),
+            F.array_append(seen["kept"], spelling).alias("kept"),
+        )
+        return F.when(fresh, grown).otherwise(seen)
+
+    start = F.struct(empty.alias("keys"), empty.alias("kept"))
+    return F.aggregate(words, start, add, lambda seen: seen["kept"])

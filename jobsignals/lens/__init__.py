@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignals.lens import postings  # noqa: F401
+from jobsignals.lens import postings, storage, tables  # noqa: F401
 from jobsignals.lens.registry import ORACLES, QUERIES, Query
 
 

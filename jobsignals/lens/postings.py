@@ -6,6 +6,8 @@ sightings of one posting compete in the staging dedupe. Orders give the extracti
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +23,25 @@ from jobsignals.plans.enrichment import (
     within_window,
 )
 from jobsignals.plans.evaluation import evaluation_sample
-from jobsignals.plans.marts import occupation_barrier, skills_top_k, top_barriers, top_supply
-from jobsignals.plans.staging import staged_postings
+from jobsignals.plans.marts import (
+    experience_barrier,
+    occupation_barrier,
+    occupation_dim,
+    skills_demand,
+    skills_top_k,
+    supply_demand,
+    top_barriers,
+    top_supply,
+)
+from jobsignals.plans.staging import staged_occupation_lists, staged_postings
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import flat_sample
 from jobsignals.sources.landing import ingest_summary
-from jobsignals.sources.seeds import bundled_rows, bundled_seeds
+from jobsignals.sources.seeds import bundled_rows, bundled_seed, bundled_seeds
 
 # Expressions that mean the same in Spark SQL and DuckDB.
 FLAT_POSTING = {
-    "snapshot_date": "CAST(date_trunc('month', o_orderdate) AS DATE)",
+    "snapshot_date": "CAST(date_trunc('quarter', o_orderdate) AS DATE)",
     "ingested_at": "l_shipdate",
     "source_city": "CASE l_returnflag WHEN 'A' THEN 'Melbourne' WHEN 'N' THEN 'Sydney' ELSE 'Brisbane' END",
     "id": "CAST(l_orderkey AS string)",
@@ -81,7 +92,7 @@ FLAT_POSTING = {
 
 EXTRACT = {
     "job_id": "CAST(o_orderkey AS string)",
-    "snapshot_date": "CAST(date_trunc('month', o_orderdate) AS DATE)",
+    "snapshot_date": "CAST(date_trunc('quarter', o_orderdate) AS DATE)",
     "skills_kind": "o_orderpriority",
     "years_experience": "CASE o_orderpriority WHEN '5-LOW' THEN NULL ELSE CAST(floor(o_totalprice / 20000) AS bigint) END",
     "sponsorship_signal": "CASE o_orderstatus WHEN 'F' THEN 'explicit_yes' WHEN 'O' THEN 'explicit_no' ELSE 'unspecified' END",
@@ -156,16 +167,43 @@ def extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build_postings(spark: SparkSession, sf_dir: str, storage: str | None = None, method: str = "auto"):
+def stored_build(spark: SparkSession, sf_dir: str, label: str) -> dict[str, DataFrame]:
+    """Every layer, written to the shared folder and read back."""
     return build(
         raw_postings(spark, sf_dir),
         extract_records(spark, sf_dir),
         bundled_seeds(spark),
-        storage=storage,
-        method=method,
+        storage=scratch_path(spark, label),
     )
 
 
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_postings(raw_postings(spark, sf_dir))
+
+
+def mapped(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
+    enriched = enriched_postings(staged(spark, sf_dir), extract_records(spark, sf_dir))
+    return mapped_postings(enriched, bundled_seed(spark, "anzsco_title_patterns"), method)
+
+
+def seed_dim(spark: SparkSession) -> DataFrame:
+    lists = staged_occupation_lists(bundled_seed(spark, "occupation_lists"))
+    return occupation_dim(lists, bundled_seed(spark, "anzsco_title_patterns"))
+
+
+def q1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ceilings = bundled_seed(spark, "occupation_ceilings")
+    return supply_demand(mapped(spark, sf_dir), seed_dim(spark), ceilings)
+
+
+def q2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return experience_barrier(mapped(spark, sf_dir), seed_dim(spark))
+
+
+def q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skills_demand(mapped(spark, sf_dir))
+
+
 # --- oracle fragments -------------------------------------------------------------------------
 
 _RAW = f"""raw AS (
@@ -341,8 +379,8 @@ def _as_text(column: str):
     "postings_staged",
     _sql(_TO_STAGED, f"SELECT * EXCLUDE (posted_at, ingested_at), {_POSTED} FROM staged"),
 )
-def _staged(spark, sf_dir):
-    return staged_postings(raw_postings(spark, sf_dir)).withColumns(
+def _staged_query(spark, sf_dir):
+    return staged(spark, sf_dir).withColumns(
         {c: _as_text(c) for c in ("posted_at", "ingested_at")}
     )
 
@@ -365,15 +403,15 @@ def _flat_enriched(df: DataFrame) -> DataFrame:
     "postings_enriched",
     _sql([_RAW, _EXTRACTS, _STAGED, _ENRICHED], f"{_ENRICHED_SELECT} FROM enriched"),
 )
-def _enriched(spark, sf_dir):
+def _enriched_query(spark, sf_dir):
     return _flat_enriched(
-        enriched_postings(staged_postings(raw_postings(spark, sf_dir)), extract_records(spark, sf_dir))
+        enriched_postings(staged(spark, sf_dir), extract_records(spark, sf_dir))
     )
 
 
 @query("postings_mapped", _sql(_TO_MAPPED, f"{_ENRICHED_SELECT}, anzsco_code FROM mapped"))
-def _mapped(spark, sf_dir):
-    return _flat_enriched(build_postings(spark, sf_dir)["mapped_postings"])
+def _mapped_query(spark, sf_dir):
+    return _flat_enriched(mapped(spark, sf_dir))
 
 
 @query(
@@ -381,8 +419,7 @@ def _mapped(spark, sf_dir):
     _sql(_TO_MAPPED, "SELECT job_id, snapshot_date, job_title, anzsco_code FROM mapped"),
 )
 def _mapped_join(spark, sf_dir):
-    mapped = build_postings(spark, sf_dir, method="join")["mapped_postings"]
-    return mapped.select("job_id", "snapshot_date", "job_title", "anzsco_code")
+    return mapped(spark, sf_dir, method="join").select("job_id", "snapshot_date", "job_title", "anzsco_code")
 
 
 _ROUNDED = "SELECT * REPLACE (round(avg_salary, 4) AS avg_salary) FROM q1"
@@ -394,17 +431,17 @@ def _rounded(q1: DataFrame) -> DataFrame:
 
 @query("postings_supply_demand", _sql(_TO_Q1, _ROUNDED))
 def _supply_demand(spark, sf_dir):
-    return _rounded(build_postings(spark, sf_dir)["supply_demand"])
+    return _rounded(q1(spark, sf_dir))
 
 
 @query("postings_experience_barrier", _sql(_TO_Q2, "SELECT * FROM q2"))
 def _experience_barrier(spark, sf_dir):
-    return build_postings(spark, sf_dir)["experience_barrier"]
+    return q2(spark, sf_dir)
 
 
 @query("postings_skills_demand", _sql(_TO_Q3, "SELECT * FROM q3"))
 def _skills_demand(spark, sf_dir):
-    return build_postings(spark, sf_dir)["skills_demand"]
+    return q3(spark, sf_dir)
 
 
 @query(
@@ -418,7 +455,7 @@ def _skills_demand(spark, sf_dir):
 )
 def _marts_stored(spark, sf_dir):
     """The written build: layers stored as tables and read back."""
-    layers = build_postings(spark, sf_dir, storage=scratch_path(spark, "marts"))
+    layers = stored_build(spark, sf_dir, "marts")
 
     def rows(mart, name, key1, key2, n):
         return layers[name].select(
@@ -443,7 +480,7 @@ def _marts_stored(spark, sf_dir):
     ),
 )
 def _top_supply(spark, sf_dir):
-    return top_supply(build_postings(spark, sf_dir)["supply_demand"])
+    return top_supply(q1(spark, sf_dir))
 
 
 @query(
@@ -456,7 +493,7 @@ def _top_supply(spark, sf_dir):
     ),
 )
 def _top_barriers(spark, sf_dir):
-    return top_barriers(build_postings(spark, sf_dir)["experience_barrier"])
+    return top_barriers(q2(spark, sf_dir))
 
 
 @query(
@@ -468,7 +505,7 @@ def _top_barriers(spark, sf_dir):
     ),
 )
 def _skills_top_k(spark, sf_dir):
-    return skills_top_k(build_postings(spark, sf_dir)["skills_demand"])
+    return skills_top_k(q3(spark, sf_dir))
 
 
 @query(
@@ -480,7 +517,7 @@ def _skills_top_k(spark, sf_dir):
     ),
 )
 def _occupation_barrier(spark, sf_dir):
-    return occupation_barrier(build_postings(spark, sf_dir)["supply_demand"])
+    return occupation_barrier(q1(spark, sf_dir))
 
 
 @query(
@@ -492,7 +529,7 @@ def _occupation_barrier(spark, sf_dir):
     ),
 )
 def _mapping_coverage(spark, sf_dir):
-    return mapping_coverage(build_postings(spark, sf_dir)["mapped_postings"])
+    return mapping_coverage(mapped(spark, sf_dir))
 
 
 @query(
@@ -506,9 +543,7 @@ def _mapping_coverage(spark, sf_dir):
     ),
 )
 def _pending(spark, sf_dir):
-    return pending_extraction(
-        staged_postings(raw_postings(spark, sf_dir)), extract_records(spark, sf_dir)
-    )
+    return pending_extraction(staged(spark, sf_dir), extract_records(spark, sf_dir))
 
 
 @query(
@@ -524,7 +559,7 @@ def _pending(spark, sf_dir):
 )
 def _pending_sample(spark, sf_dir):
     return pending_extraction(
-        staged_postings(raw_postings(spark, sf_dir)), extract_records(spark, sf_dir), sample_size=25
+        staged(spark, sf_dir), extract_records(spark, sf_dir), sample_size=25
     )
 
 
@@ -538,10 +573,8 @@ def _pending_sample(spark, sf_dir):
     ),
 )
 def _window(spark, sf_dir):
-    from datetime import date
-
-    mapped = within_window(build_postings(spark, sf_dir)["mapped_postings"], date(1998, 1, 1), 365)
-    return mapped.groupBy("snapshot_date").agg(
+    in_window = within_window(mapped(spark, sf_dir), date(1998, 1, 1), 365)
+    return in_window.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("total_jobs"), F.count("anzsco_code").alias("mapped_jobs")
     )
 
@@ -561,9 +594,7 @@ def _window(spark, sf_dir):
     ),
 )
 def _eval_sample(spark, sf_dir):
-    sample = evaluation_sample(
-        staged_postings(raw_postings(spark, sf_dir)), extract_records(spark, sf_dir)
-    )
+    sample = evaluation_sample(staged(spark, sf_dir), extract_records(spark, sf_dir))
     return sample.withColumn("skills", F.array_join("required_skills", "|")).drop("required_skills")
 
 
@@ -710,7 +741,7 @@ def report_sql(checks: list[Check], names: dict[str, str]) -> str:
 
 @query("postings_checks", _sql([*_TO_ALL, _ROUNDS], report_sql(all_checks(), _LAYERS)))
 def _checks(spark, sf_dir):
-    layers = build_postings(spark, sf_dir, storage=scratch_path(spark, "checked"))
+    layers = stored_build(spark, sf_dir, "checked")
     return run_suite(layers, all_checks())
 
 
@@ -724,5 +755,5 @@ def _checks(spark, sf_dir):
     ),
 )
 def _checks_result(spark, sf_dir):
-    layers = build_postings(spark, sf_dir, storage=scratch_path(spark, "checked"))
+    layers = stored_build(spark, sf_dir, "checked")
     return suite_result(run_suite(layers, all_checks()))

@@ -168,20 +168,35 @@ def find_years(text: Column) -> Column:
     return F.when(years.between(sig.MIN_YEARS, sig.MAX_YEARS), years)
 
 
+def _mentions(lowered: Column, *words: str) -> Column:
+    """Cheap substring test that spares the pattern on texts without any of its key words."""
+    found = lowered.contains(words[0])
+    for word in words[1:]:
+        found = found | lowered.contains(word)
+    return found
+
+
 def rule_signals(df: DataFrame, text: str, skills: Sequence[str] = DEFAULT_SKILLS) -> DataFrame:
     """Offline extractor: the five signals from plain rules, as column expressions only."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.withColumns(
-        {
-            "required_skills": find_skills(body, skills),
-            "years_experience": find_years(body),
-            "sponsorship_signal": F.when(body.rlike(SPONSOR_NO), "explicit_no")
-            .when(body.rlike(SPONSOR_YES), "explicit_yes")
-            .otherwise("unspecified"),
-            "local_experience_required": body.rlike(LOCAL_EXPERIENCE),
-            "remote_friendly": F.when(body.rlike(HYBRID), "hybrid")
-            .when(body.rlike(REMOTE), "remote")
-            .when(body.rlike(ONSITE), "onsite")
-            .otherwise("unspecified"),
-        }
+    low = F.col("_low")
+    about_visas = _mentions(low, "sponsor", "citizen", "resident")
+    return (
+        df.withColumn("_low", F.lower(body))
+        .withColumns(
+            {
+                "required_skills": find_skills(body, skills),
+                "years_experience": F.when(_mentions(low, "year", "yr"), find_years(body)),
+                "sponsorship_signal": F.when(about_visas & body.rlike(SPONSOR_NO), "explicit_no")
+                .when(about_visas & body.rlike(SPONSOR_YES), "explicit_yes")
+                .otherwise("unspecified"),
+                "local_experience_required": _mentions(low, "experience", "work history")
+                & body.rlike(LOCAL_EXPERIENCE),
+                "remote_friendly": F.when(_mentions(low, "hybrid", "day") & body.rlike(HYBRID), "hybrid")
+                .when(_mentions(low, "remote", "anywhere") & body.rlike(REMOTE), "remote")
+                .when(_mentions(low, "site", "office") & body.rlike(ONSITE), "onsite")
+                .otherwise("unspecified"),
+            }
+        )
+        .drop("_low")
     )

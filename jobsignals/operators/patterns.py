@@ -6,7 +6,7 @@ equal priorities are settled by code and pattern so that the answer is reproduci
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # Up to this many patterns become one CASE expression in the scan's own stage.
@@ -28,7 +28,12 @@ def _ranked(patterns: DataFrame, priority: str, code: str, pattern: str) -> Data
     )
 
 
-def _case_column(text: Column, ranked: list) -> Column:
+def _rank_key(row: Row) -> tuple:
+    """The struct order of the ranked column: NULLs first within a field."""
+    return tuple((value is not None, "" if value is None else value) for value in row.p)
+
+
+def _case_column(text: Column, ranked: list[Row]) -> Column:
     result = None
     for row in ranked:
         hit = F.rlike(text, F.lit(row.p.pattern))
@@ -82,8 +87,9 @@ def map_by_pattern(
     """
     ranked = _ranked(patterns, priority, code, pattern)
     if method in ("auto", "case"):
-        inline = ranked.orderBy("p").limit(INLINE_LIMIT + 1).collect()
+        inline = ranked.limit(INLINE_LIMIT + 1).collect()
         if len(inline) <= INLINE_LIMIT:
+            inline.sort(key=_rank_key)
             return (
                 df.withColumn(_TEXT, text)
                 .withColumn(output, _case_column(F.col(_TEXT), inline))

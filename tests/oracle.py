@@ -72,7 +72,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or list(all_queries())
     spark = build_session(
-        "oracle", "local[8]", spark_ui_enabled="false", spark_sql_shuffle_partitions="8", spark_driver_memory="8g"
+        "oracle", "local[8]", spark_ui_enabled="false",spark_ui_showConsoleProgress="false", spark_sql_shuffle_partitions="8", spark_driver_memory="8g"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
@@ -83,7 +83,7 @@ def main() -> int:
             df = all_queries()[key](spark, sf_dir)
             if key in all_oracles():
                 problem = compare(df, con, all_oracles()[key])
-                count = ""
+                count = f" rows: {con.execute(f'SELECT count(*) FROM ({all_oracles()[key]})').fetchone()[0]}"
             else:
                 problem, count = "", f" rows only: {df.count()}"
         except Exception as exc:  # noqa: BLE001
