@@ -80,81 +80,89 @@ def normalise_alias(column: Column, aliases: dict[str, str]) -> Column:
     return F.coalesce(table[key], key)
 
 
-def parse_payload(payload: Column) -> Column:
-    """JSON text as a variant; NULL when it is not JSON."""
-    return F.try_parse_json(payload)
-
-
 def _path(field: str) -> str:
     return f"$.{field}"
 
 
-def field_type(parsed: Column, field: str) -> Column:
-    """Type name of a field: NULL when missing, ``VOID`` for JSON null."""
-    return F.schema_of_variant(F.variant_get(parsed, _path(field), "variant"))
+def probe(parsed: Column) -> dict[str, Column]:
+    """What the readers below look at, per field, as columns of their own.
+
+    ``<field>_kind`` is the type name of the field: NULL when it is missing, ``VOID`` for JSON
+    null. Kept as columns, each is worked out once per row however often a reader uses it.
+    """
 
+    def get(field: str, kind: str) -> Column:
+        return F.try_variant_get(parsed, _path(field), kind)
 
-def is_object(parsed: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    kinds = {
+        f"_{f}_kind": F.schema_of_variant(F.variant_get(parsed, _path(f), "variant"))
+        for f in SIGNAL_FIELDS
+    }
+    return {
+        "_root_kind": F.schema_of_variant(parsed),
+        **kinds,
+        "_skill_items": get("required_skills", "array<variant>"),
+        "_skill_texts": get("required_skills", "array<string>"),
+        "_years_text": utrim(get("years_experience", "string")),
+        "_years_number": get("years_experience", "double"),
+        "_flag_text": F.lower(get("local_experience_required", "string")),
+        "_flag_number": get("local_experience_required", "double"),
+        "_sponsorship_text": get("sponsorship_signal", "string"),
+        "_remote_text": get("remote_friendly", "string"),
+    }
 
 
 def _is_number(kind: Column) -> Column:
-    return (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
+def root_is_object() -> Column:
+    return F.coalesce(F.col("_root_kind").startswith("OBJECT"), F.lit(False))
 
 
-def read_skills(parsed: Column) -> tuple[Column, Column]:
+def read_skills() -> tuple[Column, Column]:
     """(value, valid): an array of texts, at most 20 before the spellings are merged."""
-    kind = field_type(parsed, "required_skills")
-    items = F.try_variant_get(parsed, _path("required_skills"), "array<variant>")
-    words = F.try_variant_get(parsed, _path("required_skills"), "array<string>")
-    all_texts = F.forall(items, lambda x: F.schema_of_variant(x) == "STRING")
-    valid = kind.isNull() | (
-        kind.startswith("ARRAY") & (F.size(items) <= MAX_SKILLS) & all_texts
+    kind, items = F.col("_required_skills_kind"), F.col("_skill_items")
+    all_texts = (kind == "ARRAY<STRING>") | F.forall(
+        items, lambda x: F.schema_of_variant(x) == "STRING"
     )
+    valid = kind.isNull() | (kind.startswith("ARRAY") & (F.size(items) <= MAX_SKILLS) & all_texts)
     empty = F.array().cast("array<string>")
-    return F.coalesce(dedupe_ignoring_case(words), empty), F.coalesce(valid, F.lit(False))
-
-
-def read_years(parsed: Column) -> tuple[Column, Column]:
-    """(value, valid): missing or null, or a whole number 0..40 (also as text, 5.0 or boolean)."""
-    kind = field_type(parsed, "years_experience")
-    text = utrim(F.try_variant_get(parsed, _path("years_experience"), "string"))
-    number = F.when(
-        kind == "STRING",
-        F.when(text.rlike(_INTEGER_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")),
-    ).when(
-        _is_number(kind) | (kind == "BOOLEAN"),
-        F.try_variant_get(parsed, _path("years_experience"), "double"),
+    value = F.coalesce(dedupe_ignoring_case(F.col("_skill_texts")), empty)
+    return value, F.coalesce(valid, F.lit(False))
+
+
+def years_value() -> Column:
+    """The years as a double: a number, a boolean, or text holding a whole number."""
+    kind, text = F.col("_years_experience_kind"), F.col("_years_text")
+    whole_text = F.when(text.rlike(_INTEGER_TEXT), F.replace(text, F.lit("_"), F.lit("")))
+    return F.when(kind == "STRING", whole_text.try_cast("double")).when(
+        _is_number(kind) | (kind == "BOOLEAN"), F.col("_years_number")
+    )
+
+
+def read_years() -> tuple[Column, Column]:
+    """(value, valid): missing or null, or a whole number 0..40; reads ``_years``."""
+    kind, number = F.col("_years_experience_kind"), F.col("_years")
+    whole = F.coalesce(
+        (number == F.floor(number)) & number.between(MIN_YEARS, MAX_YEARS), F.lit(False)
     )
-    whole = (number == F.floor(number)) & number.between(MIN_YEARS, MAX_YEARS)
-    valid = kind.isNull() | (kind == "VOID") | F.coalesce(whole, F.lit(False))
-    return F.when(F.coalesce(whole, F.lit(False)), number.cast("long")), valid
+    return F.when(whole, number.cast("long")), kind.isNull() | (kind == "VOID") | whole
 
 
-def read_flag(parsed: Column, field: str = "local_experience_required") -> tuple[Column, Column]:
-    """(value, valid): a boolean, 0/1 as a number, or one of the accepted texts; default false."""
-    kind = field_type(parsed, field)
-    text = F.lower(F.try_variant_get(parsed, _path(field), "string"))
-    number = F.try_variant_get(parsed, _path(field), "double")
-    value = (
+def flag_value() -> Column:
+    """The local-experience flag: boolean, 0/1, or an accepted text; missing means false."""
+    kind = F.col("_local_experience_required_kind")
+    text, number = F.col("_flag_text"), F.col("_flag_number")
+    return (
         F.when(kind.isNull(), F.lit(False))
-        .when(kind == "BOOLEAN", F.try_variant_get(parsed, _path(field), "boolean"))
-        .when(_is_number(kind), F.when(number == 1, True).when(number == 0, False))
-        .when(
-            kind == "STRING",
-            F.when(text.isin(TRUE_TEXTS), True).when(text.isin(FALSE_TEXTS), False),
-        )
+        .when((kind == "BOOLEAN") | _is_number(kind), F.when(number == 1, True).when(number == 0, False))
+        .when(kind == "STRING", F.when(text.isin(TRUE_TEXTS), True).when(text.isin(FALSE_TEXTS), False))
     )
-    return value, value.isNotNull()
 
 
-def read_enum(
-    parsed: Column, field: str, aliases: dict[str, str], allowed: list[str]
-) -> tuple[Column, Column]:
-    """(value, valid): a known spelling; missing means unspecified, JSON null is invalid."""
-    kind = field_type(parsed, field)
-    text = F.try_variant_get(parsed, _path(field), "string")
-    value = F.when(kind.isNull(), F.lit("unspecified")).when(
+def enum_value(kind: Column, text: Column, aliases: dict[str, str]) -> Column:
+    """A known spelling; missing means unspecified, JSON null and other types are invalid."""
+    return F.when(kind.isNull(), F.lit("unspecified")).when(
         kind == "STRING", normalise_alias(text, aliases)
     )
-    return value, F.coalesce(value.isin(allowed), F.lit(False))

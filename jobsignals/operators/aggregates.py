@@ -64,12 +64,14 @@ def item_counts(
 ) -> DataFrame:
     """Mentions of every array element per group, normalised to lower case and trimmed.
 
+    A NULL or empty array counts nothing: the outer explode gives it a NULL that is filtered out,
+    while the plain one would first evaluate the array again just to drop such rows.
     The first aggregate keeps all texts as grouping keys and only counts, which stays a hash
     aggregate with map-side combine; the smallest spelling and the distinct spread are taken
     from its far smaller result.
     """
     exploded = df.where(F.col(group).isNotNull()).select(
-        group, F.col(spread).alias("_spread"), F.explode(items).alias("_spelling")
+        group, F.col(spread).alias("_spread"), F.explode_outer(items).alias("_spelling")
     )
     counted = exploded.groupBy(group, "_spelling", "_spread").agg(F.count(F.lit(1)).alias("_n"))
     cleaned = counted.withColumn(item, F.lower(utrim(F.col("_spelling"))))

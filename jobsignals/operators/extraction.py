@@ -25,46 +25,51 @@ def normalise_payload(df: DataFrame, payload: str, failure: str | None = None) -
     row holding defaults. ``failure`` names a column with the message of a call that gave no
     payload at all.
     """
-    parsed = df.withColumn("_v", sig.parse_payload(F.col(payload)))
-    v = F.col("_v")
-    read = {
-        "required_skills": sig.read_skills(v),
-        "years_experience": sig.read_years(v),
-        "sponsorship_signal": sig.read_enum(
-            v, "sponsorship_signal", sig.SPONSORSHIP_ALIASES, sig.SPONSORSHIP_VALUES
-        ),
-        "local_experience_required": sig.read_flag(v),
-        "remote_friendly": sig.read_enum(v, "remote_friendly", sig.REMOTE_ALIASES, sig.REMOTE_VALUES),
+    skills, skills_ok = sig.read_skills()
+    years, years_ok = sig.read_years()
+    values = {
+        "required_skills": (skills, F.array().cast("array<string>")),
+        "years_experience": (years, F.lit(None).cast("long")),
+        "sponsorship_signal": (F.col("_sponsorship"), F.lit("unspecified")),
+        "local_experience_required": (F.col("_flag"), F.lit(False)),
+        "remote_friendly": (F.col("_remote"), F.lit("unspecified")),
     }
-    invalid = F.filter(
-        F.array(*[F.when(~valid, F.lit(name)) for name, (_, valid) in read.items()]),
-        lambda name: name.isNotNull(),
-    )
-    checked = parsed.withColumns(
-        {
-            "_object": sig.is_object(v),
-            "_invalid": invalid,
-            **{f"_{name}": value for name, (value, _) in read.items()},
-        }
+    valid = {
+        "required_skills": skills_ok,
+        "years_experience": years_ok,
+        "sponsorship_signal": F.col("_sponsorship").isin(sig.SPONSORSHIP_VALUES),
+        "local_experience_required": F.col("_flag").isNotNull(),
+        "remote_friendly": F.col("_remote").isin(sig.REMOTE_VALUES),
+    }
+    faulty = F.array_compact(
+        F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in valid.items()])
     )
-    problem = F.when(~F.col("_object"), F.lit("payload is not a JSON object")).when(
-        F.size("_invalid") > 0, F.concat(F.lit("invalid fields: "), F.array_join("_invalid", ", "))
+    probes = sig.probe(F.col("_v"))
+    derived = {
+        "_years": sig.years_value(),
+        "_flag": sig.flag_value(),
+        "_sponsorship": sig.enum_value(
+            F.col("_sponsorship_signal_kind"), F.col("_sponsorship_text"), sig.SPONSORSHIP_ALIASES
+        ),
+        "_remote": sig.enum_value(
+            F.col("_remote_friendly_kind"), F.col("_remote_text"), sig.REMOTE_ALIASES
+        ),
+    }
+    problem = F.when(~sig.root_is_object(), F.lit("payload is not a JSON object")).when(
+        F.size("_faulty") > 0, F.concat(F.lit("invalid fields: "), F.array_join("_faulty", ", "))
     )
     if failure:
         problem = F.coalesce(F.col(failure), problem)
     ok = F.col("error_message").isNull()
-    defaults = {
-        "required_skills": F.array().cast("array<string>"),
-        "years_experience": F.lit(None).cast("long"),
-        "sponsorship_signal": F.lit("unspecified"),
-        "local_experience_required": F.lit(False),
-        "remote_friendly": F.lit("unspecified"),
-    }
     return (
-        checked.withColumn("error_message", F.substring(problem, 1, sig.MAX_ERROR_LENGTH))
-        .withColumns({n: F.when(ok, F.col(f"_{n}")).otherwise(d) for n, d in defaults.items()})
+        df.withColumn("_v", F.try_parse_json(F.col(payload)))
+        .withColumns(probes)
+        .withColumns(derived)
+        .withColumn("_faulty", faulty)
+        .withColumn("error_message", F.substring(problem, 1, sig.MAX_ERROR_LENGTH))
+        .withColumns({n: F.when(ok, v).otherwise(default) for n, (v, default) in values.items()})
         .withColumn("extraction_status", F.when(ok, sig.STATUS_OK).otherwise(sig.STATUS_ERROR))
-        .drop("_v", "_object", "_invalid", *[f"_{n}" for n in read])
+        .drop("_v", "_faulty", *probes, *derived)
     )
 
 
@@ -180,15 +185,18 @@ def rule_signals(df: DataFrame, text: str, skills: Sequence[str] = DEFAULT_SKILL
     """Offline extractor: the five signals from plain rules, as column expressions only."""
     body = F.coalesce(F.col(text), F.lit(""))
     low = F.col("_low")
-    about_visas = _mentions(low, "sponsor", "citizen", "resident")
+    refusal = _mentions(
+        low, "citizen", "no sponsorship", "no visa sponsorship", "sponsorship not",
+        "sponsorship is", "sponsorship unavailable",
+    )
     return (
         df.withColumn("_low", F.lower(body))
         .withColumns(
             {
                 "required_skills": find_skills(body, skills),
                 "years_experience": F.when(_mentions(low, "year", "yr"), find_years(body)),
-                "sponsorship_signal": F.when(about_visas & body.rlike(SPONSOR_NO), "explicit_no")
-                .when(about_visas & body.rlike(SPONSOR_YES), "explicit_yes")
+                "sponsorship_signal": F.when(refusal & body.rlike(SPONSOR_NO), "explicit_no")
+                .when(_mentions(low, "visa") & body.rlike(SPONSOR_YES), "explicit_yes")
                 .otherwise("unspecified"),
                 "local_experience_required": _mentions(low, "experience", "work history")
                 & body.rlike(LOCAL_EXPERIENCE),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsignals.session import scratch_path
 
@@ -45,9 +47,14 @@ def replace_partitions(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A Parquet table with its declared schema, None when it does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,11 +92,12 @@ def upsert_table(
     batch = spark.read.schema(batch.schema).parquet(batch_path)
     assert_unique(batch, keys)
 
-    if not _exists(spark, path):
+    target = read_table(spark, path, batch.schema)
+    if target is None:
         append_snapshot(batch, path, [partition], cluster_by)
         return
     touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    target = spark.read.schema(batch.schema).parquet(path).where(F.col(partition).isin(touched))
+    target = target.where(F.col(partition).isin(touched))
     merged_path = scratch_path(spark, "merged")
     upsert(target, batch, keys).write.parquet(merged_path)
     merged = spark.read.schema(batch.schema).parquet(merged_path)
