@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import datetime
 
 import pyarrow as pa
@@ -615,16 +616,23 @@ def _rule_signals(spark, sf_dir):
 EXTRACTED_AT = datetime(2026, 1, 2, 3, 4, 5)
 
 
-def length_extractor(text: str) -> dict:
-    """Stand-in for a remote extractor: answers from the text alone, and sometimes fails."""
-    if text.count("\n") > 40:
-        raise TimeoutError("too many lines")
-    if len(text) > 4000:
-        return {"years_experience": 99}
-    answer: dict = {"required_skills": ["SQL", "sql"], "years_experience": len(text) // 100}
-    if len(text) < 1000:
-        answer["remote_friendly"] = "WFH"
-    return answer
+def length_extractor() -> Callable[[str], dict]:
+    """Stand-in for a remote extractor: answers from the text alone, and sometimes fails.
+
+    A nested function travels to the workers by value, so they need not have this package.
+    """
+
+    def extract(text: str) -> dict:
+        if text.count("\n") > 40:
+            raise TimeoutError("too many lines")
+        if len(text) > 4000:
+            return {"years_experience": 99}
+        answer: dict = {"required_skills": ["SQL", "sql"], "years_experience": len(text) // 100}
+        if len(text) < 1000:
+            answer["remote_friendly"] = "WFH"
+        return answer
+
+    return extract
 
 
 @query(
@@ -640,7 +648,7 @@ def length_extractor(text: str) -> dict:
 def _extract_signals(spark, sf_dir):
     pending = table(spark, sf_dir, "documents").select("doc_id", "text").where(F.length("text") >= 20)
     records = extract_signals(
-        pending, length_extractor, "lengths", EXTRACTED_AT, keys=["doc_id"], text="text", parallelism=8
+        pending, length_extractor(), "lengths", EXTRACTED_AT, keys=["doc_id"], text="text", parallelism=8
     )
     return records.select(
         "doc_id",
@@ -696,24 +704,26 @@ def _eval_sample(spark, sf_dir):
 JUDGED = ["quality", "toxic"]
 
 
-def label_judge(text: str, extraction: dict) -> dict:
+def label_judge() -> Callable[[str, dict], dict]:
     """Stand-in for a remote judge: verdicts follow the labels; unlabelled documents fail."""
-    if extraction["quality"] is None:
-        raise LookupError(f"no label for {len(text)} characters")
-    good, toxic = extraction["quality"] == 1, extraction["toxic"] == 1
-    return {
-        "quality": {"verdict": "correct" if good else "incorrect", "reasoning": f"length {len(text)}"},
-        "toxic": {
-            "verdict": "uncertain" if toxic and not good else "incorrect" if toxic else "correct",
-            "reasoning": "label",
-        },
-    }
+
+    def judge_one(text: str, extraction: dict) -> dict:
+        if extraction["quality"] is None:
+            raise LookupError(f"no label for {len(text)} characters")
+        good, toxic = extraction["quality"] == 1, extraction["toxic"] == 1
+        toxic_verdict = "uncertain" if toxic and not good else "incorrect" if toxic else "correct"
+        return {
+            "quality": {"verdict": "correct" if good else "incorrect", "reasoning": f"length {len(text)}"},
+            "toxic": {"verdict": toxic_verdict, "reasoning": "label"},
+        }
+
+    return judge_one
 
 
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     labelled = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return judge(labelled, label_judge, JUDGED, text="text", parallelism=8)
+    return judge(labelled, label_judge(), JUDGED, text="text", parallelism=8)
 
 
 _JUDGED_SQL = """judged AS (

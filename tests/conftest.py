@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+TESTS = Path(__file__).resolve().parent
+sys.path.insert(0, str(TESTS.parent))
+# Workers import the test modules that hold the stand-in extractors and judges.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(TESTS.parent), str(TESTS), os.environ.get("PYTHONPATH", "")])
 
 from jobsignals.session import build_session  # noqa: E402
 
