@@ -74,17 +74,19 @@ def item_counts(
         group, F.col(spread).alias("_spread"), F.explode_outer(items).alias("_spelling")
     )
     counted = exploded.groupBy(group, "_spelling", "_spread").agg(F.count(F.lit(1)).alias("_n"))
-    cleaned = counted.withColumn(item, F.lower(utrim(F.col("_spelling"))))
-    return (
-        cleaned.where(F.length(item) > 0)
+    result = (
+        counted.withColumn(item, F.lower(utrim(F.col("_spelling"))))
         .groupBy(group, item)
         .agg(
             F.min("_spelling").alias(display),
             F.sum("_n").alias(mentions),
             F.count_distinct("_spread").alias(spread_count),
         )
-        .where(F.col(mentions) >= min_mentions)
     )
+    # Blank items leave together with rare ones: a filter on the item alone would be pushed below
+    # the first aggregate and clean the text of every single mention.
+    kept = F.when(F.length(item) > 0, F.col(mentions)) >= max(min_mentions, 1)
+    return result.where(kept)
 
 
 def fill_rates(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:

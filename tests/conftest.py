@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -23,6 +24,7 @@ def spark():
         spark_ui_showConsoleProgress="false",
         spark_sql_shuffle_partitions="8",
         spark_driver_memory="4g",
+        spark_sql_warehouse_dir=tempfile.mkdtemp(prefix="warehouse-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -170,6 +170,17 @@ def test_materialise(spark, tmp_path):
     assert spark.table("some_view").count() == df.count()
 
 
+def test_materialise_in_the_catalog(spark):
+    df = raw_frame(spark).select("id", "snapshot_date", "source_city")
+    stored = materialise(
+        df, "postings", layer="staging_layer", partition_by=["snapshot_date"], comments={"id": "job id"}
+    )
+    assert stored.count() == df.count()
+    described = {r.col_name: r.comment for r in spark.sql("DESCRIBE staging_layer.postings").collect()}
+    assert described["id"] == "job id"
+    spark.sql("DROP TABLE staging_layer.postings")
+
+
 def test_export_and_reconcile(spark, tmp_path):
     tables = {"raw": raw_frame(spark), "extracts": extract_frame(spark)}
     report = export_and_reconcile(spark, tables, str(tmp_path))
