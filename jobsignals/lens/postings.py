@@ -36,7 +36,7 @@ from jobsignals.plans.marts import (
 from jobsignals.plans.staging import staged_occupation_lists, staged_postings
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import flat_sample
-from jobsignals.sources.landing import ingest_summary
+from jobsignals.sources.landing import ingest_summary, ingest_totals
 from jobsignals.sources.seeds import bundled_rows, bundled_seed, bundled_seeds
 
 # Expressions that mean the same in Spark SQL and DuckDB.
@@ -669,6 +669,40 @@ def _source_verdict(spark, sf_dir):
     return source_verdict(raw_postings(spark, sf_dir), posting_fields())
 
 
+@query(
+    "source_verdict_cities",
+    _sql(
+        [_RAW],
+        f"""SELECT count(*) AS total_rows, count(*) >= 1500 AS volume_ok,
+        count(*) FILTER ({_FILLED["title"]}) / count(*) >= 0.99
+          AND count(*) FILTER ({_FILLED["description"]}) / count(*) >= 0.95
+          AND count(*) FILTER ({_FILLED["location"]}) / count(*) >= 0.95
+          AND count(*) FILTER ({_FILLED["created"]}) / count(*) >= 0.99 AS core_ok,
+        greatest(count(salary_min), count(salary_max)) / count(*) >= 0.08 AS salary_ok,
+        CASE WHEN count(*) >= 1500 THEN 'GO' ELSE 'NO-GO' END AS verdict
+        FROM raw WHERE source_city IN ('Sydney', 'Melbourne')""",
+    ),
+)
+def _source_verdict_cities(spark, sf_dir):
+    """Several cities together: volume alone decides."""
+    cities = raw_postings(spark, sf_dir).where("source_city IN ('Sydney', 'Melbourne')")
+    return source_verdict(cities, posting_fields(), volume_only=True)
+
+
+@query(
+    "ingest_totals",
+    _sql(
+        [_RAW],
+        """SELECT count(*) AS cities, CAST(sum(n) AS BIGINT) AS fetched_rows, CAST(sum(kept) AS BIGINT) AS loaded_rows,
+        bool_and(n = kept) AS ok FROM (
+          SELECT source_city, count(*) AS n, count(*) FILTER (contract_type = 'permanent') AS kept FROM raw GROUP BY 1)""",
+    ),
+)
+def _ingest_totals(spark, sf_dir):
+    raw = raw_postings(spark, sf_dir)
+    return ingest_totals(ingest_summary(raw, raw.where("contract_type = 'permanent'")))
+
+
 @query(
     "ingest_summary",
     _sql(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobsignals.session import apply_settings
 
@@ -13,6 +14,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+# Result columns that are dates. Both sides show them as ISO text, because the two engines hand
+# dates to Python in different types.
+DATE_COLUMNS = {
+    "postings_staged": ["snapshot_date", "posted_date"],
+    "postings_enriched": ["snapshot_date", "posted_date"],
+    "postings_mapped": ["snapshot_date", "posted_date"],
+    "postings_mapped_join": ["snapshot_date"],
+    "postings_pending": ["snapshot_date"],
+    "postings_pending_sample": ["snapshot_date"],
+    "postings_window": ["snapshot_date"],
+    "postings_eval_sample": ["snapshot_date"],
+    "dedupe_first": ["day"],
+    "utc_dates": ["round_date"],
+    "list_flags": ["effective_date"],
+    "occupation_dim": ["effective_date"],
+    "land_jsonl": ["snapshot_date"],
+    "reland_city": ["snapshot_date"],
+    "stream_landed": ["snapshot_date"],
+    "stamp_batch": ["snapshot_date"],
+    "append_snapshot": ["snapshot_date"],
+    "replace_partition": ["snapshot_date"],
+    "upsert_table": ["snapshot_date"],
+    "read_seed_csv": ["effective_date"],
+}
+
 
 def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     """``oracle`` is DuckDB SQL over views named like the tables; None means rows only."""
@@ -20,13 +46,16 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")
+        dates = DATE_COLUMNS.get(key, [])
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(apply_settings(spark), sf_dir)
+            df = function(apply_settings(spark), sf_dir)
+            return df.withColumns({c: F.col(c).cast("string") for c in dates}) if dates else df
 
         QUERIES[key] = run
         if oracle is not None:
-            ORACLES[key] = oracle
+            texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+            ORACLES[key] = f"SELECT * REPLACE ({texts}) FROM ({oracle}) AS q" if dates else oracle
         return function
 
     return register

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # A repeated JSON key in a payload keeps its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -109,6 +109,10 @@ def test_unknown_fields_are_ignored_and_all_faults_named(spark):
     assert row.error_message == "invalid fields: years_experience, remote_friendly"
 
 
+def test_repeated_key_keeps_its_last_value(spark):
+    assert check(spark, '{"years_experience": 99, "years_experience": 4}').years_experience == 4
+
+
 def test_extractor_failures_become_rows(spark):
     def extractor(text):
         if text == "boom":

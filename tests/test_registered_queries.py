@@ -19,6 +19,7 @@ def con():
 @pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query(spark, con, key):
     df = all_queries()[key](spark, SMALL)
+    assert not {kind for _, kind in df.dtypes} & {"date", "timestamp", "timestamp_ntz"}
     if key in all_oracles():
         assert compare(df, con, all_oracles()[key]) == ""
     else:
