@@ -14,7 +14,8 @@ INLINE_LIMIT = 200
 # Up to this many patterns are broadcast; beyond, both sides are cut into a grid of cells.
 BROADCAST_LIMIT = 5_000
 
-_TEXT, _BEST, _ROW, _PART = "_text", "_best", "_grid_row", "_grid_part"
+_TEXT, _DIGEST, _BEST = "_text", "_digest", "_best"
+_ROW, _PART = "_grid_row", "_grid_part"
 
 
 def _ranked(patterns: DataFrame, priority: str, code: str, pattern: str) -> DataFrame:
@@ -115,9 +116,14 @@ def map_by_pattern(
         parts = grid_parts or max(2, -(-ranked.count() // BROADCAST_LIMIT))
         hits = _matches_grid(texts, ranked, parts, max(2, cells // parts))
     best = hits.groupBy(_TEXT).agg(F.min("p").alias(_BEST))
+    # The hash as a second key makes Spark shuffle both sides for this join alone. Without it the
+    # right side would reuse the shuffle below its aggregate, and AQE splits a hot title only when
+    # both shuffles feed the join directly.
+    digest = F.xxhash64(_TEXT)
     return (
         df.withColumn(_TEXT, text)
-        .join(best, _TEXT, "left")
+        .withColumn(_DIGEST, digest)
+        .join(best.withColumn(_DIGEST, digest), [_TEXT, _DIGEST], "left")
         .withColumn(output, F.col(f"{_BEST}.code"))
-        .drop(_TEXT, _BEST)
+        .drop(_TEXT, _DIGEST, _BEST)
     )

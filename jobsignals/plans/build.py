@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from jobsignals.plans.enrichment import enriched_postings, mapped_postings
 from jobsignals.plans.marts import experience_barrier, occupation_dim, skills_demand, supply_demand
@@ -13,7 +15,20 @@ from jobsignals.plans.staging import (
     staged_occupation_lists,
     staged_postings,
 )
-from jobsignals.sources.tables import materialise
+from jobsignals.sources.tables import materialise, replace_partitions
+
+
+ENRICHED_PARTITIONS = ["snapshot_date"]
+ENRICHED_ORDER = ["state", "sponsorship_signal", "remote_friendly"]
+
+
+def _refresh_enriched(
+    raw: DataFrame, extracts: DataFrame, path: str, days: Sequence[date]
+) -> DataFrame:
+    wanted = F.col("snapshot_date").isin(list(days))
+    fresh = enriched_postings(staged_postings(raw.where(wanted)), extracts.where(wanted))
+    replace_partitions(fresh, path, ENRICHED_PARTITIONS, ENRICHED_ORDER)
+    return raw.sparkSession.read.schema(fresh.schema).parquet(path)
 
 
 def build(
@@ -22,13 +37,21 @@ def build(
     seeds: Mapping[str, DataFrame],
     storage: str | None = None,
     method: str = "auto",
+    days: Sequence[date] | None = None,
 ) -> dict[str, DataFrame]:
     """Every layer by name, lazily, or written under ``storage``.
 
     Three facts read the mapped postings, so a written build stores the enriched postings once,
     partitioned by day and sorted by the columns the facts filter on; the mapping on top of it
     stays a view because it adds one column without a shuffle.
+
+    ``days`` limits the work on postings to those snapshots: only their partitions of the raw and
+    extract tables are read and only their partitions of the stored enriched postings replaced.
+    No posting spans two snapshots, so the result equals a full build when the other days are
+    unchanged. The marts always cover the whole stored table.
     """
+    if days is not None and storage is None:
+        raise ValueError("days needs a stored build to refresh")
 
     def layer(df: DataFrame, name: str, partition_by=(), cluster_by=()) -> DataFrame:
         if storage is None:
@@ -38,12 +61,12 @@ def build(
     patterns = seeds["anzsco_title_patterns"]
     lists = staged_occupation_lists(seeds["occupation_lists"])
     staged = staged_postings(raw)
-    enriched = layer(
-        enriched_postings(staged, extracts),
-        "enriched_postings",
-        ["snapshot_date"],
-        ["state", "sponsorship_signal", "remote_friendly"],
-    )
+    if days is None:
+        enriched = layer(
+            enriched_postings(staged, extracts), "enriched_postings", ENRICHED_PARTITIONS, ENRICHED_ORDER
+        )
+    else:
+        enriched = _refresh_enriched(raw, extracts, f"{storage.rstrip('/')}/enriched_postings", days)
     mapped = mapped_postings(enriched, patterns, method)
     dim = layer(occupation_dim(lists, patterns), "occupation_dim")
     return {

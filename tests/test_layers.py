@@ -236,3 +236,26 @@ def test_source_gate(spark):
     nothing = raw.where("false")
     assert source_verdict(nothing, posting_fields()).first().verdict == "NO-GO"
     assert {r.fill_rate for r in fill_gate(nothing, posting_fields()).collect()} == {0.0}
+
+
+def test_stored_build_and_refresh_of_one_day(spark, layers, tmp_path):
+    seeds, path = bundled_seeds(spark), str(tmp_path)
+    marts = ["supply_demand", "experience_barrier", "skills_demand", "occupation_dim"]
+
+    def content(built, name):
+        df = built[name]
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    stored = build(raw_frame(spark), extract_frame(spark), seeds, storage=path)
+    for name in [*marts, "enriched_postings"]:
+        assert content(stored, name) == content(layers, name)
+
+    rows = raw_rows() + [posting("late", day=NEXT_DAY, title="Web Developer")]
+    extracts = [extract("late", NEXT_DAY), extract("1", NEXT_DAY, skills=["Rust"])]
+    both = extract_frame(spark).where(F.col("snapshot_date") != NEXT_DAY).unionByName(extract_frame(spark, extracts))
+    full = build(raw_frame(spark, rows), both, seeds)
+    refreshed = build(raw_frame(spark, rows), both, seeds, storage=path, days=[NEXT_DAY])
+    for name in [*marts, "enriched_postings"]:
+        assert content(refreshed, name) == content(full, name)
+    with pytest.raises(ValueError):
+        build(raw_frame(spark), extract_frame(spark), seeds, days=[DAY])
