@@ -680,13 +680,12 @@ def _source_verdict(spark, sf_dir):
           AND count(*) FILTER ({_FILLED["created"]}) / count(*) >= 0.99 AS core_ok,
         greatest(count(salary_min), count(salary_max)) / count(*) >= 0.08 AS salary_ok,
         CASE WHEN count(*) >= 1500 THEN 'GO' ELSE 'NO-GO' END AS verdict
-        FROM raw WHERE source_city IN ('Sydney', 'Melbourne')""",
+        FROM raw""",
     ),
 )
 def _source_verdict_cities(spark, sf_dir):
     """Several cities together: volume alone decides."""
-    cities = raw_postings(spark, sf_dir).where("source_city IN ('Sydney', 'Melbourne')")
-    return source_verdict(cities, posting_fields(), volume_only=True)
+    return source_verdict(raw_postings(spark, sf_dir), posting_fields(), volume_only=True)
 
 
 @query(

@@ -235,11 +235,10 @@ def _read_seed_csv(spark, sf_dir):
 
 @query(
     "materialise_layers",
-    f"""SELECT event_type, count(*) AS n, sum(user_id) AS users FROM ({_EVENTS})
-    WHERE snapshot_date >= DATE '2024-01-10' GROUP BY event_type""",
+    f"SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM ({_EVENTS}) GROUP BY event_type",
 )
 def _materialise_layers(spark, sf_dir):
-    """A partitioned, clustered, documented table under a view, read with partition pruning."""
+    """A partitioned, clustered, documented table under a view."""
     stored = materialise(
         _daily_events(spark, sf_dir),
         "daily_events",
@@ -255,12 +254,7 @@ def _materialise_layers(spark, sf_dir):
         "events_per_day",
         kind="view",
     )
-    return (
-        view.where("snapshot_date >= DATE '2024-01-10'")
-        .groupBy("event_type")
-        .agg(F.sum("n").alias("n"), F.sum("users").cast("decimal(38,0)").alias("users"))
-        .withColumn("users", F.col("users").cast("long"))
-    )
+    return view.groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("users").alias("users"))
 
 
 _EXPORTED = ["orders", "customer", "documents", "events", "labels"]
@@ -329,11 +323,13 @@ def _union_all(spark, sf_dir):
 
 @query(
     "union_distinct",
-    "SELECT p_brand AS code, p_type AS name FROM part WHERE p_size < 25 UNION SELECT p_brand, p_type FROM part WHERE p_size > 20",
+    "SELECT p_brand AS code, p_type AS name FROM part UNION SELECT p_brand, CASE WHEN p_size > 25 THEN p_type ELSE p_name END FROM part",
 )
 def _union_distinct(spark, sf_dir):
-    part = table(spark, sf_dir, "part").selectExpr("p_brand AS code", "p_type AS name", "p_size")
-    return part.where("p_size < 25").unionByName(part.where("p_size > 20")).drop("p_size").distinct()
+    part = table(spark, sf_dir, "part")
+    types = part.selectExpr("p_brand AS code", "p_type AS name")
+    mixed = part.selectExpr("CASE WHEN p_size > 25 THEN p_type ELSE p_name END AS name", "p_brand AS code")
+    return types.unionByName(mixed).distinct()
 
 
 # --- data checks ------------------------------------------------------------------------------

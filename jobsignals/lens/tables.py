@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -249,12 +248,16 @@ def _mapping_coverage(spark, sf_dir):
 
 _PART_LIST = "CASE p_type WHEN 'ECONOMY' THEN 'MLTSSL' WHEN 'SMALL' THEN 'STSOL' WHEN 'PROMO' THEN 'CSOL' WHEN 'LARGE' THEN NULL ELSE p_type END"
 
+# Brands are codes; economy parts give codes no pattern knows, promo parts codes no list knows.
+_LISTED_CODE = "CASE WHEN p_type = 'ECONOMY' THEN concat(p_brand, 'e') ELSE p_brand END"
+_NAMED_CODE = "CASE WHEN p_type = 'PROMO' THEN concat(p_brand, 'p') ELSE p_brand END"
+
 _DIM_SQL = f"""part_lists AS (
-  SELECT p_brand AS anzsco_code, p_name AS occupation_name, {_PART_LIST} AS list_name,
-    DATE '2024-01-01' + p_size AS effective_date FROM part WHERE p_brand < 'Brand#8'),
+  SELECT {_LISTED_CODE} AS anzsco_code, p_name AS occupation_name, {_PART_LIST} AS list_name,
+    DATE '2024-01-01' + p_size AS effective_date FROM part),
 part_named AS (
-  SELECT p_brand AS anzsco_code, CAST(p_size AS BIGINT) AS priority, concat(p_type, ' ', p_name) AS occupation_name,
-    concat(p_name, CAST(p_partkey AS VARCHAR)) AS title_pattern FROM part WHERE p_brand > 'Brand#16'),
+  SELECT {_NAMED_CODE} AS anzsco_code, CAST(p_size AS BIGINT) AS priority, concat(p_type, ' ', p_name) AS occupation_name,
+    concat(p_name, CAST(p_partkey AS VARCHAR)) AS title_pattern FROM part),
 names AS (
   SELECT anzsco_code, occupation_name FROM part_lists
   UNION SELECT DISTINCT anzsco_code, first_value(occupation_name) OVER (
@@ -274,14 +277,14 @@ dim AS (
 def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as occupations: some on lists, some named by patterns, some by both."""
     part = table(spark, sf_dir, "part")
-    lists = part.where("p_brand < 'Brand#8'").selectExpr(
-        "p_brand AS anzsco_code",
+    lists = part.selectExpr(
+        f"{_LISTED_CODE} AS anzsco_code",
         "p_name AS occupation_name",
         f"{_PART_LIST} AS list_name",
         "date_add(DATE '2024-01-01', p_size) AS effective_date",
     )
-    patterns = part.where("p_brand > 'Brand#16'").selectExpr(
-        "p_brand AS anzsco_code",
+    patterns = part.selectExpr(
+        f"{_NAMED_CODE} AS anzsco_code",
         "CAST(p_size AS bigint) AS priority",
         "concat(p_type, ' ', p_name) AS occupation_name",
         "concat(p_name, CAST(p_partkey AS string)) AS title_pattern",

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 # Up to this many patterns become one CASE expression in the scan's own stage.
 INLINE_LIMIT = 200
-# Up to this many patterns are broadcast; beyond, both sides are cut into a grid of cells.
+# Up to this many patterns and pattern bytes are broadcast; beyond, both sides are cut into a grid
+# of cells.
 BROADCAST_LIMIT = 5_000
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 _TEXT, _DIGEST, _BEST = "_text", "_digest", "_best"
 _ROW, _PART = "_grid_row", "_grid_part"
@@ -43,6 +45,16 @@ def _case_column(text: Column, ranked: list[Row]) -> Column:
     return result if result is not None else F.lit(None).cast("string")
 
 
+def _fits_broadcast(ranked: DataFrame) -> bool:
+    """Measure the pattern table, looking no further than one row past the limit."""
+    size = (
+        ranked.limit(BROADCAST_LIMIT + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("p.pattern")).alias("bytes"))
+        .first()
+    )
+    return size.n <= BROADCAST_LIMIT and (size.bytes or 0) <= BROADCAST_BYTES
+
+
 def _matches_broadcast(texts: DataFrame, ranked: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ranked), F.rlike(F.col(_TEXT), F.col("p.pattern")))
 
@@ -99,11 +111,10 @@ def map_by_pattern(
         if method == "case":
             raise ValueError(f"more than {INLINE_LIMIT} patterns: use join or grid")
     if method in ("auto", "join"):
-        size = ranked.limit(BROADCAST_LIMIT + 1).count()
-        if size <= BROADCAST_LIMIT:
+        if _fits_broadcast(ranked):
             method = "join"
         elif method == "join":
-            raise ValueError(f"more than {BROADCAST_LIMIT} patterns: use grid")
+            raise ValueError("the pattern table is too large to broadcast: use grid")
         else:
             method = "grid"
 
