@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,22 +48,20 @@ def snippet(column: Column, length: int = 240) -> Column:
     return F.substring(utrim(one_line), 1, length)
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` worked out once, however often the body's own lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def dedupe_ignoring_case(words: Column) -> Column:
-    """Trim, drop empties and keep the first spelling of every word, in order.
-
-    One fold over the array: the input is evaluated once however long it is.
-    """
-    empty = F.array().cast("array<string>")
-
-    def add(seen: Column, word: Column) -> Column:
-        spelling = utrim(word)
-        key = F.lower(spelling)
-        fresh = (spelling != "") & ~F.array_contains(seen["keys"], key)
-        grown = F.struct(
-            F.array_append(seen["keys"], key).alias("keys"),
-            F.array_append(seen["kept"], spelling).alias("kept"),
-        )
-        return F.when(fresh, grown).otherwise(seen)
-
-    start = F.struct(empty.alias("keys"), empty.alias("kept"))
-    return F.aggregate(words, start, add, lambda seen: seen["kept"])
+    """Trim, drop empties and keep the first spelling of every word, in order."""
+    spellings = F.filter(F.transform(words, utrim), lambda w: w != "")
+    return _bind(
+        spellings,
+        lambda kept: _bind(
+            F.transform(kept, F.lower),
+            lambda keys: F.transform(
+                F.array_distinct(keys), lambda key: F.get(kept, F.array_position(keys, key) - 1)
+            ),
+        ),
+    )

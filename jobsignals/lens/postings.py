@@ -115,19 +115,29 @@ SKILLS = {
 }
 
 
+# Worked out on the smaller tables, before the order lines multiply their rows.
+_FROM_PARTS = ["title", "area_state", "area_city", "area_suburb", "category_tag", "category_label"]
+_FROM_ORDERS = ["snapshot_date"]
+
+
 def _columns(expressions: dict[str, str]) -> list[str]:
     return [f"{sql} AS {name}" for name, sql in expressions.items()]
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sightings in the nested raw shape."""
+    early = [*_FROM_PARTS, *_FROM_ORDERS]
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", *_columns({n: FLAT_POSTING[n] for n in _FROM_ORDERS})
+    )
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_name", "p_type", "p_brand", *_columns({n: FLAT_POSTING[n] for n in _FROM_PARTS})
+    )
     flat = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .selectExpr(*_columns(FLAT_POSTING))
+        .selectExpr(*early, *_columns({n: e for n, e in FLAT_POSTING.items() if n not in early}))
     )
     area = F.slice(F.array(F.lit("Australia"), "area_state", "area_city", "area_suburb"), 1, F.col("area_length"))
     return flat.select(
