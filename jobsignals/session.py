@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,9 +18,6 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_local_scratch: list[str] = []
-
-
 def build_session(app_name: str = "jobsignals", master: str | None = None, **settings: str) -> SparkSession:
     """Create a session; ``settings`` use underscores for dots (``spark_driver_memory='8g'``)."""
     builder = SparkSession.builder.appName(app_name)
@@ -42,16 +38,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder the cluster shares.
-
-    The folder comes from ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder of its own: on a cluster such a folder would exist on one machine only.
-    """
-    base = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.mkdtemp(prefix="jobsignals-"))
-        base = _local_scratch[0]
+    """A fresh path in the folder the cluster shares: the one ``spark.checkpoint.dir`` names, or,
+    where that is unset, one beside the tables of the warehouse."""
+    base = spark.conf.get(CHECKPOINT_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/jobsignals/{label}-{uuid.uuid4().hex}"

@@ -25,6 +25,7 @@ def spark():
         spark_sql_shuffle_partitions="8",
         spark_driver_memory="4g",
         spark_sql_warehouse_dir=tempfile.mkdtemp(prefix="warehouse-"),
+        spark_checkpoint_dir=tempfile.mkdtemp(prefix="shared-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
