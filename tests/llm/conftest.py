@@ -1,0 +1,11 @@
+from __future__ import annotations
+
+import pytest
+from oracle import connect
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def con():
+    return connect(SMALL)
