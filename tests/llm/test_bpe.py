@@ -1,0 +1,82 @@
+"""Encoding by tree concatenation against the library on the whole text."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from jobsignals.llm import bpe
+from jobsignals.llm.queries import all_queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(bpe.vocabulary_path())
+
+
+@pytest.fixture
+def codec():
+    return bpe.Codec(bpe.vocabulary_path())
+
+
+def alphabets():
+    yield "abcdefghijklmnopqrstuvwxyz"
+    yield "ththeinerandioustr"
+    yield "a'sredlvmt1 .\n"
+    yield "éêè̈́İJ̌ΣΑ가각ㅏ😀ß​각"
+    yield "!?'.,-'<|>endoftxsar 12"
+    yield "x"
+
+
+@pytest.mark.parametrize("leaf", [3, 17, 40])
+def test_joins_equal_the_library(library, codec, leaf, monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_CHARS", 6)
+    random.seed(leaf)
+    for alphabet in alphabets():
+        for _ in range(60):
+            text = "".join(random.choice(alphabet) for _ in range(random.randrange(0, 400)))
+            if random.random() < 0.3:
+                text += "<|endoftext|>" + text[:20] + "<|startoftext|>"
+            nodes = [codec.leaf(t) for t in codec.leaves(text, leaf)]
+            assert codec.concatenate(nodes).ids().tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_long_runs_without_blanks(library, codec):
+    random.seed(9)
+    pieces = ["the", "tion", "ing", "qu", "é", "'re", "12", "!!", "stupid"]
+    for n in (5_000, 60_000):
+        text = "".join(random.choice(pieces) for _ in range(n))
+        assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in ("a" * 50_000, "ab" * 30_000, "'" * 20_000, "1" * 20_000):
+        assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_decode_equals_the_library(library, codec):
+    text = "İstanbul don't <|endoftext|> 12 😀"
+    ids = codec.encode(text).tolist()
+    assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_parts_in_different_tasks(spark, library):
+    rows = [(1, "the cat sat " * 500), (2, "thecatsat" * 700), (3, None), (4, ""), (None, "x y"), (1, "the cat sat " * 500), (5, " " * 3_000), (6, "é" * 2_999 + " <|endoftext|>")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, ids string")
+    got = sorted(((r.doc_id, list(r.ids)) for r in bpe.encode_texts(df, far_chars=1_000).collect()), key=str)
+    assert got == sorted(((k, library.encode(t or "", add_special_tokens=False).ids) for k, t in rows), key=str)
+    assert bpe.encode_texts(df.limit(0)).count() == 0
+
+
+def test_query(spark, con, library):
+    rows = {r.doc_id: r for r in all_queries()["op2_bpe"](spark, SMALL).collect()}
+    for doc_id, text in con.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall():
+        ids = library.encode(text, add_special_tokens=False).ids
+        r = rows.pop(doc_id)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert not rows
