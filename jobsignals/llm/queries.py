@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignals.llm import bpe, chat, exact_dedup, pii, toxicity  # noqa: F401
+from jobsignals.llm import bpe, chat, exact_dedup, packing, pii, toxicity  # noqa: F401
 from jobsignals.llm.common import ORACLES, QUERIES, Query
 
 
