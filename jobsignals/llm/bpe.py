@@ -14,6 +14,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +32,22 @@ LEAF_CHARS = 4096
 FAR_CHARS = 65_536
 # A word is looked up and re-encoded whole; what is longer is joined token by token.
 WORD_CHARS = 256
-MEMO_WORDS = 300_000
+# Words remembered: those of the present and of the last generation.
+MEMO_WORDS = 150_000
 # Characters around a seam that pattern look-ahead or the end-of-word mark may change.
 MARGIN = 8
 WORD_END = "</w>"
 
+# The settings of a tokenizer file (fixed values) whose plain words need no library call but the
+# merges: lower case ASCII, cut by this pattern.
+PLAIN_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
+
+def packed(ids) -> bytes:
+    """Little-endian 32-bit ids."""
+    return np.array(ids, "<u4").tobytes() if array("I").itemsize != 4 or sys.byteorder != "little" else array("I", ids).tobytes()
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -61,7 +74,8 @@ class Codec:
         self.whole.no_truncation()
         self.whole.no_padding()
         with open(path, encoding="utf-8") as f:
-            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+            settings = json.load(f)
+        added = {t["content"]: t["id"] for t in settings["added_tokens"]}
         self.normalise = self.whole.normalizer.normalize_str
         self.bare = Tokenizer(self.whole.model)  # for text that is normalised already
         self.bare.pre_tokenizer = self.whole.pre_tokenizer
@@ -73,25 +87,50 @@ class Codec:
         for token, i in vocab.items():
             self.tokens[i] = token
             self.width[i] = 0 if token in added else len(token.removesuffix(WORD_END))
+        self.merges = self.whole.model.tokenize
+        cuts = [step.get("pattern", {}).get("Regex") for step in settings["pre_tokenizer"].get("pretokenizers", [])]
+        self.plain = PLAIN_CUT in cuts and any(step["type"] == "Lowercase" for step in settings["normalizer"].get("normalizers", []))
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # --- words
 
     def words(self, wanted: set[str]) -> dict[str, bytes]:
-        """The ids (little-endian 32 bit) of words, remembered up to ``MEMO_WORDS``."""
-        memo = self.memo
+        """The ids of words, in a dict that holds at least these."""
+        memo, older = self.memo, self.older
         missing = [w for w in wanted if w not in memo]
         if missing:
             if len(memo) + len(missing) > MEMO_WORDS:
-                memo = self.memo = {}
+                self.older = older = memo
+                self.memo = memo = {}
                 missing = list(wanted)
-            for w, e in zip(missing, self.whole.encode_batch(missing, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
+            others = []
+            for w in missing:
+                known = older.get(w)
+                if known is None and self.plain and w.isascii() and w.isprintable() and "<|" not in w:
+                    known = self.plain_word(w.lower())
+                if known is None:
+                    others.append(w)
+                else:
+                    memo[w] = known
+            if others:
+                for w, e in zip(others, self.whole.encode_batch(others, add_special_tokens=False)):
+                    memo[w] = packed(e.ids)
         return memo
 
+    def plain_word(self, word: str) -> bytes:
+        """Pieces are remembered too: words share them with and without capitals and full stops."""
+        memo, ids = self.memo, []
+        for piece in (word,) if word.isalpha() else PLAIN_PIECE.findall(word):
+            known = memo.get(piece)
+            if known is None:
+                known = memo[piece] = packed([t.id for t in self.merges(piece)])
+            ids.append(known)
+        return ids[0] if len(ids) == 1 else b"".join(ids)
+
     def word(self, text: str) -> bytes:
         known = self.memo.get(text)
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if known is None else known
+        return packed(self.whole.encode(text, add_special_tokens=False).ids) if known is None else known
 
     # --- cuts
 
@@ -119,8 +158,10 @@ class Codec:
 
     def leaf(self, text: str) -> Node:
         words = text.replace("\n", " ").split(" ")
-        short = {w for w in words if len(w) <= WORD_CHARS}
-        memo = self.words(short)
+        distinct = set(words)
+        if max(map(len, distinct)) <= WORD_CHARS:
+            return Node(words[0], words[-1], list(map(self.words(distinct).__getitem__, words)))
+        memo = self.words({w for w in distinct if len(w) <= WORD_CHARS})
         return Node(words[0], words[-1], [memo[w] if len(w) <= WORD_CHARS else self.word(w) for w in words])
 
     def encode(self, text: str) -> np.ndarray:
