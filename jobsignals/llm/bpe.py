@@ -15,6 +15,7 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -33,15 +34,30 @@ FAR_CHARS = 65_536
 # A word is looked up and re-encoded whole; what is longer is joined token by token.
 WORD_CHARS = 256
 # Words remembered: those of the present and of the last generation.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 400_000
 # Characters around a seam that pattern look-ahead or the end-of-word mark may change.
 MARGIN = 8
 WORD_END = "</w>"
 
-# The settings of a tokenizer file (fixed values) whose plain words need no library call but the
-# merges: lower case ASCII, cut by this pattern.
+# The settings of a tokenizer file (fixed values) whose Latin words need only the merges from the
+# library: lower case, cut by this pattern, bytes shown as in byte-level BPE.
 PLAIN_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+PLAIN_LIMIT = "\u0250"
+LATIN = [chr(c) for c in range(0xA1, ord(PLAIN_LIMIT))]
+_LETTERS = "a-z" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "L")
+_NUMBERS = "0-9" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "N")
+PLAIN_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+
+
+def byte_names() -> dict[int, str]:
+    """Byte-level BPE names a byte by its Latin-1 character if that prints, else by one from 256 on."""
+    prints = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_NAMES = byte_names()
+SHOWN = {ord(c): "".join(_NAMES[b] for b in c.encode()) for c in LATIN}
 
 
 def packed(ids) -> bytes:
@@ -95,41 +111,39 @@ class Codec:
 
     # --- words
 
-    def words(self, wanted: set[str]) -> dict[str, bytes]:
-        """The ids of words, in a dict that holds at least these."""
+    def fill(self, words: list[str], parts: list[bytes | None]) -> None:
+        """Put the ids of the words that ``memo`` did not know into ``parts``."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
-        missing = [w for w in wanted if w not in memo]
-        if missing:
-            if len(memo) + len(missing) > MEMO_WORDS:
-                self.older = older = memo
-                self.memo = memo = {}
-                missing = list(wanted)
-            others = []
-            for w in missing:
-                known = older.get(w)
-                if known is None and self.plain and w.isascii() and w.isprintable() and "<|" not in w:
-                    known = self.plain_word(w.lower())
+        for i, known in enumerate(parts):
+            if known is None:
+                word = words[i]
+                known = memo.get(word)
                 if known is None:
-                    others.append(w)
-                else:
-                    memo[w] = known
-            if others:
-                for w, e in zip(others, self.whole.encode_batch(others, add_special_tokens=False)):
-                    memo[w] = packed(e.ids)
-        return memo
-
-    def plain_word(self, word: str) -> bytes:
+                    known = older.get(word)
+                    if known is None:
+                        known = self.word(word)
+                    if len(word) <= WORD_CHARS:
+                        memo[word] = known
+                parts[i] = known
+
+    def plain_word(self, word: str) -> bytes | None:
         """Pieces are remembered too: words share them with and without capitals and full stops."""
+        if not word.isascii() and max(word) >= PLAIN_LIMIT:
+            return None
         memo, ids = self.memo, []
         for piece in (word,) if word.isalpha() else PLAIN_PIECE.findall(word):
             known = memo.get(piece)
             if known is None:
-                known = memo[piece] = packed([t.id for t in self.merges(piece)])
+                known = memo[piece] = packed([t.id for t in self.merges(piece.translate(SHOWN))])
             ids.append(known)
         return ids[0] if len(ids) == 1 else b"".join(ids)
 
     def word(self, text: str) -> bytes:
-        known = self.memo.get(text)
+        known = None
+        if self.plain and len(text) <= WORD_CHARS and text.isprintable() and "<|" not in text:
+            known = self.plain_word(text.lower() if text.isascii() else self.normalise(text))
         return packed(self.whole.encode(text, add_special_tokens=False).ids) if known is None else known
 
     # --- cuts
@@ -158,11 +172,10 @@ class Codec:
 
     def leaf(self, text: str) -> Node:
         words = text.replace("\n", " ").split(" ")
-        distinct = set(words)
-        if max(map(len, distinct)) <= WORD_CHARS:
-            return Node(words[0], words[-1], list(map(self.words(distinct).__getitem__, words)))
-        memo = self.words({w for w in distinct if len(w) <= WORD_CHARS})
-        return Node(words[0], words[-1], [memo[w] if len(w) <= WORD_CHARS else self.word(w) for w in words])
+        parts = list(map(self.memo.get, words))
+        if None in parts:
+            self.fill(words, parts)
+        return Node(words[0], words[-1], parts)
 
     def encode(self, text: str) -> np.ndarray:
         return self.concatenate([self.leaf(t) for t in self.leaves(text)]).ids()
@@ -254,10 +267,11 @@ def encode_slices(path: str | None = None):
     return encode
 
 
-def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, far_chars: int = FAR_CHARS) -> DataFrame:
+def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, far_chars: int = FAR_CHARS, decoded: bool = False) -> DataFrame:
     """One row per row: id and ``ids`` (array<int>), as the tokenizers library encodes the text
     without adding special tokens; strings of special tokens inside a text become their ids, as
-    there. ``path`` is the tokenizer file, to be found on every executor.
+    there. ``path`` is the tokenizer file, to be found on every executor. With ``decoded`` the ids
+    are decoded as well, in the same tasks.
 
     Null text counts as empty and has no ids. Null ids and repeated rows are kept as they are, other
     columns are not read, an empty table gives an empty result. One text, with its ids, has to fit
@@ -266,11 +280,16 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     id_type = arrow_type(kind)
-    encode = encode_slices(path)
+    fields = [("id", id_type), ("ids", pa.list_(pa.int32()))] + [("decoded", pa.string())] * decoded
+    result = f"id {kind}, ids array<int>" + ", decoded string" * decoded
+
+    def shown(codec: Codec, key, ids: np.ndarray) -> tuple:
+        return (key, ids.astype(np.int32), codec.decode(ids.tolist())) if decoded else (key, ids.astype(np.int32))
 
     def near(keys: list, texts: list[str]) -> Iterator[tuple]:
-        for key, ids in zip(keys, encode(texts)):
-            yield key, ids.astype(np.int32)
+        codec = Codec.of(path or vocabulary_path())
+        for key, text in zip(keys, texts):
+            yield shown(codec, key, codec.encode(text))
 
     def cut(rows: list[int], keys: list, texts: list[str]) -> Iterator[tuple]:
         codec = Codec.of(path or vocabulary_path())
@@ -289,12 +308,11 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         codec = Codec.of(path or vocabulary_path())
         parts = parts.sort_by("place").to_pylist()
         nodes = [Node(p["first"], p["last"], [p["head"], p["inner"], p["tail"]] if p["open"] else [p["head"]]) for p in parts]
-        ids = codec.concatenate(nodes).ids().astype(np.int32)
-        return pa.table({"id": pa.array([parts[0]["id"]], id_type), "ids": pa.array([ids], pa.list_(pa.int32()))})
+        row = shown(codec, parts[0]["id"], codec.concatenate(nodes).ids())
+        return pa.table([pa.array([v], t) for v, (_, t) in zip(row, fields)], names=[n for n, _ in fields])
 
-    result = f"id {kind}, ids array<int>"
     short = rows.where(F.length("text") <= far_chars)
-    out = short.mapInArrow(by_slice(near, pa.schema([("id", id_type), ("ids", pa.list_(pa.int32()))])), result)
+    out = short.mapInArrow(by_slice(near, pa.schema(fields)), result)
 
     cut_schema = pa.schema([("row", pa.int64()), ("id", id_type), ("place", pa.int32()), ("text", pa.string())])
     part_schema = pa.schema([("row", pa.int64()), ("id", id_type), ("place", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("open", pa.bool_()), ("head", pa.binary()), ("inner", pa.binary()), ("tail", pa.binary())])
@@ -318,8 +336,8 @@ def decode_ids(encoded: DataFrame, ids_col: str = "ids", path: str | None = None
 
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents")))
-    return decoded.select(
+    encoded = encode_texts(table(spark, sf_dir, "documents"), decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

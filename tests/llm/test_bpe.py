@@ -68,6 +68,9 @@ def test_parts_in_different_tasks(spark, library):
     df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, ids string")
     got = sorted(((r.doc_id, list(r.ids)) for r in bpe.encode_texts(df, far_chars=1_000).collect()), key=str)
     assert got == sorted(((k, library.encode(t or "", add_special_tokens=False).ids) for k, t in rows), key=str)
+    decoded = bpe.decode_ids(bpe.encode_texts(df, far_chars=1_000)).select("doc_id", "decoded")
+    both = bpe.encode_texts(df, far_chars=1_000, decoded=True).select("doc_id", "decoded")
+    assert sorted(map(str, decoded.collect())) == sorted(map(str, both.collect()))
     assert bpe.encode_texts(df.limit(0)).count() == 0
 
 
