@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignals.llm import ann, bpe, chat, exact_dedup, packing, pii, simhash, toxicity  # noqa: F401
+from jobsignals.llm import ann, bpe, chat, exact_dedup, lm, packing, pii, simhash, toxicity  # noqa: F401
 from jobsignals.llm.common import ORACLES, QUERIES, Query
 
 
