@@ -1,7 +1,67 @@
-"""Stub until its operators exist."""
+"""From raw documents to packed training sequences: five stages, each a written table.
+
+Rejected by toxicity, copies, near copies; then personal data is replaced, and what is left is
+packed. ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from jobsignals.llm.common import stored, table
+from jobsignals.llm.exact_dedup import drop_copies
+from jobsignals.llm.packing import pack
+from jobsignals.llm.pii import redact
+from jobsignals.llm.simhash import similar_documents
+from jobsignals.llm.toxicity import fit_on_folds, score_toxicity
+
+# Packing depends on a tokenizer and toxicity on a trained model, which SQL does not express.
 ORACLE_SQL = None
-STAGES = []
+
+SCORE = "__toxicity"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.5, learnt from the labels of the training folds."""
+    model = fit_on_folds(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, score_col=SCORE).where(F.col(SCORE) < 0.5).drop(SCORE)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id."""
+    return drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar texts (five words, 0.8) the document with the smallest id."""
+    kept = similar_documents(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind, and ``n_chars`` follows the text."""
+    changed = docs.withColumn("text", redact(F.col("text")))
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else changed
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 4096 tokens."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("pii", replace_personal_data),
+    ("packing", pack_sequences),
+]
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

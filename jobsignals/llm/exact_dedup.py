@@ -43,6 +43,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
+    """The rows of ``docs`` that stay: of equal texts the whole row with the smallest id, from the
+    same groups by hash and bytes. Null text equals the empty one; a null id stays only if its class
+    has no other; of rows equal in both one stays."""
+    whole, order = F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.struct(F.col(id_col).isNull(), F.col(id_col))
+    rows = docs.select(whole.alias("row"), order.alias("order"), body(text_col).alias("body"))
+    kept = rows.groupBy(content_hash(F.col("body").cast("binary")).alias("hash"), "body").agg(F.min_by("row", "order").alias("row"))
+    return kept.select("row.*")
+
+
 @query(
     "op1_exact_dedup",
     """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +143,16 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.withColumnRenamed("id", id_col)
 
 
+def redact(text: Column) -> Column:
+    """The text with every span replaced by its kind; null stays null."""
+
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else redact_text(t, find_pii(t)))
+
+    return replaced(text)
+
+
 @query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect_pii(table(spark, sf_dir, "documents")).select("doc_id", "spans")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -23,22 +24,55 @@ TREE_MEMBERS = 2_000
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """The SimHash of a text's word shingles as a signed 64-bit number."""
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """XXH64 of a text's word shingles, repeats included; of the whole text if it has fewer words."""
     # bytes.lower and bytes.split know ASCII only: A to Z; blank, tab to carriage return.
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(tokens) - words + 1)
     last = ends[words - 1 :] if len(tokens) >= words else ends[-1:]
     shingles = [joined[a:b] for a, b in zip(starts[:n].tolist(), last.tolist())]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-    lanes = hashes.astype("<u8").view(np.uint8).reshape(n, 8)
-    set_bits = np.concatenate([np.bincount(lanes[:, i], minlength=256) @ BYTE_BITS for i in range(8)])
-    return int(np.packbits(set_bits * 2 > n, bitorder="little").view("<i8")[0])
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
+
+
+def mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Further 64-bit hashes from one: the finaliser of splitmix64 on a shifted sequence."""
+    z = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & 0xFFFFFFFFFFFFFFFF)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def majority(hashes: np.ndarray) -> bytes:
+    """The bits that are set in over half of the hashes (rows of 64-bit words), lowest first; zero
+    for no hashes."""
+    n = len(hashes)
+    if not n:
+        return bytes(8)
+    lanes = hashes.astype("<u8").reshape(n, -1).view(np.uint8)
+    width = lanes.shape[1]
+    counts = np.zeros(width * 256, np.int64)
+    for at in range(0, n, 8192):
+        counts += np.bincount((lanes[at : at + 8192] + np.arange(width) * 256).ravel(), minlength=width * 256)
+    set_bits = counts.reshape(width, 256) @ BYTE_BITS
+    return np.packbits((set_bits * 2 > n).ravel(), bitorder="little").tobytes()
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """The SimHash of a text's word shingles as a signed 64-bit number."""
+    return int.from_bytes(majority(shingle_hashes(text, words)), "little", signed=True)
+
+
+def wide_fingerprint(text: str, words: int, bits: int) -> bytes:
+    """Of each shingle once, so that differing bits follow the similarity of sets."""
+    hashes = np.unique(shingle_hashes(text, words))
+    if not len(hashes):
+        return bytes(bits // 8)
+    return majority(np.stack([mixed(hashes, lane) for lane in range(1, bits // 64 + 1)], axis=1))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -109,29 +143,24 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, tree_members: int = TREE_MEMBERS) -> DataFrame:
-    """Pairs (a, b) of fingerprints of column ``fp`` (distinct, stored) that connect all that differ
-    in at most ``radius`` bits: of a tree's links only as many as connect its members are sent.
+def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
+    """Pairs (a, b) of ``node`` that connect all nodes of a shard (t, key) whose ``bits`` differ in
+    at most ``radius`` places: of a tree's links only as many as connect its members are sent.
 
     Shards are dealt out by key, not broadcast, as together they grow with the input; a shard of
     many near copies is cut into trees of ``tree_members``, each asked by the whole shard.
     """
-    n = distinct.count()
-    masks = shard_keys(blocks_for(n, radius), radius)
-    tables = F.explode(F.array(*(F.struct(F.lit(i).alias("t"), F.lit(signed(m)).alias("mask")) for i, m in enumerate(masks))))
-    keyed = distinct.select("fp", tables.alias("m")).select("fp", "m.t", F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
-    sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sized = stored(sizes, "shards")
-    chunks = F.ceil(F.col("size") / tree_members).cast("int")
-    members = keyed.join(sized, ["t", "key"]).withColumn("home", F.pmod(F.xxhash64("fp"), chunks).cast("int"))
-    asked = members.select("fp", "t", "key", "home", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("tree"))
-    dealt = asked.select("t", "key", "tree", (F.col("home") == F.col("tree")).alias("inside"), "fp")
-    tasks = dealt.repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "fp")
-
-    def connect(values: list[int], inside: int) -> Iterator[tuple[int, int]]:
-        """Links among the first ``inside`` values, and from each other value to them."""
+    large = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tree_members)
+    trees = large.select("t", "key", F.ceil(F.col("size") / tree_members).cast("int").alias("trees"))
+    members = keyed.join(trees, ["t", "key"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
+    asked = members.withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
+    inside = (F.pmod(F.xxhash64("node"), "trees").cast("int") == F.col("tree")).alias("inside")
+    tasks = asked.select("t", "key", "tree", inside, "node", "bits").repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "node")
+
+    def connect(nodes: list[int], bits: list, inside: list[bool]) -> Iterator[tuple[int, int]]:
+        """Links among the members inside the tree, and from the others to them."""
         tree = BKTree()
-        parent = list(range(len(values)))
+        parent = list(range(len(nodes)))
 
         def top(i: int) -> int:
             while parent[i] != i:
@@ -139,46 +168,62 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_members: int = TREE_ME
                 i = parent[i]
             return i
 
-        for i, value in enumerate(values):
-            bits = value & 0xFFFFFFFFFFFFFFFF
-            for j in tree.within(bits, radius):
+        for i, value in enumerate(bits):
+            value = int.from_bytes(value, "little") if isinstance(value, bytes) else value & 0xFFFFFFFFFFFFFFFF
+            for j in tree.within(value, radius):
                 a, b = top(i), top(j)
                 if a != b:
                     parent[a] = b
-                    yield value, values[j]
-            if i < inside:
-                tree.add(bits, i)
+                    yield nodes[i], nodes[j]
+            if inside[i]:
+                tree.add(value, i)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shards arrive one after another, and may go on in the next batch."""
-        held: tuple | None = None
-        values: list[int] = []
-        inside = 0
-        out: list[tuple[int, int]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if out:
-                a, b = zip(*out)
-                out.clear()
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
+        names = ["t", "key", "tree", "inside", "node", "bits"]
+        held: pa.Table | None = None
         for batch in batches:
-            for t, key, tree, own, fp in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if (t, key, tree) != held:
-                    if len(values) > 1:
-                        out += connect(values, inside)
-                    held, values, inside = (t, key, tree), [], 0
-                    if len(out) > 10_000:
-                        yield from flush()
-                values.append(fp)
-                inside += own
-        if len(values) > 1:
-            out += connect(values, inside)
-        yield from flush()
+            part = pa.Table.from_batches([batch.select(names)])
+            part = pa.concat_tables([held, part]) if held is not None else part
+            yield from linked(part, keep_last=True)
+            held = part.slice(shard_edges(part)[-2]) if part.num_rows else None
+        if held is not None:
+            yield from linked(held, keep_last=False)
+
+    def shard_edges(part: pa.Table) -> np.ndarray:
+        t, key, tree = (part[c].to_numpy() for c in ("t", "key", "tree"))
+        changes = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (tree[1:] != tree[:-1])
+        return np.flatnonzero(np.r_[True, changes, True])
+
+    def linked(part: pa.Table, keep_last: bool) -> Iterator[pa.RecordBatch]:
+        edges = shard_edges(part) if part.num_rows else np.zeros(1, int)
+        shards = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        pairs: list[tuple[int, int]] = []
+        for a, b in shards[:-1] if keep_last else shards:
+            if b - a > 1:
+                pairs += connect(*(part[c].slice(a, b - a).to_pylist() for c in ("node", "bits", "inside")))
+            if len(pairs) > 10_000 or (pairs and (a, b) == shards[-1]):
+                yield pair_batch(pairs)
+                pairs = []
+        if pairs:
+            yield pair_batch(pairs)
+
+    def pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = zip(*pairs)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return tasks.mapInArrow(run, "a long, b long")
 
 
+def links(distinct: DataFrame, radius: int = RADIUS, tree_members: int = TREE_MEMBERS) -> DataFrame:
+    """Pairs (a, b) of fingerprints of column ``fp`` (distinct, stored) that connect all that differ
+    in at most ``radius`` bits."""
+    masks = shard_keys(blocks_for(distinct.count(), radius), radius)
+    tables = F.explode(F.array(*(F.struct(F.lit(i).alias("t"), F.lit(signed(m)).alias("mask")) for i, m in enumerate(masks))))
+    keyed = distinct.select("fp", tables.alias("m")).select("m.t", F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"), F.col("fp").alias("node"), F.col("fp").alias("bits"))
+    return link_shards(keyed, radius, tree_members)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per row: id, fingerprint (16 hex digits), component_id, the smallest id among all
     rows that links of at most ``radius`` differing bits reach.
@@ -197,6 +242,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def differing_bits(similarity: float, bits: int) -> float:
+    """Bits in which the SimHashes of two equally large sets of that Jaccard similarity are expected
+    to differ: in proportion to the angle between the sets' indicator vectors."""
+    return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+# Of wide fingerprints: bits, choices of bits that make shards, and how many standard deviations
+# above the expected difference still link.
+WIDE_BITS, WIDE_TABLES, WIDE_SLACK = 512, 40, 0.8
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, tree_members: int = TREE_MEMBERS) -> DataFrame:
+    """One row per row: id and component_id, the smallest id that links reach, for texts whose word
+    shingles have at least the given Jaccard similarity, as far as SimHash can tell.
+
+    At 0.8 two fingerprints differ in 15% of their bits, too many for 64 bits and shards of equal
+    blocks. So fingerprints have ``WIDE_BITS`` bits, and a shard is a value of as many sampled bits
+    as keep random shards small; a pair at the threshold meets in one of the ``WIDE_TABLES``
+    samples with 95%, a pair at 0.9 practically always. Inside a shard the BK-tree links at the
+    expected difference plus ``WIDE_SLACK`` deviations. Nulls, repeats and empty tables are treated
+    as in ``near_duplicates``.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def mark(ids: list, texts: list[str]) -> Iterator[tuple]:
+        return zip(ids, (wide_fingerprint(t, words, WIDE_BITS) for t in texts))
+
+    marked = stored(rows.mapInArrow(by_slice(mark, pa.schema([("id", arrow_type(kind)), ("fp", pa.binary())])), f"id {kind}, fp binary"), "fingerprints")
+    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    n = nodes.count()
+    sampled = max(8, min(40, math.ceil(math.log2(max(n, 2))) - 2))
+    expected = differing_bits(similarity, WIDE_BITS)
+    radius = int(expected + WIDE_SLACK * math.sqrt(expected * (1 - expected / WIDE_BITS)))
+
+    def deal(nodes: list[int], prints: list[bytes]) -> Iterator[tuple]:
+        bits = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1), axis=1, bitorder="little").astype(np.int64)
+        for t in range(WIDE_TABLES):
+            chosen = random.Random(t).sample(range(WIDE_BITS), sampled)
+            keys = bits[:, chosen] @ (1 << np.arange(sampled, dtype=np.int64))
+            yield from zip(repeat(t), keys.tolist(), nodes, prints)
+
+    schema = pa.schema([("t", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
+    keyed = nodes.select("node", "fp").mapInArrow(by_slice(deal, schema), "t int, key long, node long, bits binary")
+    found = roots(stored(link_shards(keyed, radius, tree_members), "edges"))
+    rooted = nodes.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+    return marked.join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
+
+
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

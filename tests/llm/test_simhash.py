@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -97,9 +98,46 @@ def test_query(spark, con):
     assert got == {doc_id: (f"{p:016x}", rows[c][0]) for (doc_id, _), p, c in zip(rows, prints, components)}
 
 
+def edited(words, share, rng):
+    return [w if rng.random() > share else f"new{rng.randrange(10**9)}" for w in words]
+
+
+def test_similar_documents(spark):
+    """Copies with single words changed are found, texts that share a passage are not."""
+    rng = random.Random(2)
+    rows, groups = [], []
+    for g in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((120, 400)))]
+        members = [base] + [edited(base, 0.01, rng) for _ in range(3)]  # similarity about 0.9
+        passage = base[: len(base) // 2] + [f"w{rng.randrange(10**6)}" for _ in range(len(base) // 2)]
+        for m in (*members, passage):
+            rows.append((len(rows), " ".join(m)))
+            groups.append(g if m is not passage else -len(rows))
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), tree_members=50).collect()}
+    wanted = {i: groups.index(groups[i]) for i, _ in rows}
+    assert sum(got[i] == wanted[i] for i in wanted) >= 0.98 * len(rows)
+    assert all(got[i] == i for i in wanted if groups[i] < 0)
+
+
+def test_wide_fingerprints_follow_similarity():
+    rng = random.Random(5)
+    for similarity in (0.8, 0.9):
+        differ = []
+        for _ in range(60):
+            shared = [rng.getrandbits(64) for _ in range(int(600 * similarity))]
+            own = (600 - len(shared)) // 2
+            a, b = ([*shared, *(rng.getrandbits(64) for _ in range(own))] for _ in range(2))
+            prints = [b"".join(simhash.majority(simhash.mixed(np.array(x, "u8"), lane)) for lane in range(1, 5)) for x in (a, b)]
+            differ.append((int.from_bytes(prints[0]) ^ int.from_bytes(prints[1])).bit_count())
+        assert sum(differ) / len(differ) == pytest.approx(simhash.differing_bits(similarity, 256), rel=0.1)
+
+
 def test_edges(spark):
     rows = [(1, "a b c d e"), (2, "A b C d e"), (3, None), (4, ""), (5, "\n"), (None, "a b c d e"), (7, "w " * 100_000), (1, "a b c d e")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()), key=str)
     assert got == sorted([(1, 1), (2, 1), (3, 3), (4, 3), (5, 3), (None, 1), (7, 7), (1, 1)], key=str)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.similar_documents(df).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (3, 3), (4, 3), (5, 3), (None, 1), (7, 7), (1, 1)], key=str)
+    assert simhash.similar_documents(df.limit(0)).count() == 0
