@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from jobsignals.llm.common import query, stored, table
 
 K = 32  # neighbours a node keeps in the graph
-TREES = 3  # random projection trees that start it
+TREES = 3  # random projection trees that start it; links of a single one would not leave its leaves
 LEAF = 2048  # vectors that are compared exhaustively at the start
 SAMPLE = 10_000  # vectors the trees are fitted on; all vectors are indexed
 BLOCK = 2048  # nodes of a block
@@ -50,8 +50,16 @@ def classes_of(vectors: DataFrame, id_col: str, vec_col: str, keep: int) -> Data
     return ranked.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("members")).select(F.col("members")[0].alias("node"), "vec", "members")
 
 
+def blocks_for(n: int) -> int:
+    """A prime, so that ids in steps of any other number are spread evenly."""
+    blocks = max(1, math.ceil(n / BLOCK))
+    while any(blocks % i == 0 for i in range(2, math.isqrt(blocks) + 1)):
+        blocks += 1
+    return blocks
+
+
 def block_of(node: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(node), F.lit(blocks)).cast("int")
+    return F.pmod(F.col(node), F.lit(blocks)).cast("int")
 
 
 def matrix(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
@@ -85,22 +93,35 @@ def nearest_of(owner: np.ndarray, other: np.ndarray, d: np.ndarray, done: np.nda
     return owners, starts, other[kept], d[kept], done[kept]
 
 
+# One row per node, and what tasks send each other: one row per block with all pairs for its nodes.
 LISTS = "node long, ids array<long>, ds array<double>, done array<boolean>"
+PARCELS = "at int, owner array<long>, other array<long>, d array<double>"
 
 
-def lists_table(owners, starts, others, ds, done) -> pa.Table:
-    return pa.table({"node": pa.array(owners.astype(np.int64)), "ids": list_column(starts, others.astype(np.int64)), "ds": list_column(starts, ds.astype(np.float64)), "done": list_column(starts, done.astype(bool))})
+def parcels(owner: np.ndarray, other: np.ndarray, d: np.ndarray, most: int, blocks: int) -> pa.Table:
+    """The ``most`` nearest pairs of each owner, packed by the block that the owner belongs to."""
+    owners, starts, others, ds, _ = nearest_of(owner, other, d, np.zeros(len(owner), bool), most)
+    owner = np.repeat(owners, np.diff(np.append(starts, len(others))))
+    order = np.argsort(owner % blocks, kind="stable")
+    owner, others, ds = owner[order], others[order], ds[order]
+    at, first = np.unique(owner % blocks, return_index=True)
+    columns = {"owner": owner.astype(np.int64), "other": others.astype(np.int64), "d": ds.astype(np.float64)}
+    return pa.table({"at": pa.array(at.astype(np.int32)), **{n: list_column(first, c) for n, c in columns.items()}})
 
 
-def merge_lists(lists: DataFrame, most: int, blocks: int) -> DataFrame:
-    """One list per node from several."""
+def merge(lists: DataFrame, sent: DataFrame, most: int, blocks: int) -> DataFrame:
+    """The lists of ``lists``, whose entries are done, with what was sent for them."""
 
-    def merge(t: pa.Table) -> pa.Table:
-        counts, ids = flat_lists(t["ids"])
-        owner = np.repeat(t["node"].to_numpy(), counts)
-        return lists_table(*nearest_of(owner, ids, flat_lists(t["ds"])[1], flat_lists(t["done"])[1].astype(bool), most))
+    def together(lists: pa.Table, sent: pa.Table) -> pa.Table:
+        counts, ids = flat_lists(lists["ids"])
+        owner = np.concatenate([np.repeat(lists["node"].to_numpy(), counts), flat_lists(sent["owner"])[1]])
+        other = np.concatenate([ids, flat_lists(sent["other"])[1]])
+        d = np.concatenate([flat_lists(lists["ds"])[1], flat_lists(sent["d"])[1]])
+        owners, starts, others, ds, done = nearest_of(owner, other, d, np.arange(len(owner)) < len(ids), most)
+        return pa.table({"node": pa.array(owners.astype(np.int64)), "ids": list_column(starts, others.astype(np.int64)), "ds": list_column(starts, ds.astype(np.float64)), "done": list_column(starts, done)})
 
-    return lists.withColumn("block", block_of("node", blocks)).groupBy("block").applyInArrow(lambda t: merge(t.drop_columns(["block"])), LISTS)
+    known = lists.select(block_of("node", blocks).alias("block"), "node", "ids", "ds")
+    return known.groupBy("block").cogroup(sent.groupBy("at")).applyInArrow(together, LISTS)
 
 
 # --- the graph
@@ -183,9 +204,10 @@ def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks:
             other.append(ids[best].ravel())
             near.append(np.take_along_axis(d, best, 1).ravel())
         owner, other, near = map(np.concatenate, (owner, other, near))
-        return lists_table(*nearest_of(owner, other, near, np.zeros(len(owner), bool), k))
+        return parcels(owner, other, near, k, blocks)
 
-    return merge_lists(cut.groupBy("tree", "leaf", "part").applyInArrow(compare, LISTS), k, blocks)
+    empty = nodes.sparkSession.createDataFrame([], LISTS)
+    return merge(empty, cut.groupBy("tree", "leaf", "part").applyInArrow(compare, PARCELS), k, blocks)
 
 
 def links_of(graph: DataFrame) -> DataFrame:
@@ -231,16 +253,15 @@ def improve(graph: DataFrame, nodes: DataFrame, k: int, blocks: int) -> DataFram
             i, j = np.nonzero(good)
             found.append((m[i], m[j], d[i, j]))
         owner, other, d = (np.concatenate(c) for c in zip(*found))
-        return lists_table(*nearest_of(ids[owner], ids[other], d, np.zeros(len(owner), bool), k))
+        return parcels(ids[owner], ids[other], d, k, blocks)
 
-    met = links.groupBy("block").cogroup(needed.groupBy("at")).applyInArrow(meet, LISTS)
-    before = graph.withColumn("done", F.transform("ids", lambda _: F.lit(True)))
-    return merge_lists(before.unionByName(met), k, blocks)
+    met = links.groupBy("block").cogroup(needed.groupBy("at")).applyInArrow(meet, PARCELS)
+    return merge(graph, met, k, blocks)
 
 
 def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf: int = LEAF, settled: float = SETTLED) -> DataFrame:
     """(node, ids, ds, done) by NN-descent, until a round changes less than ``settled`` of the links."""
-    blocks = max(1, math.ceil(n / BLOCK))
+    blocks = blocks_for(n)
     graph = stored(first_lists(nodes, n, k, trees, leaf, blocks), "graph")
     while True:
         graph = stored(improve(graph, nodes, k, blocks), "graph")
@@ -256,7 +277,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
     """For each node of ``starts`` (node, vec) the nodes nearest to it: (node, ids, ds), itself
     included. A round expands every kept node not yet expanded, for all searches at once, and the
     search ends when all kept nodes are; distances are in double precision."""
-    blocks = max(1, math.ceil(n / BLOCK))
+    blocks = blocks_for(n)
     ways = stored(links_of(graph).groupBy("node", "part").agg(F.collect_set("other").alias("others")).select(F.col("node").alias("from"), "others"), "ways")
     vec = nodes.schema["vec"].dataType.simpleString()
     stock = nodes.select(block_of("node", blocks).alias("at"), "node", "vec", F.lit(None).cast("double").alias("worst"), F.lit(False).alias("asks"))
@@ -265,7 +286,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
     def look(reached: pa.Table, stock: pa.Table) -> pa.Table:
         asks = stock["asks"].to_numpy(zero_copy_only=False).astype(bool)
         if not reached.num_rows:
-            return lists_table(*nearest_of(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), beam))
+            return parcels(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), beam, blocks)
         ids, rows, worst = stock["node"].to_numpy(), matrix(stock["vec"], np.float64), stock["worst"].to_numpy(zero_copy_only=False)
         order_q, order_v = np.flatnonzero(asks), np.flatnonzero(~asks)
         order_q, order_v = order_q[np.argsort(ids[order_q])], order_v[np.argsort(ids[order_v])]
@@ -277,7 +298,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
             diff = rows[q[at : at + 65_536]] - rows[v[at : at + 65_536]]
             d[at : at + 65_536] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
         near = d <= worst[q]
-        return lists_table(*nearest_of(search[near], other[near], d[near], np.zeros(near.sum(), bool), beam))
+        return parcels(search[near], other[near], d[near], beam, blocks)
 
     while True:
         front = state.select(F.col("node").alias("search"), F.explode(F.arrays_zip("ids", "done")).alias("e")).where(~F.col("e.done")).select("search", F.col("e.ids").alias("from"))
@@ -285,9 +306,8 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
         full = F.when(F.size("ids") < beam, float("inf")).otherwise(F.element_at("ds", -1)).alias("worst")
         limits = starts.select("node", "vec").join(state.select("node", full), "node")
         asking = reached.select(F.col("block").alias("at"), F.col("search").alias("node")).distinct().join(limits, "node").select("at", "node", F.col("vec").cast(vec).alias("vec"), "worst", F.lit(True).alias("asks"))
-        seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, LISTS)
-        kept = state.withColumn("done", F.transform("ids", lambda _: F.lit(True)))
-        state = stored(merge_lists(kept.unionByName(seen), beam, blocks), "beam")
+        seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, PARCELS)
+        state = stored(merge(state, seen, beam, blocks), "beam")
         if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
             return state.select("node", "ids", "ds")
 
