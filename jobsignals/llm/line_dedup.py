@@ -46,7 +46,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Chunks of at least ``least_lines`` lines are grouped by a 128-bit hash and their bytes, over all
     documents, copies combined before the shuffle; of each group the occurrence with the smallest
     id and place stays. Occurrences then meet their groups by narrow columns, and documents the
-    places to remove; AQE splits the rows of a chunk that very many documents hold.
+    places to remove; AQE splits the rows of a chunk that very many documents hold. Both joins are
+    merge joins at any size, as both sides grow with the corpus.
 
     Null text counts as empty, one empty line. Null ids take part and stay last; rows repeating id
     and text are one document and lose the same chunks; other columns are not read. An empty table
@@ -60,10 +61,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = hashed.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1")
     repeated = stored(groups.select("hash", F.sha2("chunk", 256).alias("sha"), "first"), "repeated_chunks")
     places = hashed.select("id", "version", "place", "hash", F.sha2("chunk", 256).alias("sha"))
-    later = places.join(repeated, ["hash", "sha"]).where(~at.eqNullSafe(F.col("first")))
+    later = places.join(repeated.hint("merge"), ["hash", "sha"]).where(~at.eqNullSafe(F.col("first")))
     removed = stored(later.groupBy("id", "version").agg(F.collect_set("place").alias("places")), "removed_places")
     gone = removed.select(F.col("id").alias("of"), F.col("version").alias("of_version"), "places")
-    joined = keyed.join(gone, F.col("version").eqNullSafe(F.col("of_version")) & F.col("id").eqNullSafe(F.col("of")), "left")
+    joined = keyed.join(gone.hint("merge"), F.col("version").eqNullSafe(F.col("of_version")) & F.col("id").eqNullSafe(F.col("of")), "left")
     numbered = F.filter(chunks_of(F.col("text")), lambda _, i: ~F.array_contains("places", i))
     untouched = F.col("places").isNull()
     result = joined.select("id", "text", "places", F.when(untouched, F.array("text")).otherwise(numbered).alias("kept"))
