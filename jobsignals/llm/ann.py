@@ -217,15 +217,16 @@ def links_of(graph: DataFrame) -> DataFrame:
     out = graph.select("node", ends).select("node", F.col("e.ids").alias("other"), F.col("e.done").alias("done"))
     both = out.unionByName(out.select(F.col("other").alias("node"), F.col("node").alias("other"), "done"))
     many = both.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / DEGREE).cast("int").alias("parts"))
-    return both.join(many, "node").select("node", F.pmod(F.xxhash64("other"), "parts").cast("int").alias("part"), "other", "done")
+    return both.join(many.hint("merge"), "node").select("node", F.pmod(F.xxhash64("other"), "parts").cast("int").alias("part"), "other", "done")
 
 
 def improve(graph: DataFrame, nodes: DataFrame, k: int, blocks: int) -> DataFrame:
     """One round of NN-descent: the neighbours of a node get to know each other, unless both links
     were there in an earlier round already."""
     links = links_of(graph).withColumn("block", F.pmod(F.xxhash64("node", "part"), F.lit(blocks)).cast("int"))
-    known = nodes.select("node", "vec").join(graph.select("node", F.element_at("ds", -1).alias("worst"), F.size("ids").alias("n")), "node")
-    needed = links.select(F.col("block").alias("at"), F.col("other").alias("node")).distinct().join(known, "node").select("at", "node", "vec", "worst", "n")
+    lists = graph.select("node", F.element_at("ds", -1).alias("worst"), F.size("ids").alias("n"))
+    known = nodes.select("node", "vec").join(lists.hint("merge"), "node")
+    needed = links.select(F.col("block").alias("at"), F.col("other").alias("node")).distinct().join(known.hint("merge"), "node").select("at", "node", "vec", "worst", "n")
 
     def meet(links: pa.Table, members: pa.Table) -> pa.Table:
         ids = members["node"].to_numpy()
@@ -280,32 +281,34 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
     blocks = blocks_for(n)
     ways = stored(links_of(graph).groupBy("node", "part").agg(F.collect_set("other").alias("others")).select(F.col("node").alias("from"), "others"), "ways")
     vec = nodes.schema["vec"].dataType.simpleString()
-    stock = nodes.select(block_of("node", blocks).alias("at"), "node", "vec", F.lit(None).cast("double").alias("worst"), F.lit(False).alias("asks"))
+    stock = nodes.select(block_of("node", blocks).alias("at"), "node", "vec", F.lit(False).alias("asks"))
     state = stored(starts.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("ds"), F.array(F.lit(False)).alias("done")), "beam")
 
     def look(reached: pa.Table, stock: pa.Table) -> pa.Table:
         asks = stock["asks"].to_numpy(zero_copy_only=False).astype(bool)
         if not reached.num_rows:
             return parcels(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), beam, blocks)
-        ids, rows, worst = stock["node"].to_numpy(), matrix(stock["vec"], np.float64), stock["worst"].to_numpy(zero_copy_only=False)
+        ids, rows = stock["node"].to_numpy(), matrix(stock["vec"], np.float64)
         order_q, order_v = np.flatnonzero(asks), np.flatnonzero(~asks)
         order_q, order_v = order_q[np.argsort(ids[order_q])], order_v[np.argsort(ids[order_v])]
-        search, other = reached["search"].to_numpy(), reached["node"].to_numpy()
+        search, other, worst = (reached[c].to_numpy() for c in ("search", "node", "worst"))
         q = order_q[np.searchsorted(ids[order_q], search)]
         v = order_v[np.searchsorted(ids[order_v], other)]
         d = np.zeros(len(q))
         for at in range(0, len(q), 65_536):
             diff = rows[q[at : at + 65_536]] - rows[v[at : at + 65_536]]
             d[at : at + 65_536] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        near = d <= worst[q]
+        near = d <= worst
         return parcels(search[near], other[near], d[near], beam, blocks)
 
     while True:
-        front = state.select(F.col("node").alias("search"), F.explode(F.arrays_zip("ids", "done")).alias("e")).where(~F.col("e.done")).select("search", F.col("e.ids").alias("from"))
-        reached = front.join(ways, "from").select("search", F.explode("others").alias("node")).distinct().withColumn("block", block_of("node", blocks))
-        full = F.when(F.size("ids") < beam, float("inf")).otherwise(F.element_at("ds", -1)).alias("worst")
-        limits = starts.select("node", "vec").join(state.select("node", full), "node")
-        asking = reached.select(F.col("block").alias("at"), F.col("search").alias("node")).distinct().join(limits, "node").select("at", "node", F.col("vec").cast(vec).alias("vec"), "worst", F.lit(True).alias("asks"))
+        worst = F.when(F.size("ids") < beam, float("inf")).otherwise(F.element_at("ds", -1)).alias("worst")
+        front = state.select(F.col("node").alias("search"), worst, F.explode(F.arrays_zip("ids", "done")).alias("e"))
+        front = front.where(~F.col("e.done")).select("search", "worst", F.col("e.ids").alias("from"))
+        reached = front.join(ways.hint("merge"), "from").select("search", "worst", F.explode("others").alias("node")).distinct()
+        reached = reached.withColumn("block", block_of("node", blocks))
+        meetings = reached.select(F.col("block").alias("at"), F.col("search").alias("node")).distinct()
+        asking = meetings.join(starts.hint("merge"), "node").select("at", "node", F.col("vec").cast(vec).alias("vec"), F.lit(True).alias("asks"))
         seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, PARCELS)
         state = stored(merge(state, seen, beam, blocks), "beam")
         if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
