@@ -54,14 +54,18 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def dedupe_ignoring_case(words: Column) -> Column:
-    """Trim, drop empties and keep the first spelling of every word, in order."""
+    """Trim, drop empties and keep the first spelling of every word, in order.
+
+    Two sorts instead of a search per word: by key and place, where the first of each key is kept,
+    then by place.
+    """
     spellings = F.filter(F.transform(words, utrim), lambda w: w != "")
-    return _bind(
-        spellings,
-        lambda kept: _bind(
-            F.transform(kept, F.lower),
-            lambda keys: F.transform(
-                F.array_distinct(keys), lambda key: F.get(kept, F.array_position(keys, key) - 1)
-            ),
+    keyed = F.transform(spellings, lambda w, i: F.struct(F.lower(w).alias("key"), i.alias("place"), w.alias("word")))
+    firsts = _bind(
+        F.array_sort(keyed),
+        lambda found: F.filter(
+            found, lambda x, i: ~F.coalesce(F.get(found, i - 1)["key"] == x["key"], F.lit(False))
         ),
     )
+    by_place = F.array_sort(F.transform(firsts, lambda x: F.struct(x["place"].alias("place"), x["word"].alias("word"))))
+    return F.transform(by_place, lambda x: x["word"])

@@ -6,7 +6,7 @@ sightings of one posting compete in the staging dedupe. Orders give the extracti
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from jobsignals.plans.enrichment import (
     mapped_postings,
     mapping_coverage,
     pending_extraction,
+    run_extraction,
     within_window,
 )
 from jobsignals.plans.evaluation import evaluation_sample
@@ -37,7 +38,8 @@ from jobsignals.plans.staging import staged_occupation_lists, staged_postings
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import flat_sample
 from jobsignals.sources.landing import ingest_summary, ingest_totals
-from jobsignals.sources.seeds import bundled_rows, bundled_seed, bundled_seeds
+from jobsignals.sources.tables import append_snapshot
+from jobsignals.sources.seeds import bundled_rows, bundled_seed, bundled_seeds, title_pattern_rows
 
 # Expressions that mean the same in Spark SQL and DuckDB.
 FLAT_POSTING = {
@@ -184,6 +186,7 @@ def stored_build(spark: SparkSession, sf_dir: str, label: str) -> dict[str, Data
         extract_records(spark, sf_dir),
         bundled_seeds(spark),
         storage=scratch_path(spark, label),
+        title_patterns=title_pattern_rows(),
     )
 
 
@@ -191,9 +194,9 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_postings(raw_postings(spark, sf_dir))
 
 
-def mapped(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
+def mapped(spark: SparkSession, sf_dir: str, patterns: DataFrame | None = None) -> DataFrame:
     enriched = enriched_postings(staged(spark, sf_dir), extract_records(spark, sf_dir))
-    return mapped_postings(enriched, bundled_seed(spark, "anzsco_title_patterns"), method)
+    return mapped_postings(enriched, title_pattern_rows() if patterns is None else patterns)
 
 
 def seed_dim(spark: SparkSession) -> DataFrame:
@@ -253,7 +256,7 @@ _STAGED = f"""staged AS (
     {_CLEAN} AS description_text
   FROM raw
   QUALIFY row_number() OVER (
-    PARTITION BY id, snapshot_date ORDER BY source_city, ingested_at, redirect_url) = 1)"""
+    PARTITION BY id, snapshot_date ORDER BY source_city, ingested_at DESC, redirect_url) = 1)"""
 
 _ENRICHED = """enriched AS (
   SELECT s.*, e.required_skills, e.years_experience, e.sponsorship_signal, e.local_experience_required,
@@ -429,7 +432,8 @@ def _mapped_query(spark, sf_dir):
     _sql(_TO_MAPPED, "SELECT job_id, snapshot_date, job_title, anzsco_code FROM mapped"),
 )
 def _mapped_join(spark, sf_dir):
-    return mapped(spark, sf_dir, method="join").select("job_id", "snapshot_date", "job_title", "anzsco_code")
+    table_of_patterns = bundled_seed(spark, "anzsco_title_patterns")
+    return mapped(spark, sf_dir, table_of_patterns).select("job_id", "snapshot_date", "job_title", "anzsco_code")
 
 
 _ROUNDED = "SELECT * REPLACE (round(avg_salary, 4) AS avg_salary) FROM q1"
@@ -479,6 +483,32 @@ def _marts_stored(spark, sf_dir):
     )
 
 
+_CHANGED_RAW = """raw AS (
+  SELECT * REPLACE (CASE WHEN snapshot_date = DATE '1995-07-01' THEN 'Web Developer' ELSE title END AS title)
+  FROM first_raw WHERE snapshot_date <> DATE '1995-04-01')"""
+
+
+@query(
+    "postings_refresh",
+    _sql(
+        [_RAW.replace("raw AS", "first_raw AS", 1), _CHANGED_RAW, *_TO_Q3[1:]],
+        """SELECT 'postings' AS layer, CAST(snapshot_date AS VARCHAR) AS key1, anzsco_code AS key2, count(*) AS n FROM mapped GROUP BY ALL
+        UNION ALL SELECT 'skills', state, skill, mention_count FROM q3""",
+    ),
+)
+def _refresh(spark, sf_dir):
+    """A written build, then a refresh of two days: one has other titles, one has no postings left."""
+    storage, raw, extracts = scratch_path(spark, "refresh"), raw_postings(spark, sf_dir), extract_records(spark, sf_dir)
+    given = {"extracts": extracts, "seeds": bundled_seeds(spark), "storage": storage, "title_patterns": title_pattern_rows()}
+    build(raw, **given)
+    changed = F.when(F.col("snapshot_date") == F.lit(date(1995, 7, 1)), F.lit("Web Developer")).otherwise(F.col("title"))
+    now = raw.where(F.col("snapshot_date") != F.lit(date(1995, 4, 1))).withColumn("title", changed)
+    layers = build(now, **given, days=[date(1995, 4, 1), date(1995, 7, 1)])
+    postings = layers["mapped_postings"].groupBy(F.col("snapshot_date").cast("string").alias("key1"), F.col("anzsco_code").alias("key2"))
+    skills = layers["skills_demand"].select(F.lit("skills").alias("layer"), F.col("state").alias("key1"), F.col("skill").alias("key2"), F.col("mention_count").alias("n"))
+    return postings.agg(F.count(F.lit(1)).alias("n")).withColumn("layer", F.lit("postings")).unionByName(skills)
+
+
 @query(
     "postings_top_supply",
     _sql(
@@ -800,3 +830,35 @@ def _checks(spark, sf_dir):
 def _checks_result(spark, sf_dir):
     layers = stored_build(spark, sf_dir, "checked")
     return suite_result(run_suite(layers, all_checks()))
+
+
+_TODO = """todo AS (
+  SELECT s.job_id, s.snapshot_date, length(s.description_text) AS n FROM staged s
+  LEFT JOIN extracts e ON e.job_id = s.job_id AND e.snapshot_date = s.snapshot_date AND e.extraction_status = 'ok'
+  WHERE e.job_id IS NULL AND length(s.description_text) >= 20)"""
+
+
+@query(
+    "run_extraction",
+    _sql(
+        [_RAW, _EXTRACTS, _STAGED, _TODO],
+        """SELECT job_id, snapshot_date, extraction_status FROM extracts e
+          WHERE NOT EXISTS (SELECT 1 FROM todo t WHERE t.job_id = e.job_id AND t.snapshot_date = e.snapshot_date)
+        UNION ALL SELECT job_id, snapshot_date, CASE WHEN n % 3 = 0 THEN 'error' ELSE 'ok' END FROM todo""",
+    ),
+)
+def _run_extraction(spark, sf_dir):
+    """The extract table after one run of the loop on the records that are there already."""
+    path = scratch_path(spark, "extracts")
+    append_snapshot(extract_records(spark, sf_dir), path, cluster_by=["remote_friendly"])
+    run_extraction(staged(spark, sf_dir), third_fails(), "lengths", datetime(2026, 1, 2), path)
+    return spark.read.parquet(path).select("job_id", "snapshot_date", "extraction_status")
+
+
+def third_fails():
+    def extract(text: str) -> dict:
+        if len(text) % 3 == 0:
+            raise TimeoutError("no answer")
+        return {"years_experience": 1}
+
+    return extract

@@ -35,6 +35,8 @@ DATE_COLUMNS = {
     "stamp_batch": ["snapshot_date"],
     "append_snapshot": ["snapshot_date"],
     "replace_partition": ["snapshot_date"],
+    "replace_with_nothing": ["snapshot_date"],
+    "run_extraction": ["snapshot_date"],
     "upsert_table": ["snapshot_date"],
     "read_seed_csv": ["effective_date"],
 }

@@ -29,11 +29,19 @@ from jobsignals.operators.quality import (
 from jobsignals.lens.postings import report_sql
 from jobsignals.schemas import RAW_POSTING
 from jobsignals.session import scratch_path
-from jobsignals.sources.export import export_and_reconcile, nested_to_variant, without_zone
-from jobsignals.sources.landing import land_jsonl, read_jsonl, stamp
+from jobsignals.sources.export import (
+    export_and_reconcile,
+    flat_sample,
+    load_copy,
+    nested_to_variant,
+    without_zone,
+    write_flat_sample,
+)
+from jobsignals.sources.landing import ingest, land_jsonl, read_jsonl, stamp
 from jobsignals.sources.seeds import read_typed_csv
 from jobsignals.sources.tables import (
     append_snapshot,
+    drop_partitions,
     inventory,
     inventory_with_size,
     materialise,
@@ -97,17 +105,37 @@ def _reland_city(spark, sf_dir):
     return read_jsonl(spark, path).select("id", "snapshot_date", "source_city", "redirect_url", "title")
 
 
-@query("stream_landed", _sql([_RAW], _LANDED_SELECT))
+@query(
+    "stream_landed",
+    _sql([_RAW], f"""SELECT * REPLACE (CASE source_city WHEN 'Sydney' THEN 'again ' || title ELSE title END AS title)
+    FROM ({_LANDED_SELECT})"""),
+)
 def _stream_landed(spark, sf_dir):
-    """The landed files loaded incrementally, in two runs of the same stream."""
+    """The landed files loaded in three runs of one stream; one city lands twice, with new titles."""
     landing, loaded, state = (scratch_path(spark, x) for x in ("landing", "loaded", "state"))
     raw = raw_postings(spark, sf_dir)
-    for part in ("source_city = 'Sydney'", "source_city <> 'Sydney'"):
-        land_jsonl(raw.where(part), landing)
-        load_new_files(landed_stream(spark, landing), loaded, state).awaitTermination()
+    again = raw.where("source_city = 'Sydney'").withColumn("title", F.concat(F.lit("again "), "title"))
+    for part in (raw.where("source_city = 'Sydney'"), raw.where("source_city <> 'Sydney'"), again):
+        land_jsonl(part, landing)
+        load_new_files(landed_stream(spark, landing), landing, loaded, state).awaitTermination()
     return _landed_columns(spark.read.schema(RAW_POSTING).parquet(loaded))
 
 
+@query(
+    "ingest",
+    _sql([_RAW], """SELECT source_city, count(*) AS fetched_rows, count(*) AS loaded_rows, true AS ok,
+    2 * count(*) AS table_rows FROM raw GROUP BY 1"""),
+)
+def _ingest(spark, sf_dir):
+    """Landed, loaded and reported twice: the first replaces its days, the second appends."""
+    landing, loaded = scratch_path(spark, "landing"), scratch_path(spark, "loaded")
+    raw = raw_postings(spark, sf_dir)
+    for replace in (True, True, False):
+        report = ingest(spark, raw, landing, loaded, replace)
+    held = spark.read.schema(RAW_POSTING).parquet(loaded).groupBy("source_city").agg(F.count(F.lit(1)).alias("table_rows"))
+    return report.join(held, "source_city")
+
+
 _STAMPED_AT = datetime(2026, 5, 6, 7, 8, 9)
 
 
@@ -161,6 +189,24 @@ def _replace_partition(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(path)
 
 
+@query(
+    "replace_with_nothing",
+    f"""SELECT * FROM ({_EVENTS}) WHERE snapshot_date < DATE '2024-01-10' AND snapshot_date <> DATE '2024-01-03'
+    UNION ALL SELECT event_id, snapshot_date, user_id, event_type, value * 2 FROM ({_EVENTS})
+    WHERE snapshot_date >= DATE '2024-01-10' AND event_type = 'purchase' AND snapshot_date <> DATE '2024-01-12'""",
+)
+def _replace_with_nothing(spark, sf_dir):
+    """Days replaced by rows for all of them but one, and a day that is deleted."""
+    path = scratch_path(spark, "replaced")
+    events = _daily_events(spark, sf_dir)
+    replace_partitions(events, path, cluster_by=["event_type"])
+    days = [r[0] for r in events.where("snapshot_date >= DATE '2024-01-10'").select("snapshot_date").distinct().collect()]
+    newer = events.where("event_type = 'purchase' AND snapshot_date <> DATE '2024-01-12'").withColumn("value", F.col("value") * 2)
+    replace_partitions(newer.where(F.col("snapshot_date").isin(days)), path, cluster_by=["event_type"], covered=days)
+    drop_partitions(spark, path, "snapshot_date", [date(2024, 1, 3)])
+    return spark.read.schema(events.schema).parquet(path)
+
+
 @query(
     "upsert_rows",
     """SELECT * FROM labels l WHERE toxic <> 1
@@ -229,10 +275,28 @@ def _read_seed_csv(spark, sf_dir):
         "CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS c_mktsegment",
         "date_add(DATE '2024-07-01', c_nationkey) AS effective_date",
     )
-    customers.write.option("header", True).option("emptyValue", "").csv(path)
+    customers.write.option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
     return read_typed_csv(spark, path, CUSTOMER_CSV)
 
 
+_FLAT_TITLE = """concat('#  "', coalesce(title, ''), '", ok', chr(10), 'new line  ')"""
+_FLAT_COLUMNS = ["id", "title", "company", "state", "salary_min", "redirect_url"]
+
+
+@query(
+    "flat_csv",
+    _sql([_RAW], f"""SELECT id, {_FLAT_TITLE} AS title, company_name AS company,
+    CASE WHEN area_length >= 2 THEN area_state END AS state, salary_min, redirect_url FROM raw"""),
+)
+def _flat_csv(spark, sf_dir):
+    """The flat file written and read back; titles begin with '#' and hold quotes, commas, blanks at
+    both ends and line breaks."""
+    path = scratch_path(spark, "flat")
+    write_flat_sample(raw_postings(spark, sf_dir).withColumn("title", F.expr(_FLAT_TITLE)), path)
+    header = T.StructType([T.StructField(f.name, f.dataType) for f in flat_sample(raw_postings(spark, sf_dir)).schema.fields])
+    return read_typed_csv(spark, path, header).select(*_FLAT_COLUMNS)
+
+
 @query(
     "materialise_layers",
     f"SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM ({_EVENTS}) GROUP BY event_type",
@@ -272,6 +336,42 @@ def _export_reconcile(spark, sf_dir):
     return export_and_reconcile(spark, tables, scratch_path(spark, "export"))
 
 
+TARGET_POSTING = T.StructType(
+    [
+        T.StructField("ID", T.StringType()),
+        T.StructField("CREATED", T.TimestampNTZType()),
+        T.StructField("SALARY_MIN", T.DoubleType()),
+        T.StructField("LOCATION", T.VariantType()),
+        T.StructField("COMPANY", T.VariantType()),
+        T.StructField("LOADED_BY", T.StringType()),
+    ]
+)
+
+
+@query(
+    "export_loaded",
+    _sql(
+        [_RAW],
+        """SELECT id, strftime(created, '%Y-%m-%d %H:%M:%S') AS created, salary_min, location_display AS place,
+        CASE WHEN area_length >= 2 THEN area_state END AS state, company_name AS company, CAST(NULL AS VARCHAR) AS loaded_by FROM raw""",
+    ),
+)
+def _export_loaded(spark, sf_dir):
+    """A copy read back in the target's schema: names in other case, structs as variants, a column
+    the copy lacks."""
+    path = scratch_path(spark, "export")
+    export_and_reconcile(spark, {"postings": raw_postings(spark, sf_dir)}, path)
+    return load_copy(spark, path, "postings", TARGET_POSTING).select(
+        F.col("ID").alias("id"),
+        F.date_format("CREATED", "yyyy-MM-dd HH:mm:ss").alias("created"),
+        F.col("SALARY_MIN").alias("salary_min"),
+        F.try_variant_get("LOCATION", "$.display_name", "string").alias("place"),
+        F.try_variant_get("LOCATION", "$.area[1]", "string").alias("state"),
+        F.try_variant_get("COMPANY", "$.display_name", "string").alias("company"),
+        F.col("LOADED_BY").alias("loaded_by"),
+    )
+
+
 @query(
     "export_variant",
     _sql(
@@ -306,9 +406,13 @@ def _table_inventory(spark, sf_dir):
     return inventory({name: table(spark, sf_dir, name) for name in TABLES})
 
 
-@query("table_sizes")
+@query(
+    "table_sizes",
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS has_size FROM {t}" for t in TABLES),
+)
 def _table_sizes(spark, sf_dir):
-    return inventory_with_size({name: table(spark, sf_dir, name) for name in TABLES})
+    sizes = inventory_with_size(spark, {name: f"{sf_dir.rstrip('/')}/{name}.parquet" for name in TABLES})
+    return sizes.select("table_name", "row_count", (F.col("size_bytes") > 0).alias("has_size"))
 
 
 @query(

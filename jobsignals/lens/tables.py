@@ -14,7 +14,13 @@ from jobsignals.functions.text import blank_to_null, clean_html, dedupe_ignoring
 from jobsignals.functions.values import array_length, level, midpoint
 from jobsignals.lens.registry import query, sql_trim, sql_values, table
 from jobsignals.operators.aggregates import group_rates, item_counts
-from jobsignals.operators.evaluation import failure_examples, judge, judge_accuracy, verdict_tallies
+from jobsignals.operators.evaluation import (
+    failure_examples,
+    judge,
+    judge_accuracy,
+    run_evaluation,
+    verdict_tallies,
+)
 from jobsignals.operators.extraction import extract_signals, normalise_payload, rule_signals
 from jobsignals.operators.joins import enrich, pending_rows
 from jobsignals.operators.patterns import map_by_pattern
@@ -32,6 +38,7 @@ from jobsignals.plans.marts import (
     top_supply,
 )
 from jobsignals.plans.staging import staged_invitation_rounds, staged_occupation_lists
+from jobsignals.session import scratch_path
 
 # --- projections ------------------------------------------------------------------------------
 
@@ -198,6 +205,10 @@ _PART_PATTERNS_SQL = f"patterns AS ({sql_values(PART_PATTERNS, _PATTERN_TYPES)})
 _PATTERN_RANK = "ORDER BY p.priority NULLS LAST, p.anzsco_code NULLS FIRST, p.title_pattern"
 
 
+def part_pattern_rows() -> list[dict]:
+    return [{**r, "priority": None if r["priority"] is None else int(r["priority"])} for r in PART_PATTERNS]
+
+
 def part_patterns(spark: SparkSession) -> DataFrame:
     columns = {c: pa.array([r[c] for r in PART_PATTERNS], pa.string()) for c in _PATTERN_TYPES}
     return spark.createDataFrame(pa.table(columns)).withColumn("priority", F.col("priority").cast("long"))
@@ -208,24 +219,24 @@ _PART_MAP = f"""WITH {_PART_PATTERNS_SQL}
     QUALIFY row_number() OVER (PARTITION BY p_partkey {_PATTERN_RANK}) = 1"""
 
 
-def _map_parts(spark, sf_dir, method):
+def _map_parts(spark, sf_dir, patterns, cells=None):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return map_by_pattern(parts, F.lower("p_name"), part_patterns(spark), method=method)
+    return map_by_pattern(parts, F.lower("p_name"), patterns, cells=cells)
 
 
 @query("pattern_map_case", _PART_MAP)
 def _pattern_map_case(spark, sf_dir):
-    return _map_parts(spark, sf_dir, "case")
+    return _map_parts(spark, sf_dir, part_pattern_rows())
 
 
 @query("pattern_map_join", _PART_MAP)
 def _pattern_map_join(spark, sf_dir):
-    return _map_parts(spark, sf_dir, "join")
+    return _map_parts(spark, sf_dir, part_patterns(spark))
 
 
 @query("pattern_map_grid", _PART_MAP)
 def _pattern_map_grid(spark, sf_dir):
-    return _map_parts(spark, sf_dir, "grid")
+    return _map_parts(spark, sf_dir, part_patterns(spark), cells=(3, 4))
 
 
 @query(
@@ -241,7 +252,7 @@ def _mapping_coverage(spark, sf_dir):
     titles = table(spark, sf_dir, "lineitem").select("l_partkey").join(
         table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
     )
-    return mapping_coverage(map_by_pattern(titles, F.lower("p_name"), part_patterns(spark)))
+    return mapping_coverage(map_by_pattern(titles, F.lower("p_name"), part_pattern_rows()))
 
 
 # --- dimension and marts ----------------------------------------------------------------------
@@ -592,28 +603,33 @@ def _skills_dedupe(spark, sf_dir):
 _PHRASE = """CASE WHEN n_chars < 300 THEN ' Hybrid role, 3-5 years of Python, SQL and python.'
     WHEN n_chars < 600 THEN ' Fully remote. Visa sponsorship is available. AWS and Docker, 7+ yrs.'
     WHEN n_chars < 1500 THEN ' Australian citizens only. Local experience required. On-site in Perth.'
-    WHEN n_chars < 4000 THEN ' Training sponsorship on offer; Kafka, Spark, dbt.'
+    WHEN n_chars < 2500 THEN ' Training sponsorship on offer; Kafka, Spark, dbt.'
+    WHEN n_chars < 4000 THEN concat(' 60 years of history, 25 years in business: excel, Tableau, Redis, Airflow, Hadoop, Linux, Jenkins,',
+      ' Terraform, Azure, Flask, Django, Angular, React, Ruby, Rust, Kotlin, Scala, Python, SQL, AWS, Docker, Kafka, Spark and dbt; 7+ yrs of Excel, 4 to 6 years of Rust.')
     ELSE '' END"""
-RULE_SKILLS = ["Python", "SQL", "AWS", "Docker", "Kafka", "Spark", "dbt"]
+RULE_SKILLS = [
+    "Python", "SQL", "AWS", "Docker", "Kafka", "Spark", "dbt", "Scala", "Kotlin", "Rust", "Ruby", "React", "Angular",
+    "Django", "Flask", "Azure", "Terraform", "Jenkins", "Linux", "Hadoop", "Airflow", "Redis", "Tableau", "Excel",
+]
 
 
 @query(
     "rule_signals",
-    f"""SELECT doc_id, CAST(len(list_distinct(found)) AS BIGINT) AS skill_kinds,
-      TRY_CAST(nullif(regexp_extract(body, '\\b(\\d{{1,2}})\\s*(?:\\+|(?:-|–|to)\\s*\\d{{1,2}}\\s*\\+?)?\\s*(?:years?|yrs?)\\b', 1, 'i'), '')
-        AS BIGINT) AS years_experience,
+    f"""SELECT doc_id,
+      array_to_string([found[i] for i in range(1, len(found) + 1) if list_position(found, found[i]) = i], '|') AS skills,
+      list_min([CAST(y AS BIGINT) for y in regexp_extract_all(body, '\\b(\\d{{1,2}})\\s*(?:\\+|(?:-|–|to)\\s*\\d{{1,2}}\\s*\\+?)?\\s*(?:years?|yrs?)\\b', 1, 'i') if CAST(y AS BIGINT) <= 40]) AS years_experience,
       CASE WHEN regexp_matches(body, 'australian citizens only', 'i') THEN 'explicit_no'
            WHEN regexp_matches(body, 'visa sponsorship is available', 'i') THEN 'explicit_yes' ELSE 'unspecified' END AS sponsorship_signal,
       regexp_matches(body, 'local experience required', 'i') AS local_experience_required,
       CASE WHEN regexp_matches(body, '\\bhybrid\\b', 'i') THEN 'hybrid' WHEN regexp_matches(body, '\\bfully remote\\b', 'i') THEN 'remote'
            WHEN regexp_matches(body, '\\bon-site\\b', 'i') THEN 'onsite' ELSE 'unspecified' END AS remote_friendly
-    FROM (SELECT doc_id, body, regexp_extract_all(lower(body), '\\b(python|sql|aws|docker|kafka|spark|dbt)\\b', 1) AS found
+    FROM (SELECT doc_id, body, regexp_extract_all(lower(body), '\\b({"|".join(RULE_SKILLS).lower()})\\b', 1) AS found
       FROM (SELECT doc_id, concat(text, {_PHRASE}) AS body FROM documents))""",
 )
 def _rule_signals(spark, sf_dir):
     bodies = table(spark, sf_dir, "documents").selectExpr("doc_id", f"concat(text, {_PHRASE}) AS body")
     found = rule_signals(bodies, "body", RULE_SKILLS)
-    return found.withColumn("skill_kinds", F.size("required_skills").cast("long")).drop("body", "required_skills")
+    return found.withColumn("skills", F.lower(F.array_join("required_skills", "|"))).drop("body", "required_skills")
 
 
 EXTRACTED_AT = datetime(2026, 1, 2, 3, 4, 5)
@@ -651,7 +667,7 @@ def length_extractor() -> Callable[[str], dict]:
 def _extract_signals(spark, sf_dir):
     pending = table(spark, sf_dir, "documents").select("doc_id", "text").where(F.length("text") >= 20)
     records = extract_signals(
-        pending, length_extractor(), "lengths", EXTRACTED_AT, keys=["doc_id"], text="text", parallelism=8
+        pending, length_extractor(), "lengths", EXTRACTED_AT, keys=["doc_id"], text="text"
     )
     return records.select(
         "doc_id",
@@ -726,7 +742,7 @@ def label_judge() -> Callable[[str, dict], dict]:
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     labelled = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return judge(labelled, label_judge(), JUDGED, text="text", parallelism=8)
+    return judge(labelled, label_judge(), JUDGED, text="text")
 
 
 _JUDGED_SQL = """judged AS (
@@ -805,3 +821,22 @@ def _failure_examples(spark, sf_dir):
 )
 def _snippets(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", snippet(F.col("text")).alias("snippet"))
+
+
+@query(
+    "run_evaluation",
+    f"""WITH {_JUDGED_SQL}
+    SELECT 'quality' AS field, count(*) FILTER (v_quality = 'correct') AS correct, count(*) FILTER (v_quality = 'incorrect') AS incorrect,
+      count(*) FILTER (NOT failed) AS judged_rows, count(*) FILTER (failed) AS failed_rows FROM judged
+    UNION ALL SELECT 'toxic', count(*) FILTER (v_toxic = 'correct'), count(*) FILTER (v_toxic = 'incorrect'),
+      count(*) FILTER (NOT failed), count(*) FILTER (failed) FROM judged""",
+)
+def _run_evaluation(spark, sf_dir):
+    """One judgement per row feeds all reports."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labelled = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    reports = run_evaluation(
+        labelled, label_judge(), JUDGED, [F.col("doc_id")], scratch_path(spark, "judged"), text="text", keep=["doc_id"]
+    )
+    rows = reports["accuracy"].select("judged_rows", "failed_rows")
+    return reports["tallies"].select("field", "correct", "incorrect").crossJoin(rows)

@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsignals.functions.text import utrim
 from jobsignals.functions.values import ratio
 
-# Rank error of the discrete median is 1/accuracy; groups below accuracy/2 rows are exact.
-MEDIAN_ACCURACY = 100_000
+# Buckets a value range of one power of e is cut into when a median is looked for.
+MEDIAN_BUCKETS = 512
 
 
-def discrete_median(column: Column, accuracy: int = MEDIAN_ACCURACY) -> Column:
-    """Aggregate: the median as an actual value of the column, from a mergeable sketch."""
-    return F.percentile_approx(column, 0.5, accuracy)
+def discrete_medians(df: DataFrame, keys: Sequence[str], column: str, output: str) -> DataFrame:
+    """The exact median of every group as an actual value: the smallest one that at least half of
+    the group's non-NULL values do not exceed. Groups without values have no row.
+
+    Values are counted first, with map-side combine, so a hot group shrinks to its distinct values.
+    Counts of buckets, whose number the logarithm bounds, tell which bucket holds the median and
+    how many values lie below it; only the values of that bucket are then put in order. Both steps
+    read the same counts, which Spark shuffles once.
+    """
+    value = F.col(column)
+    bucket = (F.signum(value) * F.floor(F.log1p(F.abs(value)) * MEDIAN_BUCKETS)).cast("long")
+    counts = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_bucket", bucket)
+    group = Window.partitionBy(*keys)
+    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"))
+    buckets = buckets.withColumns({"_upto": F.sum("_in").over(group.orderBy("_bucket")), "_rank": F.ceil(F.sum("_in").over(group) / 2)})
+    held = buckets.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
+    wanted = held.select(*keys, "_bucket", (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_rank"))
+    inside = counts.join(wanted, [*keys, "_bucket"])
+    reached = F.sum("_n").over(group.orderBy(column)) >= F.col("_rank")
+    return inside.withColumn("_reached", reached).where("_reached").groupBy(*keys).agg(F.min(column).alias(output))
 
 
 def sorted_names(column: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from jobsignals.functions.text import snippet
 from jobsignals.functions.values import ratio
+from jobsignals.operators.spread import spread
 
 # Verdicts, gate and message length of the evaluation.
 VERDICTS = ["correct", "incorrect", "uncertain"]
@@ -34,12 +35,12 @@ def judge(
 
     ``judge_fn(text, extraction)`` returns ``{field: {"verdict": ..., "reasoning": ...}}``. A call
     that raises, or an answer that misses a field or uses an unknown verdict, makes that row an
-    error row; the task goes on.
+    error row; the task goes on. Rows are dealt out to ``parallelism`` tasks, by default as many as
+    the cluster runs at once.
     """
     names = list(fields)
     columns = sample.columns
-    if parallelism:
-        sample = sample.repartition(parallelism)
+    sample = spread(sample, parallelism)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -166,3 +167,27 @@ def failure_examples(
         .limit(n)
         .select(*keep, snippet(F.col(text)).alias("snippet"), "faults")
     )
+
+
+def run_evaluation(
+    sample: DataFrame,
+    judge_fn: Callable[[str, dict], dict],
+    fields: Sequence[str],
+    order: Sequence[Column],
+    path: str,
+    text: str = "description_text",
+    keep: Sequence[str] = ("job_id", "job_title"),
+    gate: float = ACCURACY_GATE,
+    parallelism: int | None = None,
+) -> dict[str, DataFrame]:
+    """Judge every row of ``sample`` once, store the rows under ``path`` and derive the reports from
+    them: ``judged``, ``tallies``, ``accuracy`` and ``examples``."""
+    rows = judge(sample, judge_fn, fields, text, parallelism)
+    rows.write.mode("overwrite").parquet(path)
+    judged = sample.sparkSession.read.schema(rows.schema).parquet(path)
+    return {
+        "judged": judged,
+        "tallies": verdict_tallies(judged, fields),
+        "accuracy": judge_accuracy(judged, fields, gate),
+        "examples": failure_examples(judged, fields, order, text=text, keep=keep),
+    }

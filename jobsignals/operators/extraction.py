@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from jobsignals.functions import signals as sig
 from jobsignals.functions.text import dedupe_ignoring_case
-
+from jobsignals.operators.spread import spread
 
 
 def normalise_payload(df: DataFrame, payload: str, failure: str | None = None) -> DataFrame:
@@ -85,12 +85,11 @@ def extract_signals(
     """Call a user extractor for every pending row, one extract record per input row.
 
     The extractor returns a dict or JSON text. It runs inside ``mapInPandas``, so the number of
-    partitions bounds the calls in flight (``parallelism`` sets it). A call that raises becomes an
-    error record. Write the result before using it twice: reading it again calls again.
+    partitions bounds the calls in flight: ``parallelism``, or what the cluster runs at once. A call
+    that raises becomes an error record. Write the result before using it twice: reading it again
+    calls again.
     """
-    if parallelism:
-        pending = pending.repartition(parallelism)
-    rows = pending.select(*keys, text)
+    rows = spread(pending.select(*keys, text), parallelism)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -162,15 +161,16 @@ def skill_pattern(skills: Sequence[str]) -> str:
 
 
 def find_skills(text: Column, skills: Sequence[str] = DEFAULT_SKILLS) -> Column:
-    """Skills named in the text, in order of first mention, at most 20."""
-    found = F.regexp_extract_all(text, F.lit(skill_pattern(skills)), F.lit(1))
-    return F.slice(dedupe_ignoring_case(found), 1, sig.MAX_SKILLS)
+    """All skills named in the text, in order of first mention; the contract rejects too many."""
+    return dedupe_ignoring_case(F.regexp_extract_all(text, F.lit(skill_pattern(skills)), F.lit(1)))
 
 
 def find_years(text: Column) -> Column:
-    """Smallest number of a years requirement (lower end of a range), NULL when not stated."""
-    years = F.regexp_extract(text, YEARS_PATTERN, 1).try_cast("long")
-    return F.when(years.between(sig.MIN_YEARS, sig.MAX_YEARS), years)
+    """Smallest number of all years requirements (lower end of a range) that the contract allows,
+    NULL when none is stated."""
+    found = F.regexp_extract_all(text, F.lit(YEARS_PATTERN), F.lit(1))
+    years = F.transform(found, lambda y: y.try_cast("long"))
+    return F.array_min(F.filter(years, lambda y: y.between(sig.MIN_YEARS, sig.MAX_YEARS)))
 
 
 def _mentions(lowered: Column, *words: str) -> Column:

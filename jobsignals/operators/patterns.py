@@ -6,64 +6,37 @@ equal priorities are settled by code and pattern so that the answer is reproduci
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many patterns become one CASE expression in the scan's own stage.
-INLINE_LIMIT = 200
-# Up to this many patterns and pattern bytes are broadcast; beyond, both sides are cut into a grid
-# of cells.
-BROADCAST_LIMIT = 5_000
-BROADCAST_BYTES = 8 * 1024 * 1024
+# Patterns and distinct texts that one cell of the grid is meant to hold.
+CELL_PATTERNS, CELL_TEXTS = 1_000, 20_000
 
 _TEXT, _DIGEST, _BEST = "_text", "_digest", "_best"
 _ROW, _PART = "_grid_row", "_grid_part"
 
 
-def _ranked(patterns: DataFrame, priority: str, code: str, pattern: str) -> DataFrame:
-    return patterns.where(F.col(pattern).isNotNull()).select(
-        F.struct(
-            F.col(priority).isNull().alias("unranked"),
-            F.col(priority).alias("priority"),
-            F.col(code).alias("code"),
-            F.col(pattern).alias("pattern"),
-        ).alias("p")
-    )
-
+def _rank_key(priority, code, pattern) -> tuple:
+    """The order of the ranked column: the smallest priority, NULL last; then code, NULL first."""
+    return (priority is None, priority if priority is not None else 0, code is not None, code or "", pattern)
 
-def _rank_key(row: Row) -> tuple:
-    """The struct order of the ranked column: NULLs first within a field."""
-    return tuple((value is not None, "" if value is None else value) for value in row.p)
 
-
-def _case_column(text: Column, ranked: list[Row]) -> Column:
+def _case_column(text: Column, patterns: Sequence[Mapping], priority: str, code: str, pattern: str) -> Column:
     result = None
-    for row in ranked:
-        hit = F.rlike(text, F.lit(row.p.pattern))
-        code = F.lit(row.p.code)
-        result = F.when(hit, code) if result is None else result.when(hit, code)
-    return result if result is not None else F.lit(None).cast("string")
-
-
-def _fits_broadcast(ranked: DataFrame) -> bool:
-    """Measure the pattern table, looking no further than one row past the limit."""
-    size = (
-        ranked.limit(BROADCAST_LIMIT + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("p.pattern")).alias("bytes"))
-        .first()
-    )
-    return size.n <= BROADCAST_LIMIT and (size.bytes or 0) <= BROADCAST_BYTES
+    known = [r for r in patterns if r[pattern] is not None]
+    for row in sorted(known, key=lambda r: _rank_key(r[priority], r[code], r[pattern])):
+        hit = F.rlike(text, F.lit(row[pattern]))
+        result = F.when(hit, F.lit(row[code])) if result is None else result.when(hit, F.lit(row[code]))
+    return F.lit(None).cast("string") if result is None else result.cast("string")
 
 
-def _matches_broadcast(texts: DataFrame, ranked: DataFrame) -> DataFrame:
-    return texts.join(F.broadcast(ranked), F.rlike(F.col(_TEXT), F.col("p.pattern")))
-
-
-def _matches_grid(texts: DataFrame, ranked: DataFrame, parts: int, rows: int) -> DataFrame:
+def _matches(texts: DataFrame, ranked: DataFrame, parts: int, rows: int) -> DataFrame:
     """Theta join by cells: a text meets each pattern in exactly one (row, part) cell.
 
     Patterns are spread over ``parts`` and repeated per row, texts over ``rows`` and repeated per
-    part, so no cell holds more than 1/parts of the patterns and 1/rows of the texts.
+    part, so no cell holds more than about 1/parts of the patterns and 1/rows of the texts.
     """
     texts = texts.select(
         _TEXT,
@@ -83,50 +56,39 @@ def _matches_grid(texts: DataFrame, ranked: DataFrame, parts: int, rows: int) ->
 def map_by_pattern(
     df: DataFrame,
     text: Column,
-    patterns: DataFrame,
+    patterns: DataFrame | Sequence[Mapping],
     priority: str = "priority",
     code: str = "anzsco_code",
     pattern: str = "title_pattern",
     output: str = "anzsco_code",
-    method: str = "auto",
-    grid_parts: int | None = None,
+    cells: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add ``output``: the code of the best pattern found in ``text``, NULL when none matches.
 
-    ``case``  one CASE over literal patterns: no join, no shuffle, rows never multiply.
-    ``join``  patterns broadcast against the *distinct* texts, best hit joined back.
-    ``grid``  the same with both sides cut into cells, for pattern tables too large to broadcast.
-    ``auto``  picks by the size of the pattern table, reading at most one row past each limit.
+    Patterns given as rows (mappings) become one CASE over literals: no join, no shuffle, rows
+    never multiply. Patterns given as a DataFrame are joined with the *distinct* texts by cells of a
+    grid, so that neither side is broadcast or met whole by one task, and the best hit is joined
+    back. Both give the same codes. The grid follows the counted patterns and distinct texts;
+    ``cells`` sets (parts of the patterns, rows of the texts) without counting.
     """
-    ranked = _ranked(patterns, priority, code, pattern)
-    if method in ("auto", "case"):
-        inline = ranked.limit(INLINE_LIMIT + 1).collect()
-        if len(inline) <= INLINE_LIMIT:
-            inline.sort(key=_rank_key)
-            return (
-                df.withColumn(_TEXT, text)
-                .withColumn(output, _case_column(F.col(_TEXT), inline))
-                .drop(_TEXT)
-            )
-        if method == "case":
-            raise ValueError(f"more than {INLINE_LIMIT} patterns: use join or grid")
-    if method in ("auto", "join"):
-        if _fits_broadcast(ranked):
-            method = "join"
-        elif method == "join":
-            raise ValueError("the pattern table is too large to broadcast: use grid")
-        else:
-            method = "grid"
-
+    if not isinstance(patterns, DataFrame):
+        case = _case_column(F.col(_TEXT), patterns, priority, code, pattern)
+        return df.withColumn(_TEXT, text).withColumn(output, case).drop(_TEXT)
+    ranked = patterns.where(F.col(pattern).isNotNull()).select(
+        F.struct(
+            F.col(priority).isNull().alias("unranked"),
+            F.col(priority).alias("priority"),
+            F.col(code).alias("code"),
+            F.col(pattern).alias("pattern"),
+        ).alias("p")
+    )
     # Repeated titles are matched once. A hot title is one row here.
     texts = df.select(text.alias(_TEXT)).where(F.col(_TEXT).isNotNull()).distinct()
-    if method == "join":
-        hits = _matches_broadcast(texts, ranked)
-    else:
-        cells = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = grid_parts or max(2, -(-ranked.count() // BROADCAST_LIMIT))
-        hits = _matches_grid(texts, ranked, parts, max(2, cells // parts))
-    best = hits.groupBy(_TEXT).agg(F.min("p").alias(_BEST))
+    if cells is None:
+        distinct = df.select(F.approx_count_distinct(text)).first()[0]
+        cells = (-(-ranked.count() // CELL_PATTERNS), -(-distinct // CELL_TEXTS))
+    parts, rows = (max(1, n) for n in cells)
+    best = _matches(texts, ranked, parts, rows).groupBy(_TEXT).agg(F.min("p").alias(_BEST))
     # The hash as a second key makes Spark shuffle both sides for this join alone. Without it the
     # right side would reuse the shuffle below its aggregate, and AQE splits a hot title only when
     # both shuffles feed the join directly.

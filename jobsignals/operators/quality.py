@@ -103,8 +103,24 @@ def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind}")
 
 
-def _count_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    counted = df.agg(*[F.count_if(violation(c)).alias(f"_c{i}") for i, c in enumerate(checks)])
+KEY_KINDS = ("unique", "unique_combination")
+
+
+def _repeated(check: Check, groups: str = "_rows") -> Column:
+    """Whether a group by the check's columns is a repeated key; NULL is no value of a unique column."""
+    several = F.col(groups) > 1
+    return several & F.col(check.columns[0]).isNotNull() if check.kind == "unique" else several
+
+
+def _count_table_checks(df: DataFrame, checks: Sequence[Check], key: Check | None) -> DataFrame:
+    """Row checks, and one key check, of a table in one pass: violations are counted per key, map
+    side first, and added up over the keys."""
+    counted = [F.count_if(violation(c)).alias(f"_c{i}") for i, c in enumerate(checks)]
+    if key is not None:
+        groups = df.groupBy(*key.columns).agg(F.count(F.lit(1)).alias("_rows"), *counted)
+        counted = [F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(checks))]
+        counted.append(F.count_if(_repeated(key)).alias(f"_c{len(checks)}"))
+        df, checks = groups, [*checks, key]
     rows = [
         F.struct(
             F.lit(c.name).alias("check_name"),
@@ -114,7 +130,7 @@ def _count_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         )
         for i, c in enumerate(checks)
     ]
-    return counted.select(F.inline(F.array(*rows)))
+    return df.agg(*counted).select(F.inline(F.array(*rows)))
 
 
 def _count_failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -129,14 +145,18 @@ def _count_failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, table, severity, failures, status (pass, warn or fail)."""
+    """One row per check: name, table, severity, failures, status (pass, warn or fail).
+
+    All row checks of a table and its first key check share one scan and one shuffle.
+    """
     parts = []
     for table in dict.fromkeys(c.table for c in checks):
         own = [c for c in checks if c.table == table]
         row_checks = [c for c in own if c.kind in ROW_KINDS]
-        if row_checks:
-            parts.append(_count_row_checks(tables[table], row_checks))
-        for check in (c for c in own if c.kind not in ROW_KINDS):
+        key = next((c for c in own if c.kind in KEY_KINDS), None)
+        if row_checks or key:
+            parts.append(_count_table_checks(tables[table], row_checks, key))
+        for check in (c for c in own if c.kind not in ROW_KINDS and c is not key):
             parts.append(
                 _count_failures(check, tables).select(
                     F.lit(check.name).alias("check_name"),

@@ -17,18 +17,8 @@ from jobsignals.plans.staging import (
 )
 from jobsignals.sources.tables import materialise, replace_partitions
 
-
-ENRICHED_PARTITIONS = ["snapshot_date"]
-ENRICHED_ORDER = ["state", "sponsorship_signal", "remote_friendly"]
-
-
-def _refresh_enriched(
-    raw: DataFrame, extracts: DataFrame, path: str, days: Sequence[date]
-) -> DataFrame:
-    wanted = F.col("snapshot_date").isin(list(days))
-    fresh = enriched_postings(staged_postings(raw.where(wanted)), extracts.where(wanted))
-    replace_partitions(fresh, path, ENRICHED_PARTITIONS, ENRICHED_ORDER)
-    return raw.sparkSession.read.schema(fresh.schema).parquet(path)
+BY_DAY = ["snapshot_date"]
+MAPPED_ORDER = ["state", "sponsorship_signal", "remote_friendly"]
 
 
 def build(
@@ -36,44 +26,56 @@ def build(
     extracts: DataFrame,
     seeds: Mapping[str, DataFrame],
     storage: str | None = None,
-    method: str = "auto",
+    title_patterns: Sequence[Mapping] | None = None,
     days: Sequence[date] | None = None,
+    layer_name: str | None = None,
+    comments: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Every layer by name, lazily, or written under ``storage``.
 
-    Three facts read the mapped postings, so a written build stores the enriched postings once,
-    partitioned by day and sorted by the columns the facts filter on; the mapping on top of it
-    stays a view because it adds one column without a shuffle.
+    ``title_patterns`` gives the patterns as rows, which map titles by one expression; without it the
+    pattern table of ``seeds`` is joined. A written build stores the staged and the mapped postings,
+    partitioned by day and sorted by the columns the facts filter on; the enriched postings are the
+    mapped ones without the code. ``comments`` documents columns by layer and column, and a build
+    without ``storage`` but with ``layer_name`` saves catalog tables in that schema.
 
     ``days`` limits the work on postings to those snapshots: only their partitions of the raw and
-    extract tables are read and only their partitions of the stored enriched postings replaced.
-    No posting spans two snapshots, so the result equals a full build when the other days are
-    unchanged. The marts always cover the whole stored table.
+    extract tables are read, only their partitions of the stored postings are replaced, and a day
+    that has no postings any more loses its partitions. No posting spans two snapshots, so the
+    result equals a full build when the other days and the patterns are unchanged. The marts always
+    cover the whole stored table.
     """
     if days is not None and storage is None:
         raise ValueError("days needs a stored build to refresh")
+    spark = raw.sparkSession
 
     def layer(df: DataFrame, name: str, partition_by=(), cluster_by=()) -> DataFrame:
-        if storage is None:
+        if storage is None and layer_name is None:
             return df
-        return materialise(df, name, path=storage, partition_by=partition_by, cluster_by=cluster_by)
+        documented = (comments or {}).get(name)
+        return materialise(df, name, layer=layer_name, path=storage, partition_by=partition_by, cluster_by=cluster_by, comments=documented)
+
+    def postings(df: DataFrame, name: str, cluster_by: Sequence[str]) -> DataFrame:
+        if days is None:
+            return layer(df, name, BY_DAY, cluster_by)
+        path = f"{storage.rstrip('/')}/{name}"
+        replace_partitions(df, path, BY_DAY, cluster_by, covered=days)
+        return spark.read.schema(df.schema).parquet(path)
 
-    patterns = seeds["anzsco_title_patterns"]
+    if days is not None:
+        wanted = F.col("snapshot_date").isin(list(days))
+        raw, extracts = raw.where(wanted), extracts.where(wanted)
     lists = staged_occupation_lists(seeds["occupation_lists"])
-    staged = staged_postings(raw)
-    if days is None:
-        enriched = layer(
-            enriched_postings(staged, extracts), "enriched_postings", ENRICHED_PARTITIONS, ENRICHED_ORDER
-        )
-    else:
-        enriched = _refresh_enriched(raw, extracts, f"{storage.rstrip('/')}/enriched_postings", days)
-    mapped = mapped_postings(enriched, patterns, method)
-    dim = layer(occupation_dim(lists, patterns), "occupation_dim")
+    staged = postings(staged_postings(raw), "staged_postings", ["source_city"])
+    todays = staged if days is None else staged.where(wanted)
+    patterns = seeds["anzsco_title_patterns"] if title_patterns is None else title_patterns
+    mapped = postings(mapped_postings(enriched_postings(todays, extracts), patterns), "mapped_postings", MAPPED_ORDER)
+    dim = layer(occupation_dim(lists, seeds["anzsco_title_patterns"]), "occupation_dim")
     return {
         "staged_postings": staged,
         "staged_occupation_lists": lists,
         "staged_invitation_rounds": staged_invitation_rounds(seeds["eoi_invitations"]),
-        "enriched_postings": enriched,
+        "enriched_postings": mapped.drop("anzsco_code"),
         "mapped_postings": mapped,
         "occupation_dim": dim,
         "supply_demand": layer(

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobsignals.functions.signals import MIN_DESCRIPTION_LENGTH, SIGNAL_FIELDS, STATUS_OK
 from jobsignals.functions.values import array_length, ratio
+from jobsignals.operators.extraction import extract_signals
 from jobsignals.operators.joins import enrich, pending_rows
 from jobsignals.operators.patterns import map_by_pattern
 from jobsignals.operators.ranking import top_rows
+from jobsignals.schemas import EXTRACT, optional
+from jobsignals.sources.tables import read_table, upsert_table
 
 JOB_KEY = ["job_id", "snapshot_date"]
 
@@ -63,9 +67,10 @@ def enriched_postings(staged: DataFrame, extracts: DataFrame) -> DataFrame:
     )
 
 
-def mapped_postings(enriched: DataFrame, patterns: DataFrame, method: str = "auto") -> DataFrame:
-    """Enriched postings with the occupation code their title stands for, NULL for none."""
-    return map_by_pattern(enriched, F.lower("job_title"), patterns, method=method)
+def mapped_postings(enriched: DataFrame, patterns: DataFrame | Sequence[Mapping]) -> DataFrame:
+    """Enriched postings with the occupation code their title stands for, NULL for none; pattern
+    rows become one expression, a pattern table is joined."""
+    return map_by_pattern(enriched, F.lower("job_title"), patterns)
 
 
 def within_window(
@@ -123,3 +128,31 @@ def mapping_coverage(mapped: DataFrame, code: str = "anzsco_code") -> DataFrame:
         (F.col("total_jobs") - F.col("mapped_jobs")).alias("unmapped_jobs"),
         ratio(F.col("mapped_jobs"), F.col("total_jobs")).alias("mapped_share"),
     )
+
+
+def run_extraction(
+    staged: DataFrame,
+    extractor: Callable[[str], dict | str],
+    model: str,
+    extracted_at: datetime,
+    table_path: str,
+    snapshot_date: date | None = None,
+    sample_size: int = 0,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """The whole loop: pending postings, extraction, upsert into the extract table at ``table_path``.
+
+    Returns one row: rows sent to the extractor, ok_rows and error_rows. The extractor is called once
+    per row: the upsert writes its answers before anything else reads them.
+    """
+    spark = staged.sparkSession
+    known = read_table(spark, table_path, optional(EXTRACT))
+    if known is None:
+        known = spark.createDataFrame([], optional(EXTRACT))
+    pending = pending_extraction(staged, known, snapshot_date, sample_size)
+    records = extract_signals(pending, extractor, model, extracted_at, parallelism=parallelism)
+    seen = Observation("extraction")
+    ok = F.count_if(F.col("extraction_status") == STATUS_OK).alias("ok_rows")
+    upsert_table(spark, table_path, records.observe(seen, F.count(F.lit(1)).alias("rows"), ok), JOB_KEY)
+    rows, good = seen.get["rows"], seen.get["ok_rows"]
+    return spark.createDataFrame([(rows, good, rows - good)], "rows long, ok_rows long, error_rows long")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.functions.values import ratio
 from jobsignals.operators.aggregates import (
-    discrete_median,
+    discrete_medians,
     flag_counts,
     group_rates,
     item_counts,
@@ -67,8 +67,9 @@ def occupation_dim(lists: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def job_aggregates(mapped: DataFrame) -> DataFrame:
     """Counts and salaries per occupation; postings without a code are left out."""
-    return flag_counts(
-        mapped.where(F.col("anzsco_code").isNotNull()),
+    coded = mapped.where(F.col("anzsco_code").isNotNull())
+    counted = flag_counts(
+        coded,
         ["anzsco_code"],
         "jobs_count_30d",
         {
@@ -80,8 +81,8 @@ def job_aggregates(mapped: DataFrame) -> DataFrame:
             "local_experience_count": F.col("local_experience_required"),
         },
         F.avg("salary_avg").alias("avg_salary"),
-        discrete_median(F.col("salary_avg")).alias("median_salary"),
     )
+    return counted.join(discrete_medians(coded, ["anzsco_code"], "salary_avg", "median_salary"), "anzsco_code", "left")
 
 
 def supply_demand(

@@ -13,15 +13,15 @@ from jobsignals.operators.ranking import keep_first
 def staged_postings(raw: DataFrame) -> DataFrame:
     """One clean row per (job_id, snapshot_date).
 
-    A posting found in several cities keeps the city that sorts first; ingestion time and link
-    settle repeats within one city. The location fields, not the city, tell where the job is.
+    A posting found in several cities keeps the city that sorts first; within one city the latest
+    ingestion wins, then the smaller link. The location fields, not the city, tell where the job is.
     Rows are reduced before any text is cleaned.
     """
     area = F.col("location.area")
     once = keep_first(
         raw,
         ["id", "snapshot_date"],
-        [F.col("source_city"), F.col("ingested_at"), F.col("redirect_url")],
+        [F.col("source_city"), F.col("ingested_at").desc(), F.col("redirect_url")],
     )
     return once.select(
         F.col("id").alias("job_id"),

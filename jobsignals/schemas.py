@@ -1,4 +1,7 @@
-"""Declared schemas. Nothing in the library infers a schema from data."""
+"""Declared schemas. Nothing in the library infers a schema from data.
+
+Fixed values: names and types of columns must stay as they are.
+"""
 
 from __future__ import annotations
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,48 +36,51 @@ def nested_to_variant(df: DataFrame) -> DataFrame:
     )
 
 
-def export_tables(tables: Mapping[str, DataFrame], path: str) -> None:
-    """Write every table as Parquet under ``path/<name>``, replacing an earlier copy."""
+def export_tables(tables: Mapping[str, DataFrame], path: str) -> dict[str, int]:
+    """Write every table as Parquet under ``path/<name>``, replacing an earlier copy, and return the
+    rows each source gave, counted while it was written."""
+    counts = {}
     for name, df in tables.items():
-        without_zone(df).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        seen = Observation(f"export_{name}")
+        counted = without_zone(df).observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        counts[name] = seen.get["n"]
+    return counts
 
 
 def match_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Arrange loaded columns by name, ignoring case; a column the file lacks is NULL."""
-    own = {c.lower(): c for c in df.columns}
-    return df.select(
-        *[
-            (F.col(own[f.name.lower()]) if f.name.lower() in own else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    """Arrange loaded columns by name, ignoring case; a column the file lacks is NULL, and a struct
+    becomes a variant where the schema asks for one."""
+    own = {f.name.lower(): f for f in df.schema.fields}
 
+    def loaded(field: T.StructField) -> Column:
+        found = own.get(field.name.lower())
+        if found is None:
+            return F.lit(None).cast(field.dataType)
+        if isinstance(field.dataType, T.VariantType) and isinstance(found.dataType, T.StructType):
+            return F.to_variant_object(found.name)
+        return F.col(found.name).cast(field.dataType)
 
-def reconcile(spark: SparkSession, tables: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """Row counts of the sources and of their copies, read back from the target."""
-    parts = []
-    for name, df in tables.items():
-        copy = spark.read.parquet(f"{path.rstrip('/')}/{name}")
-        source = df.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit("source").alias("side"))
-        target = copy.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit("target").alias("side"))
-        parts.append(source.unionByName(target).withColumn("table_name", F.lit(name)))
-    counts = reduce(DataFrame.unionByName, parts)
-    return (
-        counts.groupBy("table_name")
-        .agg(
-            F.sum(F.when(F.col("side") == "source", F.col("n"))).alias("source_rows"),
-            F.sum(F.when(F.col("side") == "target", F.col("n"))).alias("target_rows"),
-        )
-        .withColumn("ok", F.col("source_rows") == F.col("target_rows"))
-    )
+    return df.select(*[loaded(f).alias(f.name) for f in schema.fields])
+
+
+def load_copy(spark: SparkSession, path: str, name: str, schema: T.StructType) -> DataFrame:
+    """A copied table in the schema of its target."""
+    return match_columns(spark.read.parquet(f"{path.rstrip('/')}/{name}"), schema)
+
+
+def reconcile(spark: SparkSession, source_rows: Mapping[str, int], path: str) -> DataFrame:
+    """The rows the sources gave against the rows of their copies, read back from the target."""
+    rows = []
+    for name, source in source_rows.items():
+        target = spark.read.parquet(f"{path.rstrip('/')}/{name}").count()
+        rows.append((name, source, target, source == target))
+    return spark.createDataFrame(rows, "table_name string, source_rows long, target_rows long, ok boolean")
 
 
 def export_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """Copy, count both sides and fail on a mismatch; returns the count report."""
-    export_tables(tables, path)
-    report = reconcile(spark, tables, path)
+    """Copy, count both sides and fail on a mismatch; returns the count report, a row per table."""
+    report = reconcile(spark, export_tables(tables, path), path)
     wrong = [row["table_name"] for row in report.where("NOT ok").collect()]
     if wrong:
         raise RuntimeError(f"row counts differ after copying {wrong}")
@@ -88,7 +90,7 @@ def export_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame], p
 def flat_sample(raw: DataFrame) -> DataFrame:
     """Raw postings as one flat row each, with a 240-character one-line description."""
     area = F.col("location.area")
-    return raw.select(
+    return raw.select(  # fixed values: the columns of the flat file
         "id",
         "title",
         F.col("company.display_name").alias("company"),
@@ -107,4 +109,13 @@ def flat_sample(raw: DataFrame) -> DataFrame:
 
 
 def write_flat_sample(raw: DataFrame, path: str) -> None:
-    flat_sample(raw).write.mode("overwrite").option("header", True).csv(path)
+    """The flat sample as CSV in the standard dialect; cells keep their blanks and line breaks."""
+    (
+        flat_sample(raw)
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from importlib import resources
 
 import pyarrow as pa
@@ -12,18 +13,19 @@ from pyspark.sql import types as T
 
 from jobsignals.schemas import SEEDS
 
-COMMENT_MARK = "#"
-
-
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV with a header in shared storage. A cell that does not fit its type fails the read."""
+    """A CSV with a header in shared storage, in the standard dialect: quotes are doubled, quoted
+    cells may hold commas, blanks and line breaks. A cell that does not fit its type fails the read.
+
+    Line breaks in cells mean that a file is read by one task; large tables come as many files.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("comment", COMMENT_MARK)
         .option("mode", "FAILFAST")
-        .option("multiLine", False)
+        .option("multiLine", True)
+        .option("escape", '"')
         .csv(path)
     )
 
@@ -35,8 +37,13 @@ def read_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
 def bundled_rows(name: str) -> list[dict[str, str | None]]:
     """Rows of a small table shipped with the package, empty cells as None."""
     text = resources.files("jobsignals").joinpath("seeds", f"{name}.csv").read_text("utf-8")
-    lines = [line for line in text.splitlines() if not line.startswith(COMMENT_MARK)]
-    return [{k: v or None for k, v in row.items()} for row in csv.DictReader(lines)]
+    return [{k: v or None for k, v in row.items()} for row in csv.DictReader(io.StringIO(text, newline=""))]
+
+
+def title_pattern_rows() -> list[dict]:
+    """The shipped title patterns as rows with whole-number priorities."""
+    rows = bundled_rows("anzsco_title_patterns")
+    return [{**r, "priority": None if r["priority"] is None else int(r["priority"])} for r in rows]
 
 
 def bundled_seed(spark: SparkSession, name: str) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsignals.session import scratch_path
+from jobsignals.sources.files import remove
 
 
 def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -36,8 +37,13 @@ def replace_partitions(
     path: str,
     partition_by: Sequence[str] = ("snapshot_date",),
     cluster_by: Sequence[str] = ("source_city",),
+    covered: Sequence[object] | None = None,
 ) -> None:
-    """Overwrite exactly the partitions that ``df`` has rows for; a re-run changes nothing."""
+    """Overwrite the partitions that ``df`` has rows for; a re-run changes nothing.
+
+    ``covered`` lists the values of the first partition column that ``df`` speaks for: those it has
+    no rows of are deleted, so replacing a day with nothing leaves nothing.
+    """
     (
         _layout(df, partition_by, cluster_by)
         .write.mode("overwrite")
@@ -45,6 +51,16 @@ def replace_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if covered is not None:
+        first = partition_by[0]
+        left = {str(row[0]) for row in df.where(F.col(first).isin(list(covered))).select(first).distinct().collect()}
+        drop_partitions(df.sparkSession, path, first, [v for v in covered if str(v) not in left])
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence[object]) -> None:
+    """Delete whole partitions, by values without characters that paths escape (dates, codes)."""
+    for value in values:
+        remove(spark, f"{path.rstrip('/')}/{partition}={value}")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
@@ -80,10 +96,11 @@ def upsert_table(
     """Insert or replace ``batch`` by ``keys`` in a table partitioned by one of them.
 
     The batch is written to the shared folder first, so that an expensive extractor runs once and
-    a lost executor never repeats it. Only partitions the batch touches are read and rewritten;
-    their values are the one thing the driver sees (one per day of the batch). The merged rows
-    are staged as well: the table is never read and overwritten in one plan, and a failure
-    leaves either the old or the new files of a partition.
+    a lost executor never repeats it. Only partitions the batch touches are read and rewritten.
+    The merged rows are staged as well: the table is never read and overwritten in one plan. Both
+    copies are removed after the commit. The commit itself deletes a partition's old files before it
+    moves the new ones in: a driver lost in between leaves that partition to be written once more
+    from the merged copy, which is still there then.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
@@ -95,13 +112,15 @@ def upsert_table(
     target = read_table(spark, path, batch.schema)
     if target is None:
         append_snapshot(batch, path, [partition], cluster_by)
+        remove(spark, batch_path)
         return
-    touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    target = target.where(F.col(partition).isin(touched))
+    target = target.join(batch.select(partition).distinct(), partition, "left_semi").select(*batch.columns)
     merged_path = scratch_path(spark, "merged")
     upsert(target, batch, keys).write.parquet(merged_path)
     merged = spark.read.schema(batch.schema).parquet(merged_path)
     replace_partitions(merged, path, [partition], cluster_by)
+    remove(spark, batch_path)
+    remove(spark, merged_path)
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
@@ -162,21 +181,22 @@ def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _megabytes(size: Column) -> Column:
-    return F.round(size / F.lit(1024 * 1024), 2)
+def inventory_with_size(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Rows and file size per table, for tables given by their path.
 
-
-def inventory_with_size(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and file size per table, for tables read straight from files."""
+    Sizes come from the file listing alone, without opening a file, so files without rows count too.
+    """
     parts = []
-    for name, df in tables.items():
-        files = df.groupBy("_metadata.file_path").agg(
-            F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("bytes")
-        )
+    for name, path in paths.items():
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+        size = listed.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
+        rows = row_count(spark.read.parquet(path))
         parts.append(
-            files.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-                _megabytes(F.coalesce(F.sum("bytes"), F.lit(0))).alias("size_mb"),
-            ).select(F.lit(name).alias("table_name"), "row_count", "size_mb")
+            rows.crossJoin(size).select(
+                F.lit(name).alias("table_name"),
+                "row_count",
+                "size_bytes",
+                F.round(F.col("size_bytes") / F.lit(1024 * 1024), 2).alias("size_mb"),
+            )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -1,4 +1,4 @@
-"""Load newly landed files into the raw table, each file exactly once."""
+"""Keep a table equal to the landing zone, folder by folder, as files arrive."""
 
 from __future__ import annotations
 
@@ -6,35 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from jobsignals.schemas import RAW_POSTING, optional, required_columns
-from jobsignals.sources.landing import assert_required
+from jobsignals.schemas import RAW_POSTING, optional
+from jobsignals.sources.landing import landed_part
+from jobsignals.sources.tables import replace_partitions
 
+TABLE_PARTITIONS = ["snapshot_date", "source_city"]
 
-def landed_stream(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType = RAW_POSTING,
-    max_files: int | None = None,
-) -> DataFrame:
-    """Landed postings as a stream, with the checks of the batch reader."""
-    reader = spark.readStream.schema(optional(schema)).option("mode", "FAILFAST")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    df = reader.json(path).select(*schema.names)
-    return assert_required(df, required_columns(schema))
 
+def landed_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The folders (snapshot_date, city_slug) of files as they land, a row per posting."""
+    schema = T.StructType([*optional(RAW_POSTING).fields, T.StructField("city_slug", T.StringType())])
+    stream = spark.readStream.schema(schema).option("mode", "FAILFAST").json(path)
+    return stream.select("snapshot_date", "city_slug")
 
-def load_new_files(landed: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has landed since the last call and stop.
 
-    The file sink logs every committed batch, so a restarted load neither repeats nor skips files.
+def load_new_files(landed: DataFrame, landing: str, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Load what has landed since the last call and stop.
+
+    New files only tell which folders changed. A batch reads those folders as they are now and
+    replaces the same part of the table, so a city that landed again leaves no old rows, a batch that
+    is repeated changes nothing, and files of one folder may come in several batches.
     """
+
+    def load(batch: DataFrame, _: int) -> None:
+        current = landed_part(batch.sparkSession, landing, batch)
+        replace_partitions(current, table_path, TABLE_PARTITIONS, [])
+
     return (
-        landed.writeStream.format("parquet")
-        .option("path", table_path)
+        landed.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("snapshot_date")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

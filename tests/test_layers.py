@@ -45,9 +45,9 @@ def test_one_row_per_posting_and_day(staged):
 def test_repeat_within_one_city_is_settled_by_time_then_link(spark):
     later = datetime(2026, 5, 6, 11, 0, 0)
     rows = [
-        posting("1", ingested_at=later, redirect_url="a"),
-        posting("1", redirect_url="c"),
-        posting("1", redirect_url="b"),
+        posting("1", redirect_url="a"),
+        posting("1", ingested_at=later, redirect_url="c"),
+        posting("1", ingested_at=later, redirect_url="b"),
     ]
     for order in (rows, rows[::-1]):
         assert staged_postings(raw_frame(spark, order)).first().redirect_url == "b"
@@ -257,5 +257,10 @@ def test_stored_build_and_refresh_of_one_day(spark, layers, tmp_path):
     refreshed = build(raw_frame(spark, rows), both, seeds, storage=path, days=[NEXT_DAY])
     for name in [*marts, "enriched_postings"]:
         assert content(refreshed, name) == content(full, name)
+    gone = raw_frame(spark, rows).where(F.col("snapshot_date") != NEXT_DAY)
+    full = build(gone, both, seeds)
+    refreshed = build(gone, both, seeds, storage=path, days=[NEXT_DAY])
+    for name in [*marts, "enriched_postings", "staged_postings"]:
+        assert content(refreshed, name) == content(full, name)
     with pytest.raises(ValueError):
         build(raw_frame(spark), extract_frame(spark), seeds, days=[DAY])

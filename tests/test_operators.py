@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text
-from jobsignals.operators.aggregates import group_rates, item_counts
-from jobsignals.operators.evaluation import failure_examples, judge, judge_accuracy, verdict_tallies
+from jobsignals.operators.aggregates import discrete_medians, group_rates, item_counts
+from jobsignals.operators.evaluation import failure_examples, judge, judge_accuracy, run_evaluation, verdict_tallies
 from jobsignals.operators.joins import enrich, orphans, pending_rows
 from jobsignals.operators.patterns import map_by_pattern
 from jobsignals.operators.quality import (
@@ -106,36 +106,36 @@ def test_all_pattern_methods_agree_with_brute_force(spark, seed):
     titles += [(2000 + i, None) for i in range(150)]
     df = spark.createDataFrame(titles, "id long, title string").repartition(4)
     table = spark.createDataFrame(patterns, "priority long, anzsco_code string, title_pattern string")
+    rows_of_patterns = [dict(zip(("priority", "anzsco_code", "title_pattern"), p)) for p in patterns]
     expected = {i: brute_force(t, patterns) for i, t in titles}
-    for method, parts in [("case", None), ("join", None), ("grid", 2), ("grid", 7), ("auto", None)]:
-        mapped = map_by_pattern(df, F.lower("title"), table, method=method, grid_parts=parts)
+    for given, cells in [(rows_of_patterns, None), (table, None), (table, (2, 3)), (table, (7, 1))]:
+        mapped = map_by_pattern(df, F.lower("title"), given, cells=cells)
         assert mapped.columns == ["id", "title", "anzsco_code"]
         rows = mapped.collect()
         assert len(rows) == len(titles)
-        assert {r.id: r.anzsco_code for r in rows} == expected, method
+        assert {r.id: r.anzsco_code for r in rows} == expected, cells
 
 
-def test_auto_picks_by_the_size_of_the_pattern_table(spark):
+def test_the_kind_of_argument_decides_the_plan(spark):
     df = spark.createDataFrame([("web x7",), ("none",)], "title string")
-
-    def table(n):
-        return spark.range(n).selectExpr(
+    for n in (20, 5200):
+        table = spark.range(n).selectExpr(
             "id AS priority", "CAST(id AS string) AS anzsco_code", "concat('x', id, '$') AS title_pattern"
         )
-
-    small, middle, large = (map_by_pattern(df, F.col("title"), table(n)) for n in (20, 400, 5200))
-    assert "Exchange" not in plan_text(small) and "Join" not in plan_text(small)
-    assert "BroadcastNestedLoopJoin" in plan_text(middle)
-    assert "NestedLoop" not in plan_text(large) and "Cartesian" not in plan_text(large)
-    for mapped in (small, middle, large):
-        assert {r.title: r.anzsco_code for r in mapped.collect()} == {"web x7": "7", "none": None}
+        joined = map_by_pattern(df, F.col("title"), table)
+        assert "NestedLoop" not in plan_text(joined) and "Cartesian" not in plan_text(joined)
+        assert {r.title: r.anzsco_code for r in joined.collect()} == {"web x7": "7", "none": None}
+    rows = [{"priority": i, "anzsco_code": str(i), "title_pattern": f"x{i}$"} for i in range(300)]
+    inline = map_by_pattern(df, F.col("title"), rows)
+    assert "Exchange" not in plan_text(inline) and "Join" not in plan_text(inline)
+    assert {r.title: r.anzsco_code for r in inline.collect()} == {"web x7": "7", "none": None}
 
 
 def test_no_patterns_at_all(spark):
     df = spark.createDataFrame([("a",)], "title string")
     empty = spark.createDataFrame([], "priority long, anzsco_code string, title_pattern string")
-    for method in ("case", "join", "grid"):
-        assert map_by_pattern(df, F.col("title"), empty, method=method).first().anzsco_code is None
+    for given in (empty, []):
+        assert map_by_pattern(df, F.col("title"), given).first().anzsco_code is None
 
 
 # --- aggregates -------------------------------------------------------------------------------
@@ -263,3 +263,37 @@ def test_row_checks_of_a_table_share_one_scan(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     report = run_suite({"t": df}, [not_null("t", "id"), expression_is_true("t", "n", "n < 5"), accepted_values("t", "n", [1])])
     assert plan_text(report).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 400_001])
+def test_medians_are_exact_at_any_size(spark, n):
+    values = spark.range(n).selectExpr("id % 3 AS g", "CASE WHEN id % 11 = 5 THEN NULL ELSE CAST(pmod(id * 7919, 100003) AS double) * 50000 - 1e9 END AS v")
+    wanted = values.where("v IS NOT NULL").groupBy("g").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("m"))
+    got = discrete_medians(values, ["g"], "v", "m")
+    assert sorted(got.collect()) == sorted(wanted.select("g", "m").collect())
+
+
+def test_medians_of_small_and_negative_values(spark):
+    rows = [("a", x) for x in (-1.5, -0.001, 0.0, 0.001, 0.002, 7.0)] + [("b", -3.0), ("b", -2.0), ("c", None)] + [("d", 5.0)] * 9
+    got = discrete_medians(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", "m").collect()
+    assert {r.g: r.m for r in got} == {"a": 0.0, "b": -3.0, "d": 5.0}
+
+
+def test_evaluation_judges_every_row_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def judge_one(text, extraction):
+        import uuid
+
+        from pyspark import TaskContext
+
+        (calls / f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}").write_text(text)
+        return {"skills": {"verdict": "incorrect" if text == "t3" else "correct", "reasoning": "r"}}
+
+    sample = spark.createDataFrame([(f"j{i}", "title", f"t{i}", i) for i in range(40)], "job_id string, job_title string, description_text string, skills int")
+    reports = run_evaluation(sample.limit(40), judge_one, ["skills"], [F.col("job_id")], str(tmp_path / "judged"))
+    assert reports["accuracy"].first().correct == 39 and reports["tallies"].first().incorrect == 1
+    assert [r.job_id for r in reports["examples"].collect()] == ["j3"]
+    assert len(list(calls.iterdir())) == 40
+    assert len({f.name.split("-")[0] for f in calls.iterdir()}) > 1

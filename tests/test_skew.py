@@ -63,7 +63,7 @@ def test_a_hot_title_is_split_when_codes_are_joined_back(spark, settings):
     patterns = spark.createDataFrame(
         [(1, "a", "web.?dev"), (2, "b", "role .*7$")], "priority long, anzsco_code string, title_pattern string"
     )
-    mapped = map_by_pattern(jobs, F.lower("title"), patterns, method="join")
+    mapped = map_by_pattern(jobs, F.lower("title"), patterns)
     rows, plan = executed(mapped)
     assert rows == 200_000
     assert "skewed" in plan

@@ -7,14 +7,17 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import plan_text
+from jobsignals.plans.enrichment import run_extraction
 from jobsignals.schemas import EXTRACT, RAW_POSTING, SEEDS, required_columns
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import (
     export_and_reconcile,
     export_tables,
     flat_sample,
+    load_copy,
     match_columns,
     nested_to_variant,
     reconcile,
@@ -26,6 +29,7 @@ from jobsignals.sources.seeds import bundled_seed, read_seed
 from jobsignals.sources.tables import (
     append_snapshot,
     inventory,
+    drop_partitions,
     inventory_with_size,
     materialise,
     replace_partitions,
@@ -152,8 +156,9 @@ def test_seeds_have_pinned_types(spark, tmp_path):
         assert "LocalTableScan" in plan_text(df)
     assert [bundled_seed(spark, n).count() for n in SEEDS] == [10, 8, 14, 11]
     csv = tmp_path / "lists.csv"
-    csv.write_text("# note\nanzsco_code,occupation_name,list_name,effective_date\n1,A,,2024-07-01\n")
+    csv.write_text('anzsco_code,occupation_name,list_name,effective_date\n#1,"he said ""hi"", ok\nthere ",,2024-07-01\n')
     row = read_seed(spark, "occupation_lists", str(csv)).first()
+    assert (row.anzsco_code, row.occupation_name) == ("#1", 'he said "hi", ok\nthere ')
     assert (row.list_name, row.effective_date) == (None, date(2024, 7, 1))
     csv.write_text("anzsco_code,occupation_name,list_name,effective_date\n1,A,B,never\n")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
@@ -191,7 +196,7 @@ def test_export_and_reconcile(spark, tmp_path):
     copy = spark.read.parquet(str(tmp_path / "raw"))
     assert dict(copy.dtypes)["created"] == "timestamp_ntz" and dict(copy.dtypes)["location"].startswith("struct")
     export_tables({"raw": tables["raw"].limit(3)}, str(tmp_path))
-    assert reconcile(spark, {"raw": tables["raw"]}, str(tmp_path)).first().ok is False
+    assert reconcile(spark, {"raw": len(raw_rows())}, str(tmp_path)).first().ok is False
     assert dict(nested_to_variant(without_zone(tables["raw"])).dtypes)["location"] == "variant"
     upper = copy.toDF(*[c.upper() for c in copy.columns]).drop("ADREF")
     assert match_columns(upper, RAW_POSTING).columns == RAW_POSTING.names
@@ -202,7 +207,7 @@ def test_flat_sample(spark, tmp_path):
     assert rows["7"].description_snippet == "<p>Hi <b>there</b></p>\t tester"
     assert rows["3"].company is None and rows["3"].description_snippet == "" and rows["5"].state is None
     write_flat_sample(raw_frame(spark), str(tmp_path / "csv"))
-    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "csv"))
     assert back.count() == len(raw_rows()) and back.columns[-1] == "description_snippet"
 
 
@@ -212,9 +217,9 @@ def test_counts_and_inventory(spark, tmp_path):
     stored = spark.read.schema(RAW_POSTING).parquet(str(tmp_path / "raw"))
     assert row_count(stored).first().row_count == len(raw_rows())
     assert {tuple(r) for r in inventory({"a": stored, "b": stored.limit(0)}).collect()} == {("a", len(raw_rows())), ("b", 0)}
-    sized = inventory_with_size({"a": stored}).first()
+    sized = inventory_with_size(spark, {"a": str(tmp_path / "raw")}).first()
     size = sum(p.stat().st_size for p in (tmp_path / "raw").rglob("*.parquet"))
-    assert sized.row_count == len(raw_rows()) and sized.size_mb == round(size / 1024 / 1024, 2)
+    assert sized.row_count == len(raw_rows()) and sized.size_bytes == size and sized.size_mb == round(size / 1024 / 1024, 2)
     summary = {r.source_city: r for r in ingest_summary(raw, raw.where("source_city <> 'Brisbane'")).collect()}
     assert summary["Brisbane"].loaded_rows == 0 and not summary["Brisbane"].ok and summary["Sydney"].ok
 
@@ -228,8 +233,77 @@ def test_stream_loads_each_file_once(spark, tmp_path):
         if city:
             land_jsonl(part, landing)
             expected += part.count()
-        load_new_files(landed_stream(spark, landing), table, state).awaitTermination()
+        load_new_files(landed_stream(spark, landing), landing, table, state).awaitTermination()
         assert spark.read.schema(RAW_POSTING).parquet(table).count() == expected
+    again = raw.where("source_city = 'Sydney'").withColumn("title", F.lit("again"))
+    land_jsonl(again, landing)
+    load_new_files(landed_stream(spark, landing), landing, table, state).awaitTermination()
+    rows = spark.read.schema(RAW_POSTING).parquet(table)
+    assert rows.count() == expected
+    assert {r.title for r in rows.where("source_city = 'Sydney'").collect()} == {"again"}
+
+
+def test_landed_records_hold_their_day(spark, tmp_path):
+    land_jsonl(raw_frame(spark), str(tmp_path))
+    for file in tmp_path.rglob("*.gz"):
+        day = file.parent.parent.name.removeprefix("snapshot_date=")
+        assert all(json.loads(line)["snapshot_date"] == day for line in gzip.open(file, "rt"))
+    one_day = read_jsonl(spark, str(tmp_path)).where(F.col("snapshot_date") == F.lit(DAY))
+    plan = spark._jvm.PythonSQLUtils.explainString(one_day._jdf.queryExecution(), "formatted")
+    filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert "snapshot_date" in filters and DAY.isoformat() in filters
+
+
+def test_replacing_days_with_nothing(spark, tmp_path):
+    path, raw = str(tmp_path / "t"), raw_frame(spark)
+    replace_partitions(raw, path)
+    replace_partitions(raw.where(F.lit(False)), path, covered=[DAY])
+    left = spark.read.schema(RAW_POSTING).parquet(path)
+    assert left.where(F.col("snapshot_date") == F.lit(DAY)).count() == 0
+    assert left.count() == raw.where(F.col("snapshot_date") != F.lit(DAY)).count()
+    drop_partitions(spark, path, "snapshot_date", [NEXT_DAY, date(1999, 1, 1)])
+    assert left.sparkSession.read.schema(RAW_POSTING).parquet(path).count() == raw.where(~F.col("snapshot_date").isin(DAY, NEXT_DAY)).count()
+
+
+def test_upserts_leave_no_staging_copies(spark, tmp_path):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "jobsignals"
+    before = set(base.glob("batch-*")) | set(base.glob("merged-*"))
+    for _ in range(3):
+        upsert_table(spark, str(tmp_path / "extracts"), extract_frame(spark))
+    assert set(base.glob("batch-*")) | set(base.glob("merged-*")) == before
+
+
+def test_extraction_loop(spark, tmp_path):
+    path = str(tmp_path / "extracts")
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def extractor(text):
+        import uuid
+
+        from pyspark import TaskContext
+
+        (calls / f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}").write_text(text)
+        if text.endswith("7"):
+            raise ValueError("no answer")
+        return {"years_experience": 2}
+
+    staged = spark.createDataFrame([(str(i), DAY, f"a text long enough {i}") for i in range(60)], "job_id string, snapshot_date date, description_text string")
+    counts = run_extraction(staged, extractor, "m", datetime(2026, 5, 6), path).first()
+    assert (counts.rows, counts.ok_rows, counts.error_rows) == (60, 54, 6)
+    assert len(list(calls.iterdir())) == 60 and len({f.name.split("-")[0] for f in calls.iterdir()}) > 1
+    again = run_extraction(staged, extractor, "m", datetime(2026, 5, 7), path).first()
+    assert (again.rows, again.error_rows) == (6, 6)  # failed rows are tried again, others are not
+    assert spark.read.schema(EXTRACT).parquet(path).count() == 60
+
+
+def test_copies_load_into_the_target_schema(spark, tmp_path):
+    export_and_reconcile(spark, {"raw": raw_frame(spark)}, str(tmp_path))
+    target = T.StructType([T.StructField("ID", T.StringType()), T.StructField("Company", T.VariantType()), T.StructField("more", T.LongType())])
+    loaded = load_copy(spark, str(tmp_path), "raw", target)
+    assert loaded.columns == ["ID", "Company", "more"] and loaded.count() == len(raw_rows())
+    names = {r.n for r in loaded.select(F.try_variant_get("Company", "$.display_name", "string").alias("n")).collect()}
+    assert names == {r.n for r in raw_frame(spark).select(F.col("company.display_name").alias("n")).collect()}
 
 
 def test_scratch_folder_comes_from_the_session(spark):
