@@ -45,7 +45,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Chunks of at least ``least_lines`` lines are grouped by a 128-bit hash and their bytes, over all
     documents, copies combined before the shuffle; of each group the occurrence with the smallest
-    id and place stays. Occurrences then meet their groups by narrow columns, and documents the
+    id and place stays. Occurrences then meet their groups by the hash and a second one, which tells
+    texts of equal hash apart, and documents the
     places to remove; AQE splits the rows of a chunk that very many documents hold. Both joins are
     merge joins at any size, as both sides grow with the corpus.
 
@@ -59,9 +60,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = pieces.select("id", "version", "place", F.unhex(F.md5("chunk")).alias("hash"), "chunk")
     at = F.struct(F.col("id").isNull().alias("last"), "id", "version", "place")
     groups = hashed.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1")
-    repeated = stored(groups.select("hash", F.sha2("chunk", 256).alias("sha"), "first"), "repeated_chunks")
-    places = hashed.select("id", "version", "place", "hash", F.sha2("chunk", 256).alias("sha"))
-    later = places.join(repeated.hint("merge"), ["hash", "sha"]).where(~at.eqNullSafe(F.col("first")))
+    repeated = stored(groups.select("hash", F.xxhash64("chunk").alias("second"), "first"), "repeated_chunks")
+    places = hashed.select("id", "version", "place", "hash", F.xxhash64("chunk").alias("second"))
+    later = places.join(repeated.hint("merge"), ["hash", "second"]).where(~at.eqNullSafe(F.col("first")))
     removed = stored(later.groupBy("id", "version").agg(F.collect_set("place").alias("places")), "removed_places")
     gone = removed.select(F.col("id").alias("of"), F.col("version").alias("of_version"), "places")
     joined = keyed.join(gone.hint("merge"), F.col("version").eqNullSafe(F.col("of_version")) & F.col("id").eqNullSafe(F.col("of")), "left")
