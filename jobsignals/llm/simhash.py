@@ -225,6 +225,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_members: int = TREE_ME
     return link_shards(keyed, radius, tree_members)
 
 
+def component_ids(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """(fp, component_id): the smallest id under each root. ``nodes`` has ``key``, fp and least, the
+    smallest id of the node; ``found`` names the root of ``key`` where it has another.
+
+    Both sides of the last join are stored, so that AQE can split the rows of a large component.
+    """
+    links = found.select(F.col("node").alias("of"), "root")
+    rooted = stored(nodes.join(links, F.col(key) == F.col("of"), "left").select("fp", "least", F.coalesce("root", key).alias("root")), "rooted")
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    return stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per row: id, fingerprint (16 hex digits), component_id, the smallest id among all
     rows that links of at most ``radius`` differing bits reach.
@@ -236,10 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    found = roots(stored(links(nodes.select("fp"), radius), "edges"))
-    rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+    classes = component_ids(nodes, "fp", roots(stored(links(nodes.select("fp"), radius), "edges")))
     return marked.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -287,10 +296,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     schema = pa.schema([("t", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
     keyed = nodes.select("node", "fp").mapInArrow(by_slice(deal, schema), "t int, key long, node long, bits binary")
-    found = roots(stored(link_shards(keyed, radius, tree_members), "edges"))
-    rooted = nodes.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+    classes = component_ids(nodes, "node", roots(stored(link_shards(keyed, radius, tree_members), "edges")))
     return marked.join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
 
 
