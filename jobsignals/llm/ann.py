@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobsignals.llm.common import query, stored, table
+from jobsignals.llm.common import bounded_sample, query, stored, table
 
 K = 32  # neighbours a node keeps in the graph
 TREES = 3  # random projection trees that start it; links of a single one would not leave its leaves
@@ -174,7 +174,7 @@ def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks: int) -> DataFrame:
     """Lists from exhaustive comparison in the leaves of random trees; a leaf that holds more than
     twice what it should is cut by a hash."""
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").toArrow()
+    picked = bounded_sample(nodes, "node", n, SAMPLE).select("vec").toArrow()
     sample = matrix(picked["vec"])
     size = max(16, leaf * len(sample) // n)
     forest = [ProjectionTree(sample, size, SEED + i) for i in range(trees)]
