@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobsignals.llm.common import bounded_sample, query, stored, table
+from jobsignals.llm.common import bounded_sample, discard, query, stored, table
 
 K = 32  # neighbours a node keeps in the graph
 TREES = 3  # random projection trees that start it; links of a single one would not leave its leaves
@@ -265,7 +265,8 @@ def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf:
     blocks = blocks_for(n)
     graph = stored(first_lists(nodes, n, k, trees, leaf, blocks), "graph")
     while True:
-        graph = stored(improve(graph, nodes, k, blocks), "graph")
+        last, graph = graph, stored(improve(graph, nodes, k, blocks), "graph")
+        discard(last)
         share = graph.agg(F.sum(F.size(F.filter("done", lambda x: ~x))) / F.sum(F.size("done"))).first()[0]
         if not share or share < settled:
             return graph
@@ -310,8 +311,10 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
         meetings = reached.select(F.col("block").alias("at"), F.col("search").alias("node")).distinct()
         asking = meetings.join(starts.hint("merge"), "node").select("at", "node", F.col("vec").cast(vec).alias("vec"), F.lit(True).alias("asks"))
         seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, PARCELS)
-        state = stored(merge(state, seen, beam, blocks), "beam")
+        last, state = state, stored(merge(state, seen, beam, blocks), "beam")
+        discard(last)
         if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
+            discard(ways)
             return state.select("node", "ids", "ds")
 
 

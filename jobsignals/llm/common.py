@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignals.session import scratch_path
+from jobsignals.sources.files import remove
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +41,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     executor costs only its running tasks."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``stored`` tables that nothing reads any more."""
+    for table in tables:
+        remove(table.sparkSession, table.scratch)
 
 
 def body(name: str) -> Column:

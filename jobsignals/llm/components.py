@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import stored
+from jobsignals.llm.common import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def roots(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = stored(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small_least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(moved.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "small_star")
+        last, now = now, stored(moved.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "small_star")
+        discard(last, large)
         before, state = state, _state(now)
         if state == before:
             break
