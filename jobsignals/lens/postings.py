@@ -462,24 +462,30 @@ def _skills_demand(spark, sf_dir):
     "postings_marts_stored",
     _sql(
         _TO_ALL,
-        """SELECT 'q1' AS mart, anzsco_code AS key1, list_membership AS key2, jobs_count_30d AS n FROM q1
-        UNION ALL SELECT 'q2', anzsco_code, state, total_jobs FROM q2
-        UNION ALL SELECT 'q3', state, skill, mention_count FROM q3""",
+        """SELECT 'q1' AS mart, anzsco_code AS key1, list_membership AS key2, jobs_count_30d AS n,
+          median_salary AS value1, jobs_to_ceiling_ratio AS value2, occupation_name AS name FROM q1
+        UNION ALL SELECT 'q2', anzsco_code, state, total_jobs, local_experience_pct, sponsorship_yes_pct, occupation_name FROM q2
+        UNION ALL SELECT 'q3', state, skill, mention_count, CAST(cities_mentioned_in AS DOUBLE), NULL, skill_display FROM q3""",
     ),
 )
 def _marts_stored(spark, sf_dir):
     """The written build: layers stored as tables and read back."""
     layers = stored_build(spark, sf_dir, "marts")
 
-    def rows(mart, name, key1, key2, n):
-        return layers[name].select(
-            F.lit(mart).alias("mart"), F.col(key1).alias("key1"), F.col(key2).alias("key2"), F.col(n).alias("n")
-        )
+    names = ["key1", "key2", "n", "value1", "value2", "name"]
+
+    def rows(mart, name, *columns):
+        found = [F.lit(None).cast("double") if c is None else F.col(c) for c in columns]
+        found[3] = found[3].cast("double")
+        return layers[name].select(F.lit(mart).alias("mart"), *[c.alias(n) for c, n in zip(found, names)])
 
+    q1_columns = ("anzsco_code", "list_membership", "jobs_count_30d", "median_salary", "jobs_to_ceiling_ratio", "occupation_name")
+    q2_columns = ("anzsco_code", "state", "total_jobs", "local_experience_pct", "sponsorship_yes_pct", "occupation_name")
+    q3_columns = ("state", "skill", "mention_count", "cities_mentioned_in", None, "skill_display")
     return (
-        rows("q1", "supply_demand", "anzsco_code", "list_membership", "jobs_count_30d")
-        .unionByName(rows("q2", "experience_barrier", "anzsco_code", "state", "total_jobs"))
-        .unionByName(rows("q3", "skills_demand", "state", "skill", "mention_count"))
+        rows("q1", "supply_demand", *q1_columns)
+        .unionByName(rows("q2", "experience_barrier", *q2_columns))
+        .unionByName(rows("q3", "skills_demand", *q3_columns))
     )
 
 
