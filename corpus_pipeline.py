@@ -41,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to the name of its kind, and ``n_chars`` follows the text."""
-    changed = docs.withColumn("text", redact(F.col("text")))
+    changed = redact(docs)
     return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else changed
 
 

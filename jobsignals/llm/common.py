@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsignals.session import scratch_path
 from jobsignals.sources.files import remove
@@ -87,6 +88,21 @@ def by_slice(function: Callable[..., Iterator[tuple] | list[tuple]], schema: pa.
     return run
 
 
+def with_values(df: DataFrame, text_col: str, name: str, kind: pa.DataType, function: Callable[[str | None], object]) -> DataFrame:
+    """``df`` with column ``name``, new or in place of another, worked out from each row's text; the
+    other columns pass through. Python holds the texts of a slice only."""
+    names = df.columns if name in df.columns else [*df.columns, name]
+    spark_kind = {pa.string(): T.StringType(), pa.float64(): T.DoubleType()}[kind]
+    schema = T.StructType([T.StructField(c, df.schema[c].dataType) if c != name else T.StructField(c, spark_kind) for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            values = pa.array([function(t) for t in part.column(part.schema.get_field_index(text_col)).to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays([values if c == name else part.column(part.schema.get_field_index(c)) for c in names], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def arrow_type(kind: str) -> pa.DataType:
     """The Arrow type of an id column."""
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]

@@ -5,12 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import arrow_type, body, by_slice, query, table
+from jobsignals.llm.common import arrow_type, body, by_slice, query, table, with_values
 
 # The four kinds of the contract in its order, then the kinds added here.
 KINDS = ("email", "ip", "card", "phone", "iban")
@@ -143,14 +142,9 @@ def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.withColumnRenamed("id", id_col)
 
 
-def redact(text: Column) -> Column:
-    """The text with every span replaced by its kind; null stays null."""
-
-    @F.pandas_udf("string")
-    def replaced(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else redact_text(t, find_pii(t)))
-
-    return replaced(text)
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every span of the text replaced by its kind; null stays null."""
+    return with_values(docs, text_col, text_col, pa.string(), lambda t: t if t is None else redact_text(t, find_pii(t)))
 
 
 @query("op7_pii")
