@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 # Patterns and distinct texts that one cell of the grid is meant to hold.
 CELL_PATTERNS, CELL_TEXTS = 1_000, 20_000
 
+# A pattern without these characters is a list of literals; each of at least GRAM characters is looked
+# up by its first ones instead of being tried on every text.
+SPECIAL = r"[\\.\[\](){}*+?^$]"
+GRAM = 5
+
 _TEXT, _DIGEST, _BEST = "_text", "_digest", "_best"
 _ROW, _PART = "_grid_row", "_grid_part"
 
@@ -32,6 +37,22 @@ def _case_column(text: Column, patterns: Sequence[Mapping], priority: str, code:
     return F.lit(None).cast("string") if result is None else result.cast("string")
 
 
+def _is_literal(pattern: Column) -> Column:
+    parts = F.split(pattern, r"\|", -1)
+    return ~F.rlike(pattern, F.lit(SPECIAL)) & F.forall(parts, lambda part: F.length(part) >= GRAM)
+
+
+def _literal_matches(texts: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Texts that hold one of a pattern's literals: equal in its first characters at some place, then
+    compared in full. A pattern found several times gives several rows."""
+    literals = ranked.select("p", F.explode(F.split("p.pattern", r"\|", -1)).alias("_literal"))
+    literals = literals.withColumn("_gram", F.substring("_literal", 1, GRAM))
+    places = F.sequence(F.lit(1), F.greatest(F.length(_TEXT) - GRAM + 1, F.lit(1)))
+    grams = F.array_distinct(F.transform(places, lambda i: F.substring(F.col(_TEXT), i, F.lit(GRAM))))
+    found = texts.select(_TEXT, F.explode(grams).alias("_gram")).join(literals, "_gram")
+    return found.where(F.contains(F.col(_TEXT), F.col("_literal"))).select(_TEXT, "p")
+
+
 def _matches(texts: DataFrame, ranked: DataFrame, parts: int, rows: int) -> DataFrame:
     """Theta join by cells: a text meets each pattern in exactly one (row, part) cell.
 
@@ -66,9 +87,9 @@ def map_by_pattern(
     """Add ``output``: the code of the best pattern found in ``text``, NULL when none matches.
 
     Patterns given as rows (mappings) become one CASE over literals: no join, no shuffle, rows
-    never multiply. Patterns given as a DataFrame are joined with the *distinct* texts by cells of a
-    grid, so that neither side is broadcast or met whole by one task, and the best hit is joined
-    back. Both give the same codes. The grid follows the counted patterns and distinct texts;
+    never multiply. Patterns given as a DataFrame are joined with the *distinct* texts and the best hit
+    is joined back: lists of literals by equality of their first characters, other patterns by cells
+    of a grid, so that neither side is broadcast or met whole by one task. Both give the same codes. The grid follows the counted patterns and distinct texts;
     ``cells`` sets (parts of the patterns, rows of the texts) without counting.
     """
     if not isinstance(patterns, DataFrame):
@@ -84,11 +105,14 @@ def map_by_pattern(
     )
     # Repeated titles are matched once. A hot title is one row here.
     texts = df.select(text.alias(_TEXT)).where(F.col(_TEXT).isNotNull()).distinct()
+    literal = _is_literal(F.col("p.pattern"))
+    other = ranked.where(~literal)
     if cells is None:
         distinct = df.select(F.approx_count_distinct(text)).first()[0]
-        cells = (-(-ranked.count() // CELL_PATTERNS), -(-distinct // CELL_TEXTS))
+        cells = (-(-other.count() // CELL_PATTERNS), -(-distinct // CELL_TEXTS))
     parts, rows = (max(1, n) for n in cells)
-    best = _matches(texts, ranked, parts, rows).groupBy(_TEXT).agg(F.min("p").alias(_BEST))
+    hits = _literal_matches(texts, ranked.where(literal)).unionByName(_matches(texts, other, parts, rows))
+    best = hits.groupBy(_TEXT).agg(F.min("p").alias(_BEST))
     # The hash as a second key makes Spark shuffle both sides for this join alone. Without it the
     # right side would reuse the shuffle below its aggregate, and AQE splits a hot title only when
     # both shuffles feed the join directly.

@@ -116,6 +116,17 @@ def test_all_pattern_methods_agree_with_brute_force(spark, seed):
         assert {r.id: r.anzsco_code for r in rows} == expected, cells
 
 
+def test_lists_of_literals_are_looked_up(spark):
+    rng = random.Random(5)
+    words = ["engineer", "analyst", "data", "web dev", "a.b", "engine", "alyst da"]
+    patterns = [(i % 4 or None, "ABCD"[i % 4], "|".join(rng.sample(words, rng.choice([1, 2])))) for i in range(30)]
+    titles = [(i, " ".join(rng.sample(["data engineer", "analyst data", "web dev", "axb", "engin", "é analyst", ""], 2))) for i in range(120)]
+    table = spark.createDataFrame(patterns, "priority long, anzsco_code string, title_pattern string")
+    df = spark.createDataFrame(titles, "id long, title string")
+    got = {r.id: r.anzsco_code for r in map_by_pattern(df, F.lower("title"), table).collect()}
+    assert got == {i: brute_force(t, patterns) for i, t in titles}
+
+
 def test_the_kind_of_argument_decides_the_plan(spark):
     df = spark.createDataFrame([("web x7",), ("none",)], "title string")
     for n in (20, 5200):
