@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from jobsignals.llm.common import bounded_sample, discard, query, stored, table
+from jobsignals.llm.common import bounded_sample, discard, free_rounds, query, stored, table
 
 K = 32  # neighbours a node keeps in the graph
 TREES = 3  # random projection trees that start it; links of a single one would not leave its leaves
@@ -267,6 +267,7 @@ def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf:
     while True:
         last, graph = graph, stored(improve(graph, nodes, k, blocks), "graph")
         discard(last)
+        free_rounds(nodes.sparkSession)
         share = graph.agg(F.sum(F.size(F.filter("done", lambda x: ~x))) / F.sum(F.size("done"))).first()[0]
         if not share or share < settled:
             return graph
@@ -313,6 +314,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int,
         seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, PARCELS)
         last, state = state, stored(merge(state, seen, beam, blocks), "beam")
         discard(last)
+        free_rounds(nodes.sparkSession)
         if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
             discard(ways)
             return state.select("node", "ids", "ds")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -53,6 +54,13 @@ def discard(*tables: DataFrame) -> None:
         remove(table.sparkSession, table.scratch)
 
 
+def free_rounds(spark: SparkSession) -> None:
+    """Between the rounds of an iteration: Spark removes the shuffles of finished rounds when the
+    driver collects its garbage, which a small driver would else put off until its heap is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def body(name: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))
