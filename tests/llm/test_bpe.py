@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from jobsignals.llm import bpe
 from jobsignals.llm.queries import all_queries
+from llm_fixtures import con  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -13,6 +13,7 @@ from jobsignals.llm import pii
 from jobsignals.llm.chat import escape, format_chat, read_back, unescape
 from jobsignals.llm.exact_dedup import exact_dedup
 from jobsignals.llm.queries import all_oracles, all_queries
+from llm_fixtures import con  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

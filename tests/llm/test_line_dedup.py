@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.llm.line_dedup import BASE, DIVISOR, chunks_of, line_dedup
 from jobsignals.llm.queries import all_oracles, all_queries
+from llm_fixtures import con  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 

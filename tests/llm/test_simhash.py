@@ -13,6 +13,7 @@ from jobsignals.llm import simhash
 from jobsignals.llm.common import stored
 from jobsignals.llm.components import roots
 from jobsignals.llm.queries import all_queries
+from llm_fixtures import con  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 
