@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import stored, table
+from jobsignals.llm.common import ship, stored, table
 from jobsignals.llm.exact_dedup import drop_copies
 from jobsignals.llm.packing import pack
 from jobsignals.llm.pii import redact
@@ -24,6 +24,7 @@ SCORE = "__toxicity"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, learnt from the labels of the training folds."""
+    ship(spark)
     model = fit_on_folds(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model, score_col=SCORE).where(F.col(SCORE) < 0.5).drop(SCORE)
 
@@ -35,18 +36,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar texts (five words, 0.8) the document with the smallest id."""
+    ship(spark)
     kept = similar_documents(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to the name of its kind, and ``n_chars`` follows the text."""
+    ship(spark)
     changed = redact(docs)
     return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else changed
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens."""
+    ship(spark)
     return pack(docs)
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import gc
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import jobsignals
 from jobsignals.session import scratch_path
 from jobsignals.sources.files import remove
 
@@ -22,11 +26,32 @@ ORACLES: dict[str, str] = {}
 SLICE_ROWS = 256
 
 
+ARCHIVE = "jobsignals-package.zip"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once in a Spark context: Python workers import the
+    functions of the operators from it, wherever they run."""
+    context = spark.sparkContext
+    if ARCHIVE in context._python_includes:
+        return
+    package = Path(jobsignals.__file__).parent
+    path = Path(tempfile.mkdtemp()) / ARCHIVE
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted([*package.rglob("*.py"), *package.rglob("*.csv")]):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+
+
 def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     """``oracle`` is DuckDB SQL for the same rows; None where SQL cannot express the operator."""
 
     def register(function: Query) -> Query:
-        QUERIES[key] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[key] = run
         if oracle is not None:
             ORACLES[key] = oracle
         return function
