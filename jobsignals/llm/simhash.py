@@ -67,9 +67,8 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     return int.from_bytes(majority(shingle_hashes(text, words)), "little", signed=True)
 
 
-def wide_fingerprint(text: str, words: int, bits: int) -> bytes:
+def wide_fingerprint(hashes: np.ndarray, bits: int) -> bytes:
     """Of each shingle once, so that differing bits follow the similarity of sets."""
-    hashes = np.unique(shingle_hashes(text, words))
     if not len(hashes):
         return bytes(bits // 8)
     return majority(np.stack([mixed(hashes, lane) for lane in range(1, bits // 64 + 1)], axis=1))
@@ -258,9 +257,21 @@ def differing_bits(similarity: float, bits: int) -> float:
     return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-# Of wide fingerprints: bits, choices of bits that make shards, and how many standard deviations
-# above the expected difference still link.
-WIDE_BITS, WIDE_TABLES, WIDE_SLACK = 512, 40, 0.8
+# Of wide fingerprints: bits, and how many standard deviations above the expected difference still link.
+WIDE_BITS, WIDE_SLACK = 512, 0.8
+# Bands of a text, and least hashes in each. Texts of similarity s share a band with probability
+# 1 - (1 - s**BAND_ROWS)**BANDS, 99.93% at 0.8, however many texts there are.
+BANDS, BAND_ROWS = 24, 6
+_DRAWN = random.Random(SEED)
+FACTORS, TERMS = (np.array([_DRAWN.getrandbits(64) | odd for _ in range(BANDS * BAND_ROWS)], np.uint64) for odd in (1, 0))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One key per band from the least of a text's shingle hashes under BANDS * BAND_ROWS orders."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 512):
+        np.minimum(least, (hashes[at : at + 512, None] * FACTORS + TERMS).min(axis=0), out=least)
+    return [signed(xxhash.xxh64_intdigest(band.tobytes(), SEED)) for band in least.astype("<u8").reshape(BANDS, BAND_ROWS)]
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, tree_members: int = TREE_MEMBERS) -> DataFrame:
@@ -268,9 +279,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shingles have at least the given Jaccard similarity, as far as SimHash can tell.
 
     At 0.8 two fingerprints differ in 15% of their bits, too many for 64 bits and shards of equal
-    blocks. So fingerprints have ``WIDE_BITS`` bits, and a shard is a value of as many sampled bits
-    as keep random shards small; a pair at the threshold meets in one of the ``WIDE_TABLES``
-    samples with 95%, a pair at 0.9 practically always. Inside a shard the BK-tree links at the
+    blocks. So fingerprints have ``WIDE_BITS`` bits, and a shard is a value of one of ``BANDS`` bands
+    of least shingle hashes. Whether a pair meets in a shard depends on its similarity alone, not on
+    the size of the corpus. Inside a shard the BK-tree links at the
     expected difference plus ``WIDE_SLACK`` deviations. Nulls, repeats and empty tables are treated
     as in ``near_duplicates``.
     """
@@ -278,24 +289,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kind = rows.schema["id"].dataType.simpleString()
 
     def mark(ids: list, texts: list[str]) -> Iterator[tuple]:
-        return zip(ids, (wide_fingerprint(t, words, WIDE_BITS) for t in texts))
+        for key, text in zip(ids, texts):
+            hashes = np.unique(shingle_hashes(text, words))
+            yield key, wide_fingerprint(hashes, WIDE_BITS), band_keys(hashes)
 
-    marked = stored(rows.mapInArrow(by_slice(mark, pa.schema([("id", arrow_type(kind)), ("fp", pa.binary())])), f"id {kind}, fp binary"), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    n = nodes.count()
-    sampled = max(8, min(40, math.ceil(math.log2(max(n, 2))) - 2))
+    schema = pa.schema([("id", arrow_type(kind)), ("fp", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    marked = stored(rows.mapInArrow(by_slice(mark, schema), f"id {kind}, fp binary, bands array<bigint>"), "fingerprints")
+    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     expected = differing_bits(similarity, WIDE_BITS)
     radius = int(expected + WIDE_SLACK * math.sqrt(expected * (1 - expected / WIDE_BITS)))
-
-    def deal(nodes: list[int], prints: list[bytes]) -> Iterator[tuple]:
-        bits = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1), axis=1, bitorder="little").astype(np.int64)
-        for t in range(WIDE_TABLES):
-            chosen = random.Random(t).sample(range(WIDE_BITS), sampled)
-            keys = bits[:, chosen] @ (1 << np.arange(sampled, dtype=np.int64))
-            yield from zip(repeat(t), keys.tolist(), nodes, prints)
-
-    schema = pa.schema([("t", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
-    keyed = nodes.select("node", "fp").mapInArrow(by_slice(deal, schema), "t int, key long, node long, bits binary")
+    keyed = nodes.select("node", F.col("fp").alias("bits"), F.posexplode("bands").alias("t", "key"))
     classes = component_ids(nodes, "node", roots(stored(link_shards(keyed, radius, tree_members), "edges")))
     return marked.join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
 

@@ -133,6 +133,20 @@ def test_wide_fingerprints_follow_similarity():
         assert sum(differ) / len(differ) == pytest.approx(simhash.differing_bits(similarity, 256), rel=0.1)
 
 
+def test_pairs_at_the_threshold_share_a_band_whatever_the_size():
+    rng = random.Random(6)
+    for size in (10, 100, 1000):
+        met = 0
+        for _ in range(400):
+            shared = [rng.getrandbits(64) for _ in range(size * 8 // 10)]
+            own = (size - len(shared)) // 2
+            a, b = (simhash.band_keys(np.array([*shared, *(rng.getrandbits(64) for _ in range(own))], "u8")) for _ in range(2))
+            met += any(x == y for x, y in zip(a, b))
+        assert met >= 396, size
+    unrelated = [simhash.band_keys(np.array([rng.getrandbits(64) for _ in range(100)], "u8")) for _ in range(400)]
+    assert len({(t, k) for keys in unrelated for t, k in enumerate(keys)}) == 400 * simhash.BANDS
+
+
 def test_edges(spark):
     rows = [(1, "a b c d e"), (2, "A b C d e"), (3, None), (4, ""), (5, "\n"), (None, "a b c d e"), (7, "w " * 100_000), (1, "a b c d e")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
