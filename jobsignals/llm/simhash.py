@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 from collections.abc import Iterator
@@ -143,9 +144,10 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
+def link_shards(keyed: DataFrame, radius: int, tree_members: int, every: bool = False) -> DataFrame:
     """Pairs (a, b) of ``node`` that connect all nodes of a shard (t, key) whose ``bits`` differ in
-    at most ``radius`` places: of a tree's links only as many as connect its members are sent.
+    at most ``radius`` places: of a tree's links only as many as connect its members are sent. With
+    ``every`` all links between nodes of different ``label`` are sent.
 
     Shards are dealt out by key, not broadcast, as together they grow with the input; a shard of
     many near copies is cut into trees of ``tree_members``, each asked by the whole shard.
@@ -155,9 +157,10 @@ def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
     members = keyed.join(trees, ["t", "key"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     asked = members.withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
     inside = (F.pmod(F.xxhash64("node"), "trees").cast("int") == F.col("tree")).alias("inside")
-    tasks = asked.select("t", "key", "tree", inside, "node", "bits").repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "node")
+    labels = ["label"] if every else []
+    tasks = asked.select("t", "key", "tree", inside, "node", "bits", *labels).repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "node")
 
-    def connect(nodes: list[int], bits: list, inside: list[bool]) -> Iterator[tuple[int, int]]:
+    def connect(nodes: list[int], bits: list, inside: list[bool], label: list[int] | None = None) -> Iterator[tuple[int, int]]:
         """Links among the members inside the tree, and from the others to them."""
         tree = BKTree()
         parent = list(range(len(nodes)))
@@ -171,6 +174,10 @@ def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
         for i, value in enumerate(bits):
             value = int.from_bytes(value, "little") if isinstance(value, bytes) else value & 0xFFFFFFFFFFFFFFFF
             for j in tree.within(value, radius):
+                if label is not None:
+                    if label[i] != label[j]:
+                        yield nodes[i], nodes[j]
+                    continue
                 a, b = top(i), top(j)
                 if a != b:
                     parent[a] = b
@@ -180,7 +187,7 @@ def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shards arrive one after another, and may go on in the next batch."""
-        names = ["t", "key", "tree", "inside", "node", "bits"]
+        names = ["t", "key", "tree", "inside", "node", "bits", *labels]
         held: pa.Table | None = None
         for batch in batches:
             part = pa.Table.from_batches([batch.select(names)])
@@ -201,10 +208,11 @@ def link_shards(keyed: DataFrame, radius: int, tree_members: int) -> DataFrame:
         pairs: list[tuple[int, int]] = []
         for a, b in shards[:-1] if keep_last else shards:
             if b - a > 1:
-                pairs += connect(*(part[c].slice(a, b - a).to_pylist() for c in ("node", "bits", "inside")))
-            if len(pairs) > 10_000 or (pairs and (a, b) == shards[-1]):
-                yield pair_batch(pairs)
-                pairs = []
+                for pair in connect(*(part[c].slice(a, b - a).to_pylist() for c in ("node", "bits", "inside", *labels))):
+                    pairs.append(pair)
+                    if len(pairs) > 10_000:
+                        yield pair_batch(pairs)
+                        pairs = []
         if pairs:
             yield pair_batch(pairs)
 
@@ -258,7 +266,9 @@ def differing_bits(similarity: float, bits: int) -> float:
 
 
 # Of wide fingerprints: bits, and how many standard deviations above the expected difference still link.
-WIDE_BITS, WIDE_SLACK = 512, 0.8
+# Where the sets decide, three deviations would do for large ones; sets of four and five shingles
+# differ in 96 bits on average.
+WIDE_BITS, WIDE_SLACK, CONFIRMED_SLACK = 512, 0.8, 5.5
 # Bands of a text, and least hashes in each. Texts of similarity s share a band with probability
 # 1 - (1 - s**BAND_ROWS)**BANDS, 99.93% at 0.8, however many texts there are.
 BANDS, BAND_ROWS = 24, 6
@@ -274,33 +284,81 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [signed(xxhash.xxh64_intdigest(band.tobytes(), SEED)) for band in least.astype("<u8").reshape(BANDS, BAND_ROWS)]
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, tree_members: int = TREE_MEMBERS) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets (node, hashes) have at least that Jaccard similarity."""
+
+    def check(a: list[int], b: list[int], left: list[bytes], right: list[bytes]) -> Iterator[tuple]:
+        for i, j, x, y in zip(a, b, left, right):
+            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both / (len(x) + len(y) - both) >= similarity:
+                yield i, j
+
+    left, right = (sets.select(F.col("node").alias(end), F.col("hashes").alias(name)) for end, name in (("a", "left_hashes"), ("b", "right_hashes")))
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "left_hashes", "right_hashes")
+    return joined.mapInArrow(by_slice(check, pa.schema([("a", pa.int64()), ("b", pa.int64())])), "a long, b long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, tree_members: int = TREE_MEMBERS, confirm: bool = False) -> DataFrame:
     """One row per row: id and component_id, the smallest id that links reach, for texts whose word
-    shingles have at least the given Jaccard similarity, as far as SimHash can tell.
+    shingles have at least the given Jaccard similarity: as far as SimHash can tell, or with
+    ``confirm`` by the shingle sets of the pairs that SimHash proposes.
 
     At 0.8 two fingerprints differ in 15% of their bits, too many for 64 bits and shards of equal
     blocks. So fingerprints have ``WIDE_BITS`` bits, and a shard is a value of one of ``BANDS`` bands
     of least shingle hashes. Whether a pair meets in a shard depends on its similarity alone, not on
-    the size of the corpus. Inside a shard the BK-tree links at the
-    expected difference plus ``WIDE_SLACK`` deviations. Nulls, repeats and empty tables are treated
-    as in ``near_duplicates``.
+    the size of the corpus. Inside a shard the BK-tree links at the expected difference plus
+    ``WIDE_SLACK`` deviations. With ``confirm`` it proposes up to ``CONFIRMED_SLACK`` deviations, and
+    the sets of 64-bit shingle hashes confirm a pair, so no two less similar texts are linked.
+
+    To confirm, first only as many pairs as connect a shard are confirmed. Where one of them is refused, all
+    proposed pairs of that loose group that are not connected yet are checked too, so no pair is
+    passed over; a group of many texts just under the similarity costs all its pairs. Texts of equal
+    sets are one node. Nulls, repeats and empty tables are treated as in ``near_duplicates``.
     """
-    rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(body(text_col), 256)).alias("version"), body(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
-    def mark(ids: list, texts: list[str]) -> Iterator[tuple]:
-        for key, text in zip(ids, texts):
+    def mark(ids: list, versions: list[bytes], texts: list[str]) -> Iterator[tuple]:
+        for key, version, text in zip(ids, versions, texts):
             hashes = np.unique(shingle_hashes(text, words))
-            yield key, wide_fingerprint(hashes, WIDE_BITS), band_keys(hashes)
+            yield key, version, hashlib.sha256(hashes.astype("<u8").tobytes()).digest(), wide_fingerprint(hashes, WIDE_BITS), band_keys(hashes)
 
-    schema = pa.schema([("id", arrow_type(kind)), ("fp", pa.binary()), ("bands", pa.list_(pa.int64()))])
-    marked = stored(rows.mapInArrow(by_slice(mark, schema), f"id {kind}, fp binary, bands array<bigint>"), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    schema = pa.schema([("id", arrow_type(kind)), ("version", pa.binary()), ("fp", pa.binary()), ("bits", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    marked = stored(rows.mapInArrow(by_slice(mark, schema), f"id {kind}, version binary, fp binary, bits binary, bands array<bigint>"), "fingerprints")
+    grouped = marked.groupBy("fp").agg(F.min("id").alias("least"), *(F.min(c).alias(c) for c in ("version", "bits", "bands")))
+    nodes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
     expected = differing_bits(similarity, WIDE_BITS)
-    radius = int(expected + WIDE_SLACK * math.sqrt(expected * (1 - expected / WIDE_BITS)))
-    keyed = nodes.select("node", F.col("fp").alias("bits"), F.posexplode("bands").alias("t", "key"))
-    classes = component_ids(nodes, "node", roots(stored(link_shards(keyed, radius, tree_members), "edges")))
-    return marked.join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
+    radius = int(expected + (CONFIRMED_SLACK if confirm else WIDE_SLACK) * math.sqrt(expected * (1 - expected / WIDE_BITS)))
+    keyed = nodes.select("node", "bits", F.posexplode("bands").alias("t", "key"))
+    ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    proposed = stored(link_shards(keyed, radius, tree_members).select(*ordered).distinct(), "proposed")
+
+    def connected(edges: DataFrame) -> DataFrame:
+        classes = component_ids(nodes, "node", roots(edges))
+        return marked.select("id", "fp").join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
+
+    if not confirm:
+        return connected(proposed)
+
+    def gather(numbers: list[int], texts: list[str]) -> Iterator[tuple]:
+        return zip(numbers, (np.unique(shingle_hashes(t, words)).astype("<u8").tobytes() for t in texts))
+
+    wanted = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "version"), "node")
+    texts = rows.select("version", "text").dropDuplicates(["version"]).join(wanted, "version").select("node", "text")
+    sets = stored(texts.mapInArrow(by_slice(gather, pa.schema([("node", pa.int64()), ("hashes", pa.binary())])), "node long, hashes binary"), "shingles")
+    edges = stored(confirmed(proposed, sets, similarity), "confirmed")
+    refused = proposed.join(edges, ["a", "b"], "left_anti")
+    if not refused.isEmpty():
+        loose = roots(proposed)
+        doubtful = refused.select("a").distinct().join(loose, F.col("a") == F.col("node"), "left").select(F.coalesce("root", "a").alias("root")).distinct()
+        members = loose.join(doubtful, "root", "left_semi").select("node").unionByName(doubtful.select(F.col("root").alias("node")))
+        known = roots(edges).withColumnRenamed("root", "label")
+        labelled = stored(members.join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label")).join(nodes, "node").select("node", "label", "bits", "bands"), "doubtful")
+        again = labelled.select("node", "label", "bits", F.posexplode("bands").alias("t", "key"))
+        others = link_shards(again, radius, tree_members, every=True).select(*ordered).distinct().join(proposed, ["a", "b"], "left_anti")
+        edges = edges.unionByName(stored(confirmed(stored(others, "proposed"), sets, similarity), "confirmed"))
+    return connected(edges)
 
 
 @query("op8_simhash")

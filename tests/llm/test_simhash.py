@@ -147,6 +147,48 @@ def test_pairs_at_the_threshold_share_a_band_whatever_the_size():
     assert len({(t, k) for keys in unrelated for t, k in enumerate(keys)}) == 400 * simhash.BANDS
 
 
+def test_similar_documents_at_the_threshold(spark):
+    """Pairs at 0.8 are linked, pairs at 0.79 and 0.7 are not."""
+    rng = random.Random(7)
+    rows, wanted = [], {}
+
+    def word():
+        return f"w{rng.randrange(10**9)}"
+
+    for shared, own in ((80, (10, 10)), (79, (10, 11)), (70, (15, 15)), (4, (0, 1))):
+        for _ in range(150):
+            passage = [word() for _ in range(shared + 4)]
+            for n in own:
+                rows.append((len(rows), " ".join(passage + [word() for _ in range(n)])))
+                wanted[len(rows) - 1] = len(rows) - 1
+            if shared / (shared + sum(own)) >= 0.8:
+                wanted[len(rows) - 1] -= 1
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), confirm=True).collect()}
+    assert all(got[i] == i for i in wanted if wanted[i] == i)
+    assert sum(got[i] == wanted[i] for i in wanted) >= len(rows) - 4
+
+
+@pytest.mark.parametrize("members", [2000, 4])
+def test_similar_documents_of_drifting_texts(spark, members):
+    """Texts that drift away step by step: components as by comparing all pairs."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(25):
+        text = [f"w{rng.randrange(10**9)}" for _ in range(150)]
+        for _ in range(8):
+            rows.append((len(rows), " ".join(text)))
+            text = edited(text, rng.choice((0.005, 0.015, 0.03)), rng)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    parent = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), tree_members=members, confirm=True).collect()}
+    assert [got[i] for i, _ in rows] == parent
+
+
 def test_edges(spark):
     rows = [(1, "a b c d e"), (2, "A b C d e"), (3, None), (4, ""), (5, "\n"), (None, "a b c d e"), (7, "w " * 100_000), (1, "a b c d e")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, fp int")
