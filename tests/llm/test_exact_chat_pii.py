@@ -113,6 +113,21 @@ def test_checksums_and_context():
     assert near[0][3] == 1.0 and far[0][3] == pytest.approx(0.9)
 
 
+def test_words_around_an_iban_do_not_hide_it():
+    def ibans(text):
+        return [text[a:b] for kind, a, b, _ in pii.find_pii(text) if kind == "iban"]
+
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for iban in (plain, spaced, "NO9386011117947", "MT84MALT011000012345MTLCAST001S"):
+        for text in ("{}", "{} BIC COBADEFFXXX", "{} 2024-01-01", "{} A B C", "NR12 {} X1", "{}, {} 7"):
+            assert ibans(text.format(iban, iban)) == [iban] * text.count("{}"), text.format(iban, iban)
+    assert not ibans(plain + "x") and not ibans("x" + plain) and not ibans(plain[:-1] + "1 BIC")
+    unlisted = "ZZ" + f"{98 - int('1234567890123' + '3535' + '00') % 97:02d}" + "1234567890123"
+    assert ibans(unlisted + " BIC 7") == [unlisted]
+    assert pii.redact_text(f"to {plain} BIC X", pii.find_pii(f"to {plain} BIC X")) == "to <IBAN> BIC X"
+    pii.find_pii("AA11 " * 60_000)
+
+
 def test_redaction_and_edges(spark):
     rows = [(1, "mail a@b.c or +1 (459) 555-7713!", 1), (2, None, 2), (3, "", 3), (None, "ip 1.2.3.4", 4), (4, "x " * 100_000 + "a@b.c", 5), (4, "x", 6)]
     got = pii.detect_pii(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
