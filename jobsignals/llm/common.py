@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 import jobsignals
 from jobsignals.session import scratch_path
@@ -137,5 +138,5 @@ def with_values(df: DataFrame, text_col: str, name: str, kind: pa.DataType, func
 
 
 def arrow_type(kind: str) -> pa.DataType:
-    """The Arrow type of an id column."""
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    """The Arrow type of an id column of any simple type."""
+    return to_arrow_type(T.DataType.fromDDL(kind))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignals.llm import ann, bpe, chat, exact_dedup, line_dedup, lm, packing, pii, simhash, toxicity  # noqa: F401
+from jobsignals.llm import ann, bpe, chat, conversation_trie, exact_dedup, lexical, line_dedup, lm, packing, pii, quality_trees, simhash, toxicity  # noqa: F401
 from jobsignals.llm.common import ORACLES, QUERIES, Query
 
 
