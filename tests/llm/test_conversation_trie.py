@@ -1,0 +1,101 @@
+"""The trie against a plain one that holds every prefix of every conversation."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from jobsignals.llm import conversation_trie as ct
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+            turns[conv].append(((turn is not None, turn or 0), digest, (role, text)))
+    original = {c: [x[2] for x in sorted(t)] for c, t in turns.items()}
+    whole = {}
+    for c, own in original.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        head = original.get(c - (c % 100 if c >= 0 else -(-c % 100)), [])
+        whole[c] = tuple(head[:h] + own[h:])
+    members = defaultdict(list)
+    for c, seq in whole.items():
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+
+    def subtree(node):
+        below = [node]
+        for x in below:
+            below.extend(children[x])
+        return below
+
+    out = set()
+    for node, convs in members.items():
+        below = subtree(node)
+        ends = ",".join(map(str, sorted(c for c in convs if whole[c] == node)))
+        parent = min(members[node[:-1]]) if node else None
+        saved = sum((len(members[x]) - 1) * len(x[-1][1]) for x in below if x)
+        out.add((min(convs), len(node), parent, len(convs), len(children[node]), sum(not children[x] for x in below), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def trie(spark, rows):
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, depth string")
+    found = ct.conversation_trie(df).select(*COLUMNS).collect()
+    assert len(found) == len({tuple(r) for r in found})
+    return {tuple(r) for r in found}
+
+
+def random_rows(seed, convs):
+    random.seed(seed)
+    rows = []
+    for c in convs:
+        for t in range(random.randrange(1, 9)):
+            rows.append((c, t, random.choice(["user", "assistant"]), random.choice(["a", "bb", "é🙂", "", "dddd"])))
+    return rows
+
+
+def test_equals_the_plain_trie(spark):
+    rows = random_rows(1, [*range(0, 40), *range(100, 130), *range(205, 215), -7, -100])
+    rows += [(None, 0, "user", "x"), (3, None, "user", "first"), (3, 1, "user", "tie"), (3, 1, "user", "tie"), (3, 1, None, None), (300, None, None, None)]
+    assert trie(spark, rows) == brute(rows)
+
+
+def test_long_conversations_and_end_lists_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ct, "PIECE", 3)
+    monkeypatch.setattr(ct.running_sums, "__defaults__", (2,))
+    rows = random_rows(2, range(100, 110)) + [(7, t, "user", f"turn {t % 3}") for t in range(300)]
+    rows += [(1000 + i, t, "user", "same") for i in range(60) for t in range(2)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert trie(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_empty_and_turnless(spark):
+    assert trie(spark, []) == set()
+    assert trie(spark, [(None, 1, "user", "x")]) == set()
+    # Conversation 501 has one turn; its hundred's first does not exist, so it may lose the turn.
+    lone = next(c for c in range(501, 600) if zlib.crc32(str(c).encode()) % 6 == 5)
+    assert trie(spark, [(lone, 0, "user", "x")]) == brute([(lone, 0, "user", "x")]) == {(lone, 0, None, 1, 0, 1, 0, hashlib.sha256(str(lone).encode()).hexdigest())}
+
+
+def test_running_sums_in_chunks(spark):
+    rows = spark.createDataFrame([(k, p, 1) for k in (1, 2) for p in range(0, 50)], "k long, p long, v long")
+    for chunk in (1, 7, 4096):
+        found = ct.running_sums(rows, "k", "p", ["v"], chunk).where(F.col("v") != F.col("p") + 1)
+        assert found.isEmpty()
