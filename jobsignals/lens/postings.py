@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignals.lens.registry import query, sql_trim, sql_values, table
+from jobsignals.operators.calls import CallPolicy
 from jobsignals.operators.quality import Check, fill_gate, run_suite, source_verdict, suite_result
 from jobsignals.plans.build import build
 from jobsignals.plans.checks import all_checks, posting_fields
@@ -854,10 +855,11 @@ _TODO = """todo AS (
     ),
 )
 def _run_extraction(spark, sf_dir):
-    """The extract table after one run of the loop on the records that are there already."""
+    """The extract table after one run of the loop, in rounds, on the records that are there already."""
     path = scratch_path(spark, "extracts")
     append_snapshot(extract_records(spark, sf_dir), path, cluster_by=["remote_friendly"])
-    run_extraction(staged(spark, sf_dir), third_fails(), "lengths", datetime(2026, 1, 2), path)
+    waits = CallPolicy(first_wait=0.0)
+    run_extraction(staged(spark, sf_dir), third_fails(), "lengths", datetime(2026, 1, 2), path, policy=waits, round_rows=20_000)
     return spark.read.parquet(path).select("job_id", "snapshot_date", "extraction_status")
 
 

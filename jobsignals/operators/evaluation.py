@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from jobsignals.functions.text import snippet
 from jobsignals.functions.values import ratio
+from jobsignals.operators.calls import Caller, CallPolicy
 from jobsignals.operators.spread import spread
 
 # Verdicts, gate and message length of the evaluation.
@@ -30,30 +31,32 @@ def judge(
     fields: Sequence[str],
     text: str = "description_text",
     parallelism: int | None = None,
+    policy: CallPolicy = CallPolicy(),
 ) -> DataFrame:
     """Add one ``<field>_judgment`` struct per field, and ``error`` for rows that were not judged.
 
     ``judge_fn(text, extraction)`` returns ``{field: {"verdict": ..., "reasoning": ...}}``. A call
     that raises, or an answer that misses a field or uses an unknown verdict, makes that row an
     error row; the task goes on. Rows are dealt out to ``parallelism`` tasks, by default as many as
-    the cluster runs at once.
+    the cluster runs at once; each keeps calls open and tries them again as ``policy`` says.
     """
     names = list(fields)
     columns = sample.columns
     sample = spread(sample, parallelism)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            answers, errors = [], []
-            extractions = batch["_extraction"].map(json.loads)
-            for body, extraction in zip(batch[text], extractions):
-                try:
-                    answers.append(json.dumps(judge_fn(body, extraction)))
-                    errors.append(None)
-                except Exception as exc:  # noqa: BLE001 - a failed call is a result row
-                    answers.append(None)
-                    errors.append(str(exc))
-            yield batch.drop(columns="_extraction").assign(_answer=answers, _failure=errors)
+        with Caller(judge_fn, policy) as caller:
+            for batch in batches:
+                answers, errors = [], []
+                given = zip(batch[text], batch["_extraction"].map(json.loads))
+                for answer, error in caller.outcomes(given):
+                    try:
+                        answers.append(None if error else json.dumps(answer))
+                        errors.append(str(error) if error else None)
+                    except (TypeError, ValueError) as exc:
+                        answers.append(None)
+                        errors.append(str(exc))
+                yield batch.drop(columns="_extraction").assign(_answer=answers, _failure=errors)
 
     packed = sample.withColumn(
         "_extraction", F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
@@ -179,10 +182,11 @@ def run_evaluation(
     keep: Sequence[str] = ("job_id", "job_title"),
     gate: float = ACCURACY_GATE,
     parallelism: int | None = None,
+    policy: CallPolicy = CallPolicy(),
 ) -> dict[str, DataFrame]:
     """Judge every row of ``sample`` once, store the rows under ``path`` and derive the reports from
     them: ``judged``, ``tallies``, ``accuracy`` and ``examples``."""
-    rows = judge(sample, judge_fn, fields, text, parallelism)
+    rows = judge(sample, judge_fn, fields, text, parallelism, policy)
     rows.write.mode("overwrite").parquet(path)
     judged = sample.sparkSession.read.schema(rows.schema).parquet(path)
     return {

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from jobsignals.functions import signals as sig
 from jobsignals.functions.text import dedupe_ignoring_case
+from jobsignals.operators.calls import Caller, CallPolicy
 from jobsignals.operators.spread import spread
 
 
@@ -73,6 +74,14 @@ def normalise_payload(df: DataFrame, payload: str, failure: str | None = None) -
     )
 
 
+def as_payload(answer: dict | str) -> tuple[str | None, str | None]:
+    """(JSON text, None) of an extractor's answer, or (None, message) if it has no JSON form."""
+    try:
+        return (answer if isinstance(answer, str) else json.dumps(answer)), None
+    except (TypeError, ValueError) as exc:
+        return None, repr(exc)
+
+
 def extract_signals(
     pending: DataFrame,
     extractor: Callable[[str], dict | str],
@@ -81,28 +90,27 @@ def extract_signals(
     keys: Sequence[str] = ("job_id", "snapshot_date"),
     text: str = "description_text",
     parallelism: int | None = None,
+    policy: CallPolicy = CallPolicy(),
 ) -> DataFrame:
     """Call a user extractor for every pending row, one extract record per input row.
 
-    The extractor returns a dict or JSON text. It runs inside ``mapInPandas``, so the number of
-    partitions bounds the calls in flight: ``parallelism``, or what the cluster runs at once. A call
-    that raises becomes an error record. Write the result before using it twice: reading it again
-    calls again.
+    The extractor, a function or a coroutine function, returns a dict or JSON text. It runs inside
+    ``mapInPandas`` in ``parallelism`` tasks (default: what the cluster runs at once), and each task
+    keeps up to ``policy.in_flight`` calls open, so the two together bound the load on a service. Calls
+    that fail for a passing reason are tried again by the policy; a call that raises for good becomes
+    an error record. Write the result before using it twice: reading it again calls again.
     """
     rows = spread(pending.select(*keys, text), parallelism)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            payloads, failures = [], []
-            for body in batch[text]:
-                try:
-                    answer = extractor(body)
-                    payloads.append(answer if isinstance(answer, str) else json.dumps(answer))
-                    failures.append(None)
-                except Exception as exc:  # noqa: BLE001 - a failed call is a result row
-                    payloads.append(None)
-                    failures.append(repr(exc))
-            yield batch[list(keys)].assign(_payload=payloads, _failure=failures)
+        with Caller(extractor, policy) as caller:
+            for batch in batches:
+                payloads, failures = [], []
+                for answer, error in caller.outcomes((body,) for body in batch[text]):
+                    payload, failure = as_payload(answer) if error is None else (None, repr(error))
+                    payloads.append(payload)
+                    failures.append(failure)
+                yield batch[list(keys)].assign(_payload=payloads, _failure=failures)
 
     schema = T.StructType(
         [

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from jobsignals.functions.signals import MIN_DESCRIPTION_LENGTH, SIGNAL_FIELDS, STATUS_OK
 from jobsignals.functions.values import array_length, ratio
+from jobsignals.operators.calls import CallPolicy
 from jobsignals.operators.extraction import extract_signals
 from jobsignals.operators.joins import enrich, pending_rows
 from jobsignals.operators.patterns import map_by_pattern
 from jobsignals.operators.ranking import top_rows
 from jobsignals.schemas import EXTRACT, optional
-from jobsignals.sources.tables import read_table, upsert_table
+from jobsignals.session import scratch_path
+from jobsignals.sources.files import remove
+from jobsignals.sources.tables import append_snapshot, one_of, read_table, upsert_table
 
 JOB_KEY = ["job_id", "snapshot_date"]
 
@@ -130,6 +133,26 @@ def mapping_coverage(mapped: DataFrame, code: str = "anzsco_code") -> DataFrame:
     )
 
 
+# Rows that one committed round of extraction holds, about.
+ROUND_ROWS = 100_000
+
+
+def plan_rounds(per_day: Mapping[date, int], round_rows: int) -> list[tuple[list[date], int, int]]:
+    """Rounds of about ``round_rows`` rows as (days, part, parts), newest days first: small days share
+    a round, so that few partitions are rewritten twice, and a large one is cut into parts."""
+    rounds, days, held = [], [], 0
+    for day, n in sorted(per_day.items(), key=lambda x: x[0], reverse=True):
+        if days and held + n > round_rows:
+            rounds.append((days, 0, 1))
+            days, held = [], 0
+        parts = -(-n // round_rows)
+        if parts > 1:
+            rounds.extend(([day], part, parts) for part in range(parts))
+        else:
+            days, held = [*days, day], held + n
+    return [*rounds, (days, 0, 1)] if days else rounds
+
+
 def run_extraction(
     staged: DataFrame,
     extractor: Callable[[str], dict | str],
@@ -139,20 +162,35 @@ def run_extraction(
     snapshot_date: date | None = None,
     sample_size: int = 0,
     parallelism: int | None = None,
+    policy: CallPolicy = CallPolicy(),
+    round_rows: int = ROUND_ROWS,
 ) -> DataFrame:
     """The whole loop: pending postings, extraction, upsert into the extract table at ``table_path``.
 
-    Returns one row: rows sent to the extractor, ok_rows and error_rows. The extractor is called once
-    per row: the upsert writes its answers before anything else reads them.
+    Pending postings are stored once and worked off in rounds of about ``round_rows`` rows, and each
+    round's answers are committed before the next round starts: a lost job repeats one round, since
+    the next run finds the others no longer pending. Returns one row: rows sent to the extractor,
+    ok_rows and error_rows. The extractor is called once per row: the upsert writes its answers
+    before anything else reads them.
     """
     spark = staged.sparkSession
     known = read_table(spark, table_path, optional(EXTRACT))
     if known is None:
         known = spark.createDataFrame([], optional(EXTRACT))
     pending = pending_extraction(staged, known, snapshot_date, sample_size)
-    records = extract_signals(pending, extractor, model, extracted_at, parallelism=parallelism)
-    seen = Observation("extraction")
-    ok = F.count_if(F.col("extraction_status") == STATUS_OK).alias("ok_rows")
-    upsert_table(spark, table_path, records.observe(seen, F.count(F.lit(1)).alias("rows"), ok), JOB_KEY)
-    rows, good = seen.get["rows"], seen.get["ok_rows"]
+    path = scratch_path(spark, "pending")
+    rows = good = 0
+    try:
+        append_snapshot(pending, path, ["snapshot_date"], [])
+        stored = spark.read.schema(pending.schema).parquet(path)
+        per_day = {r.snapshot_date: r.n for r in stored.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for days, part, parts in plan_rounds(per_day, round_rows):
+            bucket = stored.where(one_of("snapshot_date", days) & (F.pmod(F.xxhash64("job_id"), F.lit(parts)) == part))
+            records = extract_signals(bucket, extractor, model, extracted_at, parallelism=parallelism, policy=policy)
+            seen = Observation("extraction")
+            ok = F.count_if(F.col("extraction_status") == STATUS_OK).alias("ok_rows")
+            upsert_table(spark, table_path, records.observe(seen, F.count(F.lit(1)).alias("rows"), ok), JOB_KEY)
+            rows, good = rows + seen.get["rows"], good + seen.get["ok_rows"]
+    finally:
+        remove(spark, path)
     return spark.createDataFrame([(rows, good, rows - good)], "rows long, ok_rows long, error_rows long")

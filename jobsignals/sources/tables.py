@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,19 +42,21 @@ def replace_partitions(
     """Overwrite the partitions that ``df`` has rows for; a re-run changes nothing.
 
     ``covered`` lists the values of the first partition column that ``df`` speaks for: those it has
-    no rows of are deleted, so replacing a day with nothing leaves nothing.
+    no rows of are deleted, so replacing a day with nothing leaves nothing. The write itself reports
+    which values it had (no more than the partitions it made); ``df`` is worked out once.
     """
+    first, seen = partition_by[0], Observation()
+    rows = df if covered is None else df.observe(seen, F.collect_set(F.col(first).cast("string")).alias("written"))
     (
-        _layout(df, partition_by, cluster_by)
+        _layout(rows, partition_by, cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
     if covered is not None:
-        first = partition_by[0]
-        left = {str(row[0]) for row in df.where(F.col(first).isin(list(covered))).select(first).distinct().collect()}
-        drop_partitions(df.sparkSession, path, first, [v for v in covered if str(v) not in left])
+        written = set(seen.get["written"])
+        drop_partitions(df.sparkSession, path, first, [v for v in covered if str(v) not in written])
 
 
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence[object]) -> None:
@@ -85,6 +87,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"batch holds several rows for one key of {list(keys)}")
 
 
+def one_of(column: str, values: Iterable[object]) -> Column:
+    """A literal predicate that a scan knows before it starts, so that partitions are pruned; None
+    among the values stands for NULL."""
+    values = list(values)
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -96,31 +106,40 @@ def upsert_table(
     """Insert or replace ``batch`` by ``keys`` in a table partitioned by one of them.
 
     The batch is written to the shared folder first, so that an expensive extractor runs once and
-    a lost executor never repeats it. Only partitions the batch touches are read and rewritten.
-    The merged rows are staged as well: the table is never read and overwritten in one plan. Both
-    copies are removed after the commit. The commit itself deletes a partition's old files before it
-    moves the new ones in: a driver lost in between leaves that partition to be written once more
-    from the merged copy, which is still there then.
+    a lost executor never repeats it. Its partitions (their values come to the driver) become literals
+    of the scan: others are neither read nor rewritten. The merged rows are staged as well: the table
+    is never read and overwritten in one plan. Both copies are removed afterwards, also when something
+    fails, but for the merged rows of a commit that failed: it deletes a partition's old files before
+    it moves the new ones in, and may be repeated from that copy, which the error names.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
-    batch_path = scratch_path(spark, "batch")
-    batch.write.parquet(batch_path)
-    batch = spark.read.schema(batch.schema).parquet(batch_path)
-    assert_unique(batch, keys)
-
-    target = read_table(spark, path, batch.schema)
-    if target is None:
-        append_snapshot(batch, path, [partition], cluster_by)
+    batch_path, merged_path = scratch_path(spark, "batch"), scratch_path(spark, "merged")
+    try:
+        days = Observation()
+        batch.observe(days, F.collect_set(partition).alias("days"), F.count_if(F.col(partition).isNull()).alias("nulls")).write.parquet(batch_path)
+        batch = spark.read.schema(batch.schema).parquet(batch_path)
+        assert_unique(batch, keys)
+        target = read_table(spark, path, batch.schema)
+        if target is None:
+            append_snapshot(batch, path, [partition], cluster_by)
+            return
+        touched = [*days.get["days"], *([None] if days.get["nulls"] else [])]
+        target = target.where(one_of(partition, touched)).select(*batch.columns)
+        try:
+            upsert(target, batch, keys).write.parquet(merged_path)
+        except BaseException:
+            remove(spark, merged_path)
+            raise
+        merged = spark.read.schema(batch.schema).parquet(merged_path)
+        try:
+            replace_partitions(merged, path, [partition], cluster_by)
+        except Exception as exc:
+            exc.add_note(f"the merged rows of the partitions that were being replaced are kept in {merged_path}")
+            raise
+        remove(spark, merged_path)
+    finally:
         remove(spark, batch_path)
-        return
-    target = target.join(batch.select(partition).distinct(), partition, "left_semi").select(*batch.columns)
-    merged_path = scratch_path(spark, "merged")
-    upsert(target, batch, keys).write.parquet(merged_path)
-    merged = spark.read.schema(batch.schema).parquet(merged_path)
-    replace_partitions(merged, path, [partition], cluster_by)
-    remove(spark, batch_path)
-    remove(spark, merged_path)
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from jobsignals.schemas import RAW_POSTING, optional
-from jobsignals.sources.landing import landed_part
+from jobsignals.sources.landing import folders_of, landed_part
 from jobsignals.sources.tables import replace_partitions
 
 TABLE_PARTITIONS = ["snapshot_date", "source_city"]
@@ -29,7 +29,7 @@ def load_new_files(landed: DataFrame, landing: str, table_path: str, checkpoint:
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        current = landed_part(batch.sparkSession, landing, batch)
+        current = landed_part(batch.sparkSession, landing, folders_of(batch))
         replace_partitions(current, table_path, TABLE_PARTITIONS, [])
 
     return (

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import plan_text
-from jobsignals.plans.enrichment import run_extraction
+from jobsignals.operators.calls import CallPolicy
+from jobsignals.plans.enrichment import plan_rounds, run_extraction
 from jobsignals.schemas import EXTRACT, RAW_POSTING, SEEDS, required_columns
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import (
@@ -24,7 +25,7 @@ from jobsignals.sources.export import (
     without_zone,
     write_flat_sample,
 )
-from jobsignals.sources.landing import ingest_summary, land_jsonl, landing_key, read_jsonl, stamp
+from jobsignals.sources.landing import ingest, ingest_summary, land_jsonl, landed_part, landing_key, read_jsonl, stamp
 from jobsignals.sources.seeds import bundled_seed, read_seed
 from jobsignals.sources.tables import (
     append_snapshot,
@@ -32,6 +33,7 @@ from jobsignals.sources.tables import (
     drop_partitions,
     inventory_with_size,
     materialise,
+    one_of,
     replace_partitions,
     row_count,
     upsert_table,
@@ -312,3 +314,170 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert path != scratch_path(spark, "x")
     if base:
         assert path.startswith(base.rstrip("/"))
+
+
+def scans(df):
+    """Partitions and files that the scans of ``df`` read when it is collected."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        metrics = leaf.metrics()
+        if metrics.contains("numFiles"):
+            found.append((metrics.get("numPartitions").get().value(), metrics.get("numFiles").get().value()))
+    return found
+
+
+def damage(folder):
+    """Files that no reader can open: proof that nothing reads them."""
+    files = [f for f in Path(folder).rglob("*") if f.suffix in (".parquet", ".gz")]
+    assert files
+    for file in files:
+        file.write_bytes(b"damaged")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def days_of(n):
+    return [date(2026, 1, 1 + i) for i in range(n)]
+
+
+def test_upsert_reads_the_days_of_the_batch_only(spark, tmp_path):
+    path = str(tmp_path / "extracts")
+    upsert_table(spark, path, extract_frame(spark, [extract(str(i), day) for day in days_of(12) for i in range(3)]))
+    batch = extract_frame(spark, [extract("1", days_of(12)[4], skills=["Go"]), extract("new", days_of(12)[7]), extract("x", date(2026, 3, 1))])
+    assert scans(spark.read.schema(EXTRACT).parquet(path).where(one_of("snapshot_date", [days_of(12)[4], days_of(12)[7], date(2026, 3, 1)]))) == [(2, 2)]
+    for day in set(days_of(12)) - {days_of(12)[4], days_of(12)[7]}:
+        damage(f"{path}/snapshot_date={day}")
+    upsert_table(spark, path, batch)
+    rows = spark.read.schema(EXTRACT).parquet(path).where(F.col("snapshot_date").isin(days_of(12)[4], days_of(12)[7], date(2026, 3, 1)))
+    assert rows.count() == 8 and rows.where("required_skills[0] = 'Go'").count() == 1
+
+
+def test_a_refused_upsert_leaves_no_copies(spark, tmp_path):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "jobsignals"
+    before = set(base.glob("batch-*")) | set(base.glob("merged-*"))
+    path = str(tmp_path / "extracts")
+    upsert_table(spark, path, extract_frame(spark, [extract("1", DAY)]))
+    with pytest.raises(ValueError, match="several rows"):
+        upsert_table(spark, path, extract_frame(spark, [extract("1", DAY), extract("1", DAY)]))
+    damage(f"{path}/snapshot_date={DAY}")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        upsert_table(spark, path, extract_frame(spark, [extract("2", DAY)]))
+    assert set(base.glob("batch-*")) | set(base.glob("merged-*")) == before
+
+
+def test_landed_folders_are_pruned(spark, tmp_path):
+    path, raw = str(tmp_path / "landing"), raw_frame(spark)
+    land_jsonl(raw, path)
+    land_jsonl(raw.withColumn("snapshot_date", F.lit(date(2026, 7, 7))), path)
+    wanted = [(DAY, "sydney"), (date(2026, 7, 7), "brisbane"), (date(1999, 1, 1), "sydney")]
+    part = landed_part(spark, path, wanted)
+    assert [n for n, _ in scans(part)] == [2]
+    expected = raw.where((F.col("snapshot_date") == F.lit(DAY)) & (F.col("source_city") == "Sydney")).count() + raw.where("source_city = 'Brisbane'").count()
+    assert part.count() == expected and part.columns == RAW_POSTING.names
+    assert landed_part(spark, path, []).count() == 0
+
+
+def test_a_stream_batch_opens_changed_folders_only(spark, tmp_path):
+    landing, table, state = (str(tmp_path / x) for x in ("landing", "table", "state"))
+    raw = raw_frame(spark)
+    land_jsonl(raw, landing)
+    load_new_files(landed_stream(spark, landing), landing, table, state).awaitTermination()
+    damage(f"{landing}/snapshot_date={DAY}/city_slug=brisbane")
+    again = raw.where("source_city = 'Sydney'").withColumn("title", F.lit("again"))
+    land_jsonl(again, landing)
+    load_new_files(landed_stream(spark, landing), landing, table, state).awaitTermination()
+    rows = spark.read.schema(RAW_POSTING).parquet(table)
+    assert rows.count() == raw.count() and {r.title for r in rows.where("source_city = 'Sydney'").collect()} == {"again"}
+
+
+def test_ingest_counts_at_the_table(spark, tmp_path, monkeypatch):
+    import jobsignals.sources.landing as landing_module
+
+    raw = raw_frame(spark)
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    cities = {r.source_city: r.n for r in raw.groupBy("source_city").agg(F.count("*").alias("n")).collect()}
+    for replace in (True, False, True):
+        report = {r.source_city: r for r in ingest(spark, raw, landing, table, replace).collect()}
+        assert {c: r.fetched_rows for c, r in report.items()} == {c: r.loaded_rows for c, r in report.items()} == cities
+        assert all(r.ok for r in report.values())
+    assert spark.read.schema(RAW_POSTING).parquet(table).count() == raw.count()
+
+    def loses_a_day(df, path):
+        append_snapshot(df, path)
+        drop_partitions(spark, path, "snapshot_date", [DAY])
+
+    monkeypatch.setattr(landing_module, "append_snapshot", loses_a_day)
+    report = ingest(spark, raw.withColumn("source_city", F.lit("Perth")), landing, str(tmp_path / "other"))
+    assert [(r.ok, r.loaded_rows < r.fetched_rows) for r in report.collect()] == [(False, True)]
+
+
+def test_ingest_works_the_batch_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def fetch(rows):
+        for row in rows:
+            seen.add(len(row))
+            yield row
+
+    raw = raw_frame(spark)
+    ingest(spark, raw.mapInPandas(fetch, raw.schema), str(tmp_path / "landing"), str(tmp_path / "table"))
+    assert seen.value == raw.count()
+
+
+def test_replacing_covered_days_works_rows_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows_of(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    raw = raw_frame(spark)
+    replace_partitions(raw, str(tmp_path))
+    newer = raw.where(F.col("snapshot_date") == F.lit(DAY))
+    replace_partitions(newer.mapInPandas(rows_of, raw.schema), str(tmp_path), covered=[DAY, NEXT_DAY])
+    assert seen.value == newer.count() == spark.read.schema(RAW_POSTING).parquet(str(tmp_path)).count()
+
+
+def test_rounds_are_committed_one_by_one(spark, tmp_path):
+    path, calls, fixed = str(tmp_path / "extracts"), tmp_path / "calls", tmp_path / "fixed"
+    calls.mkdir()
+
+    def extractor(text):
+        import uuid
+
+        (calls / uuid.uuid4().hex).write_text(text)
+        if "day 2" in text and not fixed.exists():
+            raise SystemExit("the process is gone")
+        return {"years_experience": 1}
+
+    days = days_of(4)
+    rows = [(f"{d}-{i}", days[d], f"posting {i} of day {d}, long enough") for d in range(4) for i in range(20)]
+    staged = spark.createDataFrame(rows, "job_id string, snapshot_date date, description_text string")
+    more = {"policy": CallPolicy(in_flight=2), "round_rows": 15}
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark makes of a dead worker
+        run_extraction(staged, extractor, "m", datetime(2026, 5, 6), path, **more)
+    done = spark.read.schema(EXTRACT).parquet(path)
+    assert {r.snapshot_date for r in done.collect()} == {days[3]} and done.count() == 20
+    for file in calls.iterdir():
+        file.unlink()
+    fixed.touch()
+    counts = run_extraction(staged, extractor, "m", datetime(2026, 5, 7), path, **more).first()
+    assert (counts.rows, counts.ok_rows) == (60, 60) and len(list(calls.iterdir())) == 60
+    assert spark.read.schema(EXTRACT).parquet(path).count() == 80
+    assert not list((Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "jobsignals").glob("pending-*"))
+
+
+def test_rounds_hold_every_row_once():
+    days = days_of(6)
+    per_day = dict(zip(days, [5, 100, 3, 4, 30, 1]))
+    rounds = plan_rounds(per_day, 10)
+    assert [d for d, _, _ in rounds if d[0] == days[1]] == [[days[1]]] * 10
+    assert sorted(p for d, p, n in rounds if d[0] == days[4] and n == 3) == [0, 1, 2]
+    assert {d for ds, _, _ in rounds for d in ds} == set(days)
+    assert all(sum(per_day[d] for d in ds) <= 10 for ds, _, parts in rounds if parts == 1)
+    assert plan_rounds({}, 10) == []
