@@ -10,30 +10,58 @@ from pyspark.sql import functions as F
 from jobsignals.functions.text import utrim
 from jobsignals.functions.values import ratio
 
-# Buckets a value range of one power of e is cut into when a median is looked for.
-MEDIAN_BUCKETS = 512
+# Buckets that a median is looked for in: of each power of e first, then twice of what is left.
+LOG_BUCKETS, EVEN_BUCKETS, EVEN_ROUNDS = 512, 1 << 14, 2
 
 
-def discrete_medians(df: DataFrame, keys: Sequence[str], column: str, output: str) -> DataFrame:
+def _log_bucket(value: Column) -> Column:
+    """A whole number that never falls as the value grows; a bucket spans 0.2% of its values."""
+    size = F.floor((F.ln(F.abs(value)) + 746) * LOG_BUCKETS)
+    return F.when(value == 0, F.lit(0)).otherwise((F.signum(value) * size).cast("long"))
+
+
+def _even_bucket(value: Column) -> Column:
+    """The place of a value between the smallest and the largest one that are left."""
+    share = F.try_divide(value - F.col("_low"), F.col("_high") - F.col("_low"))
+    return F.coalesce(F.least(F.floor(share * EVEN_BUCKETS), F.lit(EVEN_BUCKETS - 1)), F.lit(0)).cast("long")
+
+
+def _narrowed(values: DataFrame, keys: Sequence[str], column: str, bucket: Column) -> DataFrame:
+    """Of counted values those in the bucket that holds the value of rank ``_rank`` (the middle one,
+    in the first round), with the rank among them and their range."""
+    values = values.withColumn("_bucket", bucket)
+    group = Window.partitionBy(*keys)
+    rank = F.min("_rank") if "_rank" in values.columns else F.lit(None).cast("long")
+    buckets = values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"), F.min(column).alias("_low"), F.max(column).alias("_high"), rank.alias("_rank"))
+    buckets = buckets.withColumns({"_upto": F.sum("_in").over(group.orderBy("_bucket")), "_rank": F.coalesce("_rank", F.ceil(F.sum("_in").over(group) / 2))})
+    held = buckets.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
+    held = held.select(*keys, "_bucket", "_low", "_high", (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_rank"))
+    return values.drop("_rank", "_low", "_high").join(held, [*keys, "_bucket"]).drop("_bucket")
+
+
+def median_candidates(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
+    """Counted values of every group among which its median has rank ``_rank``: at most 2^15 of them,
+    as many doubles as lie in one of EVEN_BUCKETS^EVEN_ROUNDS parts of a bucket of 0.2%."""
+    value, n = F.col(column), F.count(F.lit(1)) if weight is None else F.sum(weight)
+    values = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys, column).agg(n.alias("_n"))
+    values = _narrowed(values, keys, column, _log_bucket(value))
+    for _ in range(EVEN_ROUNDS):
+        values = _narrowed(values, keys, column, _even_bucket(value))
+    return values
+
+
+def discrete_medians(df: DataFrame, keys: Sequence[str], column: str, output: str, weight: str | None = None) -> DataFrame:
     """The exact median of every group as an actual value: the smallest one that at least half of
-    the group's non-NULL values do not exceed. Groups without values have no row.
+    the group's values do not exceed; ``weight`` names a column that says how often a row's value
+    occurs. NULL and NaN count as no value; groups without values, or with a NULL key, have no row.
 
     Values are counted first, with map-side combine, so a hot group shrinks to its distinct values.
-    Counts of buckets, whose number the logarithm bounds, tell which bucket holds the median and
-    how many values lie below it; only the values of that bucket are then put in order. Both steps
-    read the same counts, which Spark shuffles once.
+    Then rounds of counting buckets narrow each group down to the bucket that holds its median; only
+    what the last one leaves, a bounded number for any data, is put in order. The rounds exchange
+    counts of buckets, and read values where the first shuffle left them.
     """
-    value = F.col(column)
-    bucket = (F.signum(value) * F.floor(F.log1p(F.abs(value)) * MEDIAN_BUCKETS)).cast("long")
-    counts = df.where(value.isNotNull() & ~F.isnan(value)).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_bucket", bucket)
-    group = Window.partitionBy(*keys)
-    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_in"))
-    buckets = buckets.withColumns({"_upto": F.sum("_in").over(group.orderBy("_bucket")), "_rank": F.ceil(F.sum("_in").over(group) / 2)})
-    held = buckets.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
-    wanted = held.select(*keys, "_bucket", (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_rank"))
-    inside = counts.join(wanted, [*keys, "_bucket"])
-    reached = F.sum("_n").over(group.orderBy(column)) >= F.col("_rank")
+    inside = median_candidates(df, keys, column, weight)
+    reached = F.sum("_n").over(Window.partitionBy(*keys).orderBy(column)) >= F.col("_rank")
     return inside.withColumn("_reached", reached).where("_reached").groupBy(*keys).agg(F.min(column).alias(output))
 
 
@@ -69,36 +97,38 @@ def group_rates(
     return with_rates(counted.where(F.col(total) >= min_rows), total, rates)
 
 
-def item_counts(
-    df: DataFrame,
+def item_mentions(df: DataFrame, group: str, items: str, spread: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, group, spelling, spread, n): mentions of array elements as they are written, a state that
+    adds up over any parts of the rows.
+
+    A NULL or empty array counts nothing: the outer explode gives it a NULL that is filtered out,
+    while the plain one would first evaluate the array again just to drop such rows. All texts are
+    grouping keys and only counted, which stays a hash aggregate with map-side combine.
+    """
+    exploded = df.where(F.col(group).isNotNull()).select(
+        *by, group, F.col(spread).alias("spread"), F.explode_outer(items).alias("spelling")
+    )
+    return exploded.groupBy(*by, group, "spelling", "spread").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_mentions(
+    mentioned: DataFrame,
     group: str,
-    items: str,
-    spread: str,
     item: str = "skill",
     display: str = "skill_display",
     mentions: str = "mention_count",
     spread_count: str = "cities_mentioned_in",
     min_mentions: int = 0,
 ) -> DataFrame:
-    """Mentions of every array element per group, normalised to lower case and trimmed.
-
-    A NULL or empty array counts nothing: the outer explode gives it a NULL that is filtered out,
-    while the plain one would first evaluate the array again just to drop such rows.
-    The first aggregate keeps all texts as grouping keys and only counts, which stays a hash
-    aggregate with map-side combine; the smallest spelling and the distinct spread are taken
-    from its far smaller result.
-    """
-    exploded = df.where(F.col(group).isNotNull()).select(
-        group, F.col(spread).alias("_spread"), F.explode_outer(items).alias("_spelling")
-    )
-    counted = exploded.groupBy(group, "_spelling", "_spread").agg(F.count(F.lit(1)).alias("_n"))
+    """Items per group from ``item_mentions``, normalised to lower case and trimmed: the smallest
+    spelling and the distinct spread are taken from the counts, not from single mentions."""
     result = (
-        counted.withColumn(item, F.lower(utrim(F.col("_spelling"))))
+        mentioned.withColumn(item, F.lower(utrim(F.col("spelling"))))
         .groupBy(group, item)
         .agg(
-            F.min("_spelling").alias(display),
-            F.sum("_n").alias(mentions),
-            F.count_distinct("_spread").alias(spread_count),
+            F.min("spelling").alias(display),
+            F.sum("n").alias(mentions),
+            F.count_distinct("spread").alias(spread_count),
         )
     )
     # Blank items leave together with rare ones: a filter on the item alone would be pushed below
@@ -107,6 +137,11 @@ def item_counts(
     return result.where(kept)
 
 
+def item_counts(df: DataFrame, group: str, items: str, spread: str, min_mentions: int = 0, **names: str) -> DataFrame:
+    """Mentions of every array element per group; ``names`` are those of ``merge_mentions``."""
+    return merge_mentions(item_mentions(df, group, items, spread), group, min_mentions=min_mentions, **names)
+
+
 def fill_rates(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     """One row per field: share of rows where its predicate holds, all fields in one pass."""
     if not fields:

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from jobsignals.plans.enrichment import enriched_postings, mapped_postings
-from jobsignals.plans.marts import experience_barrier, occupation_dim, skills_demand, supply_demand
+from jobsignals.plans.marts import (
+    barrier_states,
+    experience_barrier_of,
+    occupation_dim,
+    skill_states,
+    skills_demand_of,
+    supply_demand_of,
+    supply_states,
+)
 from jobsignals.plans.staging import (
     staged_invitation_rounds,
     staged_occupation_lists,
     staged_postings,
 )
-from jobsignals.sources.tables import materialise, replace_partitions
+from jobsignals.sources.tables import materialise, one_of, read_table, replace_partitions
 
 BY_DAY = ["snapshot_date"]
 MAPPED_ORDER = ["state", "sponsorship_signal", "remote_friendly"]
@@ -42,8 +49,10 @@ def build(
     ``days`` limits the work on postings to those snapshots: only their partitions of the raw and
     extract tables are read, only their partitions of the stored postings are replaced, and a day
     that has no postings any more loses its partitions. No posting spans two snapshots, so the
-    result equals a full build when the other days and the patterns are unchanged. The marts always
-    cover the whole stored table.
+    result equals a full build when the other days and the patterns are unchanged.
+
+    The marts always cover all days, but a written build derives them from daily states (counts per
+    day that add up), which lie beside the postings: of postings only those of ``days`` are read.
     """
     if days is not None and storage is None:
         raise ValueError("days needs a stored build to refresh")
@@ -62,8 +71,22 @@ def build(
         replace_partitions(df, path, BY_DAY, cluster_by, covered=days)
         return spark.read.schema(df.schema).parquet(path)
 
+    def states(make: Callable[..., DataFrame], name: str) -> DataFrame:
+        """Counts that a mart is made of: by day and written, or of all postings at once."""
+        if storage is None:
+            return make(mapped)
+        path = f"{storage.rstrip('/')}/{name}"
+        schema = make(mapped, BY_DAY).schema
+        refresh = days is not None and read_table(spark, path, schema) is not None
+        # A store from before there were states gets those of all its days.
+        new = make(mapped.where(one_of("snapshot_date", days)), BY_DAY) if refresh else make(mapped, BY_DAY)
+        if refresh:
+            replace_partitions(new, path, BY_DAY, [], covered=days)
+            return spark.read.schema(schema).parquet(path)
+        return materialise(new, name, path=storage, partition_by=BY_DAY)
+
     if days is not None:
-        wanted = F.col("snapshot_date").isin(list(days))
+        wanted = one_of("snapshot_date", days)
         raw, extracts = raw.where(wanted), extracts.where(wanted)
     lists = staged_occupation_lists(seeds["occupation_lists"])
     staged = postings(staged_postings(raw), "staged_postings", ["source_city"])
@@ -79,12 +102,12 @@ def build(
         "mapped_postings": mapped,
         "occupation_dim": dim,
         "supply_demand": layer(
-            supply_demand(mapped, dim, seeds["occupation_ceilings"]),
+            supply_demand_of(states(supply_states, "supply_states"), dim, seeds["occupation_ceilings"]),
             "supply_demand",
             cluster_by=["list_membership"],
         ),
         "experience_barrier": layer(
-            experience_barrier(mapped, dim), "experience_barrier", cluster_by=["state"]
+            experience_barrier_of(states(barrier_states, "barrier_states"), dim), "experience_barrier", cluster_by=["state"]
         ),
-        "skills_demand": layer(skills_demand(mapped), "skills_demand", cluster_by=["state"]),
+        "skills_demand": layer(skills_demand_of(states(skill_states, "skill_states")), "skills_demand", cluster_by=["state"]),
     }

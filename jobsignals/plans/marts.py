@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignals.functions.values import ratio
 from jobsignals.operators.aggregates import (
     discrete_medians,
     flag_counts,
-    group_rates,
-    item_counts,
+    item_mentions,
+    merge_mentions,
     sorted_names,
+    with_rates,
 )
 from jobsignals.operators.ranking import first_value_by, top_k_per_group
 
@@ -21,12 +24,21 @@ MIN_BARRIER_JOBS = 5
 MIN_SKILL_MENTIONS = 3
 UNIT_GROUP_DIGITS = 4
 
-def _sponsorship(value: str):
-    return F.col("sponsorship_signal") == value
+# When a posting counts for a flag, as SQL; columns are made when a plan is built.
+SUPPLY_FLAGS = {
+    "sponsorship_yes_count": "sponsorship_signal = 'explicit_yes'",
+    "sponsorship_no_count": "sponsorship_signal = 'explicit_no'",
+    "remote_count": "remote_friendly = 'remote'",
+    "hybrid_count": "remote_friendly = 'hybrid'",
+    "onsite_count": "remote_friendly = 'onsite'",
+    "local_experience_count": "local_experience_required",
+}
+BARRIER_FLAGS = {n: SUPPLY_FLAGS[n] for n in ("local_experience_count", "sponsorship_yes_count", "sponsorship_no_count")}
+JOB_COUNTS = ["jobs_count_30d", *SUPPLY_FLAGS]
 
 
-def _work_mode(value: str):
-    return F.col("remote_friendly") == value
+def _flags(expressions: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(e) for name, e in expressions.items()}
 
 
 def occupation_dim(lists: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -65,24 +77,34 @@ def occupation_dim(lists: DataFrame, patterns: DataFrame) -> DataFrame:
     )
 
 
-def job_aggregates(mapped: DataFrame) -> DataFrame:
-    """Counts and salaries per occupation; postings without a code are left out."""
+def supply_states(mapped: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts per occupation and salary: what ``supply_demand`` needs of the postings, and what adds
+    up over any parts of them. Postings without a code are left out."""
     coded = mapped.where(F.col("anzsco_code").isNotNull())
-    counted = flag_counts(
-        coded,
-        ["anzsco_code"],
-        "jobs_count_30d",
-        {
-            "sponsorship_yes_count": _sponsorship("explicit_yes"),
-            "sponsorship_no_count": _sponsorship("explicit_no"),
-            "remote_count": _work_mode("remote"),
-            "hybrid_count": _work_mode("hybrid"),
-            "onsite_count": _work_mode("onsite"),
-            "local_experience_count": F.col("local_experience_required"),
-        },
-        F.avg("salary_avg").alias("avg_salary"),
+    return flag_counts(coded, [*by, "anzsco_code", "salary_avg"], "jobs_count_30d", _flags(SUPPLY_FLAGS))
+
+
+def barrier_states(mapped: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts per occupation and state, of postings that have both."""
+    located = mapped.where(F.col("anzsco_code").isNotNull() & F.col("state").isNotNull())
+    return flag_counts(located, [*by, "anzsco_code", "state"], "total_jobs", _flags(BARRIER_FLAGS))
+
+
+def skill_states(mapped: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mentions per state, spelling and city, postings without an occupation code included."""
+    return item_mentions(mapped, "state", "required_skills", "source_city", by)
+
+
+def job_aggregates(states: DataFrame) -> DataFrame:
+    """Counts and salaries per occupation from ``supply_states``; mean and median are those of the
+    single postings, as each salary comes with the number of postings that have it."""
+    paid = F.col("salary_avg").isNotNull()
+    counted = states.groupBy("anzsco_code").agg(
+        *(F.sum(n).alias(n) for n in JOB_COUNTS),
+        ratio(F.sum(F.col("salary_avg") * F.col("jobs_count_30d")), F.sum(F.when(paid, F.col("jobs_count_30d")))).alias("avg_salary"),
     )
-    return counted.join(discrete_medians(coded, ["anzsco_code"], "salary_avg", "median_salary"), "anzsco_code", "left")
+    medians = discrete_medians(states, ["anzsco_code"], "salary_avg", "median_salary", "jobs_count_30d")
+    return counted.join(medians, "anzsco_code", "left")
 
 
 def supply_demand(
@@ -92,15 +114,14 @@ def supply_demand(
 
     Several occupations can share one unit group and so one ceiling: do not add ceilings up.
     """
-    counts = [
-        "jobs_count_30d",
-        "sponsorship_yes_count",
-        "sponsorship_no_count",
-        "remote_count",
-        "hybrid_count",
-        "onsite_count",
-        "local_experience_count",
-    ]
+    return supply_demand_of(supply_states(mapped), dim, ceilings, unit_digits)
+
+
+def supply_demand_of(
+    states: DataFrame, dim: DataFrame, ceilings: DataFrame, unit_digits: int = UNIT_GROUP_DIGITS
+) -> DataFrame:
+    """``supply_demand`` from ``supply_states``."""
+    counts = JOB_COUNTS
     groups = ceilings.select(
         "anzsco_unit_group",
         "unit_group_name",
@@ -111,7 +132,7 @@ def supply_demand(
         F.col("program_year").alias("ceiling_program_year"),
     )
     joined = (
-        dim.join(job_aggregates(mapped), "anzsco_code", "left")
+        dim.join(job_aggregates(states), "anzsco_code", "left")
         .na.fill(0, counts)
         .withColumn("anzsco_unit_group", F.substring("anzsco_code", 1, unit_digits))
         .join(groups, "anzsco_unit_group", "left")
@@ -140,22 +161,21 @@ def experience_barrier(
     mapped: DataFrame, dim: DataFrame, min_jobs: int = MIN_BARRIER_JOBS
 ) -> DataFrame:
     """Shares of local-experience and sponsorship wording per occupation and state."""
-    located = mapped.where(F.col("anzsco_code").isNotNull() & F.col("state").isNotNull())
-    rates = group_rates(
-        located,
-        ["anzsco_code", "state"],
+    return experience_barrier_of(barrier_states(mapped), dim, min_jobs)
+
+
+def experience_barrier_of(states: DataFrame, dim: DataFrame, min_jobs: int = MIN_BARRIER_JOBS) -> DataFrame:
+    """``experience_barrier`` from ``barrier_states``."""
+    counts = ["total_jobs", *BARRIER_FLAGS]
+    merged = states.groupBy("anzsco_code", "state").agg(*(F.sum(n).alias(n) for n in counts))
+    rates = with_rates(
+        merged.where(F.col("total_jobs") >= min_jobs),
         "total_jobs",
-        {
-            "local_experience_count": F.col("local_experience_required"),
-            "sponsorship_yes_count": _sponsorship("explicit_yes"),
-            "sponsorship_no_count": _sponsorship("explicit_no"),
-        },
         {
             "local_experience_pct": "local_experience_count",
             "sponsorship_yes_pct": "sponsorship_yes_count",
             "sponsorship_no_pct": "sponsorship_no_count",
         },
-        min_jobs,
     )
     names = dim.select("anzsco_code", "occupation_name", "list_membership")
     return rates.join(names, "anzsco_code", "left").select(
@@ -175,7 +195,12 @@ def experience_barrier(
 
 def skills_demand(mapped: DataFrame, min_mentions: int = MIN_SKILL_MENTIONS) -> DataFrame:
     """Mentions of every skill per state, postings without an occupation code included."""
-    return item_counts(mapped, "state", "required_skills", "source_city", min_mentions=min_mentions)
+    return skills_demand_of(skill_states(mapped), min_mentions)
+
+
+def skills_demand_of(states: DataFrame, min_mentions: int = MIN_SKILL_MENTIONS) -> DataFrame:
+    """``skills_demand`` from ``skill_states``."""
+    return merge_mentions(states, "state", min_mentions=min_mentions)
 
 
 def skills_top_k(skills: DataFrame, k: int = 3) -> DataFrame:

@@ -308,3 +308,33 @@ def test_evaluation_judges_every_row_once(spark, tmp_path):
     assert [r.job_id for r in reports["examples"].collect()] == ["j3"]
     assert len(list(calls.iterdir())) == 40
     assert len({f.name.split("-")[0] for f in calls.iterdir()}) > 1
+
+
+def test_medians_of_values_that_lie_close_together(spark):
+    """A million different values within 0.1% of each other: few are left to be put in order."""
+    from jobsignals.operators.aggregates import median_candidates
+
+    rows = spark.range(1_000_000).select(F.lit("hot").alias("k"), (F.lit(100_000.0) + F.col("id") * 1e-4).alias("v"))
+    rows = rows.unionByName(spark.range(1000).select(F.lit("tiny").alias("k"), (F.col("id") * 1e-300).alias("v")))
+    rows = rows.unionByName(spark.range(1001).select(F.lit("signs").alias("k"), (F.pow(F.lit(-7.0), F.col("id") % 200)).alias("v")))
+    left = {r.k: r.n for r in median_candidates(rows, ["k"], "v").groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert left.keys() == {"hot", "tiny", "signs"} and max(left.values()) <= 1 << 15 and left["hot"] < 1000
+    found = {r.k: r.m for r in discrete_medians(rows, ["k"], "v", "m").collect()}
+    expected = {r.k: r.m for r in rows.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("m")).collect()}
+    assert found == expected
+
+
+def test_weighted_medians_equal_those_of_single_rows(spark):
+    import random
+
+    random.seed(8)
+    single = [(random.choice("abc"), random.choice([None, float("nan"), 0.0, -0.0, -1.5, 2.0, 1e300, 3.25, 1e-310])) for _ in range(400)]
+    rows = spark.createDataFrame(single, "k string, v double").where("NOT isnan(v) OR v IS NULL")
+    counted = rows.groupBy("k", "v").agg(F.count("*").alias("n"))
+    one = {r.k: r.m for r in discrete_medians(rows, ["k"], "v", "m").collect()}
+    two = {r.k: r.m for r in discrete_medians(counted, ["k"], "v", "m", weight="n").collect()}
+    plain = {}
+    for k in "abc":
+        values = sorted(r.v for r in rows.collect() if r.k == k and r.v is not None)
+        plain[k] = values[(len(values) - 1) // 2]
+    assert one == two == plain
