@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.lens.registry import query, sql_trim, sql_values, table
 from jobsignals.operators.calls import CallPolicy
-from jobsignals.operators.quality import Check, fill_gate, run_suite, source_verdict, suite_result
+from jobsignals.operators.quality import Check, WatchedWrites, fill_gate, run_suite, source_verdict, suite_result
 from jobsignals.plans.build import build
 from jobsignals.plans.checks import all_checks, posting_fields
 from jobsignals.plans.enrichment import (
@@ -180,7 +180,7 @@ def extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_build(spark: SparkSession, sf_dir: str, label: str) -> dict[str, DataFrame]:
+def stored_build(spark: SparkSession, sf_dir: str, label: str, watched: WatchedWrites | None = None) -> dict[str, DataFrame]:
     """Every layer, written to the shared folder and read back."""
     return build(
         raw_postings(spark, sf_dir),
@@ -188,9 +188,17 @@ def stored_build(spark: SparkSession, sf_dir: str, label: str) -> dict[str, Data
         bundled_seeds(spark),
         storage=scratch_path(spark, label),
         title_patterns=title_pattern_rows(),
+        watched=watched,
     )
 
 
+def checked_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of all checks on a stored build; row checks are counted by its writes."""
+    watched = WatchedWrites(all_checks())
+    layers = stored_build(spark, sf_dir, "checked", watched)
+    return run_suite(layers, all_checks(), watched.failures())
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_postings(raw_postings(spark, sf_dir))
 
@@ -821,8 +829,7 @@ def report_sql(checks: list[Check], names: dict[str, str]) -> str:
 
 @query("postings_checks", _sql([*_TO_ALL, _ROUNDS], report_sql(all_checks(), _LAYERS)))
 def _checks(spark, sf_dir):
-    layers = stored_build(spark, sf_dir, "checked")
-    return run_suite(layers, all_checks())
+    return checked_build(spark, sf_dir)
 
 
 @query(
@@ -835,8 +842,7 @@ def _checks(spark, sf_dir):
     ),
 )
 def _checks_result(spark, sf_dir):
-    layers = stored_build(spark, sf_dir, "checked")
-    return suite_result(run_suite(layers, all_checks()))
+    return suite_result(checked_build(spark, sf_dir))
 
 
 _TODO = """todo AS (

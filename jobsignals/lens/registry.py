@@ -34,6 +34,7 @@ DATE_COLUMNS = {
     "stream_landed": ["snapshot_date"],
     "stamp_batch": ["snapshot_date"],
     "append_snapshot": ["snapshot_date"],
+    "limit_of_many": ["snapshot_date"],
     "replace_partition": ["snapshot_date"],
     "replace_with_nothing": ["snapshot_date"],
     "run_extraction": ["snapshot_date"],

@@ -5,6 +5,7 @@ Each query writes to the shared folder and returns what is read back from there.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from jobsignals.operators.quality import (
     unique_combination,
 )
 from jobsignals.lens.postings import report_sql
+from jobsignals.operators.ranking import top_rows
 from jobsignals.schemas import RAW_POSTING
 from jobsignals.session import scratch_path
 from jobsignals.sources.export import (
@@ -45,6 +47,7 @@ from jobsignals.sources.tables import (
     inventory,
     inventory_with_size,
     materialise,
+    publish_view,
     replace_partitions,
     row_count,
     upsert,
@@ -321,6 +324,35 @@ def _materialise_layers(spark, sf_dir):
     return view.groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("users").alias("users"))
 
 
+@query(
+    "published_views",
+    f"""SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users, 'events of a day' AS comment
+    FROM ({_EVENTS}) GROUP BY event_type""",
+)
+def _published_views(spark, sf_dir):
+    """A view over stored events in a schema of its own, found and read by another session."""
+    path, layer = scratch_path(spark, "layers"), f"layer_{uuid.uuid4().hex}"
+    materialise(_daily_events(spark, sf_dir), "daily_events", path=path, partition_by=["snapshot_date"])
+    publish_view(
+        spark,
+        "events_per_day",
+        f"SELECT snapshot_date, event_type, count(*) AS n, sum(user_id) AS users FROM parquet.`{path}/daily_events` GROUP BY ALL",
+        layer=layer,
+        comments={"n": "events of a day"},
+    )
+    other = spark.newSession()
+    comment = other.table(f"{layer}.events_per_day").schema["n"].metadata["comment"]
+    view = spark.table(f"{layer}.events_per_day")
+    return view.groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("users").alias("users"), F.lit(comment).alias("comment"))
+
+
+@query("limit_of_many", f"SELECT * FROM ({_EVENTS}) ORDER BY snapshot_date DESC, event_id LIMIT (SELECT count(*) // 3 FROM events)")
+def _limit_of_many(spark, sf_dir):
+    """The newest third of all events, by ranges instead of one task."""
+    events = _daily_events(spark, sf_dir)
+    return top_rows(events, [F.col("snapshot_date").desc(), F.col("event_id")], events.count() // 3, limit_rows=100)
+
+
 _EXPORTED = ["orders", "customer", "documents", "events", "labels"]
 
 

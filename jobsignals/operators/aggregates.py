@@ -36,7 +36,9 @@ def _narrowed(values: DataFrame, keys: Sequence[str], column: str, bucket: Colum
     buckets = buckets.withColumns({"_upto": F.sum("_in").over(group.orderBy("_bucket")), "_rank": F.coalesce("_rank", F.ceil(F.sum("_in").over(group) / 2))})
     held = buckets.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
     held = held.select(*keys, "_bucket", "_low", "_high", (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_rank"))
-    return values.drop("_rank", "_low", "_high").join(held, [*keys, "_bucket"]).drop("_bucket")
+    left = values.drop("_rank", "_low", "_high").join(held, [*keys, "_bucket"]).drop("_bucket")
+    # The next round reads what is left twice; behind an exchange Spark works it out once.
+    return left.repartition(*keys, column)
 
 
 def median_candidates(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:

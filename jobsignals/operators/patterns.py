@@ -6,20 +6,26 @@ equal priorities are settled by code and pattern so that the answer is reproduci
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns and distinct texts that one cell of the grid is meant to hold.
 CELL_PATTERNS, CELL_TEXTS = 1_000, 20_000
 
-# A pattern without these characters is a list of literals; each of at least GRAM characters is looked
-# up by its first ones instead of being tried on every text.
-SPECIAL = r"[\\.\[\](){}*+?^$]"
-GRAM = 5
+# Patterns whose required literals one automaton holds, which is what a pass over the texts broadcasts.
+AUTOMATON_PATTERNS = 20_000
+# Shortest literal worth searching for.
+LEAST_LITERAL = 2
 
 _TEXT, _DIGEST, _BEST = "_text", "_digest", "_best"
+_RANKED_TYPE = "struct<unranked: boolean, priority: bigint, code: string, pattern: string>"
+_RANKED = f"p {_RANKED_TYPE}"
 _ROW, _PART = "_grid_row", "_grid_part"
 
 
@@ -37,20 +43,114 @@ def _case_column(text: Column, patterns: Sequence[Mapping], priority: str, code:
     return F.lit(None).cast("string") if result is None else result.cast("string")
 
 
-def _is_literal(pattern: Column) -> Column:
-    parts = F.split(pattern, r"\|", -1)
-    return ~F.rlike(pattern, F.lit(SPECIAL)) & F.forall(parts, lambda part: F.length(part) >= GRAM)
-
-
-def _literal_matches(texts: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Texts that hold one of a pattern's literals: equal in its first characters at some place, then
-    compared in full. A pattern found several times gives several rows."""
-    literals = ranked.select("p", F.explode(F.split("p.pattern", r"\|", -1)).alias("_literal"))
-    literals = literals.withColumn("_gram", F.substring("_literal", 1, GRAM))
-    places = F.sequence(F.lit(1), F.greatest(F.length(_TEXT) - GRAM + 1, F.lit(1)))
-    grams = F.array_distinct(F.transform(places, lambda i: F.substring(F.col(_TEXT), i, F.lit(GRAM))))
-    found = texts.select(_TEXT, F.explode(grams).alias("_gram")).join(literals, "_gram")
-    return found.where(F.contains(F.col(_TEXT), F.col("_literal"))).select(_TEXT, "p")
+# Escapes that stand for one character of a kind, or for a place, and take nothing after them.
+_PLAIN_ESCAPES = set("bBdDwWsStnrf")
+_FLAGS = re.compile(r"\(\?[A-Za-z-]")
+
+
+def _closing(pattern: str, at: int) -> int | None:
+    """The place after the group or class that opens at ``at``; None where that is not plain."""
+    if pattern[at] == "[" and pattern[at + 1 : at + 3].lstrip("^").startswith("]"):
+        return None
+    depth = classes = 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            if pattern[at + 1 : at + 2] in ("Q", "E"):
+                return None
+            at += 1
+        elif c == "[":
+            classes += 1
+        elif c == "]" and classes:
+            classes -= 1
+        elif not classes:
+            depth += {"(": 1, ")": -1}.get(c, 0)
+        at += 1
+        if not depth and not classes:
+            return at
+    return None
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """Texts of which every match of ``pattern`` holds at least one, None if that cannot be told.
+
+    Each alternative gives its longest run of plain characters outside groups, classes and anything
+    optional. Patterns with flags, quotations or escapes of several characters are left alone.
+    """
+    if _FLAGS.search(pattern):
+        return None
+    found, runs, run, at = [], [], "", 0
+    while True:
+        c = pattern[at] if at < len(pattern) else "|"
+        if c == "|":
+            best = max([*runs, run], key=len)
+            if len(best) < LEAST_LITERAL:
+                return None
+            found.append(best)
+            if at >= len(pattern):
+                return found
+            runs, run, at = [], "", at + 1
+            continue
+        if c == "\\":
+            escaped = pattern[at + 1 : at + 2]
+            if not escaped or (escaped.isalnum() and escaped not in _PLAIN_ESCAPES):
+                return None
+            if escaped.isalnum():
+                runs, run = [*runs, run], ""
+            else:
+                run += escaped
+            at += 2
+        elif c in "([":
+            end = _closing(pattern, at)
+            if end is None:
+                return None
+            runs, run, at = [*runs, run], "", end
+        elif c in "?*{":
+            # The character before may be absent, or is repeated.
+            runs, run = [*runs, run[:-1]], ""
+            if c == "{":
+                at = pattern.find("}", at)
+                if at < 0:
+                    return None
+            at += 1
+        elif c in ".^$+":
+            runs, run, at = [*runs, run], "", at + 1
+        elif c in ")]}":
+            return None
+        else:
+            run, at = run + c, at + 1
+
+
+def _literal_hits(texts: DataFrame, literals: Mapping[str, list[int]]) -> DataFrame:
+    """(text, i) for every text and pattern number of which it holds a literal: all literals are
+    searched in one pass over a text, by a trie with failure links that each task builds."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for literal, numbers in literals.items():
+            automaton.add_word(literal, numbers)
+        automaton.make_automaton()
+        for batch in batches:
+            held, numbers = [], []
+            for at, text in enumerate(batch.column(0).to_pylist()):
+                hits = {n for _, found in automaton.iter(text) for n in found}
+                held.extend([at] * len(hits))
+                numbers.extend(hits)
+            yield pa.record_batch([batch.column(0).take(pa.array(held, pa.int64())), pa.array(numbers, pa.int32())], names=[_TEXT, "i"])
+
+    return texts.select(_TEXT).mapInArrow(search, f"{_TEXT} string, i int")
+
+
+def _automaton_matches(texts: DataFrame, rows: list) -> DataFrame:
+    """Texts and patterns (p, literals) that match: a pattern is tried on the texts that hold one of
+    its literals only."""
+    numbers: dict[str, list[int]] = {}
+    for i, (_, literals) in enumerate(rows):
+        for literal in literals:
+            numbers.setdefault(literal, []).append(i)
+    # At most AUTOMATON_PATTERNS rows, so this broadcast is bounded.
+    known = F.broadcast(texts.sparkSession.createDataFrame([(i, tuple(p)) for i, (p, _) in enumerate(rows)], f"i int, {_RANKED}"))
+    return _literal_hits(texts, numbers).join(known, "i").where(F.rlike(F.col(_TEXT), F.col("p.pattern"))).select(_TEXT, "p")
 
 
 def _matches(texts: DataFrame, ranked: DataFrame, parts: int, rows: int) -> DataFrame:
@@ -87,10 +187,12 @@ def map_by_pattern(
     """Add ``output``: the code of the best pattern found in ``text``, NULL when none matches.
 
     Patterns given as rows (mappings) become one CASE over literals: no join, no shuffle, rows
-    never multiply. Patterns given as a DataFrame are joined with the *distinct* texts and the best hit
-    is joined back: lists of literals by equality of their first characters, other patterns by cells
-    of a grid, so that neither side is broadcast or met whole by one task. Both give the same codes. The grid follows the counted patterns and distinct texts;
-    ``cells`` sets (parts of the patterns, rows of the texts) without counting.
+    never multiply. Patterns given as a DataFrame meet the *distinct* texts, and the best hit is
+    joined back. They are taken in buckets of about ``AUTOMATON_PATTERNS``, the most that is collected
+    and broadcast: literals that each pattern requires are searched in one pass over a text, and the
+    pattern is tried only where one is found. Patterns that require no literal meet the texts in
+    cells of a grid, so that no task meets all of either. Both kinds of argument give the same codes.
+    ``cells`` sets (parts of the patterns, rows of the texts) of the grid without counting.
     """
     if not isinstance(patterns, DataFrame):
         case = _case_column(F.col(_TEXT), patterns, priority, code, pattern)
@@ -98,20 +200,28 @@ def map_by_pattern(
     ranked = patterns.where(F.col(pattern).isNotNull()).select(
         F.struct(
             F.col(priority).isNull().alias("unranked"),
-            F.col(priority).alias("priority"),
-            F.col(code).alias("code"),
+            F.col(priority).cast("long").alias("priority"),
+            F.col(code).cast("string").alias("code"),
             F.col(pattern).alias("pattern"),
         ).alias("p")
     )
     # Repeated titles are matched once. A hot title is one row here.
     texts = df.select(text.alias(_TEXT)).where(F.col(_TEXT).isNotNull()).distinct()
-    literal = _is_literal(F.col("p.pattern"))
-    other = ranked.where(~literal)
-    if cells is None:
-        distinct = df.select(F.approx_count_distinct(text)).first()[0]
-        cells = (-(-other.count() // CELL_PATTERNS), -(-distinct // CELL_TEXTS))
-    parts, rows = (max(1, n) for n in cells)
-    hits = _literal_matches(texts, ranked.where(literal)).unionByName(_matches(texts, other, parts, rows))
+    spark = df.sparkSession
+    ranked = ranked.select("p").distinct()
+    buckets = max(1, -(-ranked.count() // AUTOMATON_PATTERNS))
+    hits = []
+    for bucket in range(buckets):
+        rows = ranked.where(F.pmod(F.xxhash64("p"), F.lit(buckets)) == bucket).collect()
+        split = [(r.p, required_literals(r.p.pattern)) for r in rows]
+        searched = [(p, literals) for p, literals in split if literals is not None]
+        free = [(tuple(p),) for p, literals in split if literals is None]
+        if searched:
+            hits.append(_automaton_matches(texts, searched))
+        if free:
+            grid = cells or (-(-len(free) // CELL_PATTERNS), -(-texts.agg(F.approx_count_distinct(_TEXT)).first()[0] // CELL_TEXTS))
+            hits.append(_matches(texts, spark.createDataFrame(free, _RANKED), *(max(1, n) for n in grid)))
+    hits = reduce(DataFrame.unionByName, hits) if hits else texts.select(_TEXT, F.lit(None).cast(_RANKED_TYPE).alias("p")).limit(0)
     best = hits.groupBy(_TEXT).agg(F.min("p").alias(_BEST))
     # The hash as a second key makes Spark shuffle both sides for this join alone. Without it the
     # right side would reuse the shuffle below its aggregate, and AQE splits a hot title only when

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from jobsignals.operators.quality import WatchedWrites
 from jobsignals.plans.enrichment import enriched_postings, mapped_postings
 from jobsignals.plans.marts import (
     barrier_states,
@@ -37,6 +38,7 @@ def build(
     days: Sequence[date] | None = None,
     layer_name: str | None = None,
     comments: Mapping[str, Mapping[str, str]] | None = None,
+    watched: WatchedWrites | None = None,
 ) -> dict[str, DataFrame]:
     """Every layer by name, lazily, or written under ``storage``.
 
@@ -53,22 +55,29 @@ def build(
 
     The marts always cover all days, but a written build derives them from daily states (counts per
     day that add up), which lie beside the postings: of postings only those of ``days`` are read.
+    ``watched`` counts the row checks of every layer that is written, of the rows that are written;
+    checks on the enriched postings are counted with the mapped ones, which hold the same rows.
     """
     if days is not None and storage is None:
         raise ValueError("days needs a stored build to refresh")
     spark = raw.sparkSession
 
+    def checked(df: DataFrame, name: str) -> DataFrame:
+        for table in [name, *(["enriched_postings"] if name == "mapped_postings" else [])]:
+            df = watched.watch(df, table) if watched else df
+        return df
+
     def layer(df: DataFrame, name: str, partition_by=(), cluster_by=()) -> DataFrame:
         if storage is None and layer_name is None:
             return df
         documented = (comments or {}).get(name)
-        return materialise(df, name, layer=layer_name, path=storage, partition_by=partition_by, cluster_by=cluster_by, comments=documented)
+        return materialise(checked(df, name), name, layer=layer_name, path=storage, partition_by=partition_by, cluster_by=cluster_by, comments=documented)
 
     def postings(df: DataFrame, name: str, cluster_by: Sequence[str]) -> DataFrame:
         if days is None:
             return layer(df, name, BY_DAY, cluster_by)
         path = f"{storage.rstrip('/')}/{name}"
-        replace_partitions(df, path, BY_DAY, cluster_by, covered=days)
+        replace_partitions(checked(df, name), path, BY_DAY, cluster_by, covered=days)
         return spark.read.schema(df.schema).parquet(path)
 
     def states(make: Callable[..., DataFrame], name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -161,32 +162,100 @@ def materialise(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     comments: Mapping[str, str] | None = None,
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+    analyse: bool = False,
 ) -> DataFrame:
-    """Publish a layer as a view or a written table and return a DataFrame that reads it.
+    """Publish a layer as a session's view or a written table and return a DataFrame that reads it;
+    ``publish_view`` makes views that outlive the session.
 
     With ``path`` the table is Parquet files there; otherwise it is saved in the catalog under
-    ``layer.name``, exactly as named, or under ``name`` in the current schema.
+    ``layer.name``, exactly as named, or under ``name`` in the current schema. A catalog table may be
+    cut into ``buckets`` by ``bucket_by``: tables of equal buckets join on these columns without a
+    shuffle. ``analyse`` stores statistics of all its columns, from which Spark plans joins and
+    ``catalog_inventory`` reads sizes.
     """
     spark = df.sparkSession
     if comments:
         df = with_comments(df, comments)
     if kind == "view":
+        if layer:
+            raise ValueError("a view of a layer is made by publish_view, from its SQL")
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    writer = _layout(df, partition_by, cluster_by).write.mode("overwrite")
+    if path and (bucket_by or analyse):
+        raise ValueError("buckets and statistics belong to catalog tables")
+    if bucket_by and not partition_by:
+        # One task per bucket writes one file, already in the order that a join needs.
+        df = df.repartition(buckets, *bucket_by)
+        writer = df.write.mode("overwrite")
+    else:
+        writer = _layout(df, partition_by, cluster_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if path:
         target = f"{path.rstrip('/')}/{name}"
         writer.parquet(target)
         return spark.read.schema(df.schema).parquet(target)
-    table = f"{layer}.{name}" if layer else name
-    if layer:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+    table = _in_layer(spark, name, layer)
     writer.format("parquet").saveAsTable(table)
+    if analyse:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
     return spark.table(table)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _in_layer(spark: SparkSession, name: str, layer: str | None) -> str:
+    """The name of a table in the schema of its layer, which is made on first use."""
+    if not layer:
+        return _quoted(name)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(layer)}")
+    return f"{_quoted(layer)}.{_quoted(name)}"
+
+
+def publish_view(
+    spark: SparkSession,
+    name: str,
+    sql: str,
+    layer: str | None = None,
+    comments: Mapping[str, str] | None = None,
+    comment: str | None = None,
+) -> DataFrame:
+    """Create or replace a view in the catalog, in the schema of its layer exactly as named: other
+    sessions find it there, with its documentation, and its SQL is run anew on what the tables hold."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    documented = comments or {}
+    columns = spark.sql(sql).columns
+    unknown = set(documented) - set(columns)
+    if unknown:
+        raise ValueError(f"comments on columns the view does not have: {sorted(unknown)}")
+    shown = ", ".join(_quoted(c) + (f" COMMENT {text(documented[c])}" if c in documented else "") for c in columns)
+    about = f" COMMENT {text(comment)}" if comment else ""
+    view = _in_layer(spark, name, layer)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} ({shown}){about} AS {sql}")
+    return spark.table(view)
+
+
+def catalog_inventory(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+    """Rows and size per analysed catalog table, from the catalog's statistics: nothing is scanned.
+    A table without statistics has NULLs."""
+    rows = []
+    for table in tables:
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        numbers = re.fullmatch(r"(\d+) bytes(?:, (\d+) rows)?", described.get("Statistics", ""))
+        size, count = numbers.groups() if numbers else (None, None)
+        rows.append((table, int(count) if count else None, int(size) if size else None))
+    return spark.createDataFrame(rows, "table_name string, row_count long, size_bytes long")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
