@@ -12,6 +12,13 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum((F.xxhash64("u", "v") / 1024).cast("long").cast("decimal(38,0)"))).first())
 
 
+def _joined(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Links with their node's minimum. The hash as a second key gives both sides a shuffle for this
+    join alone, so that AQE can split the links of a node that many others link to."""
+    digest = F.xxhash64("u")
+    return links.withColumn("digest", digest).join(least.withColumn("digest", digest), ["u", "digest"])
+
+
 def roots(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): the smallest node that can be reached, for every node of ``edges`` (two long
     columns) that is not a root itself.
@@ -26,9 +33,9 @@ def roots(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stored(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
+        large = stored(_joined(both, least).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(small_least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = _joined(large, small_least).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         last, now = now, stored(moved.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "small_star")
         discard(last, large)
         before, state = state, _state(now)

@@ -11,10 +11,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import arrow_type, body, by_slice, query, stored, table
+from jobsignals.llm.common import arrow_type, body, by_slice, query, slices, stored, table
 from jobsignals.llm.components import roots
 
 WORDS, RADIUS, SEED, BITS = 4, 4, 42, 64
@@ -106,18 +106,21 @@ class BKTree:
             node = child
 
     def within(self, value: int, radius: int) -> list[int]:
-        """The labels of all nodes at most ``radius`` away: by the triangle inequality they lie
-        under edges that differ from the distance to their parent by no more."""
-        found, open_nodes = [], [self.root] if self.root else []
+        """The labels of all nodes at most ``radius`` away."""
+        return list(self.near(value, radius))
+
+    def near(self, value: int, radius: int) -> Iterator[int]:
+        """The same one by one, for callers that may stop: by the triangle inequality they lie under
+        edges that differ from the distance to their parent by no more."""
+        open_nodes = [self.root] if self.root else []
         while open_nodes:
             other, label, children = open_nodes.pop()
             d = (other ^ value).bit_count()
             if d <= radius:
-                found.append(label)
+                yield label
             if children:
                 low, high = d - radius, d + radius
                 open_nodes += [c for k, c in children.items() if low <= k <= high]
-        return found
 
 
 def blocks_for(n: int, radius: int) -> int:
@@ -144,77 +147,99 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def link_shards(keyed: DataFrame, radius: int, tree_members: int, every: bool = False) -> DataFrame:
+class ShardLinks:
+    """Pairs that connect what is near in one tree of a shard. Members come first and enter the tree,
+    other rows of the shard only ask; both may carry a ``label`` of what is connected already, and a
+    ``shingles`` set that decides. Once all of the tree is connected, a row stops at its first link."""
+
+    def __init__(self, radius: int, similarity: float | None):
+        self.radius, self.similarity = radius, similarity
+        self.tree = BKTree()
+        self.nodes: list[int] = []
+        self.groups: list[int] = []
+        self.sets: list[np.ndarray | None] = []
+        self.parent: dict[int, int] = {}
+        self.apart = 0  # groups among the members that are not connected
+
+    def top(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def similar(self, x: np.ndarray | None, y: np.ndarray | None) -> bool:
+        if self.similarity is None:
+            return True
+        if min(len(x), len(y)) < self.similarity * max(len(x), len(y)):
+            return False
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both >= self.similarity * (len(x) + len(y) - both)
+
+    def add(self, node: int, bits: int | bytes, inside: bool, label: int | None, shingles: bytes | None) -> Iterator[tuple[int, int]]:
+        value = int.from_bytes(bits, "little") if isinstance(bits, bytes) else bits & 0xFFFFFFFFFFFFFFFF
+        group = node if label is None else label
+        own = None if shingles is None else np.frombuffer(shingles, "<u8")
+        root = self.top(group) if group in self.parent else None
+        if root is None or self.apart > 1:
+            for j in self.tree.near(value, self.radius):
+                other = self.top(self.groups[j])
+                if other == root or not self.similar(own, self.sets[j]):
+                    continue
+                yield node, self.nodes[j]
+                if root is not None:
+                    self.parent[other] = root
+                    self.apart -= 1
+                else:
+                    root = other
+                if self.apart == 1:
+                    break
+                root = self.top(root)
+        if inside:
+            self.tree.add(value, len(self.nodes))
+            self.nodes.append(node)
+            self.groups.append(group)
+            self.sets.append(own)
+            if group not in self.parent:
+                self.parent[group] = group if root is None else root
+                self.apart += root is None
+
+
+def link_shards(keyed: DataFrame, radius: int, tree_members: int, sets: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
     """Pairs (a, b) of ``node`` that connect all nodes of a shard (t, key) whose ``bits`` differ in
     at most ``radius`` places: of a tree's links only as many as connect its members are sent. With
-    ``every`` all links between nodes of different ``label`` are sent.
+    ``sets`` (node, hashes) a link also needs that Jaccard similarity, and nodes of one ``label`` are
+    connected already.
 
     Shards are dealt out by key, not broadcast, as together they grow with the input; a shard of
-    many near copies is cut into trees of ``tree_members``, each asked by the whole shard.
+    many near copies is cut into trees of ``tree_members``, each asked by the whole shard. A task
+    holds the members of one tree and a slice of rows at a time.
     """
     large = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tree_members)
     trees = large.select("t", "key", F.ceil(F.col("size") / tree_members).cast("int").alias("trees"))
     members = keyed.join(trees, ["t", "key"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
-    asked = members.withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-    inside = (F.pmod(F.xxhash64("node"), "trees").cast("int") == F.col("tree")).alias("inside")
-    labels = ["label"] if every else []
-    tasks = asked.select("t", "key", "tree", inside, "node", "bits", *labels).repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "node")
-
-    def connect(nodes: list[int], bits: list, inside: list[bool], label: list[int] | None = None) -> Iterator[tuple[int, int]]:
-        """Links among the members inside the tree, and from the others to them."""
-        tree = BKTree()
-        parent = list(range(len(nodes)))
-
-        def top(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        for i, value in enumerate(bits):
-            value = int.from_bytes(value, "little") if isinstance(value, bytes) else value & 0xFFFFFFFFFFFFFFFF
-            for j in tree.within(value, radius):
-                if label is not None:
-                    if label[i] != label[j]:
-                        yield nodes[i], nodes[j]
-                    continue
-                a, b = top(i), top(j)
-                if a != b:
-                    parent[a] = b
-                    yield nodes[i], nodes[j]
-            if inside[i]:
-                tree.add(value, i)
+    home = F.pmod(F.xxhash64("node"), "trees").cast("int")
+    # A pair meets once: a row asks its own tree and the later ones.
+    asked = members.withColumn("tree", F.explode(F.sequence(home, F.col("trees") - 1)))
+    checked = sets is not None
+    names = ["t", "key", "tree", "inside", "node", "bits", *(["label", "hashes"] if checked else [])]
+    asked = asked.withColumn("inside", home == F.col("tree"))
+    if checked:
+        asked = asked.join(sets.hint("merge"), "node")
+    tasks = asked.select(*names).repartition("t", "key", "tree").sortWithinPartitions("t", "key", "tree", F.col("inside").desc(), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shards arrive one after another, and may go on in the next batch."""
-        names = ["t", "key", "tree", "inside", "node", "bits", *labels]
-        held: pa.Table | None = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch.select(names)])
-            part = pa.concat_tables([held, part]) if held is not None else part
-            yield from linked(part, keep_last=True)
-            held = part.slice(shard_edges(part)[-2]) if part.num_rows else None
-        if held is not None:
-            yield from linked(held, keep_last=False)
-
-    def shard_edges(part: pa.Table) -> np.ndarray:
-        t, key, tree = (part[c].to_numpy() for c in ("t", "key", "tree"))
-        changes = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (tree[1:] != tree[:-1])
-        return np.flatnonzero(np.r_[True, changes, True])
-
-    def linked(part: pa.Table, keep_last: bool) -> Iterator[pa.RecordBatch]:
-        edges = shard_edges(part) if part.num_rows else np.zeros(1, int)
-        shards = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
-        pairs: list[tuple[int, int]] = []
-        for a, b in shards[:-1] if keep_last else shards:
-            if b - a > 1:
-                for pair in connect(*(part[c].slice(a, b - a).to_pylist() for c in ("node", "bits", "inside", *labels))):
-                    pairs.append(pair)
-                    if len(pairs) > 10_000:
-                        yield pair_batch(pairs)
-                        pairs = []
-        if pairs:
-            yield pair_batch(pairs)
+        now, shard, pairs = None, None, []
+        for part in slices(batches, 2048):
+            columns = [part.column(n).to_pylist() for n in names]
+            given = zip(*columns) if checked else zip(*columns, repeat(None), repeat(None))
+            for t, key, tree, inside, node, bits, label, hashes in given:
+                if now != (t, key, tree):
+                    now, shard = (t, key, tree), ShardLinks(radius, similarity)
+                pairs.extend(shard.add(node, bits, inside, label, hashes))
+            if pairs:
+                yield pair_batch(pairs)
+                pairs = []
 
     def pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = zip(*pairs)
@@ -233,7 +258,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_members: int = TREE_ME
 
 
 def component_ids(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
-    """(fp, component_id): the smallest id under each root. ``nodes`` has ``key``, fp and least, the
+    """(fp, root, component_id): the smallest id under each root. ``nodes`` has ``key``, fp and least, the
     smallest id of the node; ``found`` names the root of ``key`` where it has another.
 
     Both sides of the last join are stored, so that AQE can split the rows of a large component.
@@ -241,7 +266,7 @@ def component_ids(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
     links = found.select(F.col("node").alias("of"), "root")
     rooted = stored(nodes.join(links, F.col(key) == F.col("of"), "left").select("fp", "least", F.coalesce("root", key).alias("root")), "rooted")
     least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    return stored(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+    return stored(rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -291,7 +316,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         for i, j, x, y in zip(a, b, left, right):
             x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
             both = len(np.intersect1d(x, y, assume_unique=True))
-            if both / (len(x) + len(y) - both) >= similarity:
+            if both >= similarity * (len(x) + len(y) - both):
                 yield i, j
 
     left, right = (sets.select(F.col("node").alias(end), F.col("hashes").alias(name)) for end, name in (("a", "left_hashes"), ("b", "right_hashes")))
@@ -311,12 +336,41 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``WIDE_SLACK`` deviations. With ``confirm`` it proposes up to ``CONFIRMED_SLACK`` deviations, and
     the sets of 64-bit shingle hashes confirm a pair, so no two less similar texts are linked.
 
-    To confirm, first only as many pairs as connect a shard are confirmed. Where one of them is refused, all
-    proposed pairs of that loose group that are not connected yet are checked too, so no pair is
-    passed over; a group of many texts just under the similarity costs all its pairs. Texts of equal
-    sets are one node. Nulls, repeats and empty tables are treated as in ``near_duplicates``.
+    To confirm, first only as many pairs as connect a shard are confirmed. Where one of them is refused,
+    the members of that loose group meet again in their shards, with their sets: there a pair that is
+    not connected yet is compared in place, and only pairs that connect leave the task, fewer than
+    members. So no pair is passed over. Texts of equal sets are one node. Nulls, repeats and empty tables are treated as in ``near_duplicates``.
+    """
+    found = similar_rows(docs, id_col, text_col, words, similarity, tree_members, confirm)
+    return found.select(F.col("id").alias(id_col), "component_id")
+
+
+def text_version(text_col: str) -> Column:
+    return F.unhex(F.sha2(body(text_col), 256))
+
+
+def first_of_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay when of each group of ``similar_documents`` one does: the whole
+    row with the smallest id (null after all others), then the smallest digest of its text.
+
+    Rows are told apart by id and text, so rows with null or repeated ids are decided one by one; of
+    rows equal in both one stays.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(body(text_col), 256)).alias("version"), body(text_col).alias("text"))
+    found = similar_rows(docs, id_col, text_col, confirm=True, **options)
+    rows = found.groupBy("root", "id", "version").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("version"))
+    kept = rows.groupBy("root").agg(F.min_by(F.struct("id", "version", "copies"), order).alias("kept"))
+    kept = stored(kept.select(F.col("kept.id").alias("kept_id"), F.col("kept.version").alias("kept_version"), F.col("kept.copies").alias("kept_copies")), "kept")
+    same = (text_version(text_col) == F.col("kept_version")) & F.col(id_col).eqNullSafe(F.col("kept_id"))
+    single = docs.join(kept.where("kept_copies = 1"), same, "left_semi")
+    repeated = docs.join(kept.where("kept_copies > 1"), same)
+    one = repeated.groupBy("kept_version", "kept_id").agg(F.first(F.struct(*(docs[c] for c in docs.columns))).alias("row")).select("row.*")
+    return single.unionByName(one)
+
+
+def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int = 5, similarity: float = 0.8, tree_members: int = TREE_MEMBERS, confirm: bool = True) -> DataFrame:
+    """Each row's id, version (digest of its text), root (a number of its group) and component_id."""
+    rows = docs.select(F.col(id_col).alias("id"), text_version(text_col).alias("version"), body(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def mark(ids: list, versions: list[bytes], texts: list[str]) -> Iterator[tuple]:
@@ -336,7 +390,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def connected(edges: DataFrame) -> DataFrame:
         classes = component_ids(nodes, "node", roots(edges))
-        return marked.select("id", "fp").join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
+        return marked.select("id", "version", "fp").join(classes, "fp").select("id", "version", "root", "component_id")
 
     if not confirm:
         return connected(proposed)
@@ -354,10 +408,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         doubtful = refused.select("a").distinct().join(loose, F.col("a") == F.col("node"), "left").select(F.coalesce("root", "a").alias("root")).distinct()
         members = loose.join(doubtful, "root", "left_semi").select("node").unionByName(doubtful.select(F.col("root").alias("node")))
         known = roots(edges).withColumnRenamed("root", "label")
-        labelled = stored(members.join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label")).join(nodes, "node").select("node", "label", "bits", "bands"), "doubtful")
-        again = labelled.select("node", "label", "bits", F.posexplode("bands").alias("t", "key"))
-        others = link_shards(again, radius, tree_members, every=True).select(*ordered).distinct().join(proposed, ["a", "b"], "left_anti")
-        edges = edges.unionByName(stored(confirmed(stored(others, "proposed"), sets, similarity), "confirmed"))
+        labelled = members.join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+        labelled = stored(labelled.join(nodes, "node").select("node", "label", "bits", F.posexplode("bands").alias("t", "key")), "doubtful")
+        # Only shards that hold nodes not connected yet.
+        mixed = labelled.groupBy("t", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        again = labelled.join(mixed.select("t", "key"), ["t", "key"], "left_semi")
+        edges = edges.unionByName(stored(link_shards(again, radius, tree_members, sets, similarity), "confirmed"))
     return connected(edges)
 
 

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from jobsignals.llm import simhash
 from jobsignals.llm.common import stored
@@ -198,3 +199,59 @@ def test_edges(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.similar_documents(df).collect()), key=str)
     assert got == sorted([(1, 1), (2, 1), (3, 3), (4, 3), (5, 3), (None, 1), (7, 7), (1, 1)], key=str)
     assert simhash.similar_documents(df.limit(0)).count() == 0
+
+
+def test_shards_connect_by_similarity_and_labels():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randrange(2, 14)
+        sets = [np.unique(np.array(rng.sample(range(12), rng.randrange(1, 9)), np.uint64)) for _ in range(n)]
+        bits = [rng.getrandbits(4) for _ in range(n)]
+        labels = [rng.randrange(100, 104) if rng.random() < 0.5 else i for i in range(n)]
+        inside = sorted((rng.random() < 0.7 for _ in range(n)), reverse=True)
+        shard, found = simhash.ShardLinks(2, 0.5), []
+        for i in range(n):
+            found += shard.add(i, bits[i], inside[i], labels[i], sets[i].astype("<u8").tobytes())
+
+        def near(i, j):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            return (bits[i] ^ bits[j]).bit_count() <= 2 and both >= 0.5 * (len(sets[i]) + len(sets[j]) - both)
+
+        assert all(near(i, j) for i, j in found)
+        pairs = [(i, j) for i in range(n) for j in range(i) if near(i, j) and (inside[i] or inside[j])]
+        same = [(i, j) for i in range(n) for j in range(i) if labels[i] == labels[j]]
+        assert components(n, pairs + same) == components(n, found + same)
+
+
+def components(n, pairs):
+    root = list(range(n))
+    for _ in range(n):
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    return root
+
+
+def test_a_large_neighbourhood_of_one_fingerprint(spark):
+    """100,000 fingerprints within three bits of one: connected, in trees of bounded size, and no more
+    pairs than rows and trees ask for."""
+    rng = random.Random(6)
+    values = set()
+    while len(values) < 100_000:
+        value = 0
+        for bit in rng.sample(range(64), rng.randrange(0, 5)):
+            value |= 1 << bit
+        values.add(value)
+    keyed = spark.createDataFrame([(0, 0, v - (1 << 64) if v >> 63 else v) for v in values], "t int, key long, node long").withColumn("bits", F.col("node"))
+    pairs = stored(simhash.link_shards(keyed, 8, 2000), "test")
+    assert pairs.count() < 50 * 100_000
+    assert simhash.roots(pairs).select("root").distinct().count() == 1
+
+
+def test_one_row_of_each_similar_group_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(f"x{i}" for i in range(60))
+    rows = [(5, one, "a"), (None, near, "b"), (None, other, "c"), (9, other + " y", "d"), (9, " ".join(f"z{i}" for i in range(60)), "e"), (9, "lone text here", "f"), (9, "lone text here", "g"), (7, "", "h"), (8, None, "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    kept = sorted(map(tuple, simhash.first_of_similar(df).collect()), key=str)
+    assert len(kept) == 5 and {r[2] for r in kept} - {"f", "g"} == {"a", "d", "e", "h"}
+    assert len({r[2] for r in kept} & {"f", "g"}) == 1 and simhash.first_of_similar(df.limit(0)).count() == 0
