@@ -13,7 +13,7 @@ from jobsignals.llm.common import ship, stored, table
 from jobsignals.llm.exact_dedup import drop_copies
 from jobsignals.llm.packing import pack
 from jobsignals.llm.pii import redact
-from jobsignals.llm.simhash import similar_documents
+from jobsignals.llm.simhash import first_of_similar
 from jobsignals.llm.toxicity import fit_on_folds, score_toxicity
 
 # Packing depends on a tokenizer and toxicity on a trained model, which SQL does not express.
@@ -26,7 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, learnt from the labels of the training folds."""
     ship(spark)
     model = fit_on_folds(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, score_col=SCORE).where(F.col(SCORE) < 0.5).drop(SCORE)
+    score = SCORE
+    while score in docs.columns:
+        score += "_"
+    return score_toxicity(docs, model, score_col=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +40,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar texts (five words, 0.8) the document with the smallest id."""
     ship(spark)
-    kept = similar_documents(docs, confirm=True).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    return first_of_similar(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
