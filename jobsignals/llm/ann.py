@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -171,9 +171,9 @@ def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0)
 
 
-def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks: int) -> DataFrame:
-    """Lists from exhaustive comparison in the leaves of random trees; a leaf that holds more than
-    twice what it should is cut by a hash."""
+def leaves_of(nodes: DataFrame, n: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+    """(tree, leaf, node, vec, part): each node's leaf in every random tree; a leaf that holds more
+    than twice what it should is cut into parts by a hash."""
     picked = bounded_sample(nodes, "node", n, SAMPLE).select("vec").toArrow()
     sample = matrix(picked["vec"])
     size = max(16, leaf * len(sample) // n)
@@ -190,7 +190,12 @@ def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks:
     dealt = stored(nodes.select("node", "vec").mapInArrow(deal, f"tree int, leaf long, node long, vec {vec}"), "leaves")
     # At most SAMPLE / 16 leaves a tree, so this broadcast is bounded.
     parts = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * leaf)).cast("int").alias("parts"))
-    cut = dealt.join(F.broadcast(parts), ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts")).drop("parts")
+    return dealt.join(F.broadcast(parts), ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts")).drop("parts")
+
+
+def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks: int, leaves: DataFrame | None = None) -> DataFrame:
+    """Lists from exhaustive comparison in the leaves of random trees (``leaves``, if they are there)."""
+    cut = leaves_of(nodes, n, trees, leaf) if leaves is None else leaves
 
     def compare(t: pa.Table) -> pa.Table:
         ids, rows = t["node"].to_numpy(), matrix(t["vec"])
@@ -210,20 +215,20 @@ def first_lists(nodes: DataFrame, n: int, k: int, trees: int, leaf: int, blocks:
     return merge(empty, cut.groupBy("tree", "leaf", "part").applyInArrow(compare, PARCELS), k, blocks)
 
 
-def links_of(graph: DataFrame) -> DataFrame:
+def links_of(graph: DataFrame, turn: int = 0) -> DataFrame:
     """(node, part, other, done): every link from both its ends. The links of a node that many
-    others list are cut into parts of about ``DEGREE``; none is left out."""
+    others list are cut into parts of about ``DEGREE``, otherwise in every ``turn``; none is left out."""
     ends = F.explode(F.arrays_zip("ids", "done")).alias("e")
     out = graph.select("node", ends).select("node", F.col("e.ids").alias("other"), F.col("e.done").alias("done"))
     both = out.unionByName(out.select(F.col("other").alias("node"), F.col("node").alias("other"), "done"))
     many = both.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / DEGREE).cast("int").alias("parts"))
-    return both.join(many.hint("merge"), "node").select("node", F.pmod(F.xxhash64("other"), "parts").cast("int").alias("part"), "other", "done")
+    return both.join(many.hint("merge"), "node").select("node", F.pmod(F.xxhash64("other", F.lit(turn)), "parts").cast("int").alias("part"), "other", "done")
 
 
-def improve(graph: DataFrame, nodes: DataFrame, k: int, blocks: int) -> DataFrame:
+def improve(graph: DataFrame, nodes: DataFrame, k: int, blocks: int, turn: int = 0) -> DataFrame:
     """One round of NN-descent: the neighbours of a node get to know each other, unless both links
     were there in an earlier round already."""
-    links = links_of(graph).withColumn("block", F.pmod(F.xxhash64("node", "part"), F.lit(blocks)).cast("int"))
+    links = links_of(graph, turn).withColumn("block", F.pmod(F.xxhash64("node", "part"), F.lit(blocks)).cast("int"))
     lists = graph.select("node", F.element_at("ds", -1).alias("worst"), F.size("ids").alias("n"))
     known = nodes.select("node", "vec").join(lists.hint("merge"), "node")
     needed = links.select(F.col("block").alias("at"), F.col("other").alias("node")).distinct().join(known.hint("merge"), "node").select("at", "node", "vec", "worst", "n")
@@ -260,63 +265,182 @@ def improve(graph: DataFrame, nodes: DataFrame, k: int, blocks: int) -> DataFram
     return merge(graph, met, k, blocks)
 
 
-def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf: int = LEAF, settled: float = SETTLED) -> DataFrame:
-    """(node, ids, ds, done) by NN-descent, until a round changes less than ``settled`` of the links."""
+def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf: int = LEAF, settled: float = SETTLED, leaves: DataFrame | None = None) -> DataFrame:
+    """(node, ids, ds, done) by NN-descent, until a round changes less than ``settled`` of the links;
+    each round's write counts what it changed."""
     blocks = blocks_for(n)
-    graph = stored(first_lists(nodes, n, k, trees, leaf, blocks), "graph")
+    graph = stored(first_lists(nodes, n, k, trees, leaf, blocks, leaves), "graph")
+    turn = 0
     while True:
-        last, graph = graph, stored(improve(graph, nodes, k, blocks), "graph")
+        turn, counts = turn + 1, Observation()
+        changed, all_links = F.sum(F.size(F.filter("done", lambda x: ~x))), F.sum(F.size("done"))
+        last, graph = graph, stored(improve(graph, nodes, k, blocks, turn).observe(counts, changed.alias("changed"), all_links.alias("links")), "graph")
         discard(last)
         free_rounds(nodes.sparkSession)
-        share = graph.agg(F.sum(F.size(F.filter("done", lambda x: ~x))) / F.sum(F.size("done"))).first()[0]
-        if not share or share < settled:
+        if not counts.get["changed"] or counts.get["changed"] < settled * counts.get["links"]:
             return graph
 
 
 # --- the search
 
 
-def search_graph(graph: DataFrame, nodes: DataFrame, starts: DataFrame, n: int, beam: int = BEAM) -> DataFrame:
-    """For each node of ``starts`` (node, vec) the nodes nearest to it: (node, ids, ds), itself
-    included. A round expands every kept node not yet expanded, for all searches at once, and the
-    search ends when all kept nodes are; distances are in double precision."""
-    blocks = blocks_for(n)
-    ways = stored(links_of(graph).groupBy("node", "part").agg(F.collect_set("other").alias("others")).select(F.col("node").alias("from"), "others"), "ways")
+STATE = "ids array<long>, ds array<double>, pend array<long>, pend_at array<int>"
+ANSWERS = "at int, search array<long>, n_found array<long>, ids array<long>, ds array<double>, n_pend array<long>, pend array<long>, pend_at array<int>"
+
+
+def walkable(graph: DataFrame, nodes: DataFrame, places: DataFrame) -> DataFrame:
+    """What a block holds to walk in, (at, node, vec, others, others_at): a row with the vector of
+    each node, and rows with its links. ``places`` (node, at) names each node's block; every link
+    carries that of its end."""
+    there = places.select(F.col("node").alias("other"), F.col("at").alias("other_at"))
+    links = links_of(graph).select("node", "part", "other").join(there.hint("merge"), "other")
+    rows = links.groupBy("node", "part").agg(F.collect_set(F.struct("other", "other_at")).alias("ends"))
     vec = nodes.schema["vec"].dataType.simpleString()
-    stock = nodes.select(block_of("node", blocks).alias("at"), "node", "vec", F.lit(False).alias("asks"))
-    state = stored(starts.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("ds"), F.array(F.lit(False)).alias("done")), "beam")
-
-    def look(reached: pa.Table, stock: pa.Table) -> pa.Table:
-        asks = stock["asks"].to_numpy(zero_copy_only=False).astype(bool)
-        if not reached.num_rows:
-            return parcels(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), beam, blocks)
-        ids, rows = stock["node"].to_numpy(), matrix(stock["vec"], np.float64)
-        order_q, order_v = np.flatnonzero(asks), np.flatnonzero(~asks)
-        order_q, order_v = order_q[np.argsort(ids[order_q])], order_v[np.argsort(ids[order_v])]
-        search, other, worst = (reached[c].to_numpy() for c in ("search", "node", "worst"))
-        q = order_q[np.searchsorted(ids[order_q], search)]
-        v = order_v[np.searchsorted(ids[order_v], other)]
-        d = np.zeros(len(q))
-        for at in range(0, len(q), 65_536):
-            diff = rows[q[at : at + 65_536]] - rows[v[at : at + 65_536]]
-            d[at : at + 65_536] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        near = d <= worst
-        return parcels(search[near], other[near], d[near], beam, blocks)
+    ends = places.join(rows.hint("merge"), "node").select("at", "node", F.lit(None).cast(vec).alias("vec"), F.col("ends.other").alias("others"), F.col("ends.other_at").alias("others_at"))
+    vectors = places.join(nodes.select("node", "vec").hint("merge"), "node")
+    return ends.unionByName(vectors.select("at", "node", "vec", F.lit(None).cast("array<long>").alias("others"), F.lit(None).cast("array<int>").alias("others_at")))
+
+
+class Block:
+    """The nodes of a block with their vectors and links, and the walk of one search among them."""
+
+    def __init__(self, stock: pa.Table):
+        has = stock["vec"].is_valid().to_numpy(zero_copy_only=False)
+        held = stock.filter(pa.array(has))
+        order = np.argsort(held["node"].to_numpy())
+        self.ids = held["node"].to_numpy()[order]
+        self.rows = matrix(held["vec"], np.float64)[order]
+        linked = stock.filter(pa.array(~has))
+        counts, ends = flat_lists(linked["others"])
+        places = flat_lists(linked["others_at"])[1]
+        owner = np.repeat(np.searchsorted(self.ids, linked["node"].to_numpy()), counts)
+        order = np.argsort(owner, kind="stable")
+        self.ends, self.places = ends[order], places[order]
+        self.first = np.searchsorted(owner[order], np.arange(len(self.ids) + 1))
+        local = np.searchsorted(self.ids, self.ends)
+        local = np.minimum(local, max(0, len(self.ids) - 1))
+        self.local = np.where(self.ids[local] == self.ends, local, -1) if len(self.ids) else local
+
+    def links(self, at: np.ndarray) -> np.ndarray:
+        """Places in ``ends`` of all links of the nodes ``at``."""
+        sizes = self.first[at + 1] - self.first[at]
+        return np.repeat(self.first[at], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+    def places_of(self, ids: np.ndarray) -> np.ndarray:
+        """Where the block holds those of ``ids`` that it has."""
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        return np.unique(at[self.ids[at] == ids])
+
+    def walk(self, vec: np.ndarray, start: np.ndarray, known: np.ndarray, worst: float, beam: int) -> tuple[np.ndarray, ...]:
+        """(ids, distances) of the nodes reached that may be among the ``beam`` nearest, and (ids,
+        blocks) of their links that lead out. ``known`` nodes were walked from before."""
+        front = self.places_of(start)
+        seen = np.zeros(len(self.ids), bool)
+        seen[front] = True
+        seen[self.places_of(known)] = True
+        near, ds, out = [front[:0]], [np.zeros(0)], [front[:0]]
+        while len(front):
+            diff = self.rows[front] - vec
+            d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            good = d < worst
+            front, d = front[good], d[good]
+            near.append(front)
+            ds.append(d)
+            found = np.concatenate(ds)
+            if len(found) >= beam:
+                worst = min(worst, float(np.partition(found, beam - 1)[beam - 1]))
+            links = self.links(front)
+            inside = self.local[links]
+            out.append(links[inside < 0])
+            front = np.unique(inside[inside >= 0])
+            front = front[~seen[front]]
+            seen[front] = True
+        at, d, out = np.concatenate(near), np.concatenate(ds), np.unique(np.concatenate(out))
+        best = np.lexsort((self.ids[at], d))[:beam]
+        # Only links of nodes that are still among the best lead on.
+        left = np.unique(self.links(at[best])) if len(best) else out[:0]
+        out = np.intersect1d(out, left)
+        ends, first = np.unique(self.ends[out], return_index=True)
+        return self.ids[at[best]], d[best], ends, self.places[out][first]
+
+
+def answers_of(results: list[tuple], homes: int) -> pa.Table:
+    """(search, ids, ds, pending ids, their blocks) packed by the home of the search."""
+    by_home: dict[int, list[tuple]] = {}
+    for r in results:
+        by_home.setdefault(int(r[0] % homes), []).append(r)
+    columns = {"at": pa.array(np.array(list(by_home), np.int32))}
+    kinds = {"search": np.int64, "n_found": np.int64, "ids": np.int64, "ds": np.float64, "n_pend": np.int64, "pend": np.int64, "pend_at": np.int32}
+    for name, kind in kinds.items():
+        take = {
+            "search": lambda r: [r[0]], "n_found": lambda r: [len(r[1])], "ids": lambda r: r[1], "ds": lambda r: r[2],
+            "n_pend": lambda r: [len(r[3])], "pend": lambda r: r[3], "pend_at": lambda r: r[4],
+        }[name]
+        columns[name] = pa.array([np.concatenate([np.asarray(take(r), kind) for r in rows]) for rows in by_home.values()], pa.list_(pa.from_numpy_dtype(kind)))
+    return pa.table(columns)
+
+
+def search_graph(graph: DataFrame, nodes: DataFrame, places: DataFrame, starts: DataFrame, beam: int = BEAM) -> DataFrame:
+    """For each node of ``starts`` (node, vec) the nodes nearest to it: (node, ids, ds), itself
+    included; distances are in double precision.
 
+    A search visits blocks: there it walks from node to nearer node as far as the block's own links
+    lead, and takes along the links that lead out. A round serves all searches in all blocks at once,
+    and all end when no search has a link left that is not among its ``beam`` kept nodes. ``places``
+    puts near nodes into one block, so that most steps stay inside.
+    """
+    homes = blocks_for(starts.count())
+    stock = stored(walkable(graph, nodes, places), "ways")
+    vec = nodes.schema["vec"].dataType.simpleString()
+    asks = starts.join(places, "node").select("node", "vec", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("ds"), F.array("node").alias("pend"), F.array("at").alias("pend_at"))
+    state = stored(asks, "beam")
+
+    def look(asked: pa.Table, stock: pa.Table) -> pa.Table:
+        results = []
+        if asked.num_rows and stock.num_rows:
+            block, vectors = Block(stock), matrix(asked["vec"], np.float64)
+            searches, worsts, wanted, known = asked["node"].to_numpy(), asked["worst"].to_numpy(), asked["wanted"], asked["ids"]
+            for i in range(len(searches)):
+                start, done = (np.array(lists[i].as_py(), np.int64) for lists in (wanted, known))
+                results.append((searches[i], *block.walk(vectors[i], start, done, worsts[i], beam)))
+        return answers_of(results, homes)
+
+    def together(state: pa.Table, sent: pa.Table) -> pa.Table:
+        """The beams with what the blocks found, and the links that may still lead somewhere."""
+        counts, ids = flat_lists(state["ids"])
+        ds = flat_lists(state["ds"])[1]
+        owner = np.repeat(state["node"].to_numpy(), counts)
+        found = {c: flat_lists(sent[c])[1] for c in ("search", "n_found", "ids", "ds", "n_pend", "pend", "pend_at")}
+        owner = np.concatenate([owner, np.repeat(found["search"], found["n_found"])])
+        other, d = np.concatenate([ids, found["ids"]]), np.concatenate([ds, found["ds"]])
+        owners, starts, others, near, _ = nearest_of(owner, other, d, np.zeros(len(owner), bool), beam)
+        place = {o: (a, b) for o, a, b in zip(owners.tolist(), starts.tolist(), np.append(starts, len(others))[1:].tolist())}
+        pend_owner = np.repeat(found["search"], found["n_pend"])
+        order = np.lexsort((found["pend"], pend_owner))
+        pend_owner, pend, pend_at = pend_owner[order], found["pend"][order], found["pend_at"][order]
+        rows = []
+        for node in state["node"].to_numpy().tolist():
+            a, b = place.get(node, (0, 0))
+            lo, hi = np.searchsorted(pend_owner, [node, node + 1])
+            once, first = np.unique(pend[lo:hi], return_index=True)
+            fresh = ~np.isin(once, others[a:b])
+            rows.append((others[a:b], near[a:b], once[fresh], pend_at[lo:hi][first][fresh]))
+        names = (("ids", pa.int64()), ("ds", pa.float64()), ("pend", pa.int64()), ("pend_at", pa.int32()))
+        lists = {n: pa.array([r[i] for r in rows], pa.list_(kind)) for i, (n, kind) in enumerate(names)}
+        return pa.table({"node": state["node"], "vec": state["vec"], **lists})
+
+    kept = f"node long, vec {vec}, {STATE}"
     while True:
-        worst = F.when(F.size("ids") < beam, float("inf")).otherwise(F.element_at("ds", -1)).alias("worst")
-        front = state.select(F.col("node").alias("search"), worst, F.explode(F.arrays_zip("ids", "done")).alias("e"))
-        front = front.where(~F.col("e.done")).select("search", "worst", F.col("e.ids").alias("from"))
-        reached = front.join(ways.hint("merge"), "from").select("search", "worst", F.explode("others").alias("node")).distinct()
-        reached = reached.withColumn("block", block_of("node", blocks))
-        meetings = reached.select(F.col("block").alias("at"), F.col("search").alias("node")).distinct()
-        asking = meetings.join(starts.hint("merge"), "node").select("at", "node", F.col("vec").cast(vec).alias("vec"), F.lit(True).alias("asks"))
-        seen = reached.groupBy("block").cogroup(stock.unionByName(asking).groupBy("at")).applyInArrow(look, PARCELS)
-        last, state = state, stored(merge(state, seen, beam, blocks), "beam")
+        worst = F.when(F.size("ids") < beam, float("inf")).otherwise(F.get("ds", F.lit(beam - 1))).alias("worst")
+        front = state.select("node", "vec", "ids", worst, F.explode(F.arrays_zip("pend", "pend_at")).alias("p"))
+        asked = front.groupBy(F.col("p.pend_at").alias("at"), "node").agg(F.first("vec").alias("vec"), F.first("worst").alias("worst"), F.first("ids").alias("ids"), F.collect_list("p.pend").alias("wanted"))
+        seen = asked.groupBy("at").cogroup(stock.groupBy("at")).applyInArrow(look, ANSWERS)
+        merged = state.groupBy(block_of("node", homes).alias("home")).cogroup(seen.groupBy("at")).applyInArrow(together, kept)
+        open_ends = Observation()
+        last, state = state, stored(merged.observe(open_ends, F.sum(F.size("pend")).alias("n")), "beam")
         discard(last)
-        free_rounds(nodes.sparkSession)
-        if not state.where(F.exists("done", lambda x: ~x)).limit(1).count():
-            discard(ways)
+        if not open_ends.get["n"]:
+            discard(stock)
             return state.select("node", "ids", "ds")
 
 
@@ -336,7 +460,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
     chosen = chosen.groupBy("query_id").agg(F.min("vec").alias("vec"))
     asked = stored(chosen.join(nodes.select("node", "vec"), "vec"), "queries")
     starts = stored(asked.groupBy("node").agg(F.first("vec").alias("vec")), "starts")
-    found = search_graph(build_graph(nodes, n), nodes, starts, n) if n else starts.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("ds"))
+    if n:
+        leaves = leaves_of(nodes, n)
+        # A leaf of the first tree, or a part of one, is a block of near nodes.
+        at = F.pmod(F.xxhash64("leaf", "part"), F.lit(2**31 - 1)).cast("int").alias("at")
+        places = stored(leaves.where("tree = 0").select("node", at), "places")
+        graph = build_graph(nodes, n, leaves=leaves)
+    found = search_graph(graph, nodes, places, starts) if n else starts.select("node", F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("ds"))
     near = found.select("node", F.explode(F.arrays_zip("ids", "ds")).alias("e")).select("node", F.col("e.ids").alias("other"), F.col("e.ds").alias("score"))
     copies = nodes.select(F.col("node").alias("other"), "members")
     listed = near.join(copies, "other").select("node", "score", F.explode("members").alias("id"))

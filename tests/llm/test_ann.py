@@ -88,3 +88,18 @@ def test_few_vectors(spark, n):
     rows = [(i * 100, [float(i + 1), 1.0]) for i in range(n)]
     got = answers(ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0))
     assert got == {q: near for q, near in exact(rows, lambda i: True).items() if near}
+
+
+def test_recall_where_leaves_are_small(spark, monkeypatch):
+    """Many leaves and blocks, hub nodes in parts: what is found comes from the graph and the walk."""
+    for name, value in (("BLOCK", 200), ("LEAF", 150), ("DEGREE", 40)):
+        monkeypatch.setattr(ann, name, value)
+    monkeypatch.setattr(ann.leaves_of, "__defaults__", (3, 150))
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(30, 16)) * 2
+    x = (centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 16))).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = answers(ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0))
+    wanted = exact(rows, lambda i: i % 100 == 0)
+    hits = [len({i for _, i in got[q]} & {i for _, i in wanted[q]}) / 10 for q in wanted]
+    assert len(got) == 30 and sum(hits) / len(hits) >= 0.95
