@@ -72,24 +72,24 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids and ``end_id`` are cut only where a piece is full, so a document has at most
-    one piece shorter than ``capacity``. Pieces are dealt to groups by a hash of id and start; their
-    number follows the tokens counted, so a group fills about ``group_bins`` sequences whatever the
+    one piece shorter than ``capacity``. Pieces are dealt to groups by a hash of id, start, content and
+    a stored row number, so that rows of one id, or of none, are spread like others; the groups' number follows the tokens counted, so a group fills about ``group_bins`` sequences whatever the
     size of the input or of a document. Inside a group pieces go, longest first (equal ones by id
     and start), into the first sequence with room. A sequence id holds group and place in it.
 
     Null text counts as empty: a piece with the end id alone. Null ids and repeated rows are packed
     like others, other columns are not read, an empty table gives an empty result.
     """
-    pieces = stored(pieces_of(docs, id_col, text_col, capacity, end_id, path), "pieces")
+    pieces = stored(pieces_of(docs, id_col, text_col, capacity, end_id, path).withColumn("row", F.monotonically_increasing_id()), "pieces")
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(tokens / (capacity * group_bins)))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.lit("pack")), F.lit(groups)))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row", F.lit("pack")), F.lit(groups)))
 
     def fill(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("row", "ascending")])
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
         ids = (group["group"].to_numpy() << BIN_BITS) + bins
-        return group.drop_columns(["group"]).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets))
+        return group.drop_columns(["group", "row"]).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets))
 
     kind = pieces.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -75,3 +75,14 @@ def test_small_groups_and_edges(spark):
     twice = spark.createDataFrame([(None, "a"), (None, "a"), (7, "b"), (7, "b")], "doc_id long, text string")
     packed = packing.pack(twice).collect()
     assert sorted(r.offset for r in packed) == [0, 2, 4, 6] and len({r.sequence_id for r in packed}) == 1
+
+
+def test_rows_of_one_id_are_spread_over_the_groups(spark):
+    """4,000 rows with null id, half of them equal in text too, fill many groups and lose nothing."""
+    df = spark.createDataFrame([(None, "word " * 60 if i % 2 else f"word {i} " * 60) for i in range(4000)], "doc_id long, text string")
+    rows = packing.pack(df, group_bins=4).collect()
+    assert len(rows) == 4000
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id >> packing.BIN_BITS, []).append(r.length)
+    assert len(groups) > 10 and max(map(len, groups.values())) < 4 * 4000 / len(groups)
