@@ -284,7 +284,7 @@ def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf:
 # --- the search
 
 
-STATE = "ids array<long>, ds array<double>, pend array<long>, pend_at array<int>"
+STATE = "ids array<long>, ds array<double>, pend_at array<int>, pend array<array<long>>"
 ANSWERS = "at int, search array<long>, n_found array<long>, ids array<long>, ds array<double>, n_pend array<long>, pend array<long>, pend_at array<int>"
 
 
@@ -392,7 +392,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, places: DataFrame, starts:
     homes = blocks_for(starts.count())
     stock = stored(walkable(graph, nodes, places), "ways")
     vec = nodes.schema["vec"].dataType.simpleString()
-    asks = starts.join(places, "node").select("node", "vec", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("ds"), F.array("node").alias("pend"), F.array("at").alias("pend_at"))
+    asks = starts.join(places, "node").select("node", "vec", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("ds"), F.array("at").alias("pend_at"), F.array(F.array("node")).alias("pend"))
     state = stored(asks, "beam")
 
     def look(asked: pa.Table, stock: pa.Table) -> pa.Table:
@@ -424,16 +424,20 @@ def search_graph(graph: DataFrame, nodes: DataFrame, places: DataFrame, starts:
             lo, hi = np.searchsorted(pend_owner, [node, node + 1])
             once, first = np.unique(pend[lo:hi], return_index=True)
             fresh = ~np.isin(once, others[a:b])
-            rows.append((others[a:b], near[a:b], once[fresh], pend_at[lo:hi][first][fresh]))
-        names = (("ids", pa.int64()), ("ds", pa.float64()), ("pend", pa.int64()), ("pend_at", pa.int32()))
+            ends, blocks = once[fresh], pend_at[lo:hi][first][fresh]
+            by_block = np.argsort(blocks, kind="stable")
+            visited, cuts = np.unique(blocks[by_block], return_index=True)
+            rows.append((others[a:b], near[a:b], visited, np.split(ends[by_block], cuts[1:]) if len(cuts) else []))
+        names = (("ids", pa.int64()), ("ds", pa.float64()), ("pend_at", pa.int32()), ("pend", pa.list_(pa.int64())))
         lists = {n: pa.array([r[i] for r in rows], pa.list_(kind)) for i, (n, kind) in enumerate(names)}
         return pa.table({"node": state["node"], "vec": state["vec"], **lists})
 
     kept = f"node long, vec {vec}, {STATE}"
     while True:
         worst = F.when(F.size("ids") < beam, float("inf")).otherwise(F.get("ds", F.lit(beam - 1))).alias("worst")
-        front = state.select("node", "vec", "ids", worst, F.explode(F.arrays_zip("pend", "pend_at")).alias("p"))
-        asked = front.groupBy(F.col("p.pend_at").alias("at"), "node").agg(F.first("vec").alias("vec"), F.first("worst").alias("worst"), F.first("ids").alias("ids"), F.collect_list("p.pend").alias("wanted"))
+        # One row for each block that a search visits, with all ids it wants there.
+        asked = state.select("node", "vec", "ids", worst, F.explode(F.arrays_zip("pend_at", "pend")).alias("p"))
+        asked = asked.select(F.col("p.pend_at").alias("at"), "node", "vec", "worst", "ids", F.col("p.pend").alias("wanted"))
         seen = asked.groupBy("at").cogroup(stock.groupBy("at")).applyInArrow(look, ANSWERS)
         merged = state.groupBy(block_of("node", homes).alias("home")).cogroup(seen.groupBy("at")).applyInArrow(together, kept)
         open_ends = Observation()
