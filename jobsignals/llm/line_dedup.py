@@ -7,94 +7,113 @@ from pyspark.sql import functions as F
 
 from jobsignals.llm.common import body, query, stored, table
 
-# A chunk ends where the rolling hash over two lines leaves no rest: every third line on average.
-BASE, DIVISOR = 31, 3
-# Lines a chunk needs to be removed.
-LEAST_LINES = 2
+# The rolling hash over two lines is BASE * first + second; line hashes have 58 bits, so it fits.
+BASE, SPARE_BITS = 31, 6
+BLANK = " \t\r"
 
 
 def line_hash(line: Column) -> Column:
-    """48 bits, so that the rolling sum cannot overflow."""
-    return F.conv(F.substring(F.md5(line), 1, 12), 16, 10).cast("long")
+    """An odd number, and 0 for a line of blanks."""
+    return F.when(F.length(F.trim(line, F.lit(BLANK))) == 0, F.lit(0).cast("long")).otherwise(F.shiftright(F.xxhash64(line), SPARE_BITS).bitwiseOR(F.lit(1)))
 
 
-def chunks_of(text: Column, divisor: int = DIVISOR) -> Column:
-    """The chunks of a text, in order; joined by line breaks they are the text.
-
-    The rolling hash at a line is made from its hash and that of the line before, so from the second
-    line of a shared passage on, every text cuts it at the same places whatever stands before.
-    Lines are marked by a leading blank; an empty line without one is then a cut that no text holds.
-    """
-    lines = F.split(text, "\n", -1)
-    hashes = F.transform(lines, line_hash)
-    before = F.concat(F.array(F.lit(0).cast("long")), hashes)
-    rolled = F.zip_with(before, hashes, lambda a, b: a * BASE + b)
-    marked = F.zip_with(lines, rolled, lambda line, r: F.concat(F.lit(" "), line, F.when(r % divisor == 0, F.lit("\n")).otherwise(F.lit(""))))
-    # ``before`` is one longer than the lines, so the last element is null and goes.
-    joined = F.rtrim(F.array_join(F.filter(marked, lambda m: m.isNotNull()), "\n"), F.lit("\n"))
-    return F.transform(F.split(joined, "\n\n", -1), lambda c: F.substring(F.replace(c, F.lit("\n "), F.lit("\n")), F.lit(2), F.length(c)))
+def rolled(hashes: Column) -> Column:
+    """The rolling hash of each two-line window, by the place of its first line; null where both
+    lines are blank, and after the last line."""
+    return F.zip_with(hashes, F.slice(hashes, 2, F.size(hashes)), lambda a, b: F.when((a != 0) | (b != 0), a * BASE + b))
 
 
 def n_lines(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_lines: int = LEAST_LINES) -> DataFrame:
-    """One row per row: id, the text without chunks that stand elsewhere first, n_lines of the
+def windows(keyed: DataFrame) -> DataFrame:
+    """(id, version, place, hash) of the two-line windows of every text."""
+    hashed = keyed.select("id", "version", F.transform(F.split("text", "\n", -1), line_hash).alias("hashes"))
+    return hashed.select("id", "version", F.posexplode(rolled(F.col("hashes"))).alias("place", "hash")).where("hash IS NOT NULL")
+
+
+def position(*more: str) -> Column:
+    return F.struct(F.col("id").isNull().alias("last"), "id", "version", "place", *more)
+
+
+def same_row(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join by (id, version), null ids included; ``right`` calls them of, of_version."""
+    return left.join(right, F.col("version").eqNullSafe(F.col("of_version")) & F.col("id").eqNullSafe(F.col("of")), "left").drop("of", "of_version")
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row: id, the text without passages that stand elsewhere first, n_lines of the
     original and n_removed of them.
 
-    Chunks of at least ``least_lines`` lines are grouped by a 128-bit hash and their bytes, over all
-    documents, copies combined before the shuffle; of each group the occurrence with the smallest
-    id and place stays. Occurrences then meet their groups by the hash and a second one, which tells
-    texts of equal hash apart, and documents the
-    places to remove; AQE splits the rows of a chunk that very many documents hold. Both joins are
-    merge joins at any size, as both sides grow with the corpus.
+    The rolling hash over the hashes of two adjacent lines depends on these lines alone. Where it
+    changes between repeated and unique in the corpus, a text is cut: a chunk is a longest run of
+    lines whose every adjacent pair occurs earlier, byte for byte, and goes. So every repeated run of
+    two or more lines is found whole, wherever it stands and whatever stands around it. Earlier means
+    a smaller id, or a smaller place in the text; the first occurrence of every line stays. A
+    repeated line alone and pairs of blank lines are not touched.
+
+    Hashes are counted first, so that only windows repeated by hash meet their documents; the bytes
+    of these are then grouped below their hash, copies combined before the shuffle. A window that is
+    the first of its bytes although another shares its hash is taken back. The first two joins are
+    merge joins at any size, as both sides grow with the corpus, and AQE splits the rows of a window
+    that very many documents hold; windows taken back are nearly none, and Catalyst goes by size.
 
     Null text counts as empty, one empty line. Null ids take part and stay last; rows repeating id
-    and text are one document and lose the same chunks; other columns are not read. An empty table
+    and text are one document and lose the same lines; other columns are not read. An empty table
     gives an empty result. The places of one document have to fit into a row, as its text does.
     """
     rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
-    keyed = rows.select("id", F.md5("text").alias("version"), "text")
-    pieces = keyed.select("id", "version", F.posexplode(chunks_of(F.col("text"))).alias("place", "chunk")).where(n_lines(F.col("chunk")) >= least_lines)
-    hashed = pieces.select("id", "version", "place", F.unhex(F.md5("chunk")).alias("hash"), "chunk")
-    at = F.struct(F.col("id").isNull().alias("last"), "id", "version", "place")
-    groups = hashed.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first")).where("n > 1")
-    repeated = stored(groups.select("hash", F.xxhash64("chunk").alias("second"), "first"), "repeated_chunks")
-    places = hashed.select("id", "version", "place", "hash", F.xxhash64("chunk").alias("second"))
-    later = places.join(repeated.hint("merge"), ["hash", "second"]).where(~at.eqNullSafe(F.col("first")))
-    removed = stored(later.groupBy("id", "version").agg(F.collect_set("place").alias("places")), "removed_places")
-    gone = removed.select(F.col("id").alias("of"), F.col("version").alias("of_version"), "places")
-    joined = keyed.join(gone.hint("merge"), F.col("version").eqNullSafe(F.col("of_version")) & F.col("id").eqNullSafe(F.col("of")), "left")
-    numbered = F.filter(chunks_of(F.col("text")), lambda _, i: ~F.array_contains("places", i))
-    untouched = F.col("places").isNull()
-    result = joined.select("id", "text", "places", F.when(untouched, F.array("text")).otherwise(numbered).alias("kept"))
-    left = F.when(F.size("kept") == 0, F.lit(0)).otherwise(n_lines(F.array_join("kept", "\n")))
-    return result.select(F.col("id").alias(id_col), F.array_join("kept", "\n").alias(text_col), n_lines(F.col("text")).cast("long").alias("n_lines"), (n_lines(F.col("text")) - left).cast("long").alias("n_removed"))
+    keyed = rows.select("id", F.unhex(F.md5("text")).alias("version"), "text")
+    seen = windows(keyed)
+    repeated = stored(seen.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(position()).alias("first")).where("n > 1").drop("n"), "repeated_windows")
+    found = seen.join(repeated.hint("merge"), "hash").withColumn("later", ~position().eqNullSafe(F.col("first")))
+    marks = found.groupBy("id", "version").agg(F.collect_set(F.struct("place", "later", "hash")).alias("marks"))
+    of = (F.col("id").alias("of"), F.col("version").alias("of_version"))
+    marked = stored(same_row(keyed, marks.select(*of, "marks").hint("merge")), "marked_texts")
+
+    cut = marked.where("marks IS NOT NULL").select("id", "version", "marks", F.split("text", "\n", -1).alias("lines"))
+    line = F.col("lines")
+    pairs = cut.select("id", "version", F.explode(F.transform("marks", lambda m: F.struct(m["place"], m["later"], m["hash"], F.concat(line[m["place"]], F.lit("\n"), line[m["place"] + 1]).alias("bytes")))).alias("w")).select("id", "version", "w.*")
+    firsts = pairs.groupBy("hash", "bytes").agg(F.min(position("later")).alias("first"))
+    spared = stored(firsts.where("first.later").select("first.*").groupBy("id", "version").agg(F.collect_set("place").alias("spared")), "spared_windows")
+
+    joined = same_row(marked, spared.select(*of, "spared"))
+    later = F.transform(F.filter("marks", lambda m: m["later"]), lambda m: m["place"])
+    gone = F.sort_array(F.array_except(later, F.coalesce("spared", F.array().cast("array<int>"))))
+    parts = joined.select("id", "text", n_lines(F.col("text")).alias("n_lines"), gone.alias("gone"), F.when(F.size(gone) > 0, F.split("text", "\n", -1)).alias("lines"))
+    # What stays lies between the windows that go: after the two lines of one, up to the next.
+    ends = F.concat(F.col("gone"), F.array(F.size("lines")))
+    starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 2))
+    kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice("lines", a + 1, F.greatest(b - a, F.lit(0)))))
+    result = parts.select("id", "text", "n_lines", F.when(F.col("lines").isNotNull(), kept).alias("kept"))
+    return result.select(
+        F.col("id").alias(id_col),
+        F.coalesce(F.array_join("kept", "\n"), "text").alias(text_col),
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("long").alias("n_removed"),
+    )
 
 
 @query(
     "op4_line_dedup",
-    f"""
+    """
     WITH lines AS (
         SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
-    ), hashed AS (
-        SELECT *, CAST('0x' || substr(md5(line), 1, 12) AS BIGINT) AS h FROM lines
-    ), cuts AS (
-        SELECT *, (coalesce(lag(h) OVER w, 0) * {BASE} + h) % {DIVISOR} = 0 AS cut FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-    ), places AS (
-        SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM cuts
-    ), chunks AS (
-        SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM places GROUP BY doc_id, place
+    ), pairs AS (
+        SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS following, trim(line, ' ' || chr(9) || chr(13)) = '' AS blank FROM lines
     ), ranked AS (
-        SELECT *, n >= {LEAST_LINES} AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone FROM chunks
+        SELECT *, following IS NOT NULL AND NOT (blank AND trim(following, ' ' || chr(9) || chr(13)) = '')
+                  AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, i) > 1 AS later FROM pairs
+    ), marked AS (
+        SELECT *, later OR coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY i), false) AS gone FROM ranked
     )
     SELECT doc_id,
-           coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text,
-           CAST(sum(n) AS BIGINT) AS n_lines,
-           CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_removed
-    FROM ranked GROUP BY doc_id
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
+           count(*) AS n_lines,
+           count(*) FILTER (gone) AS n_removed
+    FROM marked GROUP BY doc_id
     """,
 )
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
