@@ -1,8 +1,9 @@
 """LM scoring with a weighted backoff automaton over word n-grams.
 
 Documents are read once and kept as blocks: the words of a block, their counts, and each document
-as places in that word list. Word counts then travel as (word, block) rows, and a block gets back
-only the counts of its own words, so no task ever holds the vocabulary.
+as places in that word list. Word counts then travel as (word, block) rows. The n-grams of a block
+travel as sorted arrays, one for each range of hashes, and every block gets back the counts of its
+own n-grams, so no task ever holds the vocabulary or the model, and every n-gram takes part.
 """
 
 from __future__ import annotations
@@ -13,21 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignals.llm.common import arrow_type, body, query, slices, stored, table
 
 ADDED = 0.1  # added to each count of the base model
-DISCOUNT = 0.75
-# Words with at least this share of all tokens may be part of longer n-grams: at most 20,000 can be.
-WORD_SHARE = 1 / 20_000
-# Longer n-grams with at least this share become arcs: at most 500,000 of each length can.
-GRAM_SHARE = 2e-6
+PRIOR = 100.0  # how many tokens the shorter context is worth in a longer one
 BLOCK_CHARS = 8_000_000
 # Tasks that blocks are dealt to when they are scored; beyond, a task scores one block after another.
 MOST_TASKS = 20_000
+# Entries (an n-gram of a block) that one range of hashes holds on average, at most.
+RANGE_ENTRIES = 4_000_000
 END = b""  # the end of a text; words are never empty
 
 
@@ -45,13 +45,13 @@ class Places(dict):
         return place
 
 
-BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, counts array<long>"
+BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, hashes binary, counts array<long>"
 
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per block of about ``block_chars`` characters; ``tokens`` are the documents' places
-    one after another (compressed 32-bit numbers), each ended by the place of ``END``; ``counts``
-    are those of documents not held out."""
+    one after another (compressed 32-bit numbers), each ended by the place of ``END``; ``hashes``
+    are those of the words, ``counts`` their counts in documents not held out."""
     rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held"))
     kind = rows.schema["id"].dataType.simpleString()
     id_type = arrow_type(kind)
@@ -64,9 +64,10 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars
             at = np.frombuffer(tokens, np.uint32)
             learnt = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(at[learnt], minlength=len(places))
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, places), "<u8", len(places))
             packed = zlib.compress(at.astype("<u4").tobytes(), 1)
-            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([list(places)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)])]
-            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "words", "counts"])
+            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([list(places)], pa.list_(pa.binary())), pa.array([hashes.tobytes()]), pa.array([counts.astype(np.int64)])]
+            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "words", "hashes", "counts"])
 
         for part in slices(batches):
             for key, text, out in zip(*(part.column(i).to_pylist() for i in range(3))):
@@ -91,163 +92,201 @@ def unpack(tokens: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(tokens), "<u4").astype(np.int64)
 
 
-class Automaton:
-    """States are contexts of frequent words; state 0 is the empty one.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def mixed(before: np.ndarray, word: np.ndarray, factor: int) -> np.ndarray:
+    """64-bit hash of an n-gram from that of its context and of its last word."""
+    h = before * np.uint64(factor) ^ word
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(FACTORS[0])
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(FACTORS[1])
+    return h ^ (h >> np.uint64(32))
+
+
+class Grams:
+    """The 2- and 3-grams of a block: ``places`` are those of their last tokens, ``different`` the
+    sorted hashes, ``which`` the index into these for each place."""
+
+    def __init__(self, tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray):
+        words = hashes[tokens]
+        ends = np.cumsum(sizes)
+        depth = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)  # tokens before, in its text
+        two = mixed(words[:-1], words[1:], FACTORS[0])
+        three = mixed(two[:-1], words[2:], FACTORS[1])
+        self.places = (np.flatnonzero(depth >= 1), np.flatnonzero(depth >= 2))
+        found = [np.unique(h[p - skip], return_inverse=True) for h, p, skip in zip((two, three), self.places, (1, 2))]
+        self.different, self.which = zip(*found)
+
+    def counts(self, learnt: np.ndarray) -> list[np.ndarray]:
+        return [np.bincount(w, learnt[p], len(d)).astype("<u4") for d, w, p in zip(self.different, self.which, self.places)]
+
+    def ranges(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(range, key) of every hash: the whole and the fractional part of n * hash / 2**64. Both
+        ascend; 48 bits of the fraction are kept, so more ranges tell more hashes apart."""
+        out, many, half = [], np.uint64(n), np.uint64(32)
+        for h in self.different:
+            low = (h & np.uint64(0xFFFFFFFF)) * many >> half
+            out.append((((h >> half) * many + low >> half).astype(np.int64), h * many >> np.uint64(16)))
+        return out
+
+
+def planes(numbers: np.ndarray, width: int) -> bytes:
+    """The ``width`` lower bytes of numbers, all lowest bytes first: sorted ones compress well so."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(packed: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(packed) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel()
 
-    ``arcs[state * width + word]`` is (log10 probability, next state). Where there is no arc, the
-    failure arc leads to the next shorter context at the cost ``weight[state]``; from state 0 a word
-    costs its base probability, and ``first`` is the state it leads to.
+
+def gram_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
+    """(block, range, totals): the counts over all blocks of the block's n-grams in a range, 2-grams
+    before 3-grams, each by hash.
+
+    A block sends an n-gram once, with its count, so even the commonest has no more entries than
+    there are blocks, and ranges of hashes are even.
     """
 
-    def __init__(self, words: list[bytes], counts: list[int], grams2: dict[int, int], grams3: dict[int, int], total: int, distinct: int):
-        self.word_id = {w: i for i, w in enumerate(words)}
-        self.width = width = len(words) + 1
-        base = [(c + ADDED) / (total + ADDED * (distinct + 1)) for c in counts]
-        left1, left2 = {}, {}
-        for g, n in grams2.items():
-            x = g // width
-            left1[x] = left1.get(x, 1.0) - (n - DISCOUNT) / counts[x]
-        for g, n in grams3.items():
-            xy = g // width
-            left2[xy] = left2.get(xy, 1.0) - (n - DISCOUNT) / grams2[xy]
-        state1 = {x: 1 + i for i, x in enumerate(sorted(left1))}
-        state2 = {xy: 1 + len(state1) + i for i, xy in enumerate(sorted(left2))}
-        self.first = [state1.get(i, 0) for i in range(len(words))]
-        self.weight = [0.0, *(np.log10(left1[x]) for x in state1), *(np.log10(left2[xy]) for xy in state2)]
-        self.fail = [0] * (1 + len(state1)) + [state1.get(xy % width, 0) for xy in state2]
-        self.arcs: dict[int, tuple[float, int]] = {}
-        given1 = {}
-        for g, n in grams2.items():
-            x, y = divmod(g, width)
-            given1[g] = (n - DISCOUNT) / counts[x] + left1[x] * base[y]
-            self.arcs[state1[x] * width + y] = (float(np.log10(given1[g])), state2.get(g, self.first[y]))
-        for g, n in grams3.items():
-            xy, z = divmod(g, width)
-            yz = xy % width * width + z
-            lower = given1.get(yz, left1.get(xy % width, 1.0) * base[z])
-            p = (n - DISCOUNT) / grams2[xy] + left2[xy] * lower
-            self.arcs[state2[xy] * width + z] = (float(np.log10(p)), state2.get(yz, self.first[z]))
-
-    def score(self, words: list[int], base: list[float]) -> float:
-        """log10 probability of a text: its words' numbers (-1: not frequent) and base scores, read
-        once from left to right."""
-        arcs, weight, fail, first, width = self.arcs, self.weight, self.fail, self.first, self.width
-        total, state = 0.0, 0
-        for word, alone in zip(words, base):
-            if word < 0:
-                while state:
-                    total += weight[state]
-                    state = fail[state]
-                total += alone
-                continue
-            while True:
-                arc = arcs.get(state * width + word) if state else None
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if not state:
-                    total += alone
-                    state = first[word]
-                    break
-                total += weight[state]
-                state = fail[state]
-        return total
-
-
-def frequent_places(words: list[bytes], word_id: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((word_id.get(w, -1) for w in words), np.int64, len(words))
-
-
-def gram_counts(blocks: DataFrame, word_id: dict[bytes, int]) -> DataFrame:
-    """(length, gram, n) of the 2- and 3-grams of frequent words in documents not held out."""
-    width, end = len(word_id) + 1, word_id.get(END, -2)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
-            held, sizes, tokens, words = (part.column(i).to_pylist()[0] for i in range(4))
-            seq = frequent_places(words, word_id)[unpack(tokens)]
-            seq = seq[np.repeat(~np.array(held, bool), sizes)]
-            context = np.where(seq == end, -1, seq)  # nothing follows an end
-            two = np.where((context[:-1] >= 0) & (seq[1:] >= 0), context[:-1] * width + seq[1:], -1)
-            inner = np.where((context[:-1] >= 0) & (context[1:] >= 0), context[:-1] * width + context[1:], -1)
-            three = np.where((inner[:-1] >= 0) & (seq[2:] >= 0), inner[:-1] * width + seq[2:], -1)
-            for length, grams in ((2, two), (3, three)):
-                found, n = np.unique(grams[grams >= 0], return_counts=True)
-                yield pa.record_batch([pa.array(np.full(len(found), length, np.int32)), pa.array(found), pa.array(n.astype(np.int64))], names=["length", "gram", "n"])
-
-    rows = blocks.select("held", "sizes", "tokens", "words").mapInArrow(count, "length int, gram long, n long")
-    return rows.groupBy("length", "gram").agg(F.sum("n").alias("n"))
-
-
-def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+            block, held, sizes, tokens, hashes = (part.column(i).to_pylist()[0] for i in range(5))
+            grams = Grams(unpack(tokens), np.array(sizes), np.frombuffer(hashes, "<u8"))
+            counts = grams.counts(np.repeat(~np.array(held, bool), sizes))
+            ranges = grams.ranges(n_ranges)
+            present = np.unique(np.concatenate([np.unique(r) for r, _ in ranges]))
+            cuts = [(np.searchsorted(r, present), np.searchsorted(r, present, "right")) for r, _ in ranges]
+            keys, sums = [], []
+            for i in range(len(present)):
+                at = [slice(a[i], b[i]) for a, b in cuts]
+                keys.append(planes(np.concatenate([k[p] for (_, k), p in zip(ranges, at)]), 6))
+                sums.append(planes(np.concatenate([c[p] for c, p in zip(counts, at)]), 4))
+            yield pa.record_batch([pa.array(present), pa.array(np.full(len(present), block)), pa.array(keys, pa.binary()), pa.array(sums, pa.binary())], names=["range", "block", "keys", "counts"])
+
+    def total(group: pa.Table) -> pa.Table:
+        keys = [from_planes(k, 6) for k in group["keys"].to_pylist()]
+        counts = np.concatenate([from_planes(c, 4) for c in group["counts"].to_pylist()])
+        different, which = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(which, counts, len(different)).astype("<u8")[which]
+        ends = np.cumsum([len(k) for k in keys])
+        return pa.table({"block": group["block"], "range": group["range"], "totals": pa.array([planes(s, 6) for s in np.split(sums, ends[:-1])], pa.binary())})
+
+    sent = blocks.select("block", "held", "sizes", "tokens", "hashes").mapInArrow(send, "range long, block long, keys binary, counts binary")
+    return sent.groupBy("range").applyInArrow(total, "block long, range long, totals binary")
+
+
+def given_totals(grams: Grams, n_ranges: int, totals: dict[int, bytes]) -> list[np.ndarray]:
+    """The counts of ``grams.different`` from the answers by range."""
+    out = [np.zeros(len(d)) for d in grams.different]
+    ranges = [r for r, _ in grams.ranges(n_ranges)]
+    for number, packed in totals.items():
+        values, start = from_planes(packed, 6), 0
+        for r, target in zip(ranges, out):
+            a, b = np.searchsorted(r, number), np.searchsorted(r, number, "right")
+            target[a:b] = values[start : start + b - a]
+            start += b - a
+    return out
+
+
+class Automaton:
+    """The part of the backoff automaton that the texts of a block can reach.
+
+    States are contexts seen in training, of two words, one or none. An arc for each n-gram seen
+    leaves its context with log10 of (count + PRIOR * what the shorter context gives) / (count of
+    the context + PRIOR). Where there is no arc, the failure arc leads to the context without its
+    first word at the cost log10 of PRIOR / (count of the context + PRIOR); without context a word
+    costs its base probability.
+    """
+
+    def __init__(self, base: np.ndarray, word_counts: np.ndarray, prior: float = PRIOR):
+        self.base, self.word_counts, self.prior = base, word_counts, prior
+
+    def walk(self, tokens: np.ndarray, grams: Grams, totals: list[np.ndarray]) -> np.ndarray:
+        """log10 probability of each token, read from left to right.
+
+        The state that reading carries to a token is the longest context before it that was seen;
+        each failure step is taken for all tokens that have no arc at once.
+        """
+        n = len(tokens)
+        seen, context = np.zeros((2, n)), np.zeros((2, n))
+        for order in (0, 1):
+            seen[order][grams.places[order]] = totals[order][grams.which[order]]
+        first, second = grams.places
+        context[0][first] = self.word_counts[tokens[first - 1]]
+        context[1][second] = seen[0][second - 1]
+        given = [self.base[tokens]]
+        for order in (0, 1):
+            given.append((seen[order] + self.prior * given[-1]) / (context[order] + self.prior))
+        state = np.where(context[1] > 0, 2, np.where(context[0] > 0, 1, 0))
+        score, moving = np.zeros(n), np.ones(n, bool)
+        for length in (2, 1):
+            here = moving & (state == length)
+            arc = here & (seen[length - 1] > 0)
+            score[arc] += np.log10(given[length][arc])
+            moving &= ~arc
+            fails = here & ~arc
+            score[fails] += np.log10(self.prior / (context[length - 1][fails] + self.prior))
+            state[fails] = length - 1
+        score[moving] += np.log10(given[0][moving])
+        return score
+
+
+def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, block_chars: int = BLOCK_CHARS, range_entries: int = RANGE_ENTRIES) -> DataFrame:
     """One row per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learnt from all rows for which ``held_out`` is false. A text is its words and one end. The base
-    score adds ``ADDED`` to the exact counts of all words. The model is a trigram model with
-    absolute discounting, interpolated down to the base model: 2- and 3-grams of words and with
-    counts over fixed shares of all training tokens are arcs, so the automaton has a size bound that
-    holds for any corpus, while the counts under it cover all of it.
+    score adds ``ADDED`` to the exact counts of all words. The model is a trigram model: a context
+    of two words or one mixes its own counts with what the shorter context gives, which weighs as
+    much as ``prior`` tokens, down to the base model. All 2- and 3-grams take part, without a least
+    count at any size. N-grams are told apart by 48 bits and more with growing input (54 bits at
+    250 million entries); words by their bytes.
 
     Null text counts as empty, an end alone. Rows with a null id are scored but not learnt from;
     repeated rows are texts of their own; other columns are not read. An empty table gives an empty
     result; with no training rows every token has the probability of an unseen one.
     """
-    spark = docs.sparkSession
     blocks = blocks_of(docs, id_col, text_col, held_out, block_chars)
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     pairs = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("block", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    # Words are shuffled once: each is summed over its blocks and its rows keep the sum. A block has
-    # one row per word, so even the commonest word has no more rows than there are blocks.
-    by_word = Window.partitionBy("word")
-    summed = pairs.withColumn("c", F.sum("n").over(by_word)).where("c > 0")
-    lead = F.row_number().over(by_word.orderBy("block")) == 1
-    known = stored(summed.select("block", "place", "c", F.when(lead, F.col("word")).alias("word")), "lm_counts")
-    totals = known.where(F.col("word").isNotNull()).select("word", "c")
-    size = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    # A word has one row per block, summed before the shuffle; the sums are joined back, and AQE
+    # splits the rows of words that all blocks hold.
+    sums = stored(pairs.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm_counts")
+    size = sums.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = size.n, size.v
-
-    least = max(2, total * gram_share)
-    # Both tables that come to the driver are bounded by the shares.
-    common = totals.where(F.col("c") >= max(1.0, total * word_share)).toArrow()
-    frequent = sorted(zip(common["word"].to_pylist(), common["c"].to_pylist()))
-    word_id = {w: i for i, (w, _) in enumerate(frequent)}
-    found = gram_counts(blocks, word_id).where(F.col("n") >= least).toArrow()
-    grams: dict[int, dict[int, int]] = {2: {}, 3: {}}
-    for length, gram, n in zip(*(found[c].to_pylist() for c in ("length", "gram", "n"))):
-        grams[length][gram] = n
-    model = spark.sparkContext.broadcast(Automaton([w for w, _ in frequent], [c for _, c in frequent], grams[2], grams[3], total, distinct))
-
-    counts_of = known.select(F.col("block").alias("of"), "place", "c")
+    known = pairs.select("block", "place", "word").join(sums.hint("merge"), "word").select("block", "place", "c")
+
+    shape = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)), F.lit(0)).alias("tokens")).first()
+    n_ranges = max(1, -(-2 * shape.tokens // range_entries))
+    totals = gram_totals(blocks, n_ranges)
+    # What a block gets back: counts by place of a word, and arrays by range of hashes.
+    facts = known.select(F.col("block").alias("of"), F.col("place").cast("long").alias("at"), "c", F.lit(None).cast("binary").alias("totals")).unionByName(
+        totals.select(F.col("block").alias("of"), F.col("range").alias("at"), F.lit(None).cast("long").alias("c"), "totals")
+    )
     id_type = arrow_type(kind)
     fields = [("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of a block's words only the frequent ones travel on: a number per word, -1 for others."""
-        for part in slices(batches, 1):
-            numbers = frequent_places(part["words"].to_pylist()[0], model.value.word_id)
-            packed = zlib.compress(numbers.astype("<i4").tobytes(), 1)
-            yield pa.record_batch([*(part[n] for n in ("block", "ids", "held", "sizes", "tokens")), pa.array([packed])], names=["block", "ids", "held", "sizes", "tokens", "numbers"])
-
-    def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        automaton = model.value
+    def score(block: pa.Table, facts: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        places = np.frombuffer(zlib.decompress(row["numbers"]), "<i4")
-        counts = np.zeros(len(places))
-        counts[known["place"].to_numpy()] = known["c"].to_numpy()
-        alone = np.log10((counts + ADDED) / (total + ADDED * (distinct + 1)))
-        tokens = unpack(row["tokens"])
-        ends = np.cumsum(row["sizes"])
-        starts = ends - row["sizes"]
-        scores = [automaton.score(places[t := tokens[a:b]].tolist(), alone[t].tolist()) for a, b in zip(starts, ends)]
-        columns = [row["ids"], row["held"], row["sizes"], np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts), [total] * len(ends), np.add.reduceat(alone[tokens], starts), scores]
+        hashes = np.frombuffer(row["hashes"], "<u8")
+        words = facts.filter(facts["totals"].is_null())
+        counts = np.zeros(len(hashes))
+        counts[words["at"].to_numpy()] = words["c"].to_numpy()
+        base = (counts + ADDED) / (total + ADDED * (distinct + 1))
+        tokens, sizes = unpack(row["tokens"]), np.array(row["sizes"])
+        grams = Grams(tokens, sizes, hashes)
+        ranges = facts.filter(facts["totals"].is_valid())
+        answers = given_totals(grams, n_ranges, dict(zip(ranges["at"].to_pylist(), ranges["totals"].to_pylist())))
+        logs = Automaton(base, counts, prior).walk(tokens, grams, answers)
+        starts = np.cumsum(sizes) - sizes
+        columns = [row["ids"], row["held"], row["sizes"], np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts), [total] * len(sizes), np.add.reduceat(np.log10(base)[tokens], starts), np.add.reduceat(logs, starts)]
         return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    small = blocks.select("block", "ids", "held", "sizes", "tokens", "words").mapInArrow(thin, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, numbers binary")
     # Blocks are even, so about one of them per task is the finest deal there is.
-    tasks = max(1, min(blocks.count(), MOST_TASKS))
-    scored = small.repartition(tasks, "block").groupBy("block").cogroup(counts_of.repartition(tasks, "of").groupBy("of")).applyInArrow(score, schema)
+    tasks = max(1, min(shape.blocks, MOST_TASKS))
+    small = blocks.select("block", "ids", "held", "sizes", "tokens", "hashes")
+    scored = small.repartition(tasks, "block").groupBy("block").cogroup(facts.repartition(tasks, "of").groupBy("of")).applyInArrow(score, schema)
     return scored.withColumnRenamed("id", id_col)
 
 

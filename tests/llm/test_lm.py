@@ -25,17 +25,10 @@ def plain_words(text):
 class PlainModel:
     """The same model by its formulas, without states."""
 
-    def __init__(self, texts, word_share, gram_share):
+    def __init__(self, texts, prior):
         self.c = Counter(w for t in texts for w in t)
-        self.n, self.v = sum(self.c.values()), len(self.c)
-        frequent = {w for w, c in self.c.items() if c >= max(1, self.n * word_share)}
-        least = max(2, self.n * gram_share)
-
-        def grams(k):
-            found = Counter(tuple(t[i : i + k]) for t in texts for i in range(len(t) - k + 1))
-            return {g: n for g, n in found.items() if n >= least and set(g) <= frequent}
-
-        self.two, self.three = grams(2), grams(3)
+        self.n, self.v, self.prior = sum(self.c.values()), len(self.c), prior
+        self.grams = Counter(tuple(t[i : i + k]) for t in texts for k in (1, 2, 3) for i in range(len(t) - k + 1))
 
     def alone(self, w):
         return (self.c.get(w, 0) + 0.1) / (self.n + 0.1 * (self.v + 1))
@@ -43,14 +36,8 @@ class PlainModel:
     def given(self, context, w):
         if not context:
             return self.alone(w)
-        kept = {g: n for g, n in (self.two, self.three)[len(context) - 1].items() if g[:-1] == context}
         lower = self.given(context[1:], w)
-        if not kept:
-            return lower
-        size = self.c[context[0]] if len(context) == 1 else self.two[context]
-        left = 1 - sum(n - 0.75 for n in kept.values()) / size
-        n = kept.get((*context, w))
-        return left * lower + ((n - 0.75) / size if n else 0)
+        return (self.grams[*context, w] + self.prior * lower) / (self.grams[context] + self.prior)
 
     def score(self, text):
         return sum(math.log10(self.given(tuple(text[max(0, i - 2) : i]), w)) for i, w in enumerate(text))
@@ -59,12 +46,12 @@ class PlainModel:
 TEXTS = ["a b a b a c a b", "A b\x0ba b c", "b a b a b a", "", "c c c c d\x85e", "a b a b", "d", "zz a b a yy b a b"] * 3
 
 
-@pytest.mark.parametrize("chars", [10, 10_000])
-def test_scores_equal_the_formulas(spark, chars):
+@pytest.mark.parametrize("chars, entries", [(10, 4_000_000), (10_000, 7), (30, 5)])
+def test_scores_equal_the_formulas(spark, chars, entries):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(2)
-    out = {r.doc_id: r for r in lm.score_texts(df, F.col("doc_id") % 4 == 0, word_share=0.02, gram_share=0.01, block_chars=chars).collect()}
-    model = PlainModel([plain_words(t) for i, t, _ in rows if i % 4], 0.02, 0.01)
+    out = {r.doc_id: r for r in lm.score_texts(df, F.col("doc_id") % 4 == 0, prior=2.0, block_chars=chars, range_entries=entries).collect()}
+    model = PlainModel([plain_words(t) for i, t, _ in rows if i % 4], 2.0)
     for i, t, _ in rows:
         words, r = plain_words(t), out[i]
         assert (r.held_out, r.n_tokens, r.train_tokens) == (i % 4 == 0, len(words), model.n)
@@ -74,7 +61,7 @@ def test_scores_equal_the_formulas(spark, chars):
 
 
 def test_probabilities_of_a_context_sum_to_one():
-    model = PlainModel([plain_words(t) for t in TEXTS], 0.02, 0.01)
+    model = PlainModel([plain_words(t) for t in TEXTS], 2.0)
     for context in ((), ("a",), ("b",), ("a", "b"), ("b", "a"), ("zz",)):
         # every word, and one unseen
         assert sum(model.given(context, w) for w in [*model.c, "never"]) == pytest.approx(1.0)
