@@ -1,9 +1,9 @@
 """LM scoring with a weighted backoff automaton over word n-grams.
 
 Documents are read once and kept as blocks: the words of a block, their counts, and each document
-as places in that word list. Word counts then travel as (word, block) rows. The n-grams of a block
-travel as sorted arrays, one for each range of hashes, and every block gets back the counts of its
-own n-grams, so no task ever holds the vocabulary or the model, and every n-gram takes part.
+as places in that word list. The words and n-grams of a block travel as sorted arrays, one for each
+range of hashes, and every block gets back the counts of its own, so no task ever holds the
+vocabulary or the model, and every n-gram takes part.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import arrow_type, body, query, slices, stored, table
+from jobsignals.llm.common import arrow_type, body, free_rounds, query, slices, stored, table
 
 ADDED = 0.1  # added to each count of the base model
 PRIOR = 100.0  # how many tokens the shorter context is worth in a longer one
@@ -45,13 +45,32 @@ class Places(dict):
         return place
 
 
-BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, hashes binary, counts array<long>"
+def planes(numbers: np.ndarray, width: int) -> bytes:
+    """The ``width`` lower bytes of numbers, all lowest bytes first: these compress better so."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(packed: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(packed) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel()
+
+
+def packed_numbers(numbers: np.ndarray, width: int = 6) -> bytes:
+    return zlib.compress(planes(numbers, width), 1)
+
+
+def unpacked_numbers(packed: bytes, width: int = 6) -> np.ndarray:
+    return from_planes(zlib.decompress(packed), width)
+
+
+BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, counts array<long>"
 
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per block of about ``block_chars`` characters; ``tokens`` are the documents' places
-    one after another (compressed 32-bit numbers), each ended by the place of ``END``; ``hashes``
-    are those of the words, ``counts`` their counts in documents not held out."""
+    one after another (compressed 32-bit numbers), each ended by the place of ``END``; ``counts``
+    are those of documents not held out."""
     rows = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held"))
     kind = rows.schema["id"].dataType.simpleString()
     id_type = arrow_type(kind)
@@ -64,10 +83,9 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars
             at = np.frombuffer(tokens, np.uint32)
             learnt = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(at[learnt], minlength=len(places))
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, places), "<u8", len(places))
-            packed = zlib.compress(at.astype("<u4").tobytes(), 1)
-            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([list(places)], pa.list_(pa.binary())), pa.array([hashes.tobytes()]), pa.array([counts.astype(np.int64)])]
-            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "words", "hashes", "counts"])
+            packed = packed_numbers(at, 4)
+            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([list(places)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)])]
+            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "words", "counts"])
 
         for part in slices(batches):
             for key, text, out in zip(*(part.column(i).to_pylist() for i in range(3))):
@@ -88,10 +106,6 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars
     return stored(rows.mapInArrow(cut, BLOCKS.format(id=kind)), "lm_blocks")
 
 
-def unpack(tokens: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(tokens), "<u4").astype(np.int64)
-
-
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -103,9 +117,13 @@ def mixed(before: np.ndarray, word: np.ndarray, factor: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class Grams:
-    """The 2- and 3-grams of a block: ``places`` are those of their last tokens, ``different`` the
-    sorted hashes, ``which`` the index into these for each place."""
+    """The 2- and 3-grams of a block: ``places`` are those of their last tokens by length,
+    ``different`` the sorted hashes, ``which`` the index into these for each place."""
 
     def __init__(self, tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray):
         words = hashes[tokens]
@@ -114,78 +132,102 @@ class Grams:
         two = mixed(words[:-1], words[1:], FACTORS[0])
         three = mixed(two[:-1], words[2:], FACTORS[1])
         self.places = (np.flatnonzero(depth >= 1), np.flatnonzero(depth >= 2))
-        found = [np.unique(h[p - skip], return_inverse=True) for h, p, skip in zip((two, three), self.places, (1, 2))]
-        self.different, self.which = zip(*found)
-
-    def counts(self, learnt: np.ndarray) -> list[np.ndarray]:
-        return [np.bincount(w, learnt[p], len(d)).astype("<u4") for d, w, p in zip(self.different, self.which, self.places)]
-
-    def ranges(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(range, key) of every hash: the whole and the fractional part of n * hash / 2**64. Both
-        ascend; 48 bits of the fraction are kept, so more ranges tell more hashes apart."""
-        out, many, half = [], np.uint64(n), np.uint64(32)
-        for h in self.different:
-            low = (h & np.uint64(0xFFFFFFFF)) * many >> half
-            out.append((((h >> half) * many + low >> half).astype(np.int64), h * many >> np.uint64(16)))
+        first, second = self.places
+        self.different, which = np.unique(np.concatenate([two[first - 1], three[second - 2]]), return_inverse=True)
+        self.which = (which[: len(first)], which[len(first) :])
+
+    def counts(self, learnt: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.different))
+        for which, places in zip(self.which, self.places):
+            out += np.bincount(which, learnt[places], len(out))
         return out
 
 
-def planes(numbers: np.ndarray, width: int) -> bytes:
-    """The ``width`` lower bytes of numbers, all lowest bytes first: sorted ones compress well so."""
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+def ranges_of(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(range, key) of sorted hashes: the whole part of n * hash / 2**64 and 40 bits of the fraction.
+    Both ascend, and more ranges tell more hashes apart."""
+    many, half = np.uint64(n), np.uint64(32)
+    low = (hashes & np.uint64(0xFFFFFFFF)) * many >> half
+    return ((hashes >> half) * many + low >> half).astype(np.int64), hashes * many >> np.uint64(24)
 
 
-def from_planes(packed: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(packed) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(width, -1).T
-    return out.view("<u8").ravel()
+def cuts(ranges: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Every range that occurs and where its entries stand."""
+    present, starts = np.unique(ranges, return_index=True)
+    for number, a, b in zip(present.tolist(), starts, [*starts[1:], len(ranges)]):
+        yield number, slice(a, b)
 
 
-def gram_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
-    """(block, range, totals): the counts over all blocks of the block's n-grams in a range, 2-grams
-    before 3-grams, each by hash.
+def packed_keys(keys: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending keys as steps of the upper 16 bits, which compress, and the lower 24 as they are."""
+    return packed_numbers(np.diff(keys >> np.uint64(24), prepend=np.uint64(0)), 2), planes(keys, 3)
 
-    A block sends an n-gram once, with its count, so even the commonest has no more entries than
-    there are blocks, and ranges of hashes are even.
-    """
+
+def unpacked_keys(upper: bytes, lower: bytes) -> np.ndarray:
+    return (np.cumsum(unpacked_numbers(upper, 2), dtype=np.uint64) << np.uint64(24)) + from_planes(lower, 3)
+
+
+def answers(group: pa.Table, which: np.ndarray, sizes: list[int], different: int) -> tuple[np.ndarray, pa.Array]:
+    """Counts summed by entry, and for each row of ``group`` the sums of its entries."""
+    counts = np.concatenate([unpacked_numbers(c, 4) for c in group["counts"].to_pylist()])
+    sums = np.bincount(which, counts, different)
+    return sums, pa.array([packed_numbers(part) for part in np.split(sums[which], np.cumsum(sizes)[:-1])], pa.binary())
+
+
+# A block sends a word or an n-gram once, with its count, so even the commonest has no more entries
+# than there are blocks, and ranges of hashes are even.
+
+
+def word_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
+    """(block, range, totals, known): the counts over all blocks of the block's words in a range, by
+    hash, and how many different words of the range were seen. Words are told apart by their bytes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
-            block, held, sizes, tokens, hashes = (part.column(i).to_pylist()[0] for i in range(5))
-            grams = Grams(unpack(tokens), np.array(sizes), np.frombuffer(hashes, "<u8"))
+            block, words, counts = (part.column(i).to_pylist()[0] for i in range(3))
+            hashes, counts = word_hashes(words), np.array(counts)
+            order = np.argsort(hashes, kind="stable")
+            rows = [(n, block, b"\n".join(words[i] for i in order[at]), packed_numbers(counts[order[at]], 4)) for n, at in cuts(ranges_of(hashes[order], n_ranges)[0])]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "words", "counts"])
+
+    def total(group: pa.Table) -> pa.Table:
+        words = [w.split(b"\n") for w in group["words"].to_pylist()]
+        found = pa.array([w for part in words for w in part], pa.binary()).dictionary_encode()
+        sums, totals = answers(group, found.indices.to_numpy(), [len(w) for w in words], len(found.dictionary))
+        return pa.table({"block": group["block"], "range": group["range"], "totals": totals, "known": pa.array(np.full(len(words), (sums > 0).sum(), np.int64))})
+
+    sent = blocks.select("block", "words", "counts").mapInArrow(send, "range long, block long, words binary, counts binary")
+    return sent.groupBy("range").applyInArrow(total, "block long, range long, totals binary, known long")
+
+
+def gram_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
+    """(block, range, totals): the counts over all blocks of the block's n-grams in a range, by hash."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            block, held, sizes, tokens, words = (part.column(i).to_pylist()[0] for i in range(5))
+            grams = Grams(unpacked_numbers(tokens, 4), np.array(sizes), word_hashes(words))
             counts = grams.counts(np.repeat(~np.array(held, bool), sizes))
-            ranges = grams.ranges(n_ranges)
-            present = np.unique(np.concatenate([np.unique(r) for r, _ in ranges]))
-            cuts = [(np.searchsorted(r, present), np.searchsorted(r, present, "right")) for r, _ in ranges]
-            keys, sums = [], []
-            for i in range(len(present)):
-                at = [slice(a[i], b[i]) for a, b in cuts]
-                keys.append(planes(np.concatenate([k[p] for (_, k), p in zip(ranges, at)]), 6))
-                sums.append(planes(np.concatenate([c[p] for c, p in zip(counts, at)]), 4))
-            yield pa.record_batch([pa.array(present), pa.array(np.full(len(present), block)), pa.array(keys, pa.binary()), pa.array(sums, pa.binary())], names=["range", "block", "keys", "counts"])
+            ranges, keys = ranges_of(grams.different, n_ranges)
+            rows = [(n, block, *packed_keys(keys[at]), packed_numbers(counts[at], 4)) for n, at in cuts(ranges)]
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["range", "block", "upper", "lower", "counts"])
 
     def total(group: pa.Table) -> pa.Table:
-        keys = [from_planes(k, 6) for k in group["keys"].to_pylist()]
-        counts = np.concatenate([from_planes(c, 4) for c in group["counts"].to_pylist()])
+        keys = [unpacked_keys(u, v) for u, v in zip(group["upper"].to_pylist(), group["lower"].to_pylist())]
         different, which = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(which, counts, len(different)).astype("<u8")[which]
-        ends = np.cumsum([len(k) for k in keys])
-        return pa.table({"block": group["block"], "range": group["range"], "totals": pa.array([planes(s, 6) for s in np.split(sums, ends[:-1])], pa.binary())})
+        _, totals = answers(group, which, [len(k) for k in keys], len(different))
+        return pa.table({"block": group["block"], "range": group["range"], "totals": totals})
 
-    sent = blocks.select("block", "held", "sizes", "tokens", "hashes").mapInArrow(send, "range long, block long, keys binary, counts binary")
+    sent = blocks.select("block", "held", "sizes", "tokens", "words").mapInArrow(send, "range long, block long, upper binary, lower binary, counts binary")
     return sent.groupBy("range").applyInArrow(total, "block long, range long, totals binary")
 
 
-def given_totals(grams: Grams, n_ranges: int, totals: dict[int, bytes]) -> list[np.ndarray]:
-    """The counts of ``grams.different`` from the answers by range."""
-    out = [np.zeros(len(d)) for d in grams.different]
-    ranges = [r for r, _ in grams.ranges(n_ranges)]
-    for number, packed in totals.items():
-        values, start = from_planes(packed, 6), 0
-        for r, target in zip(ranges, out):
-            a, b = np.searchsorted(r, number), np.searchsorted(r, number, "right")
-            target[a:b] = values[start : start + b - a]
-            start += b - a
+def given_totals(hashes: np.ndarray, n_ranges: int, totals: dict[int, bytes]) -> np.ndarray:
+    """The counts of sorted ``hashes`` from the answers by range."""
+    out = np.zeros(len(hashes))
+    for number, at in cuts(ranges_of(hashes, n_ranges)[0]):
+        out[at] = unpacked_numbers(totals[number])
     return out
 
 
@@ -202,7 +244,7 @@ class Automaton:
     def __init__(self, base: np.ndarray, word_counts: np.ndarray, prior: float = PRIOR):
         self.base, self.word_counts, self.prior = base, word_counts, prior
 
-    def walk(self, tokens: np.ndarray, grams: Grams, totals: list[np.ndarray]) -> np.ndarray:
+    def walk(self, tokens: np.ndarray, grams: Grams, totals: np.ndarray) -> np.ndarray:
         """log10 probability of each token, read from left to right.
 
         The state that reading carries to a token is the longest context before it that was seen;
@@ -211,7 +253,7 @@ class Automaton:
         n = len(tokens)
         seen, context = np.zeros((2, n)), np.zeros((2, n))
         for order in (0, 1):
-            seen[order][grams.places[order]] = totals[order][grams.which[order]]
+            seen[order][grams.places[order]] = totals[grams.which[order]]
         first, second = grams.places
         context[0][first] = self.word_counts[tokens[first - 1]]
         context[1][second] = seen[0][second - 1]
@@ -239,8 +281,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     score adds ``ADDED`` to the exact counts of all words. The model is a trigram model: a context
     of two words or one mixes its own counts with what the shorter context gives, which weighs as
     much as ``prior`` tokens, down to the base model. All 2- and 3-grams take part, without a least
-    count at any size. N-grams are told apart by 48 bits and more with growing input (54 bits at
-    250 million entries); words by their bytes.
+    count at any size. Words are told apart by their bytes, the n-grams of a range by 40 bits; as a
+    range holds about ``range_entries``, at any size some 4 in a million n-grams share theirs.
 
     Null text counts as empty, an end alone. Rows with a null id are scored but not learnt from;
     repeated rows are texts of their own; other columns are not read. An empty table gives an empty
@@ -248,35 +290,39 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     """
     blocks = blocks_of(docs, id_col, text_col, held_out, block_chars)
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
-    pairs = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("block", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    # A word has one row per block, summed before the shuffle; the sums are joined back, and AQE
-    # splits the rows of words that all blocks hold.
-    sums = stored(pairs.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm_counts")
-    size = sums.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, distinct = size.n, size.v
-    known = pairs.select("block", "place", "word").join(sums.hint("merge"), "word").select("block", "place", "c")
-
-    shape = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)), F.lit(0)).alias("tokens")).first()
-    n_ranges = max(1, -(-2 * shape.tokens // range_entries))
-    totals = gram_totals(blocks, n_ranges)
-    # What a block gets back: counts by place of a word, and arrays by range of hashes.
-    facts = known.select(F.col("block").alias("of"), F.col("place").cast("long").alias("at"), "c", F.lit(None).cast("binary").alias("totals")).unionByName(
-        totals.select(F.col("block").alias("of"), F.col("range").alias("at"), F.lit(None).cast("long").alias("c"), "totals")
-    )
+    learnt = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
+    all_tokens = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)
+    sums = (F.coalesce(F.sum(c), F.lit(0)) for c in (learnt, all_tokens, F.size("words")))
+    n_blocks, total, n_tokens, n_words = blocks.agg(F.count(F.lit(1)), *sums).first()
+    word_ranges, gram_ranges = (max(1, -(-n // range_entries)) for n in (4 * n_words, 2 * n_tokens))
+    words = stored(word_totals(blocks, word_ranges), "lm_words")
+    distinct = words.select("range", "known").distinct().agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
+    grams = stored(gram_totals(blocks, gram_ranges), "lm_grams")
+    free_rounds(docs.sparkSession)
+    # What a block gets back: counts by range of hashes, of its words and of its n-grams.
+    facts = words.select(F.col("block").alias("of"), "range", "totals", F.lit(True).alias("word")).unionByName(grams.select(F.col("block").alias("of"), "range", "totals", F.lit(False).alias("word")))
     id_type = arrow_type(kind)
     fields = [("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of a block's words only the hashes travel on."""
+        for part in slices(batches, 1):
+            hashes = word_hashes(part["words"].to_pylist()[0])
+            yield pa.record_batch([*(part[n] for n in ("block", "ids", "held", "sizes", "tokens")), pa.array([hashes.tobytes()])], names=["block", "ids", "held", "sizes", "tokens", "hashes"])
+
     def score(block: pa.Table, facts: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
         hashes = np.frombuffer(row["hashes"], "<u8")
-        words = facts.filter(facts["totals"].is_null())
+        found: dict[bool, dict[int, bytes]] = {True: {}, False: {}}
+        for number, packed, word in zip(*(facts[c].to_pylist() for c in ("range", "totals", "word"))):
+            found[word][number] = packed
+        order = np.argsort(hashes, kind="stable")
         counts = np.zeros(len(hashes))
-        counts[words["at"].to_numpy()] = words["c"].to_numpy()
+        counts[order] = given_totals(hashes[order], word_ranges, found[True])
         base = (counts + ADDED) / (total + ADDED * (distinct + 1))
-        tokens, sizes = unpack(row["tokens"]), np.array(row["sizes"])
+        tokens, sizes = unpacked_numbers(row["tokens"], 4), np.array(row["sizes"])
         grams = Grams(tokens, sizes, hashes)
-        ranges = facts.filter(facts["totals"].is_valid())
-        answers = given_totals(grams, n_ranges, dict(zip(ranges["at"].to_pylist(), ranges["totals"].to_pylist())))
+        answers = given_totals(grams.different, gram_ranges, found[False])
         logs = Automaton(base, counts, prior).walk(tokens, grams, answers)
         starts = np.cumsum(sizes) - sizes
         columns = [row["ids"], row["held"], row["sizes"], np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts), [total] * len(sizes), np.add.reduceat(np.log10(base)[tokens], starts), np.add.reduceat(logs, starts)]
@@ -284,8 +330,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     # Blocks are even, so about one of them per task is the finest deal there is.
-    tasks = max(1, min(shape.blocks, MOST_TASKS))
-    small = blocks.select("block", "ids", "held", "sizes", "tokens", "hashes")
+    tasks = max(1, min(n_blocks, MOST_TASKS))
+    small = blocks.select("block", "ids", "held", "sizes", "tokens", "words").mapInArrow(thin, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, hashes binary")
     scored = small.repartition(tasks, "block").groupBy("block").cogroup(facts.repartition(tasks, "of").groupBy("of")).applyInArrow(score, schema)
     return scored.withColumnRenamed("id", id_col)
 
