@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ BLOCK_CHARS = 8_000_000
 # Tasks that blocks are dealt to when they are scored; beyond, a task scores one block after another.
 MOST_TASKS = 20_000
 # Entries (an n-gram of a block) that one range of hashes holds on average, at most.
-RANGE_ENTRIES = 4_000_000
+RANGE_ENTRIES = 3_000_000
 END = b""  # the end of a text; words are never empty
 
 
@@ -64,7 +64,16 @@ def unpacked_numbers(packed: bytes, width: int = 6) -> np.ndarray:
     return from_planes(zlib.decompress(packed), width)
 
 
-BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, counts array<long>"
+def packed_words(words: Iterable[bytes]) -> bytes:
+    """Words hold no line break."""
+    return zlib.compress(b"\n".join(words), 1)
+
+
+def unpacked_words(packed: bytes) -> list[bytes]:
+    return zlib.decompress(packed).split(b"\n")
+
+
+BLOCKS = "block long, ids array<{id}>, held array<boolean>, sizes array<long>, tokens binary, n_words long, n_learnt long, words binary, counts binary"
 
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -84,8 +93,8 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, held_out, block_chars
             learnt = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(at[learnt], minlength=len(places))
             packed = packed_numbers(at, 4)
-            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([list(places)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)])]
-            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "words", "counts"])
+            columns = [pa.array([partition << 32 | number]), pa.array([ids], pa.list_(id_type)), pa.array([held]), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed]), pa.array([len(places)]), pa.array([int(counts.sum())]), pa.array([packed_words(places)]), pa.array([packed_numbers(counts, 4)])]
+            return pa.record_batch(columns, names=["block", "ids", "held", "sizes", "tokens", "n_words", "n_learnt", "words", "counts"])
 
         for part in slices(batches):
             for key, text, out in zip(*(part.column(i).to_pylist() for i in range(3))):
@@ -185,13 +194,14 @@ def word_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             block, words, counts = (part.column(i).to_pylist()[0] for i in range(3))
-            hashes, counts = word_hashes(words), np.array(counts)
+            words, counts = unpacked_words(words), unpacked_numbers(counts, 4)
+            hashes = word_hashes(words)
             order = np.argsort(hashes, kind="stable")
-            rows = [(n, block, b"\n".join(words[i] for i in order[at]), packed_numbers(counts[order[at]], 4)) for n, at in cuts(ranges_of(hashes[order], n_ranges)[0])]
+            rows = [(n, block, packed_words(words[i] for i in order[at]), packed_numbers(counts[order[at]], 4)) for n, at in cuts(ranges_of(hashes[order], n_ranges)[0])]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "words", "counts"])
 
     def total(group: pa.Table) -> pa.Table:
-        words = [w.split(b"\n") for w in group["words"].to_pylist()]
+        words = [unpacked_words(w) for w in group["words"].to_pylist()]
         found = pa.array([w for part in words for w in part], pa.binary()).dictionary_encode()
         sums, totals = answers(group, found.indices.to_numpy(), [len(w) for w in words], len(found.dictionary))
         return pa.table({"block": group["block"], "range": group["range"], "totals": totals, "known": pa.array(np.full(len(words), (sums > 0).sum(), np.int64))})
@@ -206,7 +216,7 @@ def gram_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             block, held, sizes, tokens, words = (part.column(i).to_pylist()[0] for i in range(5))
-            grams = Grams(unpacked_numbers(tokens, 4), np.array(sizes), word_hashes(words))
+            grams = Grams(unpacked_numbers(tokens, 4), np.array(sizes), word_hashes(unpacked_words(words)))
             counts = grams.counts(np.repeat(~np.array(held, bool), sizes))
             ranges, keys = ranges_of(grams.different, n_ranges)
             rows = [(n, block, *packed_keys(keys[at]), packed_numbers(counts[at], 4)) for n, at in cuts(ranges)]
@@ -215,8 +225,9 @@ def gram_totals(blocks: DataFrame, n_ranges: int) -> DataFrame:
 
     def total(group: pa.Table) -> pa.Table:
         keys = [unpacked_keys(u, v) for u, v in zip(group["upper"].to_pylist(), group["lower"].to_pylist())]
-        different, which = np.unique(np.concatenate(keys), return_inverse=True)
-        _, totals = answers(group, which, [len(k) for k in keys], len(different))
+        sizes, keys = [len(k) for k in keys], np.concatenate(keys)
+        different, which = np.unique(keys, return_inverse=True)
+        _, totals = answers(group, which, sizes, len(different))
         return pa.table({"block": group["block"], "range": group["range"], "totals": totals})
 
     sent = blocks.select("block", "held", "sizes", "tokens", "words").mapInArrow(send, "range long, block long, upper binary, lower binary, counts binary")
@@ -282,7 +293,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     of two words or one mixes its own counts with what the shorter context gives, which weighs as
     much as ``prior`` tokens, down to the base model. All 2- and 3-grams take part, without a least
     count at any size. Words are told apart by their bytes, the n-grams of a range by 40 bits; as a
-    range holds about ``range_entries``, at any size some 4 in a million n-grams share theirs.
+    range holds about ``range_entries``, at any size some 3 in a million n-grams share theirs.
 
     Null text counts as empty, an end alone. Rows with a null id are scored but not learnt from;
     repeated rows are texts of their own; other columns are not read. An empty table gives an empty
@@ -290,9 +301,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     """
     blocks = blocks_of(docs, id_col, text_col, held_out, block_chars)
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
-    learnt = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     all_tokens = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)
-    sums = (F.coalesce(F.sum(c), F.lit(0)) for c in (learnt, all_tokens, F.size("words")))
+    sums = (F.coalesce(F.sum(c), F.lit(0)) for c in ("n_learnt", all_tokens, "n_words"))
     n_blocks, total, n_tokens, n_words = blocks.agg(F.count(F.lit(1)), *sums).first()
     word_ranges, gram_ranges = (max(1, -(-n // range_entries)) for n in (4 * n_words, 2 * n_tokens))
     words = stored(word_totals(blocks, word_ranges), "lm_words")
@@ -304,15 +314,9 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     id_type = arrow_type(kind)
     fields = [("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of a block's words only the hashes travel on."""
-        for part in slices(batches, 1):
-            hashes = word_hashes(part["words"].to_pylist()[0])
-            yield pa.record_batch([*(part[n] for n in ("block", "ids", "held", "sizes", "tokens")), pa.array([hashes.tobytes()])], names=["block", "ids", "held", "sizes", "tokens", "hashes"])
-
     def score(block: pa.Table, facts: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        hashes = np.frombuffer(row["hashes"], "<u8")
+        hashes = word_hashes(unpacked_words(row["words"]))
         found: dict[bool, dict[int, bytes]] = {True: {}, False: {}}
         for number, packed, word in zip(*(facts[c].to_pylist() for c in ("range", "totals", "word"))):
             found[word][number] = packed
@@ -331,7 +335,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     # Blocks are even, so about one of them per task is the finest deal there is.
     tasks = max(1, min(n_blocks, MOST_TASKS))
-    small = blocks.select("block", "ids", "held", "sizes", "tokens", "words").mapInArrow(thin, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, hashes binary")
+    small = blocks.select("block", "ids", "held", "sizes", "tokens", "words")
     scored = small.repartition(tasks, "block").groupBy("block").cogroup(facts.repartition(tasks, "of").groupBy("of")).applyInArrow(score, schema)
     return scored.withColumnRenamed("id", id_col)
 
