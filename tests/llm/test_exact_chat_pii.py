@@ -128,6 +128,18 @@ def test_words_around_an_iban_do_not_hide_it():
     pii.find_pii("AA11 " * 60_000)
 
 
+def test_context_decides_for_ibans_of_unlisted_countries():
+    unlisted = "ZZ" + f"{98 - int('1234567890123' + '3535' + '00') % 97:02d}" + "1234567890123"
+    for text, score in ((f"bank account {unlisted}", 0.85), (f"{unlisted}, swift ABC", 0.85), (f"part {unlisted} is out", None), (f"bank {'x' * 60} {unlisted}", None)):
+        found = [s for s in pii.find_pii(text) if s[0] == "iban"]
+        assert [s[3] for s in found] == ([score] if score else []), text
+        assert ("<IBAN>" in pii.redact_text(text, pii.find_pii(text))) == bool(score)
+    listed = pii.find_pii("part DE89370400440532013000 is out")
+    assert [(s[0], s[3]) for s in listed] == [("iban", 0.9)]
+    # Base kinds stay without context.
+    assert [(s[0], s[3]) for s in pii.find_pii("a@b.c 1.2.3.4")] == [("email", 0.6), ("ip", 0.6)]
+
+
 def test_redaction_and_edges(spark):
     rows = [(1, "mail a@b.c or +1 (459) 555-7713!", 1), (2, None, 2), (3, "", 3), (None, "ip 1.2.3.4", 4), (4, "x " * 100_000 + "a@b.c", 5), (4, "x", 6)]
     got = pii.detect_pii(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
@@ -145,4 +157,5 @@ def test_pii_query(spark, con):
         base = brute_pii(text)
         r = got[doc_id]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert len(r.scores.split(",")) == len(r.spans.split(",")) and bool(r.scores) == bool(r.spans)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.BASE_KINDS]
