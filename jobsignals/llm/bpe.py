@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import arrow_type, body, by_slice, query, table
+from jobsignals.llm.common import arrow_type, body, by_slice, query, stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -91,6 +91,9 @@ class Codec:
         self.whole.no_padding()
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
+        joinable = settings["decoder"] is None and settings["normalizer"] is not None and settings["model"].get("end_of_word_suffix") == WORD_END
+        if not joinable or self.ids_of("a b") != self.ids_of("a") + self.ids_of("b"):
+            raise ValueError(f"{path}: parts are joined for tokenizers without a decoder, with a normaliser, word ends and cuts at blanks only")
         added = {t["content"]: t["id"] for t in settings["added_tokens"]}
         self.normalise = self.whole.normalizer.normalize_str
         self.bare = Tokenizer(self.whole.model)  # for text that is normalised already
@@ -109,6 +112,9 @@ class Codec:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def ids_of(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
     # --- words
 
     def fill(self, words: list[str], parts: list[bytes | None]) -> None:
@@ -144,7 +150,7 @@ class Codec:
         known = None
         if self.plain and len(text) <= WORD_CHARS and text.isprintable() and "<|" not in text:
             known = self.plain_word(text.lower() if text.isascii() else self.normalise(text))
-        return packed(self.whole.encode(text, add_special_tokens=False).ids) if known is None else known
+        return packed(self.ids_of(text)) if known is None else known
 
     # --- cuts
 
@@ -270,8 +276,10 @@ def encode_slices(path: str | None = None):
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, far_chars: int = FAR_CHARS, decoded: bool = False) -> DataFrame:
     """One row per row: id and ``ids`` (array<int>), as the tokenizers library encodes the text
     without adding special tokens; strings of special tokens inside a text become their ids, as
-    there. ``path`` is the tokenizer file, to be found on every executor. With ``decoded`` the ids
-    are decoded as well, in the same tasks.
+    there. ``path`` is the tokenizer file, to be found on every executor; a task raises ValueError if
+    its words do not end at blanks, mark their end, and decode by joining tokens with blanks. With
+    ``decoded`` the ids are decoded as well, in the same tasks. Texts over ``far_chars`` are numbered
+    and written to the scratch folder, so that a part worked out again finds the others by number.
 
     Null text counts as empty and has no ids. Null ids and repeated rows are kept as they are, other
     columns are not read, an empty table gives an empty result. One text, with its ids, has to fit
@@ -316,7 +324,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     cut_schema = pa.schema([("row", pa.int64()), ("id", id_type), ("place", pa.int32()), ("text", pa.string())])
     part_schema = pa.schema([("row", pa.int64()), ("id", id_type), ("place", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("open", pa.bool_()), ("head", pa.binary()), ("inner", pa.binary()), ("tail", pa.binary())])
-    long = rows.where(F.length("text") > far_chars).select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    long = stored(rows.where(F.length("text") > far_chars).select(F.monotonically_increasing_id().alias("row"), "id", "text"), "long_texts")
     cuts = long.mapInArrow(by_slice(cut, cut_schema), f"row long, id {kind}, place int, text string")
     parts = cuts.repartition("row", "place").mapInArrow(by_slice(part, part_schema), f"row long, id {kind}, place int, first string, last string, open boolean, head binary, inner binary, tail binary")
     far = parts.groupBy("row").applyInArrow(whole, result)

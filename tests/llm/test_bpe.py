@@ -84,3 +84,17 @@ def test_query(spark, con, library):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert not rows
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="word ends"):
+        bpe.Codec(bpe.vocabulary_path("byte_bpe_50k.json"))
+
+
+def test_long_texts_of_null_and_repeated_ids(spark, library):
+    texts = ["ab cd " * 40, "ab cd " * 40, "xyz" * 70, "k" * 200]
+    rows = [(i, t, "other", 3) for i in (None, 7) for t in texts]
+    df = spark.createDataFrame(rows, "doc_id smallint, text string, place string, row int").repartition(3)
+    out = bpe.encode_texts(df, far_chars=50).collect()
+    expected = [(i, library.encode(t, add_special_tokens=False).ids) for i, t, *_ in rows]
+    assert sorted(((r.doc_id, list(r.ids)) for r in out), key=str) == sorted(expected, key=str)
