@@ -6,7 +6,6 @@ import asyncio
 import inspect
 import random
 import threading
-import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -38,76 +37,92 @@ class CallPolicy:
             yield min(self.longest_wait, self.first_wait * 2.0**i) * random.uniform(0.5, 1.0)
 
 
-Outcome = tuple[object, Exception | None]
+Outcome = tuple[object, BaseException | None]
 
-
-def _tried(function: Callable, arguments: tuple, policy: CallPolicy) -> Outcome:
-    waits = policy.waits()
-    while True:
-        try:
-            return function(*arguments), None
-        except policy.retry_on as exc:
-            wait = next(waits, None)
-            if wait is None:
-                return None, exc
-            time.sleep(wait)
-        except Exception as exc:  # noqa: BLE001 - a failed call is a result row
-            return None, exc
-
-
-async def _tried_async(function: Callable, arguments: tuple, policy: CallPolicy, gate: asyncio.Semaphore) -> Outcome:
-    waits = policy.waits()
-    while True:
-        try:
-            async with gate:
-                return await function(*arguments), None
-        except policy.retry_on as exc:
-            wait = next(waits, None)
-            if wait is None:
-                return None, exc
-        except Exception as exc:  # noqa: BLE001 - a failed call is a result row
-            return None, exc
-        await asyncio.sleep(wait)
+# Outcomes that wait, at most, for an earlier one that is tried again.
+HELD_OUTCOMES = 10_000
 
 
 class Caller:
     """Calls ``function``, plain or a coroutine function, by a policy; use as a context.
 
     Plain functions run on threads and must be safe to call from several of them. Coroutines share
-    one event loop, so that a client opened on it serves all calls of a task. An exception that is no
-    ``Exception`` (the process is to end) leaves the task.
+    one event loop, so that a client opened on it serves all calls of a task. A call that waits to be
+    tried again gives up its place, so the others go on. An exception that is no ``Exception`` (the
+    process is to end) leaves the task.
     """
 
     def __init__(self, function: Callable, policy: CallPolicy):
         self.function, self.policy = function, policy
+        self.coroutine = inspect.iscoroutinefunction(function)
         # Calls handed over ahead, so that a slow one at the front does not leave the others idle.
         self.ahead = 4 * policy.in_flight
 
     def __enter__(self) -> Caller:
-        if inspect.iscoroutinefunction(self.function):
-            self.loop = asyncio.new_event_loop()
+        self.room = threading.Semaphore(self.ahead)
+        self.loop = asyncio.new_event_loop()
+        self.thread = threading.Thread(target=self.loop.run_forever, daemon=True)
+        self.thread.start()
+        if self.coroutine:
             self.gate = asyncio.Semaphore(self.policy.in_flight)
-            self.thread = threading.Thread(target=self.loop.run_forever, daemon=True)
-            self.thread.start()
-            self.submit = lambda a: asyncio.run_coroutine_threadsafe(_tried_async(self.function, a, self.policy, self.gate), self.loop)
         else:
             self.pool = ThreadPoolExecutor(self.policy.in_flight)
-            self.submit = lambda a: self.pool.submit(_tried, self.function, a, self.policy)
         return self
 
     def __exit__(self, *_: object) -> None:
-        if inspect.iscoroutinefunction(self.function):
-            self.loop.call_soon_threadsafe(self.loop.stop)
-            self.thread.join()
-        else:
+        self.loop.call_soon_threadsafe(self.loop.stop)
+        self.thread.join()
+        if not self.coroutine:
             self.pool.shutdown(wait=False, cancel_futures=True)
 
+    def _start(self, arguments: tuple, waits: Iterator[float], outcome: Future) -> None:
+        if self.coroutine:
+            asyncio.run_coroutine_threadsafe(self._call_async(arguments, waits, outcome), self.loop)
+        else:
+            self.pool.submit(self._call, arguments, waits, outcome)
+
+    def _call(self, arguments: tuple, waits: Iterator[float], outcome: Future) -> None:
+        try:
+            answer, error = self.function(*arguments), None
+        except BaseException as exc:  # noqa: BLE001 - a failed call is a result row
+            answer, error = None, exc
+        self._ended(answer, error, arguments, waits, outcome)
+
+    async def _call_async(self, arguments: tuple, waits: Iterator[float], outcome: Future) -> None:
+        async with self.gate:
+            try:
+                answer, error = await self.function(*arguments), None
+            except BaseException as exc:  # noqa: BLE001 - a failed call is a result row
+                answer, error = None, exc
+        self._ended(answer, error, arguments, waits, outcome)
+
+    def _ended(self, answer: object, error: BaseException | None, arguments: tuple, waits: Iterator[float], outcome: Future) -> None:
+        """One attempt is over: its outcome stands, or the next attempt is put on the clock."""
+        wait = next(waits, None) if isinstance(error, self.policy.retry_on) else None
+        if wait is None:
+            outcome.set_result((answer, error))
+        else:
+            self.loop.call_soon_threadsafe(self.loop.call_later, wait, self._start, arguments, waits, outcome)
+        # Later attempts of a call take no room: it is handed over once.
+        if not getattr(outcome, "left", False):
+            outcome.left = True
+            self.room.release()
+
     def outcomes(self, arguments: Iterable[tuple]) -> Iterator[Outcome]:
         """(answer, error) of every call, in the order of the arguments."""
-        waiting: deque[Future] = deque()
+        held: deque[Future] = deque()
         for given in arguments:
-            waiting.append(self.submit(given))
-            if len(waiting) >= self.ahead:
-                yield waiting.popleft().result()
-        while waiting:
-            yield waiting.popleft().result()
+            self.room.acquire()
+            held.append(Future())
+            self._start(given, self.policy.waits(), held[-1])
+            while held and (held[0].done() or len(held) >= HELD_OUTCOMES):
+                yield self._taken(held)
+        while held:
+            yield self._taken(held)
+
+    @staticmethod
+    def _taken(held: deque[Future]) -> Outcome:
+        answer, error = held.popleft().result()
+        if error is not None and not isinstance(error, Exception):
+            raise error
+        return answer, error

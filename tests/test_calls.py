@@ -144,3 +144,22 @@ def test_judges_are_called_by_the_same_policy(spark):
     rows = spark.createDataFrame([(str(i), f"text {i}") for i in range(9)], "skill string, description_text string")
     judged = judge(rows, judge_fn, ["skill"], parallelism=1, policy=CallPolicy(**QUICK)).collect()
     assert all(r.error is None and r.skill_judgment.reasoning == r.skill for r in judged) and len(judged) == 9
+
+
+@pytest.mark.parametrize("coroutine", [False, True])
+def test_calls_that_wait_give_up_their_place(coroutine):
+    """Fifty calls wait a quarter of a second each; one after the other in two places they took over four."""
+
+    def answer(n):
+        if n % 2:
+            raise TimeoutError("never")
+        return n
+
+    async def answer_later(n):
+        return answer(n)
+
+    begun = time.monotonic()
+    with Caller(answer_later if coroutine else answer, CallPolicy(in_flight=2, attempts=2, first_wait=0.5)) as caller:
+        found = list(caller.outcomes((i,) for i in range(100)))
+    assert [a for a, _ in found] == [None if i % 2 else i for i in range(100)]
+    assert time.monotonic() - begun < 2.5
