@@ -295,7 +295,7 @@ def _flat_csv(spark, sf_dir):
     """The flat file written and read back; titles begin with '#' and hold quotes, commas, blanks at
     both ends and line breaks."""
     path = scratch_path(spark, "flat")
-    write_flat_sample(raw_postings(spark, sf_dir).withColumn("title", F.expr(_FLAT_TITLE)), path)
+    write_flat_sample(raw_postings(spark, sf_dir).withColumn("title", F.expr(_FLAT_TITLE)), path, compression="gzip")
     header = T.StructType([T.StructField(f.name, f.dataType) for f in flat_sample(raw_postings(spark, sf_dir)).schema.fields])
     return read_typed_csv(spark, path, header).select(*_FLAT_COLUMNS)
 

@@ -108,12 +108,13 @@ def flat_sample(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_flat_sample(raw: DataFrame, path: str) -> None:
+def write_flat_sample(raw: DataFrame, path: str, compression: str = "none") -> None:
     """The flat sample as CSV in the standard dialect; cells keep their blanks and line breaks."""
     (
         flat_sample(raw)
         .write.mode("overwrite")
         .option("header", True)
+        .option("compression", compression)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
