@@ -481,3 +481,26 @@ def test_rounds_hold_every_row_once():
     assert {d for ds, _, _ in rounds for d in ds} == set(days)
     assert all(sum(per_day[d] for d in ds) <= 10 for ds, _, parts in rounds if parts == 1)
     assert plan_rounds({}, 10) == []
+
+
+def test_landed_files_are_loaded_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """What comes from files of one day each goes to the table from the tasks that read it."""
+    from jobsignals.sources import landing, tables
+
+    plans = []
+    layout = tables._layout
+
+    def seen(*args):
+        plans.append(plan_text(layout(*args)))
+        return layout(*args)
+
+    monkeypatch.setattr(tables, "_layout", seen)
+    for replace in (True, False):
+        landing.ingest(spark, raw_frame(spark), str(tmp_path / "landing"), str(tmp_path / "table"), replace)
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    assert spark.read.schema(RAW_POSTING).parquet(str(tmp_path / "table")).count() == 2 * len(raw_rows())
+
+
+def test_the_flat_sample_can_be_compressed(spark, tmp_path):
+    write_flat_sample(raw_frame(spark), str(tmp_path / "csv"), compression="gzip")
+    assert list((tmp_path / "csv").glob("*.csv.gz")) and not list((tmp_path / "csv").glob("*.csv"))
