@@ -11,7 +11,8 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import body, bounded_sample, by_slice, discard, query, stored, table, with_values
+from jobsignals.llm.common import body, by_slice, discard, query, slices, stored, table, with_values
 
 # Which letters a character may stand for.
 LOOKALIKES = {
@@ -72,14 +73,22 @@ class CharModel:
     @staticmethod
     def grams(words: Iterable[str]) -> np.ndarray:
         """The positions that ``words`` count at."""
+        return CharModel.grams_of_words(words)[0]
+
+    @staticmethod
+    def grams_of_words(words: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``grams``, and the place of the word that each of them comes from."""
+        words = list(words)
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         text = "".join(EDGE * (ORDER - 1) + w + EDGE for w in words)
-        if not text:
-            return np.zeros(0, np.int64)
         codes = np.frombuffer(text.encode("ascii"), np.uint8).astype(np.int64) - ord(EDGE)
         keys = np.zeros(len(codes) - ORDER + 1, np.int64)
         for i in range(ORDER):
             keys = keys * LETTERS + codes[i : len(codes) - ORDER + 1 + i]
-        return keys[codes[ORDER - 1 :][: len(keys)] + codes[ORDER - 2 : -1][: len(keys)] > 0]
+        kept = codes[ORDER - 1 :][: len(keys)] + codes[ORDER - 2 : -1][: len(keys)] > 0
+        owner = np.repeat(np.arange(len(words)), [len(w) + ORDER for w in words])[ORDER - 1 :]
+        return keys[kept], owner[kept]
 
 
 def options(token: str) -> Iterable[list[tuple[str, float]]]:
@@ -213,6 +222,25 @@ def plain_words(text: str) -> set[str]:
     return {w for w in words if w.isascii() and w.isalpha() and not LONG_RUN.search(w)}
 
 
+def features_of_token(token: str, chars: CharModel) -> tuple:
+    """Of a token, or of a spaced run, which alone holds blanks."""
+    words = (restore_token if len(token.split()) == 1 else restore_spaced)(token, chars)
+    return tuple(f for w in words for f in features_of(w))
+
+
+def features_of_text(text: str, memo: dict, of_token: Callable[[str], tuple]) -> set[int]:
+    """The features of every word of a text, spaced-out words joined; ``memo`` keeps those of tokens."""
+    text, found = text.lower(), set()
+    for token in {*text.split(), *(m.group() for m in SPACED.finditer(text))}:
+        features = memo.get(token)
+        if features is None:
+            features = of_token(token)
+            if len(memo) < MEMO_TOKENS and len(token) <= MEMO_LENGTH:
+                memo[token] = features
+        found.update(features)
+    return found
+
+
 @dataclass
 class ToxicityModel:
     """``weights`` by feature; at most ``fit_toxicity``'s number of them."""
@@ -223,111 +251,192 @@ class ToxicityModel:
     memo: dict = field(default_factory=dict)
 
     def token_weights(self, token: str) -> tuple:
-        """Of a token, or of a spaced run, which alone holds blanks."""
-        found = []
-        for w in (restore_token if len(token.split()) == 1 else restore_spaced)(token, self.chars):
-            found += [f for f in features_of(w) if f in self.weights]
-        return tuple(found)
+        return tuple(f for f in features_of_token(token, self.chars) if f in self.weights)
 
     def __getstate__(self):
         return {"chars": self.chars, "bias": self.bias, "weights": self.weights, "memo": {}}
 
     def score(self, text: str) -> float:
-        text = text.lower()
-        memo, found = self.memo, set()
-        tokens = text.split()
-        spaced = [m.group() for m in SPACED.finditer(text)]
-        for token in set(tokens).union(spaced):
-            features = memo.get(token)
-            if features is None:
-                features = self.token_weights(token)
-                if len(memo) < MEMO_TOKENS and len(token) <= MEMO_LENGTH:
-                    memo[token] = features
-            if features:
-                found.update(features)
+        found = features_of_text(text, self.memo, self.token_weights)
         z = self.bias + sum(self.weights[f] for f in sorted(found))
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -50, 50))))
 
 
-def solve(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last column is the bias and goes unpenalised."""
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], penalty)
+# Numbers that the pairs of one step of ``newton_sums`` take, about.
+PAIRS = 1 << 20
+
+
+def newton_sums(flat: np.ndarray, lengths: np.ndarray, ones: np.ndarray, zeros: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the logistic loss over patterns: ``flat`` holds the places of the
+    features of each, ``lengths`` their numbers; ``ones`` and ``zeros`` count its rows of either class."""
+    d = len(w)
+    gradient, curvature = np.zeros(d), np.zeros(d * d)
+    starts = np.cumsum(lengths) - lengths
+    for a in np.unique(lengths):
+        alike = np.flatnonzero(lengths == a)
+        step = max(1, PAIRS // (a + 1) ** 2)
+        for at in range(0, len(alike), step):
+            rows = alike[at : at + step]
+            places = np.full((len(rows), a + 1), d - 1)
+            places[:, :a] = flat[starts[rows][:, None] + np.arange(a)]
+            p = 1.0 / (1.0 + np.exp(-np.clip(w[places].sum(axis=1), -30, 30)))
+            n = ones[rows] + zeros[rows]
+            gradient += np.bincount(places.ravel(), np.repeat(n * p - ones[rows], a + 1), d)
+            pairs = places[:, :, None] * d + places[:, None, :]
+            curvature += np.bincount(pairs.ravel(), np.repeat(n * (p * (1 - p) + 1e-9), (a + 1) ** 2), d * d)
+    return gradient, curvature.reshape(d, d)
+
+
+def solve(patterns: DataFrame, d: int, penalty: float = 0.02) -> np.ndarray:
+    """Ridge logistic regression by Newton steps over the rows of all ``patterns`` (at, f, ones, zeros);
+    the last of ``d`` weights is the bias and goes unpenalised. A task adds up its rows, so what comes
+    to the driver is bounded by the parts, which are added in their order."""
+    schema = pa.schema([("at", pa.int64()), ("sums", pa.binary())])
+    ridge = np.full(d, penalty)
     ridge[-1] = 1e-6
+    w = np.zeros(d)
     for _ in range(30):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
-        w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+
+        def sums_of(batches: Iterator[pa.RecordBatch], w: np.ndarray = w) -> Iterator[pa.RecordBatch]:
+            parts: dict[int, list] = {}
+            for batch in slices(batches, 4096):
+                at = batch.column(0).to_numpy()
+                f = batch.column(1)
+                flat, lengths = f.flatten().to_numpy(), np.diff(f.offsets.to_numpy())
+                ones, zeros = batch.column(2).to_numpy().astype(float), batch.column(3).to_numpy().astype(float)
+                ends = np.cumsum(lengths)
+                for part in np.unique(at >> 33):
+                    rows = np.flatnonzero(at >> 33 == part)
+                    lo, hi = rows[0], rows[-1] + 1
+                    gradient, curvature = newton_sums(flat[ends[lo] - lengths[lo] : ends[hi - 1]], lengths[lo:hi], ones[lo:hi], zeros[lo:hi], w)
+                    held = parts.setdefault(int(part), [int(at[lo]), 0.0, 0.0])
+                    held[1], held[2] = held[1] + gradient, held[2] + curvature
+            for first, gradient, curvature in parts.values():
+                yield pa.record_batch([pa.array([first]), pa.array([np.concatenate([gradient, curvature.ravel()]).tobytes()], pa.binary())], schema=schema)
+
+        gradient, curvature = ridge * w, np.diag(ridge)
+        for r in sorted(patterns.mapInArrow(sums_of, "at long, sums binary").collect()):
+            sums = np.frombuffer(r.sums)
+            gradient, curvature = gradient + sums[:d], curvature + sums[d:].reshape(d, d)
+        step = np.linalg.solve(curvature, gradient)
+        w = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-5:
             break
     return w
 
 
-def telling(rows: DataFrame, item: str, n1: int, n0: int, limit: int) -> list:
-    """The items of ``rows`` (y, array ``item``) that tell the classes apart best, by chi-square."""
+def telling(counted: DataFrame, n1: int, n0: int, limit: int) -> list:
+    """The items of ``counted`` (i, rows of either class a and b) that tell the classes apart best, by
+    chi-square."""
     n, a, b = F.lit(float(n1 + n0)), F.col("a"), F.col("b")
     chi = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / (F.lit(float(n1)) * n0 * (a + b) * (n - a - b + 0.5))
-    toxic = F.sum(F.col("y").cast("double"))
-    counted = rows.select("y", F.explode(item).alias("i")).groupBy("i").agg(toxic.alias("a"), F.sum(1.0 - F.col("y")).alias("b"))
     return [r.i for r in counted.where((a + b >= 3) & (a * n0 > b * n1)).orderBy(chi.desc(), "i").limit(limit).collect()]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 20_000, n_features: int = 512) -> ToxicityModel:
-    """Learn from at most ``sample_rows`` labelled rows, half of either class, chosen by a hash of
-    the id; the bias then follows the classes' shares among all labels. The character model learns
-    from the distinct plain words of the same rows, a tenth of its mass being the words that tell
-    toxic rows best: a hidden word is likelier one of those. ``n_features`` words and beginnings of
-    words are used, those of largest chi-square.
+def added_up(counts: DataFrame) -> DataFrame:
+    """Counts (i, a, b) of slices, by item."""
+    return counts.groupBy("i").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
+
 
-    Null labels are left out, of several labels of an id the larger counts, and copies of a text
-    count once; an id counts once towards the bound, however many documents carry it. Without rows of both classes the score is the smoothed share of toxic labels.
+# Rows of texts that a part of the training texts holds, about.
+TEXTS_IN_PART = 2_000
+# Bits of the filter by which texts are left out before they are shuffled: eight a text, at most 4 MB.
+MOST_BITS = 1 << 25
+# Parts of the patterns, each of which sends a matrix of 2 MB to the driver in a Newton step.
+MOST_PARTS = 64
+
+
+def perhaps_among(docs: DataFrame, wanted: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """``docs`` without most rows whose ``keys`` are not in the ``n`` rows of ``wanted``: a bitmap of
+    hashes of bounded size goes to every task, so their texts are not shuffled for a join."""
+    bits = min(MOST_BITS, 1 << max(15, (8 * n).bit_length()))
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+    maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_map"))
+    bit = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring("_map", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = docs.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket")
+    return marked.where(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1).select(*docs.columns)
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", n_features: int = 512) -> ToxicityModel:
+    """Learn from every labelled row; copies of a text count once, and the bias follows the classes'
+    shares among all labels. The character model learns from the plain words of these texts, once for
+    each that holds the word, a tenth of its mass being the words that tell toxic rows best: a hidden
+    word is likelier one of those. ``n_features`` words and beginnings of words are used, those of
+    largest chi-square.
+
+    Null labels are left out, and of several labels of an id the larger counts. Without rows of both
+    classes the score is the smoothed share of toxic labels.
     """
+    spark = docs.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     share = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = share.get(1, 0), share.get(0, 0)
-    picks = [bounded_sample(known.where(F.col("y") == y), "id", n, sample_rows // 2) for y, n in ((0, neg), (1, pos))]
-    # At most sample_rows narrow rows, so this broadcast is bounded.
-    chosen = F.broadcast(picks[0].unionByName(picks[1]))
-    texts = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text")).join(chosen, "id").select("y", "text")
-    sample = stored(texts.dropDuplicates(), "toxicity_sample")
-    size = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    keyed = docs.select(F.col(id_col).alias("id"), F.md5(body(text_col).cast("binary")).alias("hash"), body(text_col).alias("text"))
+    # Of copies the smallest id, found without their texts.
+    first = stored(keyed.select("id", "hash").join(known, "id").groupBy("y", "hash").agg(F.min("id").alias("id")), "toxicity_ids")
+    size = {r.y: r.n for r in first.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not (pos and neg and n1 and n0):
+        discard(first)
         return ToxicityModel(CharModel(np.zeros(LETTERS**ORDER)), float(np.log((pos + 0.5) / (neg + 1.5))), {})
 
     def word_rows(ys: list[int], batch: list[str]) -> list[tuple]:
-        return [(y, sorted(plain_words(t))) for y, t in zip(ys, batch)]
+        counts = (Counter(), Counter())
+        for y, text in zip(ys, batch):
+            counts[y].update(plain_words(text))
+        return [(w, counts[1][w], counts[0][w]) for w in sorted({*counts[0], *counts[1]})]
 
-    def gram_rows(ys: list[int], batch: list[list[str]]) -> list[tuple]:
-        keys, n = np.unique(CharModel.grams(sorted(set().union(*batch))), return_counts=True)
-        return list(zip(keys.tolist(), n.tolist()))
+    def gram_rows(words: list[str], a: list[float], b: list[float]) -> list[tuple]:
+        keys, owner = CharModel.grams_of_words(words)
+        found, at = np.unique(keys, return_inverse=True)
+        return list(zip(found.tolist(), np.bincount(at, (np.array(a) + np.array(b))[owner], len(found)).tolist()))
 
-    def feature_rows(ys: list[int], batch: list[str]) -> list[tuple]:
-        return [(y, sorted({f for w in restore(t, chars) for f in features_of(w)})) for y, t in zip(ys, batch)]
+    memo: dict = {}
 
-    spread = sample.repartition(sample.sparkSession.sparkContext.defaultParallelism)
-    words = stored(spread.mapInArrow(by_slice(word_rows, pa.schema([("y", pa.int32()), ("words", pa.list_(pa.string()))])), "y int, words array<string>"), "toxicity_words")
+    def feature_rows(ys: list[int], batch: list[str]) -> list[tuple]:
+        return [(y, sorted(features_of_text(t, memo, lambda token: features_of_token(token, chars)))) for y, t in zip(ys, batch)]
+
+    def feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1024):
+            f = part.column(1)
+            toxic = np.repeat(part.column(0).to_numpy(), np.diff(f.offsets.to_numpy()))
+            items, at = np.unique(f.flatten().to_numpy(), return_inverse=True)
+            a, n = np.bincount(at, toxic, len(items)).astype(np.int64), np.bincount(at, minlength=len(items))
+            yield pa.record_batch([pa.array(items), pa.array(a), pa.array(n - a)], names=["i", "a", "b"])
+
+    parts = max(parallelism, -(-(n1 + n0) // TEXTS_IN_PART))
+    near = perhaps_among(keyed, first, n1 + n0, ["id", "hash"]).repartition(parts, "id", "hash")
+    sample = stored(near.join(first.repartition(parts, "id", "hash").hint("merge"), ["id", "hash"]).dropDuplicates(["id", "hash"]).select("y", "text"), "toxicity_texts")
+    counts_schema = "i {}, a long, b long"
+    found = sample.mapInArrow(by_slice(word_rows, pa.schema([("i", pa.string()), ("a", pa.int64()), ("b", pa.int64())])), counts_schema.format("string"))
+    words = stored(added_up(found), "toxicity_words")
     counts = np.zeros(LETTERS**ORDER)
-    grams = words.mapInArrow(by_slice(gram_rows, pa.schema([("gram", pa.int64()), ("n", pa.int64())])), "gram long, n long")
+    grams = words.mapInArrow(by_slice(gram_rows, pa.schema([("gram", pa.int64()), ("n", pa.float64())])), "gram long, n double")
     summed = grams.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts[summed["gram"].to_numpy()] = summed["n"].to_numpy()
-    lexicon = CharModel.grams(telling(words, "words", n1, n0, n_features))
+    lexicon = CharModel.grams(telling(words, n1, n0, n_features))
     np.add.at(counts, lexicon, 0.1 * counts.sum() / max(1, len(lexicon)))
     chars = CharModel(counts)
 
     schema = pa.schema([("y", pa.int32()), ("features", pa.list_(pa.int64()))])
-    rows = stored(spread.mapInArrow(by_slice(feature_rows, schema), "y int, features array<long>"), "toxicity_features")
-    best = telling(rows, "features", n1, n0, n_features)
+    rows = stored(sample.mapInArrow(by_slice(feature_rows, schema), "y int, features array<long>"), "toxicity_features")
+    best = telling(added_up(rows.mapInArrow(feature_counts, counts_schema.format("long"))), n1, n0, n_features)
     place = {f: i for i, f in enumerate(best)}
-    wanted = F.array(*(F.lit(f) for f in best)).cast("array<long>")
-    seen = rows.select("y", F.array_intersect("features", wanted).alias("f")).collect()
-    discard(sample, words, rows)
-    x = np.zeros((len(seen), len(best) + 1))
-    x[:, -1] = 1.0
-    for i, r in enumerate(seen):
-        x[i, [place[f] for f in r.f]] = 1.0
-    w = solve(x, np.array([r.y for r in seen], float))
-    # The sample holds other shares of the classes than the labels do.
+
+    def pattern_rows(ys: list[int], batch: list[list[int]]) -> list[tuple]:
+        return [(y, sorted(place[f] for f in fs if f in place)) for y, fs in zip(ys, batch)]
+
+    schema = pa.schema([("y", pa.int32()), ("f", pa.list_(pa.int32()))])
+    told = rows.mapInArrow(by_slice(pattern_rows, schema), "y int, f array<int>")
+    grouped = told.groupBy("f").agg(F.sum("y").alias("ones"), F.sum(1 - F.col("y")).alias("zeros"))
+    # Parts and their order depend on the patterns alone, so equal rows give equal sums.
+    ordered = grouped.repartition(min(parallelism, MOST_PARTS), "f").sortWithinPartitions("f")
+    patterns = stored(ordered.select(F.monotonically_increasing_id().alias("at"), "f", "ones", "zeros"), "toxicity_patterns")
+    w = solve(patterns, len(best) + 1)
+    discard(first, sample, words, rows, patterns)
+    # Copies, which count once, leave other shares of the classes than the labels have.
     bias = float(w[-1] + np.log(pos / neg) - np.log(n1 / n0))
     return ToxicityModel(chars, bias, {f: float(w[i]) for f, i in place.items()})
 

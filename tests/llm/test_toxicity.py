@@ -89,3 +89,30 @@ def test_edges(spark):
     nothing = tx.fit_toxicity(docs.limit(0), labels.limit(0))
     assert [r.score < 0.5 for r in tx.score_toxicity(docs, nothing).collect()] == [True] * 6
     assert tx.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_learns_from_every_labelled_row(spark):
+    """Forty words that three toxic rows of 12,500 hold each: a sample of the class misses some."""
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "bcdfghjklm")
+    rows = spark.range(25_000).select(F.col("id").alias("doc_id"), (F.col("id") < 12_500).cast("int").alias("toxic"), letters.alias("own"))
+    rare = F.concat(F.lit("zq"), F.translate((10 + F.col("doc_id") % 40).cast("string"), "0123456789", "bcdfghjklm"))
+    text = F.concat_ws(" ", F.col("own"), F.when(F.col("doc_id") < 120, rare), F.when(F.col("toxic") == 1, F.lit("awful")).otherwise("kind"))
+    rows = rows.select("doc_id", text.alias("text"), "toxic")
+    model = tx.fit_toxicity(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    words = {r.w for r in rows.where("doc_id < 120").select(rare.alias("w")).distinct().collect()}
+    assert len(words) == 40 and all(tx.features_of(w)[0] in model.weights for w in words)
+    assert model.score("awful") > 0.9 and model.score("kind") < 0.1
+
+
+def test_newton_sums_equal_dense_matrices():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(0, 5, 200)
+    flat = np.concatenate([rng.choice(7, n, replace=False) for n in lengths]).astype(int)
+    ones, zeros, w = rng.integers(0, 4, 200).astype(float), rng.integers(0, 4, 200).astype(float), rng.normal(size=8)
+    x = np.zeros((200, 8))
+    x[:, -1] = 1
+    x[np.repeat(np.arange(200), lengths), flat] = 1
+    p = 1 / (1 + np.exp(-x @ w))
+    gradient, curvature = tx.newton_sums(flat, lengths, ones, zeros, w)
+    assert np.allclose(gradient, x.T @ ((ones + zeros) * p - ones))
+    assert np.allclose(curvature, (x * ((ones + zeros) * (p * (1 - p) + 1e-9))[:, None]).T @ x)
