@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pyarrow as pa
+
 
 @dataclass(frozen=True)
 class CallPolicy:
@@ -39,6 +41,9 @@ class CallPolicy:
 
 Outcome = tuple[object, BaseException | None]
 
+# Rows that Python handles at once; bounds its memory whatever the size of an Arrow batch.
+SLICE_ROWS = 256
+
 # Outcomes that wait, at most, for an earlier one that is tried again.
 HELD_OUTCOMES = 10_000
 
@@ -120,6 +125,26 @@ class Caller:
         while held:
             yield self._taken(held)
 
+    def outcomes_by_slice(
+        self, batches: Iterable[pa.RecordBatch], arguments: Callable[[pa.RecordBatch], Iterable[tuple]]
+    ) -> Iterator[tuple[pa.RecordBatch, list[Outcome]]]:
+        """Slices of the batches, each with the outcomes of its rows. Only a slice's texts become Python
+        objects; the calls go on from one slice to the next without a pause."""
+        begun: deque[pa.RecordBatch] = deque()
+
+        def given() -> Iterator[tuple]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE_ROWS):
+                    begun.append(batch.slice(start, SLICE_ROWS))
+                    yield from arguments(begun[-1])
+
+        ready: list[Outcome] = []
+        for outcome in self.outcomes(given()):
+            ready.append(outcome)
+            if len(ready) == begun[0].num_rows:
+                yield begun.popleft(), ready
+                ready = []
+
     @staticmethod
     def _taken(held: deque[Future]) -> Outcome:
         answer, error = held.popleft().result()

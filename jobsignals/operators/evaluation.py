@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,19 +44,24 @@ def judge(
     columns = sample.columns
     sample = spread(sample, parallelism)
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def given(part: pa.RecordBatch) -> Iterator[tuple]:
+        at, extraction = (part.schema.get_field_index(c) for c in (text, "_extraction"))
+        return zip(part.column(at).to_pylist(), map(json.loads, part.column(extraction).to_pylist()))
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Caller(judge_fn, policy) as caller:
-            for batch in batches:
+            for part, outcomes in caller.outcomes_by_slice(batches, given):
                 answers, errors = [], []
-                given = zip(batch[text], batch["_extraction"].map(json.loads))
-                for answer, error in caller.outcomes(given):
+                for answer, error in outcomes:
                     try:
                         answers.append(None if error else json.dumps(answer))
                         errors.append(str(error) if error else None)
                     except (TypeError, ValueError) as exc:
                         answers.append(None)
                         errors.append(str(exc))
-                yield batch.drop(columns="_extraction").assign(_answer=answers, _failure=errors)
+                kept = [part.column(i) for i in range(part.num_columns - 1)]
+                found = [pa.array(answers, pa.string()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([*kept, *found], names=[*part.schema.names[:-1], "_answer", "_failure"])
 
     packed = sample.withColumn(
         "_extraction", F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
@@ -64,7 +69,7 @@ def judge(
     out = T.StructType(
         [*sample.schema.fields, T.StructField("_answer", T.StringType()), T.StructField("_failure", T.StringType())]
     )
-    answered = packed.mapInPandas(call, out).withColumn(
+    answered = packed.mapInArrow(call, out).withColumn(
         "_parsed",
         F.from_json("_answer", T.StructType([T.StructField(n, _JUDGMENT) for n in names])),
     )

@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,22 +95,27 @@ def extract_signals(
     """Call a user extractor for every pending row, one extract record per input row.
 
     The extractor, a function or a coroutine function, returns a dict or JSON text. It runs inside
-    ``mapInPandas`` in ``parallelism`` tasks (default: what the cluster runs at once), and each task
+    ``mapInArrow`` in ``parallelism`` tasks (default: what the cluster runs at once), and each task
     keeps up to ``policy.in_flight`` calls open, so the two together bound the load on a service. Calls
     that fail for a passing reason are tried again by the policy; a call that raises for good becomes
     an error record. Write the result before using it twice: reading it again calls again.
     """
     rows = spread(pending.select(*keys, text), parallelism)
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def given(part: pa.RecordBatch) -> Iterator[tuple]:
+        return ((body,) for body in part.column(part.num_columns - 1).to_pylist())
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with Caller(extractor, policy) as caller:
-            for batch in batches:
+            for part, outcomes in caller.outcomes_by_slice(batches, given):
                 payloads, failures = [], []
-                for answer, error in caller.outcomes((body,) for body in batch[text]):
+                for answer, error in outcomes:
                     payload, failure = as_payload(answer) if error is None else (None, repr(error))
                     payloads.append(payload)
                     failures.append(failure)
-                yield batch[list(keys)].assign(_payload=payloads, _failure=failures)
+                kept = [part.column(i) for i in range(len(keys))]
+                found = [pa.array(payloads, pa.string()), pa.array(failures, pa.string())]
+                yield pa.RecordBatch.from_arrays([*kept, *found], names=[*keys, "_payload", "_failure"])
 
     schema = T.StructType(
         [
@@ -119,7 +124,7 @@ def extract_signals(
             T.StructField("_failure", T.StringType()),
         ]
     )
-    checked = normalise_payload(rows.mapInPandas(call, schema), "_payload", "_failure")
+    checked = normalise_payload(rows.mapInArrow(call, schema), "_payload", "_failure")
     return checked.select(
         *keys,
         *sig.SIGNAL_FIELDS,

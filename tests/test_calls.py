@@ -163,3 +163,17 @@ def test_calls_that_wait_give_up_their_place(coroutine):
         found = list(caller.outcomes((i,) for i in range(100)))
     assert [a for a, _ in found] == [None if i % 2 else i for i in range(100)]
     assert time.monotonic() - begun < 2.5
+
+
+def test_slices_get_the_outcomes_of_their_rows():
+    """Rows of an Arrow batch are handed over in small slices, and calls do not pause between them."""
+    import pyarrow as pa
+
+    from jobsignals.operators.calls import SLICE_ROWS, Caller
+
+    batches = [pa.record_batch({"x": list(range(lo, hi))}) for lo, hi in ((0, 3000), (3000, 3000), (3000, 3001))]
+    with Caller(lambda x: -x, CallPolicy(in_flight=3)) as caller:
+        parts = list(caller.outcomes_by_slice(batches, lambda part: ((x,) for x in part.column(0).to_pylist())))
+    assert max(part.num_rows for part, _ in parts) == SLICE_ROWS
+    assert [x for part, _ in parts for x in part.column(0).to_pylist()] == list(range(3001))
+    assert [answer for _, outcomes in parts for answer, _ in outcomes] == [-x for x in range(3001)]
