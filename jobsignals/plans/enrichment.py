@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignals.functions.signals import MIN_DESCRIPTION_LENGTH, SIGNAL_FIELDS, STATUS_OK
@@ -18,7 +18,7 @@ from jobsignals.operators.ranking import top_rows
 from jobsignals.schemas import EXTRACT, optional
 from jobsignals.session import scratch_path
 from jobsignals.sources.files import remove
-from jobsignals.sources.tables import append_snapshot, one_of, read_table, upsert_table
+from jobsignals.sources.tables import append_snapshot, assert_unique, one_of, read_table, upsert_table
 
 JOB_KEY = ["job_id", "snapshot_date"]
 
@@ -153,6 +153,31 @@ def plan_rounds(per_day: Mapping[date, int], round_rows: int) -> list[tuple[list
     return [*rounds, (days, 0, 1)] if days else rounds
 
 
+def in_part(hashed: Column, part: int, parts: int) -> Column:
+    """Whether a 64-bit hash lies in one of ``parts`` equal ranges; of sorted files a scan reads its pages only."""
+    low, high = (-(2**63) + 2**64 * p // parts for p in (part, part + 1))
+    found = F.lit(True)
+    if part:
+        found = found & (hashed >= F.lit(low))
+    if part + 1 < parts:
+        found = found & (hashed < F.lit(high))
+    return found
+
+
+def settle_answers(spark: SparkSession, table_path: str) -> None:
+    """Merge the answers that rounds have left beside the extract table, if any, into it."""
+    folder = answers_folder(table_path)
+    answered = read_table(spark, folder, EXTRACT)
+    if answered is not None:
+        upsert_table(spark, table_path, answered, JOB_KEY)
+        remove(spark, folder)
+
+
+def answers_folder(table_path: str) -> str:
+    """Where the answers of a day's rounds wait; readers of the table pass over such names."""
+    return f"{table_path.rstrip('/')}/_answered/rows"
+
+
 def run_extraction(
     staged: DataFrame,
     extractor: Callable[[str], dict | str],
@@ -169,11 +194,14 @@ def run_extraction(
 
     Pending postings are stored once and worked off in rounds of about ``round_rows`` rows, and each
     round's answers are committed before the next round starts: a lost job repeats one round, since
-    the next run finds the others no longer pending. Returns one row: rows sent to the extractor,
-    ok_rows and error_rows. The extractor is called once per row: the upsert writes its answers
-    before anything else reads them.
+    the next run finds the others no longer pending. Answers of a day that takes several rounds are
+    kept beside the table and merged with its partition once, after its last round, after an error,
+    or by the next run, so a day is rewritten once however many rounds it takes. Returns one row: rows
+    sent to the extractor, ok_rows and error_rows. The extractor is called once per row: its answers
+    are written before anything else reads them.
     """
     spark = staged.sparkSession
+    settle_answers(spark, table_path)
     known = read_table(spark, table_path, optional(EXTRACT))
     if known is None:
         known = spark.createDataFrame([], optional(EXTRACT))
@@ -181,16 +209,27 @@ def run_extraction(
     path = scratch_path(spark, "pending")
     rows = good = 0
     try:
-        append_snapshot(pending, path, ["snapshot_date"], [])
+        pending = pending.withColumn("_hash", F.xxhash64("job_id"))
+        append_snapshot(pending, path, ["snapshot_date"], ["_hash"])
         stored = spark.read.schema(pending.schema).parquet(path)
+        assert_unique(stored, JOB_KEY)
         per_day = {r.snapshot_date: r.n for r in stored.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n")).collect()}
         for days, part, parts in plan_rounds(per_day, round_rows):
-            bucket = stored.where(one_of("snapshot_date", days) & (F.pmod(F.xxhash64("job_id"), F.lit(parts)) == part))
+            bucket = stored.where(one_of("snapshot_date", days) & in_part(F.col("_hash"), part, parts))
             records = extract_signals(bucket, extractor, model, extracted_at, parallelism=parallelism, policy=policy)
             seen = Observation("extraction")
             ok = F.count_if(F.col("extraction_status") == STATUS_OK).alias("ok_rows")
-            upsert_table(spark, table_path, records.observe(seen, F.count(F.lit(1)).alias("rows"), ok), JOB_KEY)
+            records = records.observe(seen, F.count(F.lit(1)).alias("rows"), ok)
+            if parts == 1:
+                upsert_table(spark, table_path, records, JOB_KEY)
+            else:
+                records.write.mode("append").parquet(answers_folder(table_path))
+                if part + 1 == parts:
+                    settle_answers(spark, table_path)
             rows, good = rows + seen.get["rows"], good + seen.get["ok_rows"]
+    except BaseException:
+        settle_answers(spark, table_path)
+        raise
     finally:
         remove(spark, path)
     return spark.createDataFrame([(rows, good, rows - good)], "rows long, ok_rows long, error_rows long")

@@ -504,3 +504,43 @@ def test_landed_files_are_loaded_without_a_shuffle(spark, tmp_path, monkeypatch)
 def test_the_flat_sample_can_be_compressed(spark, tmp_path):
     write_flat_sample(raw_frame(spark), str(tmp_path / "csv"), compression="gzip")
     assert list((tmp_path / "csv").glob("*.csv.gz")) and not list((tmp_path / "csv").glob("*.csv"))
+
+
+def test_a_day_of_many_rounds_is_rewritten_once(spark, tmp_path, monkeypatch):
+    from jobsignals.plans import enrichment
+
+    path, calls, fixed = str(tmp_path / "extracts"), tmp_path / "calls", tmp_path / "fixed"
+    calls.mkdir()
+    merges = []
+
+    def merged(*args):
+        merges.append(args)
+        return upsert_table(*args)
+
+    monkeypatch.setattr(enrichment, "upsert_table", merged)
+
+    def extractor(text):
+        import uuid
+
+        (calls / uuid.uuid4().hex).write_text(text)
+        if "text 33," in text and not fixed.exists():
+            raise SystemExit("the process is gone")
+        return {"years_experience": 1}
+
+    staged = spark.createDataFrame([(str(i), DAY, f"text {i}, long enough for a call") for i in range(60)], "job_id string, snapshot_date date, description_text string")
+    more = {"policy": CallPolicy(in_flight=2), "round_rows": 10}
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark makes of a dead worker
+        run_extraction(staged, extractor, "m", datetime(2026, 5, 6), path, **more)
+    done = spark.read.schema(EXTRACT).parquet(path).count()
+    for file in calls.iterdir():
+        file.unlink()
+    fixed.touch()
+    counts = run_extraction(staged, extractor, "m", datetime(2026, 5, 7), path, **more).first()
+    assert counts.rows == 60 - done == len(list(calls.iterdir()))
+    assert spark.read.schema(EXTRACT).parquet(path).count() == 60 and len(merges) <= 2
+    assert not (Path(path) / "_answered" / "rows").exists()
+
+    merges.clear()
+    run_extraction(staged, extractor, "m", datetime(2026, 5, 7), str(tmp_path / "fresh"), **more)
+    assert len(merges) == 1
+    assert spark.read.schema(EXTRACT).parquet(str(tmp_path / "fresh")).count() == 60
