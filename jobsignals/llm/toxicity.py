@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import body, by_slice, discard, query, slices, stored, table, with_values
+from jobsignals.llm.common import body, by_slice, discard, free_rounds, query, slices, stored, table, with_values
 
 # Which letters a character may stand for.
 LOOKALIKES = {
@@ -266,9 +266,10 @@ class ToxicityModel:
 PAIRS = 1 << 20
 
 
-def newton_sums(flat: np.ndarray, lengths: np.ndarray, ones: np.ndarray, zeros: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def newton_sums(flat: np.ndarray, lengths: np.ndarray, ones: np.ndarray, zeros: np.ndarray, w: np.ndarray, scale: float = 2.0**40) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and curvature of the logistic loss over patterns: ``flat`` holds the places of the
-    features of each, ``lengths`` their numbers; ``ones`` and ``zeros`` count its rows of either class."""
+    features of each, ``lengths`` their numbers; ``ones`` and ``zeros`` count its rows of either class.
+    What a row adds is a multiple of 1 / ``scale``, so sums below 2**53 / ``scale`` are exact."""
     d = len(w)
     gradient, curvature = np.zeros(d), np.zeros(d * d)
     starts = np.cumsum(lengths) - lengths
@@ -281,44 +282,43 @@ def newton_sums(flat: np.ndarray, lengths: np.ndarray, ones: np.ndarray, zeros:
             places[:, :a] = flat[starts[rows][:, None] + np.arange(a)]
             p = 1.0 / (1.0 + np.exp(-np.clip(w[places].sum(axis=1), -30, 30)))
             n = ones[rows] + zeros[rows]
-            gradient += np.bincount(places.ravel(), np.repeat(n * p - ones[rows], a + 1), d)
+            gradient += np.bincount(places.ravel(), np.repeat(n * np.rint(p * scale) / scale - ones[rows], a + 1), d)
             pairs = places[:, :, None] * d + places[:, None, :]
-            curvature += np.bincount(pairs.ravel(), np.repeat(n * (p * (1 - p) + 1e-9), (a + 1) ** 2), d * d)
+            curvature += np.bincount(pairs.ravel(), np.repeat(n * np.rint((p * (1 - p) + 1e-9) * scale) / scale, (a + 1) ** 2), d * d)
     return gradient, curvature.reshape(d, d)
 
 
-def solve(patterns: DataFrame, d: int, penalty: float = 0.02) -> np.ndarray:
-    """Ridge logistic regression by Newton steps over the rows of all ``patterns`` (at, f, ones, zeros);
-    the last of ``d`` weights is the bias and goes unpenalised. A task adds up its rows, so what comes
-    to the driver is bounded by the parts, which are added in their order."""
-    schema = pa.schema([("at", pa.int64()), ("sums", pa.binary())])
+def solve(patterns: DataFrame, d: int, n: int, penalty: float = 0.02) -> np.ndarray:
+    """Ridge logistic regression by Newton steps over ``n`` rows of all ``patterns`` (f, ones, zeros);
+    the last of ``d`` weights is the bias and goes unpenalised. A task adds up its rows and sends half of
+    its symmetric matrix, so what comes to the driver is bounded by the tasks, however many files the
+    patterns lie in. The sums are exact, so no order of rows or tasks changes them."""
+    spark = patterns.sparkSession
+    few = patterns.coalesce(min(spark.sparkContext.defaultParallelism, MOST_TASKS))
+    scale = 2.0 ** (52 - int(n).bit_length())
+    half = np.triu_indices(d)
     ridge = np.full(d, penalty)
     ridge[-1] = 1e-6
     w = np.zeros(d)
     for _ in range(30):
 
         def sums_of(batches: Iterator[pa.RecordBatch], w: np.ndarray = w) -> Iterator[pa.RecordBatch]:
-            parts: dict[int, list] = {}
+            gradient, curvature = np.zeros(d), np.zeros((d, d))
             for batch in slices(batches, 4096):
-                at = batch.column(0).to_numpy()
-                f = batch.column(1)
-                flat, lengths = f.flatten().to_numpy(), np.diff(f.offsets.to_numpy())
-                ones, zeros = batch.column(2).to_numpy().astype(float), batch.column(3).to_numpy().astype(float)
-                ends = np.cumsum(lengths)
-                for part in np.unique(at >> 33):
-                    rows = np.flatnonzero(at >> 33 == part)
-                    lo, hi = rows[0], rows[-1] + 1
-                    gradient, curvature = newton_sums(flat[ends[lo] - lengths[lo] : ends[hi - 1]], lengths[lo:hi], ones[lo:hi], zeros[lo:hi], w)
-                    held = parts.setdefault(int(part), [int(at[lo]), 0.0, 0.0])
-                    held[1], held[2] = held[1] + gradient, held[2] + curvature
-            for first, gradient, curvature in parts.values():
-                yield pa.record_batch([pa.array([first]), pa.array([np.concatenate([gradient, curvature.ravel()]).tobytes()], pa.binary())], schema=schema)
-
-        gradient, curvature = ridge * w, np.diag(ridge)
-        for r in sorted(patterns.mapInArrow(sums_of, "at long, sums binary").collect()):
-            sums = np.frombuffer(r.sums)
-            gradient, curvature = gradient + sums[:d], curvature + sums[d:].reshape(d, d)
-        step = np.linalg.solve(curvature, gradient)
+                f = batch.column(0)
+                ones, zeros = batch.column(1).to_numpy().astype(float), batch.column(2).to_numpy().astype(float)
+                more = newton_sums(f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()), ones, zeros, w, scale)
+                gradient, curvature = gradient + more[0], curvature + more[1]
+            yield pa.record_batch([pa.array([np.concatenate([gradient, curvature[np.triu_indices(d)]]).tobytes()], pa.binary())], names=["sums"])
+
+        sums = np.zeros(d + len(half[0]))
+        for r in few.mapInArrow(sums_of, "sums binary").collect():
+            sums += np.frombuffer(r.sums)
+        free_rounds(spark)
+        curvature = np.zeros((d, d))
+        curvature[half] = sums[d:]
+        curvature += np.triu(curvature, 1).T + np.diag(ridge)
+        step = np.linalg.solve(curvature, sums[:d] + ridge * w)
         w = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-5:
             break
@@ -342,8 +342,8 @@ def added_up(counts: DataFrame) -> DataFrame:
 TEXTS_IN_PART = 2_000
 # Bits of the filter by which texts are left out before they are shuffled: eight a text, at most 4 MB.
 MOST_BITS = 1 << 25
-# Parts of the patterns, each of which sends a matrix of 2 MB to the driver in a Newton step.
-MOST_PARTS = 64
+# Tasks of a Newton step, each of which sends half a matrix, 1 MB, to the driver.
+MOST_TASKS = 32
 
 
 def perhaps_among(docs: DataFrame, wanted: DataFrame, n: int, keys: list[str]) -> DataFrame:
@@ -431,10 +431,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     schema = pa.schema([("y", pa.int32()), ("f", pa.list_(pa.int32()))])
     told = rows.mapInArrow(by_slice(pattern_rows, schema), "y int, f array<int>")
     grouped = told.groupBy("f").agg(F.sum("y").alias("ones"), F.sum(1 - F.col("y")).alias("zeros"))
-    # Parts and their order depend on the patterns alone, so equal rows give equal sums.
-    ordered = grouped.repartition(min(parallelism, MOST_PARTS), "f").sortWithinPartitions("f")
-    patterns = stored(ordered.select(F.monotonically_increasing_id().alias("at"), "f", "ones", "zeros"), "toxicity_patterns")
-    w = solve(patterns, len(best) + 1)
+    patterns = stored(grouped.repartition(min(parallelism, MOST_TASKS), "f"), "toxicity_patterns")
+    w = solve(patterns, len(best) + 1, n1 + n0)
     discard(first, sample, words, rows, patterns)
     # Copies, which count once, leave other shares of the classes than the labels have.
     bias = float(w[-1] + np.log(pos / neg) - np.log(n1 / n0))

@@ -116,3 +116,22 @@ def test_newton_sums_equal_dense_matrices():
     gradient, curvature = tx.newton_sums(flat, lengths, ones, zeros, w)
     assert np.allclose(gradient, x.T @ ((ones + zeros) * p - ones))
     assert np.allclose(curvature, (x * ((ones + zeros) * (p * (1 - p) + 1e-9))[:, None]).T @ x)
+
+
+def test_newton_steps_send_the_driver_no_more_for_more_files(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    rows = [([f for f in range(12) if rng.random() < 0.3], rng.randint(0, 3), rng.randint(0, 3)) for _ in range(300)]
+    table = spark.createDataFrame(rows, "f array<int>, ones long, zeros long")
+    n = sum(a + b for _, a, b in rows)
+    sent, frombuffer = [], np.frombuffer
+    monkeypatch.setattr(tx.np, "frombuffer", lambda sums: sent.append(len(sums)) or frombuffer(sums))
+    found, seen = [], []
+    for i, files in enumerate((1, 97)):
+        table.repartition(files).write.parquet(path := str(tmp_path / str(i)))
+        sent.clear()
+        with monkeypatch.context() as m:
+            m.setattr(tx, "MOST_TASKS", 2)
+            found.append(tx.solve(spark.read.parquet(path), 13, n))
+        seen.append(max(sent))
+        assert len(sent) <= 2 * 30 and set(sent) == {8 * (13 + 13 * 14 // 2)}
+    assert np.array_equal(*found) and seen[0] == seen[1]
