@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 import jobsignals
+from jobsignals.rounds import free_rounds  # noqa: F401 - the operators take it from here
 from jobsignals.session import scratch_path
 from jobsignals.sources.files import remove
 
@@ -80,13 +80,6 @@ def discard(*tables: DataFrame) -> None:
         remove(table.sparkSession, table.scratch)
 
 
-def free_rounds(spark: SparkSession) -> None:
-    """Between the rounds of an iteration: Spark removes the shuffles of finished rounds when the
-    driver collects its garbage, which a small driver would else put off until its heap is full."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def body(name: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -15,6 +15,7 @@ from jobsignals.operators.extraction import extract_signals
 from jobsignals.operators.joins import enrich, pending_rows
 from jobsignals.operators.patterns import map_by_pattern
 from jobsignals.operators.ranking import top_rows
+from jobsignals.rounds import in_part, plan_rounds
 from jobsignals.schemas import EXTRACT, optional
 from jobsignals.session import scratch_path
 from jobsignals.sources.files import remove
@@ -137,33 +138,6 @@ def mapping_coverage(mapped: DataFrame, code: str = "anzsco_code") -> DataFrame:
 ROUND_ROWS = 100_000
 
 
-def plan_rounds(per_day: Mapping[date, int], round_rows: int) -> list[tuple[list[date], int, int]]:
-    """Rounds of about ``round_rows`` rows as (days, part, parts), newest days first: small days share
-    a round, so that few partitions are rewritten twice, and a large one is cut into parts."""
-    rounds, days, held = [], [], 0
-    for day, n in sorted(per_day.items(), key=lambda x: x[0], reverse=True):
-        if days and held + n > round_rows:
-            rounds.append((days, 0, 1))
-            days, held = [], 0
-        parts = -(-n // round_rows)
-        if parts > 1:
-            rounds.extend(([day], part, parts) for part in range(parts))
-        else:
-            days, held = [*days, day], held + n
-    return [*rounds, (days, 0, 1)] if days else rounds
-
-
-def in_part(hashed: Column, part: int, parts: int) -> Column:
-    """Whether a 64-bit hash lies in one of ``parts`` equal ranges; of sorted files a scan reads its pages only."""
-    low, high = (-(2**63) + 2**64 * p // parts for p in (part, part + 1))
-    found = F.lit(True)
-    if part:
-        found = found & (hashed >= F.lit(low))
-    if part + 1 < parts:
-        found = found & (hashed < F.lit(high))
-    return found
-
-
 def settle_answers(spark: SparkSession, table_path: str) -> None:
     """Merge the answers that rounds have left beside the extract table, if any, into it."""
     folder = answers_folder(table_path)
