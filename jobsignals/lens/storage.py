@@ -120,7 +120,8 @@ def _reland_city(spark, sf_dir):
     raw, path = _fetched(spark, sf_dir), scratch_path(spark, "landing")
     _land(raw, path)
     again = raw.where("source_city = 'Sydney'")
-    land_jsonl(again.withColumn("title", F.concat(F.lit("again "), "title")), path)
+    _land(again.withColumn("title", F.concat(F.lit("again "), "title")), path)
+    remove(spark, raw.scratch)
     return read_jsonl(spark, path).select("id", "snapshot_date", "source_city", "redirect_url", "title")
 
 
@@ -135,7 +136,7 @@ def _stream_landed(spark, sf_dir):
     raw = _fetched(spark, sf_dir)
     again = raw.where("source_city = 'Sydney'").withColumn("title", F.concat(F.lit("again "), "title"))
     for part in (raw.where("source_city = 'Sydney'"), raw.where("source_city <> 'Sydney'"), again):
-        land_jsonl(part, landing)
+        _land(part, landing)
         load_new_files(landed_stream(spark, landing), landing, loaded, state).awaitTermination()
     return _landed_columns(spark.read.schema(RAW_POSTING).parquet(loaded))
 
