@@ -591,7 +591,7 @@ def test_lines_of_a_title_stand_together(spark, tmp_path):
     assert files
 
 
-@pytest.mark.parametrize("key", ["land_jsonl", "reland_city"])
+@pytest.mark.parametrize("key", ["land_jsonl", "reland_city", "ingest"])
 def test_landing_queries_work_in_rounds(spark, monkeypatch, key):
     """Neither the join of the raw postings nor a landing handles all rows at once, and nothing of the
     fetched copy stays; the rows are the same."""
