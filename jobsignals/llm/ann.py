@@ -24,6 +24,7 @@ BLOCK = 2048  # nodes of a block
 DEGREE = 128  # links of one node in one row; more go to further rows
 SETTLED = 0.1  # share of changed links at which the graph is left as it is
 BEAM = 160  # nearest nodes a search keeps, and expands all of
+HOME = 64  # searches whose beams are kept up to date together
 SEED = 7
 
 
@@ -284,10 +285,6 @@ def build_graph(nodes: DataFrame, n: int, k: int = K, trees: int = TREES, leaf:
 # --- the search
 
 
-STATE = "ids array<long>, ds array<double>, pend_at array<int>, pend array<array<long>>"
-ANSWERS = "at int, search array<long>, n_found array<long>, ids array<long>, ds array<double>, n_pend array<long>, pend array<long>, pend_at array<int>"
-
-
 def walkable(graph: DataFrame, nodes: DataFrame, places: DataFrame) -> DataFrame:
     """What a block holds to walk in, (at, node, vec, others, others_at): a row with the vector of
     each node, and rows with its links. ``places`` (node, at) names each node's block; every link
@@ -302,7 +299,7 @@ def walkable(graph: DataFrame, nodes: DataFrame, places: DataFrame) -> DataFrame
 
 
 class Block:
-    """The nodes of a block with their vectors and links, and the walk of one search among them."""
+    """The nodes of a block with their vectors and links inside it, and the walk of one search there."""
 
     def __init__(self, stock: pa.Table):
         has = stock["vec"].is_valid().to_numpy(zero_copy_only=False)
@@ -312,137 +309,97 @@ class Block:
         self.rows = matrix(held["vec"], np.float64)[order]
         linked = stock.filter(pa.array(~has))
         counts, ends = flat_lists(linked["others"])
-        places = flat_lists(linked["others_at"])[1]
         owner = np.repeat(np.searchsorted(self.ids, linked["node"].to_numpy()), counts)
+        local = np.minimum(np.searchsorted(self.ids, ends), max(0, len(self.ids) - 1))
+        inside = self.ids[local] == ends if len(self.ids) else np.zeros(len(ends), bool)
+        owner, local = owner[inside], local[inside]
         order = np.argsort(owner, kind="stable")
-        self.ends, self.places = ends[order], places[order]
+        self.ends = local[order]
         self.first = np.searchsorted(owner[order], np.arange(len(self.ids) + 1))
-        local = np.searchsorted(self.ids, self.ends)
-        local = np.minimum(local, max(0, len(self.ids) - 1))
-        self.local = np.where(self.ids[local] == self.ends, local, -1) if len(self.ids) else local
 
-    def links(self, at: np.ndarray) -> np.ndarray:
-        """Places in ``ends`` of all links of the nodes ``at``."""
+    def linked(self, at: np.ndarray) -> np.ndarray:
+        """Places of the nodes that those at ``at`` are linked with."""
         sizes = self.first[at + 1] - self.first[at]
-        return np.repeat(self.first[at], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return np.unique(self.ends[np.repeat(self.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())])
 
     def places_of(self, ids: np.ndarray) -> np.ndarray:
         """Where the block holds those of ``ids`` that it has."""
         at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
         return np.unique(at[self.ids[at] == ids])
 
-    def walk(self, vec: np.ndarray, start: np.ndarray, known: np.ndarray, worst: float, beam: int) -> tuple[np.ndarray, ...]:
-        """(ids, distances) of the nodes reached that may be among the ``beam`` nearest, and (ids,
-        blocks) of their links that lead out. ``known`` nodes were walked from before."""
-        front = self.places_of(start)
+    def walk(self, vec: np.ndarray, start: np.ndarray, known: np.ndarray, worst: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, distances) of the nodes reached that may be among the ``beam`` nearest. ``known`` nodes
+        are left out. A search that has not yet found ``beam`` nodes, so that any distance would lead
+        on, goes no further than to ``start``."""
         seen = np.zeros(len(self.ids), bool)
-        seen[front] = True
         seen[self.places_of(known)] = True
-        near, ds, out = [front[:0]], [np.zeros(0)], [front[:0]]
+        front, walks = self.places_of(start), worst < np.inf
+        front = front[~seen[front]]
+        near, ds = [front[:0]], [np.zeros(0)]
         while len(front):
+            seen[front] = True
             diff = self.rows[front] - vec
             d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
             good = d < worst
             front, d = front[good], d[good]
             near.append(front)
             ds.append(d)
+            if not walks:
+                break
             found = np.concatenate(ds)
             if len(found) >= beam:
                 worst = min(worst, float(np.partition(found, beam - 1)[beam - 1]))
-            links = self.links(front)
-            inside = self.local[links]
-            out.append(links[inside < 0])
-            front = np.unique(inside[inside >= 0])
+            front = self.linked(front)
             front = front[~seen[front]]
-            seen[front] = True
-        at, d, out = np.concatenate(near), np.concatenate(ds), np.unique(np.concatenate(out))
+        at, d = np.concatenate(near), np.concatenate(ds)
         best = np.lexsort((self.ids[at], d))[:beam]
-        # Only links of nodes that are still among the best lead on.
-        left = np.unique(self.links(at[best])) if len(best) else out[:0]
-        out = np.intersect1d(out, left)
-        ends, first = np.unique(self.ends[out], return_index=True)
-        return self.ids[at[best]], d[best], ends, self.places[out][first]
-
-
-def answers_of(results: list[tuple], homes: int) -> pa.Table:
-    """(search, ids, ds, pending ids, their blocks) packed by the home of the search."""
-    by_home: dict[int, list[tuple]] = {}
-    for r in results:
-        by_home.setdefault(int(r[0] % homes), []).append(r)
-    columns = {"at": pa.array(np.array(list(by_home), np.int32))}
-    kinds = {"search": np.int64, "n_found": np.int64, "ids": np.int64, "ds": np.float64, "n_pend": np.int64, "pend": np.int64, "pend_at": np.int32}
-    for name, kind in kinds.items():
-        take = {
-            "search": lambda r: [r[0]], "n_found": lambda r: [len(r[1])], "ids": lambda r: r[1], "ds": lambda r: r[2],
-            "n_pend": lambda r: [len(r[3])], "pend": lambda r: r[3], "pend_at": lambda r: r[4],
-        }[name]
-        columns[name] = pa.array([np.concatenate([np.asarray(take(r), kind) for r in rows]) for rows in by_home.values()], pa.list_(pa.from_numpy_dtype(kind)))
-    return pa.table(columns)
+        return self.ids[at[best]], d[best]
 
 
 def search_graph(graph: DataFrame, nodes: DataFrame, places: DataFrame, starts: DataFrame, beam: int = BEAM) -> DataFrame:
     """For each node of ``starts`` (node, vec) the nodes nearest to it: (node, ids, ds), itself
     included; distances are in double precision.
 
-    A search visits blocks: there it walks from node to nearer node as far as the block's own links
-    lead, and takes along the links that lead out. A round serves all searches in all blocks at once,
-    and all end when no search has a link left that is not among its ``beam`` kept nodes. ``places``
-    puts near nodes into one block, so that most steps stay inside.
+    A search keeps its ``beam`` nearest nodes. A round looks up the links of those it has not followed
+    yet, and visits the blocks where they end: there it walks on from node to nearer node as far as
+    the block's own links lead. What it found comes back without links, so that links are looked up
+    only for nodes that are among the nearest of all blocks: what a search moves in a round is bounded
+    by ``beam`` and the links of a node, however many blocks there are. A round serves all searches,
+    and all end when no search has a kept node left whose links were not followed. ``places`` puts
+    near nodes into one block.
     """
-    homes = blocks_for(starts.count())
+    homes = max(1, math.ceil(starts.count() / HOME))
     stock = stored(walkable(graph, nodes, places), "ways")
-    vec = nodes.schema["vec"].dataType.simpleString()
-    asks = starts.join(places, "node").select("node", "vec", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("ds"), F.array("at").alias("pend_at"), F.array(F.array("node")).alias("pend"))
-    state = stored(asks, "beam")
+    links = stock.where(F.col("others").isNotNull()).select("node", F.arrays_zip("others", "others_at").alias("ends"))
+    itself = (F.array("node").alias("ids"), F.array(F.lit(0.0)).alias("ds"), F.array(F.lit(False)).alias("done"))
+    state = stored(starts.select("node", *itself), "beam")
 
     def look(asked: pa.Table, stock: pa.Table) -> pa.Table:
-        results = []
+        owner, other, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if asked.num_rows and stock.num_rows:
             block, vectors = Block(stock), matrix(asked["vec"], np.float64)
-            searches, worsts, wanted, known = asked["node"].to_numpy(), asked["worst"].to_numpy(), asked["wanted"], asked["ids"]
+            searches, worsts, wanted, known = asked["search"].to_numpy(), asked["worst"].to_numpy(), asked["wanted"], asked["ids"]
             for i in range(len(searches)):
-                start, done = (np.array(lists[i].as_py(), np.int64) for lists in (wanted, known))
-                results.append((searches[i], *block.walk(vectors[i], start, done, worsts[i], beam)))
-        return answers_of(results, homes)
-
-    def together(state: pa.Table, sent: pa.Table) -> pa.Table:
-        """The beams with what the blocks found, and the links that may still lead somewhere."""
-        counts, ids = flat_lists(state["ids"])
-        ds = flat_lists(state["ds"])[1]
-        owner = np.repeat(state["node"].to_numpy(), counts)
-        found = {c: flat_lists(sent[c])[1] for c in ("search", "n_found", "ids", "ds", "n_pend", "pend", "pend_at")}
-        owner = np.concatenate([owner, np.repeat(found["search"], found["n_found"])])
-        other, d = np.concatenate([ids, found["ids"]]), np.concatenate([ds, found["ds"]])
-        owners, starts, others, near, _ = nearest_of(owner, other, d, np.zeros(len(owner), bool), beam)
-        place = {o: (a, b) for o, a, b in zip(owners.tolist(), starts.tolist(), np.append(starts, len(others))[1:].tolist())}
-        pend_owner = np.repeat(found["search"], found["n_pend"])
-        order = np.lexsort((found["pend"], pend_owner))
-        pend_owner, pend, pend_at = pend_owner[order], found["pend"][order], found["pend_at"][order]
-        rows = []
-        for node in state["node"].to_numpy().tolist():
-            a, b = place.get(node, (0, 0))
-            lo, hi = np.searchsorted(pend_owner, [node, node + 1])
-            once, first = np.unique(pend[lo:hi], return_index=True)
-            fresh = ~np.isin(once, others[a:b])
-            ends, blocks = once[fresh], pend_at[lo:hi][first][fresh]
-            by_block = np.argsort(blocks, kind="stable")
-            visited, cuts = np.unique(blocks[by_block], return_index=True)
-            rows.append((others[a:b], near[a:b], visited, np.split(ends[by_block], cuts[1:]) if len(cuts) else []))
-        names = (("ids", pa.int64()), ("ds", pa.float64()), ("pend_at", pa.int32()), ("pend", pa.list_(pa.int64())))
-        lists = {n: pa.array([r[i] for r in rows], pa.list_(kind)) for i, (n, kind) in enumerate(names)}
-        return pa.table({"node": state["node"], "vec": state["vec"], **lists})
-
-    kept = f"node long, vec {vec}, {STATE}"
+                start, kept = (lists[i].values.to_numpy(zero_copy_only=False) for lists in (wanted, known))
+                ids, ds = block.walk(vectors[i], start, kept, worsts[i], beam)
+                owner.append(np.full(len(ids), searches[i]))
+                other.append(ids)
+                near.append(ds)
+        return parcels(*map(np.concatenate, (owner, other, near)), beam, homes)
+
     while True:
         worst = F.when(F.size("ids") < beam, float("inf")).otherwise(F.get("ds", F.lit(beam - 1))).alias("worst")
+        asks = state.select("node", "ids", worst).join(starts, "node").withColumnRenamed("node", "search")
+        fresh = state.select(F.col("node").alias("search"), F.explode(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"])).alias("e"))
+        ends = fresh.select("search", F.col("e.ids").alias("node")).join(links, "node").select("search", F.explode("ends").alias("e"))
         # One row for each block that a search visits, with all ids it wants there.
-        asked = state.select("node", "vec", "ids", worst, F.explode(F.arrays_zip("pend_at", "pend")).alias("p"))
-        asked = asked.select(F.col("p.pend_at").alias("at"), "node", "vec", "worst", "ids", F.col("p.pend").alias("wanted"))
-        seen = asked.groupBy("at").cogroup(stock.groupBy("at")).applyInArrow(look, ANSWERS)
-        merged = state.groupBy(block_of("node", homes).alias("home")).cogroup(seen.groupBy("at")).applyInArrow(together, kept)
+        visits = ends.groupBy("search", F.col("e.others_at").alias("at")).agg(F.collect_set("e.others").alias("wanted"))
+        seen = visits.join(asks, "search").groupBy("at").cogroup(stock.select("at", "node", "vec", "others").groupBy("at")).applyInArrow(look, PARCELS)
         open_ends = Observation()
-        last, state = state, stored(merged.observe(open_ends, F.sum(F.size("pend")).alias("n")), "beam")
+        left = F.sum(F.size(F.filter("done", lambda x: ~x))).alias("n")
+        last, state = state, stored(merge(state, seen, beam, homes).observe(open_ends, left), "beam")
         discard(last)
+        free_rounds(nodes.sparkSession)
         if not open_ends.get["n"]:
             discard(stock)
             return state.select("node", "ids", "ds")

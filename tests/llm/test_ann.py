@@ -103,3 +103,29 @@ def test_recall_where_leaves_are_small(spark, monkeypatch):
     wanted = exact(rows, lambda i: i % 100 == 0)
     hits = [len({i for _, i in got[q]} & {i for _, i in wanted[q]}) / 10 for q in wanted]
     assert len(got) == 30 and sum(hits) / len(hits) >= 0.95
+
+
+def test_a_round_sends_a_search_each_node_once_at_most(spark, monkeypatch):
+    """Blocks send what they found, not the links of it: the rows that reach a search do not grow with
+    the number of blocks it visits, and few searches are brought up to date together."""
+    for name, value in (("BLOCK", 100), ("LEAF", 60), ("HOME", 4), ("BEAM", 40)):
+        monkeypatch.setattr(ann, name, value)
+    monkeypatch.setattr(ann.leaves_of, "__defaults__", (3, 60))
+    monkeypatch.setattr(ann.search_graph, "__defaults__", (40,))
+    sent, merge = [], ann.merge
+
+    def seen(lists, found, most, blocks):
+        if most == 40:
+            sizes = found.select(F.explode("owner").alias("search"), "at").groupBy("search", "at").count().collect()
+            sent.append({r.search: r["count"] for r in sizes})
+            assert len({r.search for r in sizes}) == len(sizes) and blocks == 3
+        return merge(lists, found, most, blocks)
+
+    monkeypatch.setattr(ann, "merge", seen)
+    x = np.random.default_rng(2).normal(size=(1000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    got = answers(ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0))
+    wanted = exact(rows, lambda i: i % 100 == 0)
+    assert len(sent) > 2 and max(n for r in sent for n in r.values()) < 1000
+    hits = [len({i for _, i in got[q]} & {i for _, i in wanted[q]}) / 10 for q in wanted]
+    assert len(got) == 10 and sum(hits) / len(hits) >= 0.9
