@@ -23,7 +23,7 @@ SAMPLE = 10_000  # vectors the trees are fitted on; all vectors are indexed
 BLOCK = 2048  # nodes of a block
 DEGREE = 128  # links of one node in one row; more go to further rows
 SETTLED = 0.1  # share of changed links at which the graph is left as it is
-BEAM = 160  # nearest nodes a search keeps, and expands all of
+BEAM = 400  # nearest nodes a search keeps, and expands all of
 HOME = 64  # searches whose beams are kept up to date together
 SEED = 7
 
